@@ -18,7 +18,7 @@ the jobs that use them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.sources.tables import TableSource, scan_alias
@@ -80,9 +80,8 @@ def stop(t: TableSource) -> DataFrame:
 def stop_arr_dep(t: TableSource) -> DataFrame:
     """ITS_STOP_ARR_DEP: one row per (stop, schedule state)."""
     li = t("lineitem")
-    state = F.element_at(F.create_map(*[F.lit(x) for kv in SCHEDULE_STATES.items() for x in kv]),
-                         F.col("l_returnflag"))
-    return (li.groupBy(F.col("l_partkey").alias("STOP_ID"), state.alias("SCHEDULE_STATE"))
+    return (li.groupBy(F.col("l_partkey").alias("STOP_ID"),
+                       _label("l_returnflag", SCHEDULE_STATES).alias("SCHEDULE_STATE"))
             .agg(F.min("l_shipdate").alias("BERTH_ARRIVAL_IODT"),
                  F.max("l_shipdate").alias("BERTH_DEPARTURE_IODT")))
 
@@ -90,10 +89,9 @@ def stop_arr_dep(t: TableSource) -> DataFrame:
 def stop_cut_ava(t: TableSource) -> DataFrame:
     """ITS_STOP_CUT_AVA: one row per (stop, carrier, nature, type)."""
     li = t("lineitem")
-    m = lambda d: F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
     return (li.groupBy(F.col("l_partkey").alias("STOP_ID"), F.col("l_suppkey").alias("CARRIER_ID"),
-                       F.element_at(m(CARGO_NATURES), F.col("l_returnflag")).alias("CARGO_NATURE"),
-                       F.element_at(m(DATE_TYPES), F.col("l_linestatus")).alias("TYPE"))
+                       _label("l_returnflag", CARGO_NATURES).alias("CARGO_NATURE"),
+                       _label("l_linestatus", DATE_TYPES).alias("TYPE"))
             .agg(F.min("l_shipdate").alias("DATE_IODT"), F.max("l_shipdate").alias("DATE_LOC")))
 
 
@@ -120,3 +118,47 @@ def operator_assignments(t: TableSource) -> DataFrame:
 
 def vessel(t: TableSource) -> DataFrame:
     return scan_alias(t("customer"), {"VSL_CDE": "c_custkey", "OPERATOR": "c_mktsegment"})
+
+
+def proforma_stop_assn(t: TableSource) -> DataFrame:
+    """SRC4 spine: one row per lineitem (proforma = order, stop = part)."""
+    return scan_alias(t("lineitem"), {
+        "PROFM_STOP_ASSN_ID": F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
+        "PROFM_STOP_ID": "l_partkey",
+        "PROFM_SEQ": "l_linenumber",
+        "PROFORMA_ID": "l_orderkey",
+    })
+
+
+def proforma_stop(t: TableSource) -> DataFrame:
+    return scan_alias(t("part"), {
+        "PROFM_STOP_ID": "p_partkey", "FACILITY_ID": "p_type", "PORT_ID": "p_brand",
+        "PORT_OCCURRENCE": "p_size", "GMT": "p_retailprice",
+    })
+
+
+def proforma_cut_ava(t: TableSource) -> DataFrame:
+    """ITS_PRORM_STOP_CUT_AVA: one row per lineitem, measures from the ship date."""
+    return scan_alias(t("lineitem"), {
+        "profm_stop_id": "l_partkey",
+        "cargo_nature": _label("l_returnflag", CARGO_NATURES),
+        "type": _label("l_linestatus", DATE_TYPES),
+        "date_day_off": F.dayofmonth("l_shipdate"),
+        "date_l_hr": F.month("l_shipdate"),
+        "date_l_min": "l_linenumber",
+        "date_l_dow": F.dayofweek("l_shipdate"),
+    })
+
+
+def proforma(t: TableSource) -> DataFrame:
+    return scan_alias(t("orders"), {
+        "PROFORMA_ID": "o_orderkey", "SVC_CDE": "o_orderpriority", "SVC_NME": "o_custkey",
+        "SVC_TYPE": "o_orderstatus", "EFF_START_IODT": "o_orderdate",
+    })
+
+
+def _label(col: str, mapping: dict) -> Column:
+    expr = None
+    for k, v in mapping.items():
+        expr = (F.when(F.col(col) == k, v) if expr is None else expr.when(F.col(col) == k, v))
+    return expr
