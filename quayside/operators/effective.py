@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.operators.filters import in_keys, keys_with_count, not_in_keys
+from quayside.session import checkpointed, staged
 
 
 @dataclass(frozen=True)
@@ -132,18 +133,22 @@ def voyage_operators(first_dep: DataFrame, svc_ops: DataFrame, vessels: DataFram
 
 
 def resolve_operator(schedule: DataFrame, assignments: DataFrame, vessels: DataFrame,
-                     c: ScheduleCols = ScheduleCols(),
-                     a: AssignmentCols = AssignmentCols()) -> DataFrame:
+                     c: ScheduleCols = ScheduleCols(), a: AssignmentCols = AssignmentCols(),
+                     materialize: bool = True) -> DataFrame:
     """JOB3: attach OPERATOR to every schedule row (left join on voyage and
     carrier; a NULL carrier gets no operator, S4).
 
-    The schedule is hash-partitioned once on (voyage, carrier); the first
-    departure aggregate and the final join both consume that one exchange
-    (Spark reuses it), so the enriched schedule is neither recomputed nor
-    shuffled a second time.
+    The enriched schedule feeds two branches (the first-departure aggregate
+    and the final join) and the first-departure table feeds four.  Catalyst
+    does not share such subplans once their optimised forms differ, so with
+    ``materialize`` the schedule is written once to the shared checkpoint
+    folder and the two small per-voyage tables are reliably checkpointed;
+    nothing upstream is recomputed.
     """
-    sched = schedule.repartition(c.voyage, c.carrier)
+    sched = staged(schedule, "schedule") if materialize else schedule
     fd = first_departure(sched, c)
+    fd = checkpointed(fd) if materialize else fd
     ops = service_operators(fd, assignments, c, a)
+    ops = checkpointed(ops) if materialize else ops
     voy_ops = voyage_operators(fd, ops, vessels, c)
     return sched.join(voy_ops, [c.voyage, c.carrier], "left")

@@ -7,10 +7,13 @@ exchange.  Here the rule is explicit: newest ordering value first, NULLs
 last, then the tie-break columns descending.
 
 Default strategy: ``max(struct(order..., tiebreak..., payload...))`` per key.
-It is a hash aggregate with a map-side partial step, so each task ships at
-most one row per key to the shuffle: a key holding a third of all rows costs
-the same as any other key, and nothing is sorted.  Struct ordering compares
-fields left to right with NULL lowest, which is exactly "desc, nulls last".
+It is an aggregate with a map-side partial step, so each task ships at most
+one row per key to the shuffle: a key holding a third of all rows is
+collapsed before the exchange instead of landing whole in one task.  (A
+struct buffer with string fields makes Spark pick its sort-based aggregate;
+the sort is task-local and spills, and the shuffle still carries one row per
+key per task.)  Struct ordering compares fields left to right with NULL
+lowest, which is exactly "desc, nulls last".
 
 ``strategy="window"`` keeps a ``row_number`` formulation for orderings a
 struct max cannot express (ascending strings); it shuffles every row.

@@ -48,10 +48,17 @@ def manifest_ready(t: TableSource) -> DataFrame:
     })
 
 
+def line_id() -> Column:
+    """A unique id for a lineitem row (keys plus the price in cents: the
+    four keys alone repeat)."""
+    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                       F.round(F.col("l_extendedprice") * 100).cast("bigint"))
+
+
 def voyage_stop_assn(t: TableSource) -> DataFrame:
     """SRC3 spine: one row per lineitem (voyage = order, stop = part)."""
     return scan_alias(t("lineitem"), {
-        "VOY_STOP_ASSN_ID": F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
+        "VOY_STOP_ASSN_ID": line_id(),
         "VOY_CDE": "l_orderkey",
         "STOP_ID": "l_partkey",
         "VOY_SEQ": "l_linenumber",
@@ -123,7 +130,7 @@ def vessel(t: TableSource) -> DataFrame:
 def proforma_stop_assn(t: TableSource) -> DataFrame:
     """SRC4 spine: one row per lineitem (proforma = order, stop = part)."""
     return scan_alias(t("lineitem"), {
-        "PROFM_STOP_ASSN_ID": F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
+        "PROFM_STOP_ASSN_ID": line_id(),
         "PROFM_STOP_ID": "l_partkey",
         "PROFM_SEQ": "l_linenumber",
         "PROFORMA_ID": "l_orderkey",

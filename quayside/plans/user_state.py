@@ -7,7 +7,8 @@ readiness per owner reference.
 Plan: both sides are filtered and pruned in their scans (the literal
 predicates push down), joined on ``mfest_info_id`` (one shuffle per side, or a
 broadcast of the filtered side when AQE measures it small), then reduced to
-one row per owner by a partial+final hash aggregate — no global sort.
+one row per owner by a partial+final aggregate — no global sort, no window
+over every row.
 """
 
 from __future__ import annotations

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in this package is designed around.
 SCALE_CONF = {
@@ -36,8 +37,12 @@ SCALE_CONF = {
 
 
 def build_session(master: str = "local[8]", app: str = "quayside",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int = 8, extra: dict | None = None,
+                  driver_memory: str = "16g") -> SparkSession:
+    """Local session for tests and the bench (local mode: the driver JVM is
+    the only executor, so its heap is the memory knob)."""
     b = (SparkSession.builder.master(master).appName(app)
+         .config("spark.driver.memory", driver_memory)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
@@ -71,3 +76,22 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written intermediates)."""
     base = checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), *parts)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint (to ``spark.checkpoint.dir``) of a *small*
+    intermediate read by several branches of one job, so it is computed once
+    and its lineage is cut (an executor lost later does not recompute it)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame, name: str = "stage", fmt: str = "parquet") -> DataFrame:
+    """Write a *large* intermediate once as a table in the shared checkpoint
+    folder and read it back: a columnar file is cheaper to write and re-read
+    than recomputing the joins and shuffles that produced it, and it survives
+    executor loss."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "quayside", name, uuid.uuid4().hex)
+    df.write.format(fmt).save(path)
+    return spark.read.format(fmt).load(path)
