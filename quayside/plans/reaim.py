@@ -169,3 +169,50 @@ def _label(col: str, mapping: dict) -> Column:
     for k, v in mapping.items():
         expr = (F.when(F.col(col) == k, v) if expr is None else expr.when(F.col(col) == k, v))
     return expr
+
+
+# Fixed values: (l_returnflag || l_linestatus) -> laden-capacity category;
+# 'RO' is deliberately unlisted (ignored by the pivot).
+LADEN_CATEGORIES = {"AF": "BOX_20_MIN", "AO": "BOX_20_MAX", "NF": "BOX_40_MIN",
+                    "NO": "BOX_40_MAX", "RF": "BOX_45_MIN"}
+
+
+def effective_voyage(t: TableSource) -> DataFrame:
+    return scan_alias(t("orders"), {
+        "EFF_VOY_ID": "o_orderkey", "CARRIER_CDE": "o_orderstatus", "SVC_CDE": "o_orderpriority",
+        "VSL_CDE": "o_custkey", "EFF_VOY_NUM": "o_orderkey", "DIRECTION": "o_orderpriority"})
+
+
+def default_capacity_assn(t: TableSource) -> DataFrame:
+    return scan_alias(t("orders"), {"EFF_VOY_ID": "o_orderkey", "DEFAULT_VSL_CAP_ID": "o_custkey"})
+
+
+def port_capacity_assn(t: TableSource) -> DataFrame:
+    return scan_alias(t("lineitem"), {"EFF_VOY_ID": "l_orderkey", "PORT_ID": "l_partkey",
+                                      "VSL_CAP_ID": "l_suppkey"})
+
+
+def tradelane_capacity_assn(t: TableSource) -> DataFrame:
+    return scan_alias(t("lineitem"), {"EFF_VOY_ID": "l_orderkey", "TRADELANE_CDE": "l_returnflag",
+                                      "OWNERS_MERIT": "l_linenumber", "VSL_CAP_ID": "l_suppkey"})
+
+
+def vessel_capacity(t: TableSource) -> DataFrame:
+    return scan_alias(t("supplier"), {
+        "VSL_CAP_ID": "s_suppkey", "CARRIER_CDE": F.substring("s_name", 1, 3),
+        "SVC_CDE": "s_nationkey", "VSL_CDE": "s_name", "DIRECTION": F.substring("s_name", 10, 1),
+        "LADEN_VOL_TEU": "s_acctbal"})
+
+
+def laden_capacity(t: TableSource) -> DataFrame:
+    return scan_alias(t("lineitem"), {
+        "VSL_CAP_ID": "l_suppkey",
+        "CAT_CDE": _label_expr(F.concat("l_returnflag", "l_linestatus"), LADEN_CATEGORIES),
+        "QTY": "l_quantity"})
+
+
+def _label_expr(expr: Column, mapping: dict) -> Column:
+    out = None
+    for k, v in mapping.items():
+        out = F.when(expr == k, v) if out is None else out.when(expr == k, v)
+    return out.otherwise(expr)

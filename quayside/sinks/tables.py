@@ -18,12 +18,14 @@ def write_table(df: DataFrame, path: str | None = None, *, table: str | None = N
                 dynamic: bool = False, max_records_per_file: int | None = None) -> None:
     """SNK1: overwrite (default) a path or an external catalog table.
 
-    partition_by -- SNK3; rows are clustered on these columns first so each
-                    partition is written by few tasks (few files).
+    partition_by -- SNK3; rows are clustered on these columns with a
+                    ``rebalance`` hint: AQE then splits a partition value that
+                    holds a large share of the rows across several writer
+                    tasks (and merges tiny ones), so one hot month never lands
+                    in a single task, and most values still get one file.
     num_files    -- SNK2: total output partitions (``repartition(n)``), or,
-                    with ``partition_by``, files per partition value spread by
-                    a salt so one large partition is still written in
-                    parallel.
+                    with ``partition_by``, a fixed number of files per
+                    partition value (hash salt).
     dynamic      -- replace only the partitions present in ``df``.
     """
     if partition_by:
@@ -31,7 +33,7 @@ def write_table(df: DataFrame, path: str | None = None, *, table: str | None = N
             salt = F.pmod(F.xxhash64(*df.columns), F.lit(num_files)).alias("__salt")
             df = df.repartition(*[F.col(c) for c in partition_by], salt)
         else:
-            df = df.repartition(*partition_by)
+            df = df.hint("rebalance", *partition_by)
     elif num_files:
         df = df.repartition(num_files)
     w = df.write.format(fmt).mode(mode)
