@@ -4,12 +4,12 @@ The marts are written against the domain's own column names (voyages,
 stops, carriers, manifests).  The test tables are a TPC-H-like star schema,
 so each domain input is an alias projection (SRC1) of one test table:
 
-    orders    -> voyage (ITS_VOYAGE), manifest header (ACM_MFEST_INFO),
-                 operator validity rows (ITS_SVC_OPERATOR_ASSN)
+    orders    -> voyage, manifest header,
+                 operator validity rows
     lineitem  -> voyage-stop association, stop arrival/departure and
                  cut-off/availability rows, readiness rows
-    part      -> stop (ITS_STOP); laden capacity detail
-    customer  -> vessel with its default operator (ITS_VESSEL)
+    part      -> stop; laden capacity detail
+    customer  -> vessel with its default operator
     events    -> keyed change feed
 
 Everything is lazy: the projections and filters below fold into the scans of
@@ -85,7 +85,7 @@ def stop(t: TableSource) -> DataFrame:
 
 
 def stop_arr_dep(t: TableSource) -> DataFrame:
-    """ITS_STOP_ARR_DEP: one row per (stop, schedule state)."""
+    """Stop arrival/departure times: one row per (stop, schedule state)."""
     li = t("lineitem")
     return (li.groupBy(F.col("l_partkey").alias("STOP_ID"),
                        _label("l_returnflag", SCHEDULE_STATES).alias("SCHEDULE_STATE"))
@@ -94,7 +94,7 @@ def stop_arr_dep(t: TableSource) -> DataFrame:
 
 
 def stop_cut_ava(t: TableSource) -> DataFrame:
-    """ITS_STOP_CUT_AVA: one row per (stop, carrier, nature, type)."""
+    """Stop cut-off/availability rows: one row per (stop, carrier, nature, type)."""
     li = t("lineitem")
     return (li.groupBy(F.col("l_partkey").alias("STOP_ID"), F.col("l_suppkey").alias("CARRIER_ID"),
                        _label("l_returnflag", CARGO_NATURES).alias("CARGO_NATURE"),
@@ -103,7 +103,7 @@ def stop_cut_ava(t: TableSource) -> DataFrame:
 
 
 def operator_assignments(t: TableSource) -> DataFrame:
-    """ITS_SVC_OPERATOR_ASSN from orders: each order is one validity row of
+    """Operator validity rows from orders: each order is one validity row of
     its customer (vessel), from the order date for ``o_totalprice / 1000``
     days.  'F' and 'O' orders are tier 1 (service = order priority), 'P'
     orders tier 2 (no service).  Priority '5-LOW' opens the start of a tier-2
@@ -145,7 +145,7 @@ def proforma_stop(t: TableSource) -> DataFrame:
 
 
 def proforma_cut_ava(t: TableSource) -> DataFrame:
-    """ITS_PRORM_STOP_CUT_AVA: one row per lineitem, measures from the ship date."""
+    """Proforma stop cut-off/availability rows: one per lineitem, measures from the ship date."""
     return scan_alias(t("lineitem"), {
         "profm_stop_id": "l_partkey",
         "cargo_nature": _label("l_returnflag", CARGO_NATURES),
