@@ -134,18 +134,22 @@ def voyage_operators(first_dep: DataFrame, svc_ops: DataFrame, vessels: DataFram
 
 def resolve_operator(schedule: DataFrame, assignments: DataFrame, vessels: DataFrame,
                      c: ScheduleCols = ScheduleCols(), a: AssignmentCols = AssignmentCols(),
-                     materialize: bool = True) -> DataFrame:
+                     materialize: str | None = "small") -> DataFrame:
     """JOB3: attach OPERATOR to every schedule row (left join on voyage and
     carrier; a NULL carrier gets no operator, S4).
 
-    The enriched schedule feeds two branches (the first-departure aggregate
-    and the final join) and the first-departure table feeds four.  Catalyst
-    does not share such subplans once their optimised forms differ, so with
-    ``materialize`` the schedule is written once to the shared checkpoint
-    folder and the two small per-voyage tables are reliably checkpointed;
-    nothing upstream is recomputed.
+    The first-departure table feeds four branches and the candidate table
+    two; Catalyst does not share such subplans once their optimised forms
+    differ, so they are reliably checkpointed (``materialize="small"``).  The
+    enriched schedule itself is then read twice: once column-pruned to the
+    five columns the first departure needs, once whole for the final join.
+    ``materialize="all"`` instead writes the whole schedule once to the shared
+    checkpoint folder (cheaper when the chain upstream is long compared with
+    its width); ``None`` materialises nothing (tests on tiny inputs).
     """
-    sched = staged(schedule, "schedule") if materialize else schedule
+    if materialize not in (None, "small", "all"):
+        raise ValueError(materialize)
+    sched = staged(schedule, "schedule") if materialize == "all" else schedule
     fd = first_departure(sched, c)
     fd = checkpointed(fd) if materialize else fd
     ops = service_operators(fd, assignments, c, a)

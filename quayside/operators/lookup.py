@@ -92,6 +92,8 @@ def with_state_lookups(df: DataFrame, table: DataFrame, keys: Sequence[str], sta
     once, aggregated to one wide row per key, and joined once; a duplicate
     (key, state) fails the job on the executors (``raise_error``) rather than
     silently collapsing, so the result is either equal to ``chain`` or absent.
+    (If a query consumes none of the pivoted columns, Catalyst drops the join
+    to the key-unique pivot, and the check with it.)
     """
     items = columns.items() if isinstance(columns, Mapping) else [(c, c) for c in columns]
     if strategy == "chain":

@@ -1,30 +1,138 @@
 """Call-sequence numbering.
 
-``row_number`` over (group, order) windows, computed before any fan-out join
-so a stop keeps its sequence however many carriers join later (S3).
+``row_number`` over (group, order), computed before any fan-out join so a
+stop keeps its sequence however many carriers join later (S3).  Order
+columns must make the order total (callers add an id as the last
+tie-break), otherwise the numbering is not deterministic between runs.
 
-Several sequences over different groupings each need their own hash
-exchange; consecutive sequences whose partition keys are equal share one.
-Order columns must make the order total, otherwise the numbering is not
-deterministic between runs (callers add id columns as final tie-breaks).
+Three strategies, same result:
+
+``window`` -- ``row_number().over(partitionBy(group).orderBy(order))``: one
+    hash exchange on the group, then every row of a group is numbered by one
+    task.  Fine when groups are small (stops of one voyage).
+
+``auto`` (default) -- one aggregate over the column-pruned input gives the
+    size of the largest group (a single number); ``window`` is used when it
+    fits the per-task budget ``max_group_rows``, ``range`` otherwise.  The
+    choice adapts to the data the way AQE does, at the cost of that one
+    partial-aggregate pass.
+
+``range`` -- safe when one group holds a large share of the rows
+    (e.g. every stop without an arrival voyage shares the NULL group):
+
+    1. ``repartitionByRange(n, group, order)`` + sort within partitions: a hot
+       group is cut into contiguous slices over several tasks;
+    2. each task numbers rows within its slice of each group (a running count
+       over the sorted Arrow batches, carried across batch boundaries);
+    3. rows per (partition, group) are counted (a JVM aggregate); only groups
+       cut by a partition boundary need an offset -- the rows of earlier
+       slices -- and there are at most ``2 n`` such (partition, group) pairs,
+       so that offset table has a proven size bound and is broadcast;
+    4. sequence = slice number + offset.
+
+    One range exchange of the data, no second shuffle, no task ever holds a
+    whole group.  The numbered slices are reliably checkpointed (range bounds
+    are sampled from data whose order after a shuffle is not fixed, so they
+    must be computed once).  Costlier than ``window`` (an Arrow round trip
+    and a checkpoint write), so use it where a group can be large.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quayside.session import checkpointed
+
+_PID, _LRN, _CNT, _OFF = "__seq_pid", "__seq_lrn", "__seq_cnt", "__seq_off"
+
+
+# A group larger than this is not numbered by a single task (auto strategy).
+MAX_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, partition_by: Sequence[str]) -> int:
+    """Row count of the largest group (0 for empty input)."""
+    top = df.groupBy(*partition_by).count().agg(F.max("count")).first()[0]
+    return int(top or 0)
 
 
 def with_sequence(df: DataFrame, out_col: str, partition_by: Sequence[str],
-                  order_by: Sequence[str]) -> DataFrame:
-    w = Window.partitionBy(*partition_by).orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-    return df.withColumn(out_col, F.row_number().over(w))
+                  order_by: Sequence[str], strategy: str = "auto",
+                  num_ranges: int | None = None, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    partition_by, order_by = list(partition_by), list(order_by)
+    if strategy == "auto":
+        strategy = "window" if largest_group(df, partition_by) <= max_group_rows else "range"
+    if strategy == "window":
+        w = Window.partitionBy(*partition_by).orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
+        return df.withColumn(out_col, F.row_number().over(w))
+    if strategy != "range":
+        raise ValueError(strategy)
+    return _range_row_number(df, out_col, partition_by, order_by, num_ranges)
 
 
-def with_sequences(df: DataFrame, specs: Mapping[str, tuple[Sequence[str], Sequence[str]]]) -> DataFrame:
+def with_sequences(df: DataFrame, specs: Mapping[str, tuple[Sequence[str], Sequence[str]]],
+                   strategy: str = "auto", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Apply several sequences: ``{out_col: (partition_by, order_by)}``."""
     for out_col, (part, order) in specs.items():
-        df = with_sequence(df, out_col, part, order)
+        df = with_sequence(df, out_col, part, order, strategy, max_group_rows=max_group_rows)
     return df
+
+
+def _same_key(a: tuple, b: tuple) -> bool:
+    return all((x == y) or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b))
+
+
+def _slice_numbers(group_cols: list[str]):
+    """Per-partition running count within each group of sorted batches."""
+
+    def run(batches):
+        last_key, last_count = None, 0
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            keys = pdf[group_cols]
+            lrn = keys.groupby(group_cols, dropna=False, sort=False).cumcount() + 1
+            first = tuple(keys.iloc[0])
+            if last_key is not None and _same_key(first, last_key):
+                same = (keys.groupby(group_cols, dropna=False, sort=False).ngroup() == 0)
+                lrn = lrn + same.astype("int64") * last_count
+            last_key = tuple(keys.iloc[-1])
+            last_count = int(lrn.iloc[-1])
+            yield pdf.assign(**{_LRN: lrn.astype("int64")})
+
+    return run
+
+
+def _range_row_number(df: DataFrame, out_col: str, group: list[str], order: list[str],
+                      num_ranges: int | None) -> DataFrame:
+    spark = df.sparkSession
+    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort_cols = [F.col(c).asc_nulls_first() for c in group + order]
+    ranged = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+              .withColumn(_PID, F.spark_partition_id()))
+    schema = T.StructType(ranged.schema.fields + [T.StructField(_LRN, T.LongType(), False)])
+    # The range bounds come from sampling the input, whose row order after a
+    # shuffle is not fixed; the numbered slices are therefore checkpointed
+    # once, and the counts below are derived from that same copy.
+    numbered = checkpointed(ranged.mapInPandas(_slice_numbers(group), schema))
+
+    # rows per (partition, group); a group in more than one partition was cut
+    counts = numbered.groupBy(_PID, *group).agg(F.max(_LRN).alias(_CNT))
+    cut = counts.groupBy(*group).agg(F.count(F.lit(1)).alias("__parts")).where("__parts > 1")
+    cut_counts = counts.join(cut.drop("__parts"), [counts[g].eqNullSafe(cut[g]) for g in group],
+                             "left_semi")
+    before = Window.partitionBy(*group).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cut_counts.select(_PID, *group, F.coalesce(F.sum(_CNT).over(before), F.lit(0))
+                                .alias(_OFF))
+    # at most 2 * n rows: every cut group spans k partitions using k-1 of the n-1 boundaries
+    off = F.broadcast(offsets.select(F.col(_PID).alias("__o_pid"),
+                                     *[F.col(g).alias(f"__o_{g}") for g in group], _OFF))
+    cond = [numbered[_PID] == off["__o_pid"]] + [numbered[g].eqNullSafe(off[f"__o_{g}"]) for g in group]
+    joined = numbered.join(off, cond, "left")
+    return (joined.withColumn(out_col, (F.col(_LRN) + F.coalesce(F.col(_OFF), F.lit(0))).cast("int"))
+            .drop(_PID, _LRN, _OFF, "__o_pid", *[f"__o_{g}" for g in group]))

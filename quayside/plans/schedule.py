@@ -132,9 +132,9 @@ def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep:
                   run_ts: _dt.datetime | None = None) -> DataFrame:
     """JOB2.  With ``strategy="pivot"`` the state lookups cannot fan out (their
     uniqueness is enforced), so they are joined right after the stop lookup,
-    on the same ``STOP_ID`` partitioning, and the voyage join lands just
-    before the ``(VOY_CDE, STOP_PORT_ID)`` sequence, which then needs no
-    exchange of its own.  ``chain`` keeps the reference order."""
+    on the same ``STOP_ID`` partitioning (one exchange of the spine serves
+    both joins when neither lookup is broadcast).  ``chain`` keeps the
+    reference order."""
     states = {s: STATE_PREFIX[s] for s in reversed(STATE_PREFIX)}   # LongTerm, Coastal, Actual
     ltt = [f for f in ltt_fields if f in arr_dep_fields]
 
@@ -147,7 +147,7 @@ def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep:
               .transform(lambda d: lookup_join(d, stop, ["STOP_ID"]))
               .transform(states_join)
               .transform(lambda d: lookup_join(d, voyage, ["VOY_CDE"]))
-              .transform(lambda d: with_sequences(d, dict(reversed(list(sequences.items()))))))
+              .transform(lambda d: with_sequences(d, sequences)))
     else:
         df = (spine
               .transform(lambda d: lookup_join(d, voyage, ["VOY_CDE"]))

