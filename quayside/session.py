@@ -33,6 +33,8 @@ SCALE_CONF = {
     # Dynamic partition overwrite: a reload replaces only the buckets it
     # writes, never the whole table.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Reliable checkpoints of intermediates are deleted once unreferenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

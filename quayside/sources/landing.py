@@ -27,7 +27,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.session import scratch_path
+from quayside.session import checkpointed, scratch_path
 from quayside.sinks.tables import write_table
 
 LEDGER_COLS = ["bucket", "row_count", "max_update", "pk_hash"]
@@ -55,15 +55,18 @@ def changed_buckets(current: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def snapshot_load(source: DataFrame, path: str, *, fmt: str = "parquet",
                   derived: dict[str, Column] | None = None, partition_by: list[str] | None = None,
-                  num_files: int | None = None, mode: str = "overwrite") -> DataFrame:
+                  num_files: int | None = None, max_records_per_file: int | None = None,
+                  mode: str = "overwrite") -> DataFrame:
     """SRC6 / SRC7: write ``source`` (plus derived columns) to ``path``.
 
-    With ``partition_by`` the rows are first hash-partitioned on the partition
-    columns so each task writes whole partitions (few files per partition);
-    ``num_files`` caps the file count per write (SNK2).
+    With ``partition_by`` the rows are clustered on the partition columns
+    (``rebalance``: AQE splits a large partition value over several writer
+    tasks); ``num_files`` fixes the file count instead (SNK2, small tables);
+    ``max_records_per_file`` bounds file size either way.
     """
     df = source.withColumns(derived) if derived else source
-    write_table(df, path, fmt=fmt, partition_by=partition_by, num_files=num_files, mode=mode)
+    write_table(df, path, fmt=fmt, partition_by=partition_by, num_files=num_files, mode=mode,
+                max_records_per_file=max_records_per_file)
     return df
 
 
@@ -78,7 +81,7 @@ def incremental_load(spark: SparkSession, source: DataFrame, target_path: str, l
     cluster's checkpoint folder) so the ledger written afterwards is exactly
     the one the reload was decided on, without a second scan.
     """
-    stats = bucket_stats(source, bucket, update_col, pk).checkpoint()
+    stats = checkpointed(bucket_stats(source, bucket, update_col, pk))
     if ledger is None:
         if ledger_path is None:
             raise ValueError("need a ledger or a ledger path")
@@ -86,7 +89,7 @@ def incremental_load(spark: SparkSession, source: DataFrame, target_path: str, l
             ledger = spark.read.parquet(ledger_path)
         except Exception:  # first run: no ledger yet  # noqa: BLE001
             ledger = spark.createDataFrame([], stats.schema)
-    diff = changed_buckets(stats, ledger).checkpoint()
+    diff = checkpointed(changed_buckets(stats, ledger))
     todo = diff.where("changed AND src_row_count IS NOT NULL").select("bucket")
     rows = source.withColumn("bucket", bucket).join(todo, "bucket", "left_semi")
     write_table(rows, target_path, fmt=fmt, partition_by=["bucket"], mode="overwrite",

@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators.latest import latest_per_key
+from quayside.session import checkpointed
 from quayside.sinks.tables import write_table
 
 
@@ -95,7 +96,7 @@ def refresh_partitions(spark: SparkSession, state_path: str, changes: DataFrame,
         current = current.join(touched, "bucket", "left_semi").drop("bucket")
     except Exception:  # first batch: no state yet  # noqa: BLE001
         current = None
-    new = apply_changes(current, staged, feed).withColumn("bucket", bucket).checkpoint()
+    new = checkpointed(apply_changes(current, staged, feed).withColumn("bucket", bucket))
     write_table(new, state_path, fmt=fmt, partition_by=["bucket"], mode="overwrite", dynamic=True)
 
 
