@@ -41,7 +41,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,27 +82,31 @@ def with_sequences(df: DataFrame, specs: Mapping[str, tuple[Sequence[str], Seque
     return df
 
 
-def _same_key(a: tuple, b: tuple) -> bool:
-    return all((x == y) or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b))
+def _slice_numbers(group_cols: list[str], out_col: str):
+    """Per-partition running count within each group of sorted batches.
 
-
-def _slice_numbers(group_cols: list[str]):
-    """Per-partition running count within each group of sorted batches."""
+    Self-contained (only pandas inside): the function is shipped to the
+    Python workers by value, so they need nothing from this package.
+    """
 
     def run(batches):
+        import pandas as pd
+
+        def same(a, b):
+            return all((x == y) or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b))
+
         last_key, last_count = None, 0
         for pdf in batches:
             if pdf.empty:
                 continue
             keys = pdf[group_cols]
-            lrn = keys.groupby(group_cols, dropna=False, sort=False).cumcount() + 1
-            first = tuple(keys.iloc[0])
-            if last_key is not None and _same_key(first, last_key):
-                same = (keys.groupby(group_cols, dropna=False, sort=False).ngroup() == 0)
-                lrn = lrn + same.astype("int64") * last_count
+            grouped = keys.groupby(group_cols, dropna=False, sort=False)
+            lrn = grouped.cumcount() + 1
+            if last_key is not None and same(tuple(keys.iloc[0]), last_key):
+                lrn = lrn + (grouped.ngroup() == 0).astype("int64") * last_count
             last_key = tuple(keys.iloc[-1])
             last_count = int(lrn.iloc[-1])
-            yield pdf.assign(**{_LRN: lrn.astype("int64")})
+            yield pdf.assign(**{out_col: lrn.astype("int64")})
 
     return run
 
@@ -119,7 +122,7 @@ def _range_row_number(df: DataFrame, out_col: str, group: list[str], order: list
     # The range bounds come from sampling the input, whose row order after a
     # shuffle is not fixed; the numbered slices are therefore checkpointed
     # once, and the counts below are derived from that same copy.
-    numbered = checkpointed(ranged.mapInPandas(_slice_numbers(group), schema))
+    numbered = checkpointed(ranged.mapInPandas(_slice_numbers(group, _LRN), schema))
 
     # rows per (partition, group); a group in more than one partition was cut
     counts = numbered.groupBy(_PID, *group).agg(F.max(_LRN).alias(_CNT))
