@@ -100,6 +100,19 @@ def refresh_partitions(spark: SparkSession, state_path: str, changes: DataFrame,
     write_table(new, state_path, fmt=fmt, partition_by=["bucket"], mode="overwrite", dynamic=True)
 
 
+def bootstrap_state(spark: SparkSession, state_path: str, snapshot: DataFrame, feed: Feed,
+                    bucket: Column, fmt: str = "parquet") -> None:
+    """ST4: seed the state from a snapshot load before the stream starts.
+
+    ``snapshot`` has the key, the payload and the snapshot's change position
+    (``feed.ts`` / ``feed.seq``); every row is live.  The stream may then
+    start at any feed position at or before the snapshot: replayed older
+    changes lose against the snapshot rows, newer ones win."""
+    rows = (snapshot.select(feed.pk, *feed.payload, feed.ts, feed.seq)
+            .withColumn("is_deleted", F.lit(False)).withColumn("bucket", bucket))
+    write_table(rows, state_path, fmt=fmt, partition_by=["bucket"], mode="overwrite")
+
+
 def refresh_stream(spark: SparkSession, feed_stream: DataFrame, state_path: str,
                    checkpoint_location: str, feed: Feed, bucket: Column, *,
                    fmt: str = "parquet", available_now: bool = True):
