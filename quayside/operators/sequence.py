@@ -56,8 +56,23 @@ MAX_GROUP_ROWS = 2_000_000
 
 def largest_group(df: DataFrame, partition_by: Sequence[str]) -> int:
     """Row count of the largest group (0 for empty input)."""
-    top = df.groupBy(*partition_by).count().agg(F.max("count")).first()[0]
-    return int(top or 0)
+    return largest_groups(df, [partition_by])[0]
+
+
+def largest_groups(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> list[int]:
+    """Largest group size for each grouping, from ONE scan of ``df``
+    (GROUPING SETS + partial aggregation); returns one number per grouping."""
+    cols = list(dict.fromkeys(c for ks in key_sets for c in ks))
+    sizes = (df.groupingSets([[F.col(c) for c in ks] for ks in key_sets], *[F.col(c) for c in cols])
+             .agg(F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__gid"))
+             .groupBy("__gid").agg(F.max("__n").alias("__max")))
+    found = {int(r["__gid"]): int(r["__max"]) for r in sizes.collect()}   # <= len(key_sets) rows
+    width = len(cols)
+    out = []
+    for ks in key_sets:
+        gid = sum(1 << (width - 1 - i) for i, c in enumerate(cols) if c not in ks)
+        out.append(found.get(gid, 0))
+    return out
 
 
 def with_sequence(df: DataFrame, out_col: str, partition_by: Sequence[str],
@@ -76,9 +91,17 @@ def with_sequence(df: DataFrame, out_col: str, partition_by: Sequence[str],
 
 def with_sequences(df: DataFrame, specs: Mapping[str, tuple[Sequence[str], Sequence[str]]],
                    strategy: str = "auto", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Apply several sequences: ``{out_col: (partition_by, order_by)}``."""
+    """Apply several sequences: ``{out_col: (partition_by, order_by)}``.
+
+    With ``auto`` the group sizes of all sequences are measured in one pass
+    (their keys are all columns of the input)."""
+    specs = dict(specs)
+    choice = {k: strategy for k in specs}
+    if strategy == "auto":
+        tops = largest_groups(df, [list(p) for p, _ in specs.values()])
+        choice = {k: ("window" if top <= max_group_rows else "range") for k, top in zip(specs, tops)}
     for out_col, (part, order) in specs.items():
-        df = with_sequence(df, out_col, part, order, strategy, max_group_rows=max_group_rows)
+        df = with_sequence(df, out_col, part, order, choice[out_col])
     return df
 
 

@@ -35,3 +35,10 @@ def test_auto_switches_on_group_size(spark):
     for budget in (10, 10_000):          # range path, window path
         a = with_sequence(base, "rn", ["g"], ["id"], strategy="auto", max_group_rows=budget)
         assert rows(a, "id", "rn") == rows(w, "id", "rn")
+
+
+def test_largest_groups_one_pass(spark):
+    from quayside.operators.sequence import largest_groups
+    base = spark.range(100).select((F.col("id") % 2).alias("a"), (F.col("id") % 5).alias("b"),
+                                   F.when(F.col("id") < 70, None).otherwise(F.col("id")).alias("c"))
+    assert largest_groups(base, [["a"], ["a", "b"], ["c"], ["b"]]) == [50, 10, 70, 20]
