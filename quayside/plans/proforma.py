@@ -49,9 +49,10 @@ def proforma_mart(spine: DataFrame, profm_stop: DataFrame, cut_ava: DataFrame, p
                   formulation: str = "conditional", cut_ava_opts: dict | None = None,
                   stop_key: str = "PROFM_STOP_ID", proforma_key: str = "PROFORMA_ID") -> DataFrame:
     """JOB4.  ``num_files`` fixes the number of output partitions (the
-    reference writes 5 files, right for a small mart).  When None the result
-    carries a ``rebalance`` hint instead: AQE sizes the writer partitions to
-    the advisory size, which is what a large output needs."""
+    reference writes 5 files, right for a small mart).  When None nothing is
+    forced: the partitions AQE sized for the last join go to the writer,
+    which is what a large output needs (``write_table`` adds a ``rebalance``
+    when it partitions the output)."""
     opts = dict(cut_ava_opts or {})
     wide = cut_ava_columns(cut_ava, formulation=formulation, **opts)
     wide_key = opts.get("key", "profm_stop_id")
@@ -60,5 +61,5 @@ def proforma_mart(spine: DataFrame, profm_stop: DataFrame, cut_ava: DataFrame, p
           .transform(lambda d: lookup_join(d, wide, key_map={stop_key: wide_key}))
           .transform(lambda d: lookup_join(d, proforma, [proforma_key]))
           .withColumn("REC_CRE_TS", run_timestamp(run_ts)))
-    return df.repartition(num_files) if num_files else df.hint("rebalance")
+    return df.repartition(num_files) if num_files else df
 
