@@ -16,7 +16,6 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quayside.functions.scalar import run_timestamp
 from quayside.operators.filters import equals, not_deleted, not_suffix

@@ -205,3 +205,25 @@ def test_pivot_guard_is_not_pruned(spark):
     out = with_state_lookups(spine, arr, ["STOP_ID"], "SCHEDULE_STATE", STATES, FIELDS, strategy="pivot")
     with pytest.raises(Exception, match="not unique"):
         out.select("STOP_ID", "LGMT_BERTH_DEP_IODT").collect()
+
+
+def test_small_helpers(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from quayside.functions.scalar import nested_get, nvl, run_timestamp
+    from quayside.operators.filters import any_present
+    from quayside.streaming.refresh import Feed, purge_tombstones
+    df = spark.createDataFrame([(None, None), ("a", None), (None, "b")], "x string, y string")
+    assert df.where(any_present("x", "y")).count() == 2
+    assert rows(df.select(nvl("x", "y").alias("v"))) == [("a",), ("b",), (None,)]
+    m = spark.createDataFrame([("DG", "Cutoff", 5)], "n string, t string, v int").select(
+        F.create_map("n", F.create_map("t", "v")).alias("m"))
+    assert m.select(nested_get("m", "DG", "Cutoff").alias("a"), nested_get("m", "RF", "Cutoff").alias("b")
+                    ).collect()[0] == (5, None)
+    ts = spark.range(1).select(run_timestamp(dt.datetime(2024, 1, 1)).alias("t")).collect()[0][0]
+    assert ts == dt.datetime(2024, 1, 1)
+    st = spark.createDataFrame([("k1", 1, True), ("k2", 1, False), ("k3", 9, True)],
+                               "pk string, change_ts int, is_deleted boolean")
+    assert rows(purge_tombstones(st, Feed(pk="pk", payload=()), 5), "pk") == [("k2",), ("k3",)]
