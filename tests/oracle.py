@@ -52,6 +52,22 @@ def _rows(cols, rows, order, digits):
     return Counter(tuple(_norm(r[i], digits) for i in idx) for r in rows)
 
 
+_SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                  "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "date": "DATE",
+                  "smallint": "SMALLINT", "float": "FLOAT", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_mismatches(spark_df, con, sql: str) -> dict:
+    """Columns whose Spark type differs from the oracle's DuckDB type."""
+    d = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    out = {}
+    for f in spark_df.schema.fields:
+        st = _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        if f.name in d and d[f.name] != st:
+            out[f.name] = (f.dataType.simpleString(), d[f.name])
+    return out
+
+
 def compare(spark_df, con, sql: str) -> dict:
     t0 = time.time()
     s_cols = spark_df.columns
@@ -76,6 +92,7 @@ def compare(spark_df, con, sql: str) -> dict:
             only_s = list((a6 - b6).elements())[:3]
             only_d = list((b6 - a6).elements())[:3]
             out["detail"] = f"cols={order} spark_only={only_s} oracle_only={only_d}"
+    out["types"] = type_mismatches(spark_df, con, sql)
     out["ok"] = out["schema_ok"] and len(s_rows) == len(d_rows) and (out["exact"] or out.get("approx", False))
     return out
 
@@ -102,7 +119,8 @@ def main(argv):
         except Exception as e:  # noqa: BLE001
             r = {"ok": False, "detail": f"{type(e).__name__}: {str(e)[:400]}"}
         bad += not r["ok"]
-        print(f"{name:28s} {'OK ' if r['ok'] else 'BAD'} {r}")
+        flag = "OK " if r["ok"] and not r.get("types") else ("TYP" if r["ok"] else "BAD")
+        print(f"{name:28s} {flag} {r}")
     print("failures:", bad)
     return bad
 

@@ -22,6 +22,7 @@ def test_query_matches_oracle(spark, con, name):
     r = compare(QUERIES[name](spark, SF), con, ORACLE[name])
     assert r["ok"], r
     assert r["exact"], r
+    assert not r["types"], r        # column types equal the oracle's too
 
 
 def test_entry_runs(spark):
