@@ -133,8 +133,9 @@ def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep:
     """JOB2.  With ``strategy="pivot"`` the state lookups cannot fan out (their
     uniqueness is enforced), so they are joined right after the stop lookup,
     on the same ``STOP_ID`` partitioning (one exchange of the spine serves
-    both joins when neither lookup is broadcast).  ``chain`` keeps the
-    reference order."""
+    both joins when neither lookup is broadcast), and the sequence over
+    ``(VOY_CDE, STOP_PORT_ID)`` follows the voyage join without an exchange of
+    its own.  ``chain`` keeps the reference order."""
     states = {s: STATE_PREFIX[s] for s in reversed(STATE_PREFIX)}   # LongTerm, Coastal, Actual
     ltt = [f for f in ltt_fields if f in arr_dep_fields]
 
@@ -143,11 +144,14 @@ def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep:
                                   arr_dep_fields, strategy=strategy)
 
     if strategy == "pivot":
+        # sequences partitioned by VOY_CDE first: right after a shuffled
+        # voyage join the data is already clustered on VOY_CDE
+        voy_first = dict(sorted(sequences.items(), key=lambda kv: "VOY_CDE" not in kv[1][0]))
         df = (spine
               .transform(lambda d: lookup_join(d, stop, ["STOP_ID"]))
               .transform(states_join)
               .transform(lambda d: lookup_join(d, voyage, ["VOY_CDE"]))
-              .transform(lambda d: with_sequences(d, sequences)))
+              .transform(lambda d: with_sequences(d, voy_first)))
     else:
         df = (spine
               .transform(lambda d: lookup_join(d, voyage, ["VOY_CDE"]))
