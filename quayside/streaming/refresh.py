@@ -29,6 +29,7 @@ import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,7 +123,13 @@ def refresh_stream(spark: SparkSession, feed_stream: DataFrame, state_path: str,
     runs), otherwise it runs continuously."""
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        refresh_partitions(batch.sparkSession, state_path, batch, feed, bucket, fmt)
+        # the batch is read twice (touched buckets, then the changes): keep
+        # one copy instead of fetching it from the feed again
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            refresh_partitions(batch.sparkSession, state_path, batch, feed, bucket, fmt)
+        finally:
+            batch.unpersist()
 
     w = (feed_stream.writeStream.foreachBatch(upsert)
          .option("checkpointLocation", checkpoint_location))
