@@ -22,15 +22,20 @@ _AGGS = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count, "first": F.
 def fixed_pivot(df: DataFrame, keys: Sequence[str], pivot_col: str,
                 values: Mapping[str, str] | Sequence[str], measure: str,
                 agg: str = "sum") -> DataFrame:
-    """A5: ``groupBy(keys).pivot(pivot_col, values).agg(measure)``.
+    """A5: the result of ``groupBy(keys).pivot(pivot_col, values).agg(measure)``.
 
     ``values`` maps pivot value -> output column name (P1 renames folded in).
     Unlisted categories are ignored; a key with none of the listed values
     still yields a row of NULLs; duplicate categories are aggregated.
+
+    Written as one conditional aggregate: ``DataFrame.pivot`` plans two
+    aggregations (by key and pivot value, then a pivot-first by key), i.e. two
+    shuffles, where ``agg(CASE WHEN pivot = v THEN measure END)`` needs one.
     """
     names = dict(values) if isinstance(values, Mapping) else {v: v for v in values}
-    out = df.groupBy(*keys).pivot(pivot_col, list(names)).agg(_AGGS[agg](measure))
-    return out.withColumnsRenamed({v: n for v, n in names.items() if v != n})
+    fn = _AGGS[agg]
+    return df.groupBy(*keys).agg(*[fn(F.when(F.col(pivot_col) == F.lit(v), F.col(measure))).alias(n)
+                                   for v, n in names.items()])
 
 
 def conditional_agg(df: DataFrame, keys: Sequence[str],
