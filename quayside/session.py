@@ -59,14 +59,17 @@ def build_session(master: str = "local[8]", app: str = "quayside",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
-    scratch folder is created and registered, so ``DataFrame.checkpoint``
-    and streaming checkpoints always land on the shared store on a cluster.
+    Read from the session.  Only in local mode, when it is unset (tests), a
+    private scratch folder is created and registered; on a cluster an unset
+    folder is an error, because a machine-local folder would not survive the
+    loss of that machine and is invisible to the other executors.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="quayside-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
