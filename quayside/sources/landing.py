@@ -101,6 +101,18 @@ def incremental_load(spark: SparkSession, source: DataFrame, target_path: str, l
     return diff
 
 
+def read_landed(spark: SparkSession, target_path: str, ledger_path: str, fmt: str = "parquet") -> DataFrame:
+    """Read an incrementally loaded table through its ledger.
+
+    A bucket whose source rows were all deleted is absent from the new ledger
+    but its old partition folder survives the dynamic overwrite (nothing was
+    written for it).  Semi-joining the target with the ledger's buckets --
+    a tiny table, so a broadcast with partition pruning -- hides such stale
+    partitions from every reader."""
+    buckets = spark.read.parquet(ledger_path).select("bucket")
+    return spark.read.format(fmt).load(target_path).join(buckets, "bucket", "left_semi")
+
+
 def scratch_table_path(spark: SparkSession, kind: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     return scratch_path(spark, "quayside", kind, uuid.uuid4().hex)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.scalar import bucket_start
 from quayside.sources.landing import (bucket_stats, changed_buckets, incremental_load,
-                                      scratch_table_path, snapshot_load)
+                                      read_landed, scratch_table_path, snapshot_load)
 from quayside.streaming.refresh import within_lookback
 from tests.conftest import rows
 
@@ -52,3 +52,15 @@ def test_lookback_window(spark):
     now = dt.datetime(2024, 1, 10)
     df = spark.createDataFrame([(dt.datetime(2024, 1, 6),), (dt.datetime(2024, 1, 8),)], "ts timestamp")
     assert within_lookback(df, "ts", -4320, now).count() == 1     # 3 days
+
+
+def test_vanished_bucket_hidden_by_ledger(spark):
+    old = spark.createDataFrame([(1, "20240105", "a"), (2, "20240210", "b")], SCHEMA)
+    new = spark.createDataFrame([(1, "20240105", "a")], SCHEMA)          # February emptied
+    b = bucket_start("create_iodt", 31, from_string=True)
+    target, ledger = scratch_table_path(spark, "t-target"), scratch_table_path(spark, "t-ledger")
+    incremental_load(spark, old, target, ledger, b, "update_iodt", "pk")
+    diff = incremental_load(spark, new, target, ledger, b, "update_iodt", "pk")
+    assert rows(diff.where("changed"), "bucket", "src_row_count") == [("202402", None)]
+    assert spark.read.parquet(target).count() == 2                       # stale folder remains
+    assert rows(read_landed(spark, target, ledger).select("pk")) == [(1,)]
