@@ -35,6 +35,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -143,13 +144,20 @@ def resolve_operator(schedule: DataFrame, assignments: DataFrame, vessels: DataF
     differ, so they are reliably checkpointed (``materialize="small"``).  The
     enriched schedule itself is then read twice: once column-pruned to the
     five columns the first departure needs, once whole for the final join.
-    ``materialize="all"`` instead writes the whole schedule once to the shared
-    checkpoint folder (cheaper when the chain upstream is long compared with
-    its width); ``None`` materialises nothing (tests on tiny inputs).
+    ``materialize="persist"`` also keeps the schedule (memory, spilling to
+    disk; lost blocks are recomputed from lineage) so the chain upstream runs
+    once; ``"all"`` writes it once to the shared checkpoint folder instead
+    (survives executor loss without recomputation); ``None`` materialises
+    nothing (tests on tiny inputs).
     """
-    if materialize not in (None, "small", "all"):
+    if materialize not in (None, "small", "persist", "all"):
         raise ValueError(materialize)
-    sched = staged(schedule, "schedule") if materialize == "all" else schedule
+    if materialize == "all":
+        sched = staged(schedule, "schedule")
+    elif materialize == "persist":
+        sched = schedule.persist(StorageLevel.MEMORY_AND_DISK)
+    else:
+        sched = schedule
     fd = first_departure(sched, c)
     fd = checkpointed(fd) if materialize else fd
     ops = service_operators(fd, assignments, c, a)
