@@ -16,9 +16,9 @@ materialised), so a key with a third of all changes costs no more than any
 other, and the function is idempotent: replaying a batch (``foreachBatch``
 after a restart) or splitting it into k batches gives the same state.
 
-Only the partitions touched by a batch are recomputed and rewritten (ST3):
-the state is partitioned by a bucket of the key, the batch's buckets are
-semi-joined onto the state (partition pruning), and the result is written
+Only the partitions touched by a batch are read and rewritten (ST3): the
+state is partitioned by a bounded bucket of the key, the batch's bucket ids
+become a static partition filter on the state scan, and the result is written
 with a dynamic partition overwrite after being checkpointed to the cluster's
 checkpoint folder (so the overwrite never reads the files it replaces).
 """
@@ -85,18 +85,36 @@ def purge_tombstones(state: DataFrame, feed: Feed, older_than: _dt.datetime) ->
     return state.where(~(F.col("is_deleted") & (F.col(feed.ts) < F.lit(older_than))))
 
 
+# Most partition ids a batch may name for static pruning of the state scan.
+MAX_PRUNED_BUCKETS = 10_000
+
+
 def refresh_partitions(spark: SparkSession, state_path: str, changes: DataFrame, feed: Feed,
                        bucket: Column, fmt: str = "parquet") -> None:
     """SNK4 + ST3 on a path: rewrite only the state partitions the batch
-    touches.  ``bucket`` is an expression of the key (immutable per key, so a
-    key never moves between partitions)."""
+    touches.  ``bucket`` is an expression of the key with a bounded domain
+    (immutable per key, so a key never moves between partitions).
+
+    The batch's distinct bucket ids -- at most the number of state
+    partitions, fetched with a limit -- become a static partition filter on
+    the state scan, so only touched partitions are read.  (Spark's dynamic
+    partition pruning does not fire for this join: the batch side carries no
+    selective predicate.)  Past ``MAX_PRUNED_BUCKETS`` ids the state is
+    semi-joined instead: exact, just not pruned.
+    """
     staged = changes.withColumn("bucket", bucket)
     touched = staged.select("bucket").distinct()
+    ids = [r[0] for r in touched.limit(MAX_PRUNED_BUCKETS + 1).collect()]
     try:
         current = spark.read.format(fmt).load(state_path)
-        current = current.join(touched, "bucket", "left_semi").drop("bucket")
     except Exception:  # first batch: no state yet  # noqa: BLE001
         current = None
+    if current is not None:
+        if len(ids) <= MAX_PRUNED_BUCKETS:
+            current = current.where(F.col("bucket").isin(ids))
+        else:
+            current = current.join(touched, "bucket", "left_semi")
+        current = current.drop("bucket")
     new = checkpointed(apply_changes(current, staged, feed).withColumn("bucket", bucket))
     write_table(new, state_path, fmt=fmt, partition_by=["bucket"], mode="overwrite", dynamic=True)
 

@@ -77,3 +77,26 @@ def test_stream_restart_resumes_from_checkpoint(spark):
     assert sum(p["numInputRows"] for p in q.recentProgress) == ch.where("seq > 5").count()
     got = spark.read.parquet(state).drop("bucket")
     assert rows(got) == rows(apply_changes(None, ch, FEED))
+
+
+def test_partition_refresh_reads_only_touched_partitions(spark):
+    from quayside.streaming import refresh as R
+    path = scratch_table_path(spark, "t-prune")
+    ch = _changes(spark)
+    bucket = F.substring("pk", 2, 1)
+    R.refresh_partitions(spark, path, ch, FEED, bucket)
+    seen = {}
+    orig = R.apply_changes
+
+    def spy(state, changes, feed):
+        seen["plan"] = state._jdf.queryExecution().executedPlan().toString()
+        return orig(state, changes, feed)
+
+    R.apply_changes = spy
+    try:
+        R.refresh_partitions(spark, path, ch.where("pk = 'k2'"), FEED, bucket)
+    finally:
+        R.apply_changes = orig
+    assert "PartitionFilters: [isnotnull(bucket" in seen["plan"] and "bucket#" in seen["plan"]
+    assert "IN (2)" in seen["plan"] or "= 2)" in seen["plan"]
+    assert rows(live_rows(spark.read.parquet(path).drop("bucket"), FEED), "pk", "v") == [("k2", "y"), ("k3", "q")]
