@@ -110,3 +110,16 @@ def test_capacity_job(spark):
     out = run_capacity(t)
     assert rows(out, "PORT_ID", "DIR", "CAP_DIR", "MIN_20FT", "MAX_40FT") == [
         ("P1", "E", "W", 6, None), ("P2", "E", "W", 6, None)]
+
+
+def test_user_state_job_from_catalog_views(spark):
+    from quayside.sources.tables import catalog_tables
+    spark.createDataFrame([(1, "R1", "AMS", 0, "20240102")],
+                          "mfest_info_id long, owner_ref_num string, submit_type string, is_deleted int, "
+                          "update_iodt string").createOrReplaceTempView("mf_info_v")
+    spark.createDataFrame([(1, "READY", "User", "d1")],
+                          "mfest_info_id long, readiness_state string, readiness_type string, rec_upd_dt string"
+                          ).createOrReplaceTempView("mf_ready_v")
+    out = run_user_state(catalog_tables(spark), names={"mfest_info": "mf_info_v",
+                                                       "mfest_ready_info": "mf_ready_v"}, run_ts=RUN)
+    assert rows(out, "owner_ref_num", "readiness_state_distinct") == [("R1", "READY")]
