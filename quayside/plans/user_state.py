@@ -16,6 +16,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quayside.functions.scalar import run_timestamp
 from quayside.operators.filters import equals, not_deleted, not_suffix
@@ -43,7 +44,18 @@ def user_state_mart(info: DataFrame, ready: DataFrame, run_ts: _dt.datetime | No
 
     Further tie-breaks (rec_upd_dt, readiness_state, descending) make the
     chosen values deterministic when one header has several readiness rows.
+
+    Since a header's update time and id are the same on all its readiness
+    rows, the winning readiness row of each header can be picked *before*
+    the join: a partial aggregate keyed on ``mfest_info_id`` -- the join key,
+    so it adds no exchange -- that collapses a header with millions of
+    readiness rows map-side and makes the join 1:1.
     """
+    readiness_type = filters.get("readiness_type", READINESS_TYPE)
+    ready = latest_per_key(ready.where(equals("readiness_type", readiness_type)), ["mfest_info_id"],
+                           order=["rec_upd_dt"], tiebreak=["readiness_state"],
+                           values=["readiness_state", "rec_upd_dt"]
+                           ).withColumn("readiness_type", F.lit(readiness_type))
     joined = user_ready_input(info, ready, **filters)
     latest = latest_per_key(
         joined, ["owner_ref_num"],
