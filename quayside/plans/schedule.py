@@ -129,7 +129,7 @@ def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep:
                   combos: Sequence[tuple[str, str]] = CUT_AVA_COMBOS,
                   cut_ava_fields: Mapping[str, str] = CUT_AVA_FIELDS,
                   sequences=SEQUENCES, anchor: str = "dg_cutoff", strategy: str = "pivot",
-                  run_ts: _dt.datetime | None = None) -> DataFrame:
+                  sequence_strategy: str = "auto", run_ts: _dt.datetime | None = None) -> DataFrame:
     """JOB2.  With ``strategy="pivot"`` the state lookups cannot fan out (their
     uniqueness is enforced), so they are joined right after the stop lookup,
     on the same ``STOP_ID`` partitioning (one exchange of the spine serves
@@ -151,12 +151,12 @@ def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep:
               .transform(lambda d: lookup_join(d, stop, ["STOP_ID"]))
               .transform(states_join)
               .transform(lambda d: lookup_join(d, voyage, ["VOY_CDE"]))
-              .transform(lambda d: with_sequences(d, voy_first)))
+              .transform(lambda d: with_sequences(d, voy_first, sequence_strategy)))
     else:
         df = (spine
               .transform(lambda d: lookup_join(d, voyage, ["VOY_CDE"]))
               .transform(lambda d: lookup_join(d, stop, ["STOP_ID"]))
-              .transform(lambda d: with_sequences(d, sequences))   # before any fan-out (S3)
+              .transform(lambda d: with_sequences(d, sequences, sequence_strategy))   # before fan-out (S3)
               .transform(states_join))
     df = (df.transform(lambda d: coalesce_precedence(d, list(STATE_PREFIX.values()), ltt, "LTT"))
           .transform(lambda d: with_cut_ava(d, cut_ava, combos, anchor, strategy, cut_ava_fields))

@@ -134,11 +134,12 @@ def bootstrap_state(spark: SparkSession, state_path: str, snapshot: DataFrame, f
 
 def refresh_stream(spark: SparkSession, feed_stream: DataFrame, state_path: str,
                    checkpoint_location: str, feed: Feed, bucket: Column, *,
-                   fmt: str = "parquet", available_now: bool = True):
+                   fmt: str = "parquet", available_now: bool = True,
+                   interval: str = "1 minute"):
     """ST1 / ST5: Structured Streaming ``readStream`` -> ``foreachBatch``
     upsert.  The stream checkpoint holds the feed positions (SNK5's offset
     ledger); ``availableNow`` drains what is there and stops (tests, cron
-    runs), otherwise it runs continuously."""
+    runs), otherwise it runs continuously, one micro-batch per ``interval``."""
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         # the batch is read twice (touched buckets, then the changes): keep
@@ -151,7 +152,7 @@ def refresh_stream(spark: SparkSession, feed_stream: DataFrame, state_path: str,
 
     w = (feed_stream.writeStream.foreachBatch(upsert)
          .option("checkpointLocation", checkpoint_location))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
 
 
