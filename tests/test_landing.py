@@ -64,3 +64,14 @@ def test_vanished_bucket_hidden_by_ledger(spark):
     assert rows(diff.where("changed"), "bucket", "src_row_count") == [("202402", None)]
     assert spark.read.parquet(target).count() == 2                       # stale folder remains
     assert rows(read_landed(spark, target, ledger).select("pk")) == [(1,)]
+
+
+def test_reader_helpers(spark):
+    from quayside.sources.readers import feed_stream, key_range_partitions
+    assert key_range_partitions(0, 3_999_999, 2_000_000) == 2
+    assert key_range_partitions(1, 4_000_001, 4_000_000) == 2
+    assert key_range_partitions(5, 5, 2_000_000) == 1
+    path = scratch_table_path(spark, "t-feed-read")
+    spark.range(3).write.parquet(path)
+    s = feed_stream(spark, fmt="parquet", schema="id long", path=path)
+    assert s.isStreaming
