@@ -136,11 +136,12 @@ def _slice_numbers(group_cols: list[str], out_col: str):
 
 def _range_row_number(df: DataFrame, out_col: str, group: list[str], order: list[str],
                       num_ranges: int | None) -> DataFrame:
-    spark = df.sparkSession
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(c).asc_nulls_first() for c in group + order]
-    ranged = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-              .withColumn(_PID, F.spark_partition_id()))
+    # Without an explicit count AQE may merge adjacent small ranges; merged
+    # ranges stay contiguous and in order, which is all the offsets need.
+    by_range = (df.repartitionByRange(num_ranges, *sort_cols) if num_ranges
+                else df.repartitionByRange(*sort_cols))
+    ranged = by_range.sortWithinPartitions(*sort_cols).withColumn(_PID, F.spark_partition_id())
     schema = T.StructType(ranged.schema.fields + [T.StructField(_LRN, T.LongType(), False)])
     # The range bounds come from sampling the input, whose row order after a
     # shuffle is not fixed; the numbered slices are therefore checkpointed
