@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from quayside.plans.capacity import capacity_mart
 from quayside.plans.domain_sources import DomainInputs
@@ -20,7 +20,7 @@ from quayside.plans.proforma import proforma_mart
 from quayside.plans.schedule import schedule_mart
 from quayside.plans.user_state import user_state_mart
 from quayside.sinks.tables import write_table
-from quayside.sources.tables import TableSource
+from quayside.sources.tables import TableSource, catalog_tables
 
 
 def _finish(df: DataFrame, target_path: str | None, target_table: str | None, fmt: str) -> DataFrame:
@@ -41,11 +41,13 @@ def run_user_state(tables: TableSource, *, target_path: str | None = None,
 def run_schedule(tables: TableSource, *, target_path: str | None = None,
                  target_table: str | None = None, fmt: str = "parquet",
                  names: Mapping[str, str] | None = None, anchor: str = "dg_cutoff",
-                 strategy: str = "pivot", run_ts: _dt.datetime | None = None) -> DataFrame:
+                 strategy: str = "pivot", sequence_strategy: str = "auto",
+                 run_ts: _dt.datetime | None = None) -> DataFrame:
     d = DomainInputs(tables, names)
     df = schedule_mart(d.get("voyage_stop_assn"), d.get("voyage"), d.get("stop"),
                        d.get("stop_arr_dep"), d.get("stop_cut_ava"), d.get("svc_operator_assn"),
-                       d.get("vessel"), anchor=anchor, strategy=strategy, run_ts=run_ts)
+                       d.get("vessel"), anchor=anchor, strategy=strategy,
+                       sequence_strategy=sequence_strategy, run_ts=run_ts)
     return _finish(df, target_path, target_table, fmt)
 
 
@@ -67,3 +69,36 @@ def run_capacity(tables: TableSource, *, by: str = "port", target_path: str | No
     df = capacity_mart(d.get("effective_voyage"), d.get("vsl_cap_default_assn"), assn,
                        d.get("vessel_capacity"), d.get("laden_capacity"), by=by)
     return _finish(df, target_path, target_table, fmt)
+
+
+JOBS = {"user_state": run_user_state, "schedule": run_schedule, "proforma": run_proforma,
+        "capacity": run_capacity}
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit -m quayside.plans.jobs JOB --source-db DB --target-table T
+    [--target-path P] [--format delta] [--table logical=physical ...]``"""
+    import argparse
+    ap = argparse.ArgumentParser(prog="quayside.plans.jobs")
+    ap.add_argument("job", choices=sorted(JOBS))
+    ap.add_argument("--source-db", required=True)
+    ap.add_argument("--target-table")
+    ap.add_argument("--target-path")
+    ap.add_argument("--format", default="parquet")
+    ap.add_argument("--table", action="append", default=[],
+                    help="logical=physical source table name override")
+    a = ap.parse_args(argv)
+    if not (a.target_table or a.target_path):
+        ap.error("give --target-table and/or --target-path")
+    builder = SparkSession.builder.appName(f"quayside-{a.job}")
+    try:                                   # the metastore, when the cluster has one
+        spark = builder.enableHiveSupport().getOrCreate()
+    except Exception:  # noqa: BLE001
+        spark = builder.getOrCreate()
+    names = dict(kv.split("=", 1) for kv in a.table)
+    JOBS[a.job](catalog_tables(spark, a.source_db), target_path=a.target_path,
+                target_table=a.target_table, fmt=a.format, names=names)
+
+
+if __name__ == "__main__":
+    main()
