@@ -111,7 +111,10 @@ def refresh_partitions(spark: SparkSession, state_path: str, changes: DataFrame,
         current = None
     if current is not None:
         if len(ids) <= MAX_PRUNED_BUCKETS:
-            current = current.where(F.col("bucket").isin(ids))
+            keep = F.col("bucket").isin([i for i in ids if i is not None])
+            if any(i is None for i in ids):          # NULL keys land in the NULL bucket
+                keep = keep | F.col("bucket").isNull()
+            current = current.where(keep)
         else:
             current = current.join(touched, "bucket", "left_semi")
         current = current.drop("bucket")

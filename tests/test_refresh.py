@@ -100,3 +100,16 @@ def test_partition_refresh_reads_only_touched_partitions(spark):
     assert "PartitionFilters: [isnotnull(bucket" in seen["plan"] and "bucket#" in seen["plan"]
     assert "IN (2)" in seen["plan"] or "= 2)" in seen["plan"]
     assert rows(live_rows(spark.read.parquet(path).drop("bucket"), FEED), "pk", "v") == [("k2", "y"), ("k3", "q")]
+
+
+def test_partition_refresh_keeps_null_bucket_state(spark):
+    """Keys whose bucket is NULL share one partition; touching one of them
+    must not drop the others."""
+    path = scratch_table_path(spark, "t-nullb")
+    schema = "pk string, v string, change_ts int, seq int, op string"
+    b1 = spark.createDataFrame([("n1", "a", 1, 1, "U"), ("n2", "b", 1, 2, "U"), ("x1", "c", 1, 3, "U")], schema)
+    b2 = spark.createDataFrame([("n1", "a2", 2, 4, "U")], schema)
+    bucket = F.when(F.col("pk").startswith("n"), F.lit(None)).otherwise(F.lit("x"))
+    refresh_partitions(spark, path, b1, FEED, bucket)
+    refresh_partitions(spark, path, b2, FEED, bucket)
+    assert rows(spark.read.parquet(path), "pk", "v") == [("n1", "a2"), ("n2", "b"), ("x1", "c")]
