@@ -44,9 +44,12 @@ def bucket_stats(df: DataFrame, bucket: Column | str, update_col: str, pk: str)
 def changed_buckets(current: DataFrame, ledger: DataFrame) -> DataFrame:
     """Full outer join of two small per-bucket tables; a bucket is changed
     when it is new, gone, or any fingerprint field differs (NULL-safe)."""
-    c = current.select(*[F.col(x).alias(f"src_{x}") if x != "bucket" else F.col(x) for x in LEDGER_COLS])
-    l_ = ledger.select(*[F.col(x).alias(f"led_{x}") if x != "bucket" else F.col(x) for x in LEDGER_COLS])
-    j = c.join(l_, "bucket", "full_outer")
+    c = current.select(*[F.col(x).alias(f"src_{x}") for x in LEDGER_COLS])
+    l_ = ledger.select(*[F.col(x).alias(f"led_{x}") for x in LEDGER_COLS])
+    # NULL-safe: rows whose bucket expression is NULL (malformed time) form a bucket too
+    j = (c.join(l_, c["src_bucket"].eqNullSafe(l_["led_bucket"]), "full_outer")
+         .withColumn("bucket", F.coalesce("src_bucket", "led_bucket"))
+         .drop("src_bucket", "led_bucket"))
     same = F.lit(True)
     for x in LEDGER_COLS[1:]:
         same = same & F.col(f"src_{x}").eqNullSafe(F.col(f"led_{x}"))
@@ -90,8 +93,9 @@ def incremental_load(spark: SparkSession, source: DataFrame, target_path: str, l
         except Exception:  # first run: no ledger yet  # noqa: BLE001
             ledger = spark.createDataFrame([], stats.schema)
     diff = checkpointed(changed_buckets(stats, ledger))
-    todo = diff.where("changed AND src_row_count IS NOT NULL").select("bucket")
-    rows = source.withColumn("bucket", bucket).join(todo, "bucket", "left_semi")
+    todo = diff.where("changed AND src_row_count IS NOT NULL").select(F.col("bucket").alias("__b"))
+    staged = source.withColumn("bucket", bucket)
+    rows = staged.join(todo, staged["bucket"].eqNullSafe(todo["__b"]), "left_semi")
     write_table(rows, target_path, fmt=fmt, partition_by=["bucket"], mode="overwrite",
                 dynamic=True)
     if ledger_path is not None:
@@ -109,8 +113,9 @@ def read_landed(spark: SparkSession, target_path: str, ledger_path: str, fmt: st
     written for it).  Semi-joining the target with the ledger's buckets --
     a tiny table, so a broadcast with partition pruning -- hides such stale
     partitions from every reader."""
-    buckets = spark.read.parquet(ledger_path).select("bucket")
-    return spark.read.format(fmt).load(target_path).join(buckets, "bucket", "left_semi")
+    buckets = spark.read.parquet(ledger_path).select(F.col("bucket").alias("__b"))
+    landed = spark.read.format(fmt).load(target_path)
+    return landed.join(buckets, landed["bucket"].eqNullSafe(buckets["__b"]), "left_semi")
 
 
 def scratch_table_path(spark: SparkSession, kind: str) -> str:

@@ -75,3 +75,18 @@ def test_reader_helpers(spark):
     spark.range(3).write.parquet(path)
     s = feed_stream(spark, fmt="parquet", schema="id long", path=path)
     assert s.isStreaming
+
+
+def test_malformed_time_rows_still_land(spark):
+    """A NULL bucket (malformed create time) is reloaded like any other."""
+    old = spark.createDataFrame([(1, "20240105", "a")], SCHEMA)
+    new = spark.createDataFrame([(1, "20240105", "a"), (2, "garbage", "b"), (3, None, "c")], SCHEMA)
+    b = bucket_start("create_iodt", 31, from_string=True)
+    target, ledger = scratch_table_path(spark, "t-target"), scratch_table_path(spark, "t-ledger")
+    incremental_load(spark, old, target, ledger, b, "update_iodt", "pk")
+    diff = incremental_load(spark, new, target, ledger, b, "update_iodt", "pk")
+    assert rows(diff.where("changed"), "bucket") == [(None,)]
+    assert rows(spark.read.parquet(target).select("pk")) == [(1,), (2,), (3,)]
+    assert rows(read_landed(spark, target, ledger).select("pk")) == [(1,), (2,), (3,)]
+    again = incremental_load(spark, new, target, ledger, b, "update_iodt", "pk")
+    assert again.where("changed").count() == 0
