@@ -81,8 +81,10 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits
         F.col("_id").alias(id_col), F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), F.col("_key").alias("text_sha256"))
     suspects = marked.filter("_suspect")
-    groups = (suspects.groupBy(F.col("_key").alias("_group"))
-              .agg(F.max(_rank(F.col("_id"), F.col("_row"))).alias("_best"), F.count("*").alias("group_size")))
+    # written first, so that the join below deals both sides anew and a hot group's side can be split
+    groups = staged(suspects.groupBy(F.col("_key").alias("_group"))
+                    .agg(F.max(_rank(F.col("_id"), F.col("_row"))).alias("_best"), F.count("*").alias("group_size")),
+                    "exact_groups")
     grouped = suspects.join(groups, F.col("_key") == F.col("_group")).select(
         F.col("_id").alias(id_col),
         F.when(F.col("_best.has"), F.bitwise_not(F.col("_best.id"))).alias("keep_id"),
