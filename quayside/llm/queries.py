@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import (exact_dedup, html_extract, langid, mixing, near_dedup, packing, sharding,
-                          token_binary, topk)
+                          suffix_dedup, token_binary, topk)
 from quayside.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.decide(table(spark, sf_dir, "documents"))
 
 
+@query("op5_suffix_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                       F.size("span_starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op6_sharding")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"), 8)
