@@ -27,10 +27,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import StringType
 
 from quayside.llm.common import WHITE, hash_unit, ranked, staged
 
-RANGE_ROWS = 50_000
+RANGE_ROWS = 5_000
 _WORD = re.compile(f"[^{WHITE}]+")
 
 
@@ -107,7 +108,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
                        (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _head(texts: pd.Series, words: pd.Series) -> pd.Series:
     """The first ``words`` words of each text, as they stand there."""
     out = []
