@@ -1,30 +1,40 @@
-"""Token ids of whole texts, through the tokenizers library, with a memo of
-chunks.
+"""Token ids of whole texts, through the tokenizers library, with memos.
 
 Both vocabularies used here start a new pre-token at every space that comes
 before a character that isn't white space, so a text may be cut there and
 the ids of its chunks joined: the result is what one call on the whole text
-gives (``tests/llm/test_tokens.py`` compares them).  Most chunks of a text
-have been met before; their ids come from the memo, the others go to the
-library in batches.  The memo is dropped when it holds ``MEMO_CHUNKS`` chunks
-or ``MEMO_IDS`` ids, so a task's memory doesn't follow the vocabulary of the
-corpus.
+gives (``tests/llm/test_tokens.py`` compares them).  Most chunks have been met
+before; their ids come from a memo.  A new chunk of plain Latin letters,
+digits, signs and line breaks is cut further, into its pre-tokens, whose ids
+come from a second memo; pre-tokens and chunks that no memo has go to the
+library in batches.  (Outside that range a chunk goes to the library whole,
+so that nothing depends on the Unicode version of a pattern.)
+
+A memo is dropped when it is full (``CHUNKS``, ``TOKENS``, ``IDS``), so memory
+doesn't follow the corpus.  ``ChunkEncoder.shared`` keeps the encoder of a
+Python worker between its tasks.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 
 import numpy as np
 
-MEMO_CHUNKS = 400_000
-MEMO_IDS = 8_000_000
+CHUNKS, TOKENS, IDS = 300_000, 700_000, 4_000_000
 #: Characters of text handled at once.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_500_000
 
 _ODD = re.compile(r" (?=\s|$)")
 _CUT = re.compile(r"(?= \S)")
+#: Letters here are their own normal form, and so are their lower-case letters.
+_PLAIN = re.compile(r"[\t\n\r -~À-įı-ſ]*")
+#: The pre-token patterns of the two vocabularies.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def tokenizer_path(name: str) -> str:
@@ -33,42 +43,45 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class _Memo:
-    """Chunk -> ids; every chunk is encoded behind ``prefix``."""
+def _ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The places of runs that begin at ``starts``."""
+    ends = np.cumsum(lens)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lens, lens)
 
-    def __init__(self, tokenizer, prefix: str):
-        self.tokenizer, self.prefix = tokenizer, prefix
-        self.clear()
 
-    def clear(self) -> None:
-        self.at: dict[str, int] = {}
+class _Memo(dict):
+    """String -> its place among the known ones, with the ids of each."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.new = most, []
+        self.reset()
+
+    def reset(self) -> None:
+        self.clear()
         self.lens, self.starts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
-    def learn(self, chunks: list[str]) -> None:
-        new = [c for c in set(chunks) if c not in self.at]
-        if not new:
-            return
-        if len(self.at) + len(new) > MEMO_CHUNKS or len(self.pool) > MEMO_IDS:
-            self.clear()
-            new = list(set(chunks))
-        texts = [self.prefix + c for c in new] if self.prefix else new
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(lens.sum()))
-        self.at.update(zip(new, range(len(self.lens), len(self.lens) + len(new))))
-        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lens) - lens])
-        self.lens = np.concatenate([self.lens, lens])
-        self.pool = np.concatenate([self.pool, flat])
-
-    def index(self, chunks: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.at.__getitem__, chunks), np.int64, len(chunks))
+    def __missing__(self, key: str) -> int:
+        at = self[key] = len(self)
+        self.new.append(key)
+        return at
+
+    def index(self, keys: list[str], learn) -> np.ndarray:
+        """The places of ``keys``; ``learn(new)`` gives the ids and lengths of unknown ones."""
+        if len(self) > self.most or len(self.pool) > IDS:
+            self.reset()
+        out = np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+        if self.new:
+            new, self.new = self.new, []
+            pool, lens = learn(new)
+            self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lens) - lens])
+            self.lens = np.concatenate([self.lens, lens])
+            self.pool = np.concatenate([self.pool, pool])
+        return out
 
     def gather(self, index: np.ndarray) -> np.ndarray:
-        lens = self.lens[index]
-        ends = np.cumsum(lens)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.pool[np.arange(total) + np.repeat(self.starts[index] - ends + lens, lens)]
+        return self.pool[_ragged(self.starts[index], self.lens[index])]
 
 
 class ChunkEncoder:
@@ -76,11 +89,22 @@ class ChunkEncoder:
 
     def __init__(self, path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True   # their strings in a text are ordinary text
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True   # their strings in a text are ordinary text
+        self.normalizer = self.tokenizer.normalizer
+        self.tokens_of = regex.compile(BYTE_LEVEL if self.normalizer is None else WORD_LEVEL).findall
         self.end_id = end_id
-        self.first, self.rest = _Memo(tokenizer, ""), _Memo(tokenizer, " ")
+        self.first, self.rest, self.tokens = _Memo(CHUNKS), _Memo(CHUNKS), _Memo(TOKENS)
+
+    @staticmethod
+    def shared(path: str, end_id: int) -> ChunkEncoder:
+        """This worker's encoder, made at its first task; a worker keeps one."""
+        kept = sys.modules.setdefault("_quayside_worker", types.ModuleType("_quayside_worker"))
+        if getattr(kept, "encoder_for", None) != (path, end_id):
+            kept.encoder, kept.encoder_for = ChunkEncoder(path, end_id), (path, end_id)
+        return kept.encoder
 
     @staticmethod
     def cut(text: str) -> list[str]:
@@ -90,6 +114,34 @@ class ChunkEncoder:
         parts = _CUT.split(text)
         return parts[:1] + [p[1:] for p in parts[1:]]
 
+    def _library(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+        lens = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((i for x in ids for i in x), np.uint32, int(lens.sum())), lens
+
+    def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.fromiter((_PLAIN.fullmatch(c) is not None for c in chunks), bool, len(chunks))
+        tokens, counts, odd = [], [], []
+        for c, p in zip(chunks, plain.tolist()):
+            if p:
+                found = self.tokens_of(c if self.normalizer is None else self.normalizer.normalize_str(c))
+                tokens += found
+                counts.append(len(found))
+            else:
+                odd.append(c)
+        at = self.tokens.index(tokens, self._library)
+        ends = np.cumsum(counts, dtype=np.int64)
+        spent = np.concatenate([[0], np.cumsum(self.tokens.lens[at])])
+        lens = np.zeros(len(chunks), np.int64)
+        lens[plain] = spent[ends] - spent[ends - counts] if len(counts) else 0
+        odd_ids, odd_lens = self._library(odd) if odd else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        lens[~plain] = odd_lens
+        out = np.zeros(int(lens.sum()), np.uint32)
+        begin = np.cumsum(lens) - lens
+        out[_ragged(begin[plain], lens[plain])] = self.tokens.gather(at)
+        out[_ragged(begin[~plain], odd_lens)] = odd_ids
+        return out, lens
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, ends of the texts in them)."""
         flat, ends, total, at = [], [], 0, 0
@@ -114,9 +166,8 @@ class ChunkEncoder:
             firsts.append(parts[0])
             rests += parts[1:]
             counts.append(len(parts) - 1)
-        self.first.learn(firsts)
-        self.rest.learn(rests)
-        head, tail = self.first.index(firsts), self.rest.index(rests)
+        head = self.first.index(firsts, self._learn)
+        tail = self.rest.index(rests, lambda new: self._learn([" " + c for c in new]))
         bounds = np.concatenate([[0], np.cumsum(counts)])
         spent = np.concatenate([[0], np.cumsum(self.rest.lens[tail])])
         head_len, tail_len = self.first.lens[head], spent[bounds[1:]] - spent[bounds[:-1]]
@@ -124,12 +175,6 @@ class ChunkEncoder:
         ends = np.cumsum(size)
         out = np.full(int(ends[-1]), self.end_id, np.uint32)
         begin = ends - size
-        _place(out, begin, head_len, self.first.gather(head))
-        _place(out, begin + head_len, tail_len, self.rest.gather(tail))
+        out[_ragged(begin, head_len)] = self.first.gather(head)
+        out[_ragged(begin + head_len, tail_len)] = self.rest.gather(tail)
         return out, ends
-
-
-def _place(out: np.ndarray, begin: np.ndarray, lens: np.ndarray, values: np.ndarray) -> None:
-    """Write runs of ``lens`` values to ``out`` at ``begin``."""
-    before = np.cumsum(lens) - lens
-    out[np.arange(len(values)) + np.repeat(begin - before, lens)] = values

@@ -42,7 +42,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, i
            text_col: str = "text") -> DataFrame:
     """One row per piece of each document."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer, end_id)
+        encoder = ChunkEncoder.shared(tokenizer, end_id)
         for b in batches:
             names, texts = b.column(0).to_pylist(), b.column(1)
             for i in range(0, len(names), 512):

@@ -45,6 +45,8 @@ from quayside.llm.common import partition_offsets, scratch_path, staged
 MAGIC = b"QS8B0001"
 BLOCK = 4096
 FILE_IDS = 4_000_000
+#: Blocks handled at once.
+STEP = 128
 #: Selector -> (values in a word, bits of each).
 SELECTORS = [(240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10),
              (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
@@ -52,7 +54,19 @@ ESCAPE = (1 << 60) - 1
 
 
 def encode_words(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
-    """(words, word offset of each block) of unsigned 64-bit values.
+    """(words, word offset of each block) of unsigned 64-bit values, ``STEP`` blocks at a time."""
+    words, offsets, at = [], [], 0
+    for i in range(0, len(values), STEP * block):
+        w, o = _encode_blocks(values[i:i + STEP * block], block)
+        words.append(w)
+        offsets.append(o + np.uint64(at))
+        at += len(w)
+    none = np.zeros(0, np.uint64)
+    return np.concatenate(words or [none]), np.concatenate(offsets or [none])
+
+
+def _encode_blocks(values: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """``encode_words`` of a few blocks.
 
     For each position the densest selector that fits is found for all
     positions at once; then the blocks' chains of words are followed
@@ -107,7 +121,17 @@ def encode_words(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np
 
 
 def decode_words(words: np.ndarray, offsets: np.ndarray, n: int, block: int = BLOCK) -> np.ndarray:
-    """The ``n`` values of ``encode_words``; block starts tell raw words from coded ones."""
+    """The ``n`` values of ``encode_words``, ``STEP`` blocks at a time."""
+    bound = np.append(offsets, np.uint64(len(words))).astype(np.int64)
+    out = np.zeros(n, np.uint64)
+    for b in range(0, len(offsets), STEP):
+        upto = min(b + STEP, len(offsets))
+        part = slice(b * block, min(upto * block, n))
+        out[part] = _decode_blocks(words[bound[b]:bound[upto]], bound[b:upto] - bound[b], part.stop - part.start, block)
+    return out
+
+
+def _decode_blocks(words: np.ndarray, offsets: np.ndarray, n: int, block: int) -> np.ndarray:
     out = np.zeros(n, np.uint64)
     if not n:
         return out
@@ -190,7 +214,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col:
         store.create_dir(root, recursive=True)
         task = TaskContext.get()
         part, attempt = task.partitionId(), task.taskAttemptId()
-        encoder = ChunkEncoder(tokenizer, end_id)
+        encoder = ChunkEncoder.shared(tokenizer, end_id)
         seq, docs_, ends_, ids_, held = 0, [], [], [], 0
 
         def flush():
