@@ -231,7 +231,7 @@ def learn(labelled: DataFrame, model_file: str, rounds: int = ROUNDS) -> Model:
     langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
     size = Vocabulary(model_file).size
     p = np.full((size, len(langs)), 1.0 / size)
-    for _ in range(rounds):
+    for _ in range(rounds if langs else 0):
         held = p
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
