@@ -208,7 +208,7 @@ class Tree:
         """For components so large that doubles don't hold their products: Python's integers, all rows."""
         dim = min(len(q), self.points.shape[1])
         own = [int(x) for x in q[:dim]]
-        items = ((sum(int(a) * b for a, b in zip(p[:dim], own)), -int(z), -int(v), r)
+        items = ((_long(sum(int(a) * b for a, b in zip(p[:dim], own))), -int(z), -int(v), r)
                  for r, (p, z, v, u) in enumerate(zip(self.points, self.null, self.vec_id, self.uid)) if u != uid)
         return heapq.nlargest(k, items)
 
