@@ -46,11 +46,12 @@ MAGIC = b"QS8B0001"
 BLOCK = 4096
 FILE_IDS = 4_000_000
 #: Blocks handled at once.
-STEP = 128
+STEP = 512
 #: Selector -> (values in a word, bits of each).
 SELECTORS = [(240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10),
              (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
 ESCAPE = (1 << 60) - 1
+WIDTHS = sorted({bits for _, bits in SELECTORS})
 
 
 def encode_words(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
@@ -68,26 +69,36 @@ def encode_words(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np
 def _encode_blocks(values: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     """``encode_words`` of a few blocks.
 
-    For each position the densest selector that fits is found for all
-    positions at once; then the blocks' chains of words are followed
+    The densest selector that fits is found for all positions at once, by
+    sliding maxima; then the blocks' chains of words are followed
     together, one step of all blocks at a time.
     """
     v = np.ascontiguousarray(values, np.uint64)
     n = len(v)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     starts = np.arange(0, n, block)
-    end_of = np.minimum((np.arange(n) // block + 1) * block, n)
-    best = np.full(n, 15, np.int8)          # one value in 60 bits
+    # class of a value: how many of the widths are too narrow for it; the last block is filled with the widest
+    need = np.full(len(starts) * block, len(WIDTHS), np.uint8)
+    need[:n] = 0
+    for bits in WIDTHS[:-1]:
+        need[:n] += v >= np.uint64(1 << bits)
+    most = {1: need.reshape(len(starts), block)}      # window length -> the widest class in each window of a block
+    best = np.full((len(starts), block), 15, np.uint8)
+    fits = {}
+    for count, bits in reversed(SELECTORS[:-1]):
+        if count > block:
+            break
+        half = max(c for c in most if 2 * c >= count or c == max(most))
+        while 2 * half < count:
+            most[2 * half] = np.maximum(most[half][:, :-half], most[half][:, half:])
+            half *= 2
+        step = count - half
+        most[count] = np.maximum(most[half][:, :most[half].shape[1] - step], most[half][:, step:])
+        fits[count] = most[count] <= WIDTHS.index(bits)
     for s in range(14, -1, -1):
-        count, bits = SELECTORS[s]
-        wide = np.concatenate([[0], np.cumsum((v >> np.uint64(bits)) > 0)])
-        upto = np.arange(n) + count
-        fits = upto <= end_of
-        ok = np.zeros(n, bool)
-        at = np.flatnonzero(fits)
-        ok[at] = wide[upto[at]] == wide[at]
-        best[ok] = s
+        count = SELECTORS[s][0]
+        if count in fits:
+            best[:, :block - count + 1][fits[count]] = s
+    best = best.ravel()
     step = np.array([c for c, _ in SELECTORS])[best]
     at, live, taken = starts.copy(), np.arange(len(starts)), []
     last = np.minimum(starts + block, n)
