@@ -93,8 +93,8 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True   # their strings in a text are ordinary text
-        self.normalizer = self.tokenizer.normalizer
-        self.tokens_of = regex.compile(BYTE_LEVEL if self.normalizer is None else WORD_LEVEL).findall
+        self.lower = self.tokenizer.normalizer is not None      # of a plain chunk it changes the case alone
+        self.tokens_of = regex.compile(WORD_LEVEL if self.lower else BYTE_LEVEL).findall
         self.end_id = end_id
         self.first, self.rest, self.tokens = _Memo(CHUNKS), _Memo(CHUNKS), _Memo(TOKENS)
 
@@ -124,7 +124,7 @@ class ChunkEncoder:
         tokens, counts, odd = [], [], []
         for c, p in zip(chunks, plain.tolist()):
             if p:
-                found = self.tokens_of(c if self.normalizer is None else self.normalizer.normalize_str(c))
+                found = self.tokens_of(c.lower() if self.lower else c)
                 tokens += found
                 counts.append(len(found))
             else:
