@@ -9,6 +9,7 @@ partition coalescing on).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -30,9 +31,6 @@ SCALE_CONF = {
     # Column names in the source systems are upper case, lookups lower case.
     "spark.sql.caseSensitive": "false",
     "spark.sql.session.timeZone": "UTC",
-    # Dynamic partition overwrite: a reload replaces only the buckets it
-    # writes, never the whole table.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Reliable checkpoints of intermediates are deleted once unreferenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
@@ -59,16 +57,17 @@ def build_session(master: str = "local[8]", app: str = "quayside",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session.  Only in local mode, when it is unset (tests), a
-    private scratch folder is created and registered; on a cluster an unset
-    folder is an error, because a machine-local folder would not survive the
-    loss of that machine and is invisible to the other executors.
+    Read from the session.  Only in plain local mode (one process), when it
+    is unset (tests), a private scratch folder is created and registered; on
+    any cluster an unset folder is an error, because a machine-local folder
+    would not survive the loss of that machine and is invisible to the other
+    executors.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="quayside-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)

@@ -26,7 +26,8 @@ def write_table(df: DataFrame, path: str | None = None, *, table: str | None = N
     num_files    -- SNK2: total output partitions (``repartition(n)``), or,
                     with ``partition_by``, a fixed number of files per
                     partition value (hash salt).
-    dynamic      -- replace only the partitions present in ``df``.
+    dynamic      -- replace only the partitions present in ``df``; otherwise
+                    an overwrite replaces the whole table.
     """
     if partition_by:
         if num_files:
@@ -36,9 +37,8 @@ def write_table(df: DataFrame, path: str | None = None, *, table: str | None = N
             df = df.hint("rebalance", *partition_by)
     elif num_files:
         df = df.repartition(num_files)
-    w = df.write.format(fmt).mode(mode)
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
+    # always said, so that no session setting decides what an overwrite replaces
+    w = df.write.format(fmt).mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:

@@ -88,9 +88,9 @@ def incremental_load(spark: SparkSession, source: DataFrame, target_path: str, l
     if ledger is None:
         if ledger_path is None:
             raise ValueError("need a ledger or a ledger path")
-        try:
-            ledger = spark.read.parquet(ledger_path)
-        except Exception:  # first run: no ledger yet  # noqa: BLE001
+        if path_exists(spark, ledger_path):        # a ledger that can't be read fails the load
+            ledger = spark.read.schema(stats.schema).parquet(ledger_path)
+        else:                                      # first run: no ledger yet
             ledger = spark.createDataFrame([], stats.schema)
     diff = checkpointed(changed_buckets(stats, ledger))
     todo = diff.where("changed AND src_row_count IS NOT NULL").select(F.col("bucket").alias("__b"))
@@ -98,6 +98,7 @@ def incremental_load(spark: SparkSession, source: DataFrame, target_path: str, l
     rows = staged.join(todo, staged["bucket"].eqNullSafe(todo["__b"]), "left_semi")
     write_table(rows, target_path, fmt=fmt, partition_by=["bucket"], mode="overwrite",
                 dynamic=True)
+    _drop_emptied(spark, target_path, diff)
     if ledger_path is not None:
         # the old ledger was read into the checkpointed comparison above, so
         # overwriting its folder now is safe
@@ -105,14 +106,29 @@ def incremental_load(spark: SparkSession, source: DataFrame, target_path: str, l
     return diff
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _drop_emptied(spark: SparkSession, target_path: str, diff: DataFrame) -> None:
+    """Remove the partitions of buckets that the source has no rows of any
+    more.  Their numbers come to the driver one partition of ``diff`` at a time."""
+    gone = diff.where("changed AND src_row_count IS NULL").select(F.col("bucket").cast("string").alias("b"))
+    jvm = spark._jvm
+    for r in gone.toLocalIterator():
+        name = "__HIVE_DEFAULT_PARTITION__" if r.b is None else \
+            jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(r.b)
+        p = jvm.org.apache.hadoop.fs.Path(f"{target_path.rstrip('/')}/bucket={name}")
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def read_landed(spark: SparkSession, target_path: str, ledger_path: str, fmt: str = "parquet") -> DataFrame:
     """Read an incrementally loaded table through its ledger.
 
-    A bucket whose source rows were all deleted is absent from the new ledger
-    but its old partition folder survives the dynamic overwrite (nothing was
-    written for it).  Semi-joining the target with the ledger's buckets --
-    a tiny table, so a broadcast with partition pruning -- hides such stale
-    partitions from every reader."""
+    ``incremental_load`` removes the partition of a bucket that the source
+    emptied before it writes the new ledger; between the two a reader that
+    semi-joins the target with the ledger's buckets still sees one state."""
     buckets = spark.read.parquet(ledger_path).select(F.col("bucket").alias("__b"))
     landed = spark.read.format(fmt).load(target_path)
     return landed.join(buckets, landed["bucket"].eqNullSafe(buckets["__b"]), "left_semi")

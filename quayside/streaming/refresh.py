@@ -9,18 +9,20 @@ State contract: one row per key with the payload, ``change_ts``, ``seq`` and
 ST2) so a late, older update cannot resurrect a deleted row; live rows are
 ``is_deleted = false``.
 
-``apply_changes`` is the whole algorithm: union the state with the batch's
-newest change per key and keep the newest row per key.  Both steps are hash
-aggregates with map-side partial aggregation (no sort, no per-key group is
-materialised), so a key with a third of all changes costs no more than any
-other, and the function is idempotent: replaying a batch (``foreachBatch``
-after a restart) or splitting it into k batches gives the same state.
-
-Only the partitions touched by a batch are read and rewritten (ST3): the
-state is partitioned by a bounded bucket of the key, the batch's bucket ids
-become a static partition filter on the state scan, and the result is written
-with a dynamic partition overwrite after being checkpointed to the cluster's
-checkpoint folder (so the overwrite never reads the files it replaces).
+``apply_changes`` is the whole algorithm: one aggregate over the state and
+the batch that keeps the newest row per key.  It has a map-side partial step,
+so a key with a third of all changes costs no more than any other, and it is
+idempotent: replaying a batch (``foreachBatch`` after a restart) or splitting
+it into k batches gives the same state.
+
+On files the state is a ``sinks.state.StateTable``: a fixed number of hash
+buckets of the key, of which a batch reads and rewrites those it touches, in
+a new version published with the batch's id.  A batch that a crash cut off
+left nothing published and is applied again; one that was published is
+skipped when it comes again.  A payload column (a month, say) may be the
+table's partitioning for readers: it is data here, so a row that moves to
+another month, or a delete that doesn't carry the month, meets its old row by
+key (ST3).
 """
 
 from __future__ import annotations
@@ -32,10 +34,10 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quayside.operators.latest import latest_per_key
-from quayside.session import checkpointed
-from quayside.sinks.tables import write_table
+from quayside.sinks.state import BUCKETS, StateTable
 
 
 @dataclass(frozen=True)
@@ -51,22 +53,18 @@ class Feed:
         return [self.pk, *self.payload, self.ts, self.seq, "is_deleted"]
 
 
-def latest_changes(changes: DataFrame, feed: Feed) -> DataFrame:
-    """Newest change per key within one batch, as state rows."""
-    staged = changes.select(feed.pk, *feed.payload, feed.ts, feed.seq,
-                            (F.col(feed.op) == F.lit("D")).alias("is_deleted"))
-    return latest_per_key(staged, [feed.pk], order=[feed.ts], tiebreak=[feed.seq],
-                          values=feed.state_cols[1:])
+def as_state(changes: DataFrame, feed: Feed) -> DataFrame:
+    """Changes as state rows; a change without an operation is an update."""
+    return changes.select(feed.pk, *feed.payload, feed.ts, feed.seq,
+                          F.col(feed.op).eqNullSafe(F.lit("D")).alias("is_deleted"))
 
 
 def apply_changes(state: DataFrame | None, changes: DataFrame, feed: Feed) -> DataFrame:
-    """New state = newest row per key over (state ∪ newest change per key)."""
-    latest = latest_changes(changes, feed)
-    if state is None:
-        return latest
-    both = state.select(*feed.state_cols).unionByName(latest)
-    return latest_per_key(both, [feed.pk], order=[feed.ts], tiebreak=[feed.seq],
-                          values=feed.state_cols[1:])
+    """New state = newest row per key over state and changes."""
+    rows = as_state(changes, feed)
+    if state is not None:
+        rows = state.select(*feed.state_cols).unionByName(rows)
+    return latest_per_key(rows, [feed.pk], order=[feed.ts], tiebreak=[feed.seq], values=feed.state_cols[1:])
 
 
 def live_rows(state: DataFrame, feed: Feed) -> DataFrame:
@@ -85,71 +83,73 @@ def purge_tombstones(state: DataFrame, feed: Feed, older_than: _dt.datetime) ->
     return state.where(~(F.col("is_deleted") & (F.col(feed.ts) < F.lit(older_than))))
 
 
-# Most partition ids a batch may name for static pruning of the state scan.
-MAX_PRUNED_BUCKETS = 10_000
-
-
-def refresh_partitions(spark: SparkSession, state_path: str, changes: DataFrame, feed: Feed,
-                       bucket: Column, fmt: str = "parquet") -> None:
-    """SNK4 + ST3 on a path: rewrite only the state partitions the batch
-    touches.  ``bucket`` is an expression of the key with a bounded domain
-    (immutable per key, so a key never moves between partitions).
-
-    The batch's distinct bucket ids -- at most the number of state
-    partitions, fetched with a limit -- become a static partition filter on
-    the state scan, so only touched partitions are read.  (Spark's dynamic
-    partition pruning does not fire for this join: the batch side carries no
-    selective predicate.)  Past ``MAX_PRUNED_BUCKETS`` ids the state is
-    semi-joined instead: exact, just not pruned.
-    """
-    staged = changes.withColumn("bucket", bucket)
-    touched = staged.select("bucket").distinct()
-    ids = [r[0] for r in touched.limit(MAX_PRUNED_BUCKETS + 1).collect()]
-    try:
-        current = spark.read.format(fmt).load(state_path)
-    except Exception:  # first batch: no state yet  # noqa: BLE001
-        current = None
-    if current is not None:
-        if len(ids) <= MAX_PRUNED_BUCKETS:
-            keep = F.col("bucket").isin([i for i in ids if i is not None])
-            if any(i is None for i in ids):          # NULL keys land in the NULL bucket
-                keep = keep | F.col("bucket").isNull()
-            current = current.where(keep)
-        else:
-            current = current.join(touched, "bucket", "left_semi")
-        current = current.drop("bucket")
-    new = checkpointed(apply_changes(current, staged, feed).withColumn("bucket", bucket))
-    write_table(new, state_path, fmt=fmt, partition_by=["bucket"], mode="overwrite", dynamic=True)
-
-
-def bootstrap_state(spark: SparkSession, state_path: str, snapshot: DataFrame, feed: Feed,
-                    bucket: Column, fmt: str = "parquet") -> None:
-    """ST4: seed the state from a snapshot load before the stream starts.
+def state_schema(changes: DataFrame, feed: Feed) -> StructType:
+    return as_state(changes, feed).schema
+
+
+def read_state(spark: SparkSession, state_path: str, schema: StructType, buckets: int = BUCKETS,
+               fmt: str = "parquet") -> DataFrame:
+    """The state as last published."""
+    return StateTable(spark, state_path, buckets, fmt).read(schema)
+
+
+def refresh_state(spark: SparkSession, state_path: str, changes: DataFrame, feed: Feed, *, batch_id: int | None = None,
+                  buckets: int = BUCKETS, fmt: str = "parquet", purge_before: _dt.datetime | None = None) -> bool:
+    """SNK4 + ST3 on a path: rewrite the buckets that the batch touches (at
+    most ``buckets`` numbers meet the driver).  False if ``batch_id`` was
+    applied before.  ``purge_before``: tombstones of the touched buckets that
+    are older go."""
+    table = StateTable(spark, state_path, buckets, fmt)
+    now = table.latest()
+    if batch_id is not None and now and now.batch_id is not None and batch_id <= now.batch_id:
+        return False
+    touched = [r[0] for r in changes.select(table.bucket(feed.pk).alias("b")).distinct().collect()]
+    state = table.read(state_schema(changes, feed), now, touched) if now else None
+    new = apply_changes(state, changes, feed)
+    if purge_before is not None:
+        new = purge_tombstones(new, feed, purge_before)
+    table.commit(new, feed.pk, touched, batch_id)
+    return True
+
+
+def bootstrap_state(spark: SparkSession, state_path: str, snapshot: DataFrame, feed: Feed, *, buckets: int = BUCKETS,
+                    fmt: str = "parquet", position: str | None = None) -> None:
+    """ST4: the state becomes that of a snapshot load, whatever it was before.
 
     ``snapshot`` has the key, the payload and the snapshot's change position
-    (``feed.ts`` / ``feed.seq``); every row is live.  The stream may then
-    start at any feed position at or before the snapshot: replayed older
-    changes lose against the snapshot rows, newer ones win."""
-    rows = (snapshot.select(feed.pk, *feed.payload, feed.ts, feed.seq)
-            .withColumn("is_deleted", F.lit(False)).withColumn("bucket", bucket))
-    write_table(rows, state_path, fmt=fmt, partition_by=["bucket"], mode="overwrite")
-
-
-def refresh_stream(spark: SparkSession, feed_stream: DataFrame, state_path: str,
-                   checkpoint_location: str, feed: Feed, bucket: Column, *,
-                   fmt: str = "parquet", available_now: bool = True,
-                   interval: str = "1 minute"):
+    (``feed.ts`` / ``feed.seq``); every row is live.  ``position`` (SNK5), the
+    feed position that the snapshot was taken at or after, is kept with the
+    state; a stream may start there or earlier: replayed older changes lose
+    against the snapshot rows, newer ones win."""
+    rows = snapshot.select(feed.pk, *feed.payload, feed.ts, feed.seq).withColumn("is_deleted", F.lit(False))
+    StateTable(spark, state_path, buckets, fmt).commit(rows, feed.pk, None, position=position)
+
+
+def start_position(spark: SparkSession, state_path: str, buckets: int = BUCKETS) -> str | None:
+    """The feed position kept by the last snapshot load."""
+    commit = StateTable(spark, state_path, buckets).latest()
+    return commit.position if commit else None
+
+
+def refresh_stream(spark: SparkSession, feed_stream: DataFrame, state_path: str, checkpoint_location: str, feed: Feed, *,
+                   buckets: int = BUCKETS, fmt: str = "parquet", available_now: bool = True, interval: str = "1 minute",
+                   lookback_minutes: int | None = None, tombstone_minutes: int | None = None):
     """ST1 / ST5: Structured Streaming ``readStream`` -> ``foreachBatch``
     upsert.  The stream checkpoint holds the feed positions (SNK5's offset
     ledger); ``availableNow`` drains what is there and stops (tests, cron
-    runs), otherwise it runs continuously, one micro-batch per ``interval``."""
+    runs), otherwise it runs continuously, one micro-batch per ``interval``.
+    ``lookback_minutes`` (ST2) leaves out older changes; ``tombstone_minutes``
+    is how long a deleted key is remembered (longer than the feed can replay)."""
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         # the batch is read twice (touched buckets, then the changes): keep
         # one copy instead of fetching it from the feed again
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            refresh_partitions(batch.sparkSession, state_path, batch, feed, bucket, fmt)
+            rows = within_lookback(batch, feed.ts, lookback_minutes, now) if lookback_minutes else batch
+            purge = now - _dt.timedelta(minutes=tombstone_minutes) if tombstone_minutes else None
+            refresh_state(batch.sparkSession, state_path, rows, feed, batch_id=batch_id, buckets=buckets, fmt=fmt, purge_before=purge)
         finally:
             batch.unpersist()
 

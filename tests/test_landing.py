@@ -54,7 +54,7 @@ def test_lookback_window(spark):
     assert within_lookback(df, "ts", -4320, now).count() == 1     # 3 days
 
 
-def test_vanished_bucket_hidden_by_ledger(spark):
+def test_vanished_bucket_leaves_the_target(spark):
     old = spark.createDataFrame([(1, "20240105", "a"), (2, "20240210", "b")], SCHEMA)
     new = spark.createDataFrame([(1, "20240105", "a")], SCHEMA)          # February emptied
     b = bucket_start("create_iodt", 31, from_string=True)
@@ -62,7 +62,7 @@ def test_vanished_bucket_hidden_by_ledger(spark):
     incremental_load(spark, old, target, ledger, b, "update_iodt", "pk")
     diff = incremental_load(spark, new, target, ledger, b, "update_iodt", "pk")
     assert rows(diff.where("changed"), "bucket", "src_row_count") == [("202402", None)]
-    assert spark.read.parquet(target).count() == 2                       # stale folder remains
+    assert rows(spark.read.parquet(target).select("pk")) == [(1,)]       # a plain read
     assert rows(read_landed(spark, target, ledger).select("pk")) == [(1,)]
 
 
@@ -90,3 +90,27 @@ def test_malformed_time_rows_still_land(spark):
     assert rows(read_landed(spark, target, ledger).select("pk")) == [(1,), (2,), (3,)]
     again = incremental_load(spark, new, target, ledger, b, "update_iodt", "pk")
     assert again.where("changed").count() == 0
+
+
+def test_second_snapshot_replaces_the_first(spark):
+    schema = "id long, part string"
+    path = scratch_table_path(spark, "t-snap-again")
+    snapshot_load(spark.createDataFrame([(1, "01"), (2, "02")], schema), path, partition_by=["part"])
+    snapshot_load(spark.createDataFrame([(1, "01")], schema), path, partition_by=["part"])
+    assert rows(spark.read.parquet(path), "id") == [(1,)]
+
+
+def test_unreadable_ledger_fails_the_load(spark):
+    import os
+    import pytest
+    df = spark.createDataFrame([(1, "20240105", "a")], SCHEMA)
+    target, ledger = scratch_table_path(spark, "t-target"), scratch_table_path(spark, "t-ledger")
+    b = bucket_start("create_iodt", 31, from_string=True)
+    incremental_load(spark, df, target, ledger, b, "update_iodt", "pk")
+    folder = ledger.replace("file://", "")
+    for n in os.listdir(folder):
+        if n.startswith("part-") or n.endswith(".crc"):
+            with open(f"{folder}/{n}", "wb") as f:
+                f.write(b"broken")
+    with pytest.raises(Exception):
+        incremental_load(spark, df, target, ledger, b, "update_iodt", "pk")

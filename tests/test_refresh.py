@@ -1,9 +1,14 @@
 """ST1: keyed change-feed refresh — deletes, late data, replay, batch splits."""
 
 import datetime as dt
+import os
 
-from quayside.streaming.refresh import Feed, apply_changes, live_rows, refresh_partitions
+import pytest
+
+from quayside.sinks.state import StateTable
 from quayside.sources.landing import scratch_table_path
+from quayside.streaming.refresh import (Feed, apply_changes, bootstrap_state, live_rows, read_state, refresh_state,
+                                        start_position, state_schema)
 from pyspark.sql import functions as F
 from tests.conftest import rows
 
@@ -47,14 +52,16 @@ def test_late_update_does_not_resurrect_delete(spark):
     assert rows(live_rows(s2, FEED), "pk") == []
 
 
-def test_partition_refresh_on_files(spark):
+def _state(spark, path, changes=None):
+    return read_state(spark, path, state_schema(_changes(spark) if changes is None else changes, FEED), 4)
+
+
+def test_refresh_on_files(spark):
     path = scratch_table_path(spark, "test-state")
     ch = _changes(spark)
-    bucket = F.substring("pk", 2, 1)
     for part in (ch.where("seq <= 5"), ch.where("seq > 5"), ch.where("seq > 5")):
-        refresh_partitions(spark, path, part, FEED, bucket)
-    state = spark.read.parquet(path).drop("bucket")
-    assert rows(live_rows(state, FEED), "pk", "v") == [("k2", "y"), ("k3", "q")]
+        refresh_state(spark, path, part, FEED, buckets=4)
+    assert rows(live_rows(_state(spark, path), FEED), "pk", "v") == [("k2", "y"), ("k3", "q")]
 
 
 def test_stream_restart_resumes_from_checkpoint(spark):
@@ -66,50 +73,95 @@ def test_stream_restart_resumes_from_checkpoint(spark):
     feed_dir = scratch_table_path(spark, "t-feed")
     state = scratch_table_path(spark, "t-state")
     ckpt = scratch_table_path(spark, "t-ckpt")
-    bucket = F.substring("pk", 2, 1)
     write_table(ch.where("seq <= 5"), feed_dir + "/part1", num_files=2)
     stream = spark.readStream.schema(ch.schema).parquet(feed_dir + "/*")
-    refresh_stream(spark, stream, state, ckpt, FEED, bucket).awaitTermination()
+    refresh_stream(spark, stream, state, ckpt, FEED, buckets=4).awaitTermination()
     write_table(ch.where("seq > 5"), feed_dir + "/part2", num_files=2)
     stream = spark.readStream.schema(ch.schema).parquet(feed_dir + "/*")
-    q = refresh_stream(spark, stream, state, ckpt, FEED, bucket)
+    q = refresh_stream(spark, stream, state, ckpt, FEED, buckets=4)
     q.awaitTermination()
     assert sum(p["numInputRows"] for p in q.recentProgress) == ch.where("seq > 5").count()
-    got = spark.read.parquet(state).drop("bucket")
-    assert rows(got) == rows(apply_changes(None, ch, FEED))
+    assert rows(_state(spark, state)) == rows(apply_changes(None, ch, FEED))
+
+
+def test_only_touched_buckets_are_rewritten(spark):
+    path = scratch_table_path(spark, "t-touched")
+    ch = _changes(spark)
+    refresh_state(spark, path, ch, FEED, buckets=64)
+    first = StateTable(spark, path, 64).latest().where
+    refresh_state(spark, path, ch.where("pk = 'k2'"), FEED, buckets=64)
+    second = StateTable(spark, path, 64).latest().where
+    moved = [b for b in second if second[b] != first.get(b)]
+    assert len(moved) == 1 and set(first) == set(second)
+
+
+def test_null_keys_and_operations(spark):
+    schema = "pk string, v string, change_ts timestamp, seq long, op string"
+    path = scratch_table_path(spark, "t-null")
+    b1 = spark.createDataFrame([(None, "a", _t(1), 1, None), ("x", "c", _t(1), 3, None)], schema)
+    b2 = spark.createDataFrame([(None, "a2", _t(2), 4, "U")], schema)
+    refresh_state(spark, path, b1, FEED, buckets=4)
+    refresh_state(spark, path, b2, FEED, buckets=4)
+    assert rows(live_rows(_state(spark, path), FEED), "pk", "v") == [("x", "c"), (None, "a2")]
+
+
+def test_unreadable_state_fails_the_batch(spark):
+    path = scratch_table_path(spark, "t-unreadable")
+    ch = _changes(spark)
+    refresh_state(spark, path, ch, FEED, buckets=1, batch_id=0)
+    version = StateTable(spark, path, 1).latest().where[0]
+    folder = f"{path}/data/{version}/bucket=0".replace("file://", "")
+    name = next(n for n in os.listdir(folder) if n.startswith("part-"))
+    with open(f"{folder}/{name}", "wb") as f:
+        f.write(b"no parquet")
+    crc = f"{folder}/.{name}.crc"
+    if os.path.exists(crc):
+        os.remove(crc)
+    with pytest.raises(Exception):
+        refresh_state(spark, path, ch.where("pk = 'k1'"), FEED, buckets=1, batch_id=1)
+    assert StateTable(spark, path, 1).latest().batch_id == 0
+
+
+def test_bootstrap_again_replaces_the_state(spark):
+    path = scratch_table_path(spark, "t-boot")
+    schema = "pk string, v string, change_ts timestamp, seq long"
+    bootstrap_state(spark, path, spark.createDataFrame([("a1", "x", _t(1), 1), ("b1", "y", _t(1), 2)], schema), FEED,
+                    buckets=4, position="offset-7")
+    assert start_position(spark, path, 4) == "offset-7"
+    bootstrap_state(spark, path, spark.createDataFrame([("a1", "x", _t(1), 1)], schema), FEED, buckets=4)
+    assert rows(_state(spark, path), "pk") == [("a1",)]
+
+
+def test_replayed_batches_are_skipped_and_old_versions_go(spark):
+    path = scratch_table_path(spark, "t-replay")
+    ch = _changes(spark)
+    assert refresh_state(spark, path, ch.where("seq <= 5"), FEED, batch_id=0, buckets=4)
+    assert not refresh_state(spark, path, ch.where("seq <= 5"), FEED, batch_id=0, buckets=4)
+    assert refresh_state(spark, path, ch.where("seq > 5"), FEED, batch_id=1, buckets=4)
+    want = rows(apply_changes(None, ch, FEED))
+    assert rows(_state(spark, path)) == want
+    StateTable(spark, path, 4).vacuum(keep=1)
+    assert rows(_state(spark, path)) == want
 
 
-def test_partition_refresh_reads_only_touched_partitions(spark):
-    from quayside.streaming import refresh as R
-    path = scratch_table_path(spark, "t-prune")
+def test_old_tombstones_are_purged(spark):
+    path = scratch_table_path(spark, "t-purge")
     ch = _changes(spark)
-    bucket = F.substring("pk", 2, 1)
-    R.refresh_partitions(spark, path, ch, FEED, bucket)
-    seen = {}
-    orig = R.apply_changes
-
-    def spy(state, changes, feed):
-        seen["plan"] = state._jdf.queryExecution().executedPlan().toString()
-        return orig(state, changes, feed)
-
-    R.apply_changes = spy
-    try:
-        R.refresh_partitions(spark, path, ch.where("pk = 'k2'"), FEED, bucket)
-    finally:
-        R.apply_changes = orig
-    assert "PartitionFilters: [isnotnull(bucket" in seen["plan"] and "bucket#" in seen["plan"]
-    assert "IN (2)" in seen["plan"] or "= 2)" in seen["plan"]
-    assert rows(live_rows(spark.read.parquet(path).drop("bucket"), FEED), "pk", "v") == [("k2", "y"), ("k3", "q")]
-
-
-def test_partition_refresh_keeps_null_bucket_state(spark):
-    """Keys whose bucket is NULL share one partition; touching one of them
-    must not drop the others."""
-    path = scratch_table_path(spark, "t-nullb")
-    schema = "pk string, v string, change_ts int, seq int, op string"
-    b1 = spark.createDataFrame([("n1", "a", 1, 1, "U"), ("n2", "b", 1, 2, "U"), ("x1", "c", 1, 3, "U")], schema)
-    b2 = spark.createDataFrame([("n1", "a2", 2, 4, "U")], schema)
-    bucket = F.when(F.col("pk").startswith("n"), F.lit(None)).otherwise(F.lit("x"))
-    refresh_partitions(spark, path, b1, FEED, bucket)
-    refresh_partitions(spark, path, b2, FEED, bucket)
-    assert rows(spark.read.parquet(path), "pk", "v") == [("n1", "a2"), ("n2", "b"), ("x1", "c")]
+    refresh_state(spark, path, ch, FEED, buckets=1)
+    assert rows(_state(spark, path).where("is_deleted"), "pk") == [("k1",)]
+    refresh_state(spark, path, ch.where("pk = 'k2'"), FEED, buckets=1, purge_before=_t(5))
+    assert rows(_state(spark, path), "pk") == [("k2",), ("k3",)]
+
+
+def test_text_buckets_land_and_reload(spark):
+    """A bucket that looks like a number, then one that doesn't."""
+    from quayside.sources.landing import incremental_load
+    schema = "pk long, b string, u string"
+    target, ledger = scratch_table_path(spark, "t-text"), scratch_table_path(spark, "t-textl")
+    old = spark.createDataFrame([(1, "1", "a")], schema)
+    new = spark.createDataFrame([(1, "1", "a"), (2, "A/b", "a")], schema)
+    incremental_load(spark, old, target, ledger, F.col("b"), "u", "pk")
+    incremental_load(spark, new, target, ledger, F.col("b"), "u", "pk")
+    assert rows(spark.read.schema(schema + ", bucket string").parquet(target), "pk", "bucket") == [(1, "1"), (2, "A/b")]
+    incremental_load(spark, old, target, ledger, F.col("b"), "u", "pk")
+    assert rows(spark.read.schema(schema + ", bucket string").parquet(target), "pk", "bucket") == [(1, "1")]
