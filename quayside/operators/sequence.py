@@ -22,19 +22,17 @@ Three strategies, same result:
 
     1. ``repartitionByRange(n, group, order)`` + sort within partitions: a hot
        group is cut into contiguous slices over several tasks;
-    2. each task numbers rows within its slice of each group (a running count
-       over the sorted Arrow batches, carried across batch boundaries);
-    3. rows per (partition, group) are counted (a JVM aggregate); only groups
-       cut by a partition boundary need an offset -- the rows of earlier
-       slices -- and there are at most ``2 n`` such (partition, group) pairs,
-       so that offset table has a proven size bound and is broadcast;
-    4. sequence = slice number + offset.
-
-    One range exchange of the data, no second shuffle, no task ever holds a
-    whole group.  The numbered slices are reliably checkpointed (range bounds
-    are sampled from data whose order after a shuffle is not fixed, so they
-    must be computed once).  Costlier than ``window`` (an Arrow round trip
-    and a checkpoint write), so use it where a group can be large.
+    2. ``monotonically_increasing_id`` gives each row its place in its
+       partition;
+    3. the first place and the number of rows of each (partition, group) are
+       one partial aggregate, and a group's earlier slices one running sum;
+    4. sequence = place - first place + rows of earlier slices + 1.
+
+    Everything stays in the JVM, so values of any type pass unchanged and
+    NULL, NaN and equal keys group as in the window.  No task ever holds a
+    whole group.  The placed rows are reliably checkpointed, because range
+    bounds are sampled from data whose order after a shuffle is not fixed.
+    Costlier than ``window`` (a checkpoint write and a second exchange).
 """
 
 from __future__ import annotations
@@ -43,11 +41,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quayside.session import checkpointed
 
-_PID, _LRN, _CNT, _OFF = "__seq_pid", "__seq_lrn", "__seq_cnt", "__seq_off"
+_PID, _AT, _CNT, _OFF = "__seq_pid", "__seq_at", "__seq_cnt", "__seq_off"
 
 
 # A group larger than this is not numbered by a single task (auto strategy).
@@ -105,35 +102,6 @@ def with_sequences(df: DataFrame, specs: Mapping[str, tuple[Sequence[str], Seque
     return df
 
 
-def _slice_numbers(group_cols: list[str], out_col: str):
-    """Per-partition running count within each group of sorted batches.
-
-    Self-contained (only pandas inside): the function is shipped to the
-    Python workers by value, so they need nothing from this package.
-    """
-
-    def run(batches):
-        import pandas as pd
-
-        def same(a, b):
-            return all((x == y) or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b))
-
-        last_key, last_count = None, 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = pdf[group_cols]
-            grouped = keys.groupby(group_cols, dropna=False, sort=False)
-            lrn = grouped.cumcount() + 1
-            if last_key is not None and same(tuple(keys.iloc[0]), last_key):
-                lrn = lrn + (grouped.ngroup() == 0).astype("int64") * last_count
-            last_key = tuple(keys.iloc[-1])
-            last_count = int(lrn.iloc[-1])
-            yield pdf.assign(**{out_col: lrn.astype("int64")})
-
-    return run
-
-
 def _range_row_number(df: DataFrame, out_col: str, group: list[str], order: list[str],
                       num_ranges: int | None) -> DataFrame:
     sort_cols = [F.col(c).asc_nulls_first() for c in group + order]
@@ -141,25 +109,18 @@ def _range_row_number(df: DataFrame, out_col: str, group: list[str], order: list
     # ranges stay contiguous and in order, which is all the offsets need.
     by_range = (df.repartitionByRange(num_ranges, *sort_cols) if num_ranges
                 else df.repartitionByRange(*sort_cols))
-    ranged = by_range.sortWithinPartitions(*sort_cols).withColumn(_PID, F.spark_partition_id())
-    schema = T.StructType(ranged.schema.fields + [T.StructField(_LRN, T.LongType(), False)])
     # The range bounds come from sampling the input, whose row order after a
-    # shuffle is not fixed; the numbered slices are therefore checkpointed
-    # once, and the counts below are derived from that same copy.
-    numbered = checkpointed(ranged.mapInPandas(_slice_numbers(group, _LRN), schema))
-
-    # rows per (partition, group); a group in more than one partition was cut
-    counts = numbered.groupBy(_PID, *group).agg(F.max(_LRN).alias(_CNT))
-    cut = counts.groupBy(*group).agg(F.count(F.lit(1)).alias("__parts")).where("__parts > 1")
-    cut_counts = counts.join(cut.drop("__parts"), [counts[g].eqNullSafe(cut[g]) for g in group],
-                             "left_semi")
+    # shuffle is not fixed; the places are therefore checkpointed once, and the
+    # counts below are derived from that same copy.
+    placed = by_range.sortWithinPartitions(*sort_cols).withColumn(_AT, F.monotonically_increasing_id())
+    placed = checkpointed(placed.withColumn(_PID, F.shiftright(_AT, 33)))
+
+    # one row per (partition, group): a group has as many as partitions that it spans
+    slices = placed.groupBy(_PID, *group).agg(F.min(_AT).alias("__first"), F.count(F.lit(1)).alias(_CNT))
     before = Window.partitionBy(*group).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cut_counts.select(_PID, *group, F.coalesce(F.sum(_CNT).over(before), F.lit(0))
-                                .alias(_OFF))
-    # at most 2 * n rows: every cut group spans k partitions using k-1 of the n-1 boundaries
-    off = F.broadcast(offsets.select(F.col(_PID).alias("__o_pid"),
-                                     *[F.col(g).alias(f"__o_{g}") for g in group], _OFF))
-    cond = [numbered[_PID] == off["__o_pid"]] + [numbered[g].eqNullSafe(off[f"__o_{g}"]) for g in group]
-    joined = numbered.join(off, cond, "left")
-    return (joined.withColumn(out_col, (F.col(_LRN) + F.coalesce(F.col(_OFF), F.lit(0))).cast("int"))
-            .drop(_PID, _LRN, _OFF, "__o_pid", *[f"__o_{g}" for g in group]))
+    shift = F.coalesce(F.sum(_CNT).over(before), F.lit(0)) - F.col("__first") + 1
+    off = slices.select(F.col(_PID).alias("__o_pid"), *[F.col(g).alias(f"__o_{g}") for g in group], shift.alias(_OFF))
+    # the partition is part of the key, so a hot group's rows stay spread
+    cond = [placed[_PID] == off["__o_pid"]] + [placed[g].eqNullSafe(off[f"__o_{g}"]) for g in group]
+    return (placed.join(off, cond).withColumn(out_col, (F.col(_AT) + F.col(_OFF)).cast("int"))
+            .drop(_PID, _AT, _OFF, "__o_pid", *[f"__o_{g}" for g in group]))

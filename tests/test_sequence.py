@@ -42,3 +42,18 @@ def test_largest_groups_one_pass(spark):
     base = spark.range(100).select((F.col("id") % 2).alias("a"), (F.col("id") % 5).alias("b"),
                                    F.when(F.col("id") < 70, None).otherwise(F.col("id")).alias("c"))
     assert largest_groups(base, [["a"], ["a", "b"], ["c"], ["b"]]) == [50, 10, 70, 20]
+
+
+def test_range_keeps_values_and_groups_of_any_type(spark):
+    """Nullable longs that a double doesn't hold, far dates, NaN and NULL groups."""
+    big = 9007199254740992
+    base = spark.range(60).selectExpr(
+        f"CASE WHEN id % 5 = 0 THEN NULL ELSE {big} + id % 3 END AS g", f"CASE WHEN id % 7 = 0 THEN NULL ELSE {big} + id END AS v",
+        "CASE WHEN id % 4 = 0 THEN NULL WHEN id % 4 = 1 THEN double('NaN') ELSE 1.5D END AS f",
+        "TIMESTAMP_NTZ '9999-12-31 00:00:00' AS t", "id")
+    for group in (["g"], ["f"], ["g", "f"]):
+        w = with_sequence(base, "rn", group, ["id"], strategy="window")
+        for n in (1, 6):
+            r = with_sequence(base, "rn", group, ["id"], strategy="range", num_ranges=n)
+            key = lambda x: [tuple(map(str, t)) for t in x.orderBy("id").collect()]
+            assert key(r.select(w.columns)) == key(w)
