@@ -61,8 +61,12 @@ def month_label(x) -> Column:
 
 
 def key_range(pk, rows_per_range: int) -> Column:
-    """SRC10: key-range bucket ``floor(pk / rows_per_range)``."""
-    return F.floor(_c(pk) / F.lit(rows_per_range)).cast("long")
+    """SRC10: key-range bucket ``floor(pk / rows_per_range)``, in integers
+    (a double does not hold every long), also for negative keys."""
+    k, n = _c(pk).cast("long"), F.lit(rows_per_range).cast("long")
+    # pmod is the distance to the range's start; the quotient of what is left is exact
+    whole = F.call_function("div", k, n)
+    return F.when((k < 0) & (F.pmod(k, n) != 0), whole - 1).otherwise(whole)
 
 
 def run_timestamp(at: _dt.datetime | None = None) -> Column:

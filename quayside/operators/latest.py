@@ -6,7 +6,8 @@ results is unspecified) and which costs a global range sort plus a hash
 exchange.  Here the rule is explicit: newest ordering value first, NULLs
 last, then the tie-break columns descending.
 
-Default strategy: ``max(struct(order..., tiebreak..., payload...))`` per key.
+Default strategy: ``max_by(struct(payload...), struct(order..., tiebreak...))``
+per key, so the payload may hold columns without an order (maps).
 It is an aggregate with a map-side partial step, so each task ships at most
 one row per key to the shuffle: a key holding a third of all rows is
 collapsed before the exchange instead of landing whole in one task.  (A
@@ -44,9 +45,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 .where(F.col("__rn") == 1).select(*keys, *values))
     if strategy != "aggregate":
         raise ValueError(strategy)
-    rank_cols = order + tiebreak
-    fields = [F.col(c).alias(f"_o{i}") for i, c in enumerate(rank_cols)]
-    fields += [F.col(c).alias(f"_v{i}") for i, c in enumerate(values)]
-    picked = df.groupBy(*keys).agg(F.max(F.struct(*fields)).alias(_PICK))
+    rank = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order + tiebreak)])
+    payload = F.struct(*[F.col(c).alias(f"_v{i}") for i, c in enumerate(values)])
+    picked = df.groupBy(*keys).agg(F.max_by(payload, rank).alias(_PICK))
     return picked.select(*keys, *[F.col(f"{_PICK}._v{i}").alias(c) for i, c in enumerate(values)])
 

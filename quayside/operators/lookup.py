@@ -43,15 +43,17 @@ def lookup_join(df: DataFrame, lookup: DataFrame, keys: Iterable[str] | None = N
             raise ValueError("lookup_join needs keys or key_map")
         key_map = {k: k for k in keys}
     key_map = dict(key_map)
-    lookup_keys = set(key_map.values())
+    # column names are compared as Spark and the metastore do: without case
+    own = {c.lower(): c for c in df.columns}
+    key_map = {own.get(k.lower(), k): v for k, v in key_map.items()}
+    joined, lookup_keys = {k.lower() for k in key_map}, {v.lower() for v in key_map.values()}
     if cols is None:
-        cols = [c for c in lookup.columns if c not in lookup_keys]
-    cols = list(cols)
-    clash = [c for c in cols if c in df.columns and c not in key_map]
+        cols = [c for c in lookup.columns if c.lower() not in lookup_keys]
+    cols = [c for c in cols if c.lower() not in joined]
+    clash = [c for c in cols if c.lower() in own]
     if clash:
         raise ValueError(f"lookup columns already on the input: {clash}")
-    right = lookup.select(*[F.col(src).alias(dst) for dst, src in key_map.items()],
-                          *[F.col(c) for c in cols if c not in key_map])
+    right = lookup.select(*[F.col(src).alias(dst) for dst, src in key_map.items()], *[F.col(c) for c in cols])
     if broadcast:
         right = F.broadcast(right)
     return df.join(right, on=list(key_map), how=how)

@@ -53,7 +53,7 @@ def run_schedule(tables: TableSource, *, target_path: str | None = None,
 
 def run_proforma(tables: TableSource, *, target_path: str | None = None,
                  target_table: str | None = None, fmt: str = "parquet",
-                 names: Mapping[str, str] | None = None, num_files: int | None = 5,
+                 names: Mapping[str, str] | None = None, num_files: int | None = None,
                  run_ts: _dt.datetime | None = None) -> DataFrame:
     d = DomainInputs(tables, names)
     df = proforma_mart(d.get("profm_stop_assn"), d.get("profm_stop"), d.get("profm_stop_cut_ava"),

@@ -37,6 +37,7 @@ from quayside.operators.lookup import (filtered_lookup, lookup_join, require_at_
                                        with_state_lookups)
 from quayside.operators.reshape import coalesce_precedence
 from quayside.operators.sequence import with_sequences
+from quayside.session import staged
 
 # Schedule states and their column prefixes, in precedence
 # order for the LTT_* coalesce (first wins).
@@ -56,7 +57,7 @@ LTT_FIELDS = ["BERTH_ARR_IODT", "BERTH_DEP_IODT", "BERTH_ARR_LOC", "BERTH_DEP_LO
 # Cargo natures and date types with their column prefixes.
 NATURE_PREFIX = {"DG": "DG", "CFS": "CFS", "RF": "RF", "Default": "DEFAULT", "GC": "GC", "VGM": "VGM"}
 TYPE_PREFIX = {"Cutoff": "CUT", "Availability": "AVA"}
-# The eleven (nature, type) lookups of the mart, anchor first.
+# The eleven (nature, type) lookups of the mart, anchor first, and their fields.
 CUT_AVA_COMBOS = [
     ("DG", "Cutoff"), ("CFS", "Cutoff"), ("RF", "Cutoff"), ("Default", "Cutoff"),
     ("GC", "Cutoff"), ("VGM", "Cutoff"), ("DG", "Availability"), ("CFS", "Availability"),
@@ -64,10 +65,11 @@ CUT_AVA_COMBOS = [
 ]
 CUT_AVA_FIELDS = {"IODT": "DATE_IODT", "LOC": "DATE_LOC"}
 
+# The call sequences: (groups, order).  The association's id comes last, so the order is total.
 SEQUENCES = {
-    "ARR_PORT_CALL_SEQ_FIX": (["ARR_VOY_CDE", "STOP_PORT_ID"], ["VOY_CDE", "VOY_SEQ", "STOP_ID"]),
-    "DEP_PORT_CALL_SEQ_FIX": (["DEP_VOY_CDE", "STOP_PORT_ID"], ["VOY_CDE", "VOY_SEQ", "STOP_ID"]),
-    "PORT_CALL_SEQ": (["VOY_CDE", "STOP_PORT_ID"], ["VOY_SEQ", "STOP_ID"]),
+    "ARR_PORT_CALL_SEQ_FIX": (["ARR_VOY_CDE", "STOP_PORT_ID"], ["VOY_CDE", "VOY_SEQ", "STOP_ID", "VOY_STOP_ASSN_ID"]),
+    "DEP_PORT_CALL_SEQ_FIX": (["DEP_VOY_CDE", "STOP_PORT_ID"], ["VOY_CDE", "VOY_SEQ", "STOP_ID", "VOY_STOP_ASSN_ID"]),
+    "PORT_CALL_SEQ": (["VOY_CDE", "STOP_PORT_ID"], ["VOY_SEQ", "STOP_ID", "VOY_STOP_ASSN_ID"]),
 }
 
 
@@ -114,7 +116,7 @@ def with_cut_ava(df: DataFrame, cut_ava: DataFrame, combos: Sequence[tuple[str,
         counts.append(F.count(F.when(cond, F.lit(1))))
     anchor_rows = F.count(F.when(_combo_cond(*combos[0]), F.lit(1))).alias("__anchor_rows")
     wide = require_at_most_one(
-        cut_ava.groupBy(stop, carrier).agg(*aggs, F.greatest(*counts).alias("__dup"), anchor_rows),
+        cut_ava.groupBy(stop, carrier).agg(*aggs, (F.greatest(*counts) if len(counts) > 1 else counts[0]).alias("__dup"), anchor_rows),
         "__dup", "cut/ava rows not unique on (stop, carrier, nature, type): use strategy='chain'")
     if anchor == "dg_cutoff":
         wide = wide.where(F.col("__anchor_rows") > 0)
@@ -129,8 +131,10 @@ def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep:
                   combos: Sequence[tuple[str, str]] = CUT_AVA_COMBOS,
                   cut_ava_fields: Mapping[str, str] = CUT_AVA_FIELDS,
                   sequences=SEQUENCES, anchor: str = "dg_cutoff", strategy: str = "pivot",
-                  sequence_strategy: str = "auto", run_ts: _dt.datetime | None = None) -> DataFrame:
-    """JOB2.  With ``strategy="pivot"`` the state lookups cannot fan out (their
+                  sequence_strategy: str = "auto", run_ts: _dt.datetime | None = None,
+                  stage: bool = True) -> DataFrame:
+    """JOB2.  ``stage`` writes the joined spine and the enriched schedule once
+    to the shared folder, so the source tables are read once per role.  With ``strategy="pivot"`` the state lookups cannot fan out (their
     uniqueness is enforced), so they are joined right after the stop lookup,
     on the same ``STOP_ID`` partitioning (one exchange of the spine serves
     both joins when neither lookup is broadcast), and the sequence over
@@ -150,8 +154,9 @@ def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep:
         df = (spine
               .transform(lambda d: lookup_join(d, stop, ["STOP_ID"]))
               .transform(states_join)
-              .transform(lambda d: lookup_join(d, voyage, ["VOY_CDE"]))
-              .transform(lambda d: with_sequences(d, voy_first, sequence_strategy)))
+              .transform(lambda d: lookup_join(d, voyage, ["VOY_CDE"])))
+        # written once: group sizes, sequences and all that follows read this copy
+        df = with_sequences(staged(df, "schedule_spine") if stage else df, voy_first, sequence_strategy)
     else:
         df = (spine
               .transform(lambda d: lookup_join(d, voyage, ["VOY_CDE"]))
@@ -160,5 +165,5 @@ def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep:
               .transform(states_join))
     df = (df.transform(lambda d: coalesce_precedence(d, list(STATE_PREFIX.values()), ltt, "LTT"))
           .transform(lambda d: with_cut_ava(d, cut_ava, combos, anchor, strategy, cut_ava_fields))
-          .transform(lambda d: resolve_operator(d, assignments, vessels)))
+          .transform(lambda d: resolve_operator(d, assignments, vessels, materialize="all" if stage else "small")))
     return df.withColumn("REC_CRE_TS", run_timestamp(run_ts))

@@ -86,7 +86,7 @@ def test_proforma_job(spark):
                      "VENDOR_CODE string, VENDOR_NAME string, TERRITORY_CODE string, SCHEDULE_LENGTH_MIN string, "
                      "MCS string"),
     })
-    out = run_proforma(t, run_ts=RUN)
+    out = run_proforma(t, run_ts=RUN, num_files=5)
     assert out.rdd.getNumPartitions() == 5
     assert rows(out, "PROFM_STOP_ID", "dg_cut_date_day_off", "dg_cut_date_l_hr", "rf_cut_date_day_off",
                 "SVC_CDE") == [("PS1", 2, 11, None, "SVC")]

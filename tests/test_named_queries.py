@@ -4,11 +4,11 @@ tables (sf0.001); the driver runs the same check at sf0.01."""
 import pytest
 
 import __spark_entry__ as entry
+from quayside.plans import named
 from tests.oracle import compare, duck_connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES, ORACLE = named.QUERIES, named.ORACLE
 
 
 @pytest.fixture(scope="module")
