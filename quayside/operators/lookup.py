@@ -91,11 +91,9 @@ def with_state_lookups(df: DataFrame, table: DataFrame, keys: Sequence[str], sta
 
     ``chain``: one join per state; duplicate (key, state) rows multiply rows
     exactly as chained lookup joins do (S10).  ``pivot``: the table is read
-    once, aggregated to one wide row per key, and joined once; a duplicate
-    (key, state) fails the job on the executors (``raise_error``) rather than
-    silently collapsing, so the result is either equal to ``chain`` or absent.
-    (If a query consumes none of the pivoted columns, Catalyst drops the join
-    to the key-unique pivot, and the check with it.)
+    once and aggregated to one row per key that holds each state's rows, joined
+    once, and every state's rows are put out after the join (``expand``): the
+    same rows as ``chain`` for every input, duplicates included.
     """
     items = columns.items() if isinstance(columns, Mapping) else [(c, c) for c in columns]
     if strategy == "chain":
@@ -106,20 +104,22 @@ def with_state_lookups(df: DataFrame, table: DataFrame, keys: Sequence[str], sta
         return out
     if strategy != "pivot":
         raise ValueError(strategy)
-    aggs, counts = [], []
+    aggs, held = [], []
     for value, prefix in states.items():
-        cond = F.col(state_col) == F.lit(value)
-        aggs += [F.max(F.when(cond, F.col(src))).alias(f"{prefix}_{suffix}") for suffix, src in items]
-        counts.append(F.count(F.when(cond, F.lit(1))))
-    dup = F.greatest(*counts) if len(counts) > 1 else counts[0]
-    wide = require_at_most_one(table.groupBy(*keys).agg(*aggs, dup.alias("__dup")), "__dup",
-                               f"{state_col} rows not unique per key: use strategy='chain'")
-    return lookup_join(df, wide, keys, how=how)
-
-
-def require_at_most_one(df: DataFrame, count_col: str, message: str) -> DataFrame:
-    """Fail the job (on the executors, while the rows stream by) if any
-    ``count_col`` exceeds 1; drop the column.  Written as a filter so column
-    pruning cannot remove the check."""
-    ok = F.when(F.col(count_col) <= 1, F.lit(True)).otherwise(F.raise_error(F.lit(message)))
-    return df.where(ok).drop(count_col)
+        row = F.struct(*[F.col(src).alias(f"{prefix}_{suffix}") for suffix, src in items])
+        held.append(f"__{prefix}")
+        aggs.append(rows_where(F.col(state_col) == F.lit(value), row).alias(held[-1]))
+    return expand(lookup_join(df, table.groupBy(*keys).agg(*aggs), keys, how=how), held, how)
+
+
+def rows_where(cond: Column, row: Column) -> Column:
+    """Aggregate: the rows (structs) that meet the condition, as a list."""
+    return F.collect_list(F.when(cond, row))
+
+
+def expand(df: DataFrame, held: Sequence[str], how: str = "left") -> DataFrame:
+    """Put out the rows of each list column in turn, their fields as columns;
+    an empty list keeps the row (``left``) or drops it (``inner``)."""
+    for c in held:
+        df = df.select(*[x for x in df.columns if x != c], F.inline(c) if how == "inner" else F.inline_outer(c))
+    return df

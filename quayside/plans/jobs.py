@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.plans.capacity import capacity_mart
@@ -19,6 +20,7 @@ from quayside.plans.domain_sources import DomainInputs
 from quayside.plans.proforma import proforma_mart
 from quayside.plans.schedule import schedule_mart
 from quayside.plans.user_state import user_state_mart
+from quayside.session import SCALE_CONF
 from quayside.sinks.tables import write_table
 from quayside.sources.tables import TableSource, catalog_tables
 
@@ -77,7 +79,8 @@ JOBS = {"user_state": run_user_state, "schedule": run_schedule, "proforma": run_
 
 def main(argv: list[str] | None = None) -> None:
     """``spark-submit -m quayside.plans.jobs JOB --source-db DB --target-table T
-    [--target-path P] [--format delta] [--table logical=physical ...]``"""
+    [--target-path P] [--format delta] [--table logical=physical ...]``; submit with
+    ``--conf spark.checkpoint.dir=<folder shared by the cluster>``"""
     import argparse
     ap = argparse.ArgumentParser(prog="quayside.plans.jobs")
     ap.add_argument("job", choices=sorted(JOBS))
@@ -91,6 +94,10 @@ def main(argv: list[str] | None = None) -> None:
     if not (a.target_table or a.target_path):
         ap.error("give --target-table and/or --target-path")
     builder = SparkSession.builder.appName(f"quayside-{a.job}")
+    given = SparkContext.getOrCreate().getConf()       # what spark-submit was told wins
+    for k, v in SCALE_CONF.items():
+        if not given.contains(k):
+            builder = builder.config(k, v)
     try:                                   # the metastore, when the cluster has one
         spark = builder.enableHiveSupport().getOrCreate()
     except Exception:  # noqa: BLE001

@@ -25,7 +25,16 @@ from quayside.sources.tables import TableSource, scan_alias
 
 # Fixed values of the re-aiming.
 SCHEDULE_STATES = {"A": "LongTerm", "N": "Coastal", "R": "Actual"}   # l_returnflag
-CARGO_NATURES = {"A": "DG", "N": "RF", "R": "GC"}                      # l_returnflag
+# l_returnflag and the last bit of l_linenumber
+CARGO_NATURES = {"A0": "DG", "A1": "CFS", "N0": "RF", "N1": "Default", "R0": "GC", "R1": "VGM"}
+NATURE_KEY_SQL = "(l_returnflag || CAST(l_linenumber % 2 AS VARCHAR))"
+# arrival/departure column -> (aggregate, days added) of l_shipdate
+ARR_DEP_COLUMNS = {
+    "BERTH_ARRIVAL_IODT": ("min", 0), "BERTH_DEPARTURE_IODT": ("max", 0), "BERTH_ARRIVAL_LOC": ("min", 1),
+    "BERTH_DEPARTURE_LOC": ("max", 1), "PILOT_ARRIVAL_IODT": ("min", 2), "PILOT_DEPARTURE_IODT": ("max", 2),
+    "PILOT_ARRIVAL_LOC": ("min", 3), "PILOT_DEPARTURE_LOC": ("max", 3), "PORT_ARRIVAL_IODT": ("min", 4),
+    "PORT_ARRIVAL_LOC": ("min", 5), "PORT_WAITING": ("max", 6),
+}
 DATE_TYPES = {"F": "Cutoff", "O": "Availability"}                       # l_linestatus
 
 
@@ -89,15 +98,15 @@ def stop_arr_dep(t: TableSource) -> DataFrame:
     li = t("lineitem")
     return (li.groupBy(F.col("l_partkey").alias("STOP_ID"),
                        _label("l_returnflag", SCHEDULE_STATES).alias("SCHEDULE_STATE"))
-            .agg(F.min("l_shipdate").alias("BERTH_ARRIVAL_IODT"),
-                 F.max("l_shipdate").alias("BERTH_DEPARTURE_IODT")))
+            .agg(*[(getattr(F, fn)("l_shipdate") + F.make_dt_interval(F.lit(days))).alias(c)
+                   for c, (fn, days) in ARR_DEP_COLUMNS.items()]))
 
 
 def stop_cut_ava(t: TableSource) -> DataFrame:
     """Stop cut-off/availability rows: one row per (stop, carrier, nature, type)."""
     li = t("lineitem")
     return (li.groupBy(F.col("l_partkey").alias("STOP_ID"), F.col("l_suppkey").alias("CARRIER_ID"),
-                       _label("l_returnflag", CARGO_NATURES).alias("CARGO_NATURE"),
+                       _label(_nature_key(), CARGO_NATURES).alias("CARGO_NATURE"),
                        _label("l_linestatus", DATE_TYPES).alias("TYPE"))
             .agg(F.min("l_shipdate").alias("DATE_IODT"), F.max("l_shipdate").alias("DATE_LOC")))
 
@@ -148,7 +157,7 @@ def proforma_cut_ava(t: TableSource) -> DataFrame:
     """Proforma stop cut-off/availability rows: one per lineitem, measures from the ship date."""
     return scan_alias(t("lineitem"), {
         "profm_stop_id": "l_partkey",
-        "cargo_nature": _label("l_returnflag", CARGO_NATURES),
+        "cargo_nature": _label(_nature_key(), CARGO_NATURES),
         "type": _label("l_linestatus", DATE_TYPES),
         "date_day_off": F.dayofmonth("l_shipdate"),
         "date_l_hr": F.month("l_shipdate"),
@@ -164,10 +173,15 @@ def proforma(t: TableSource) -> DataFrame:
     })
 
 
-def _label(col: str, mapping: dict) -> Column:
+def _nature_key() -> Column:
+    return F.concat("l_returnflag", (F.col("l_linenumber") % 2).cast("string"))
+
+
+def _label(col: str | Column, mapping: dict) -> Column:
+    col = F.col(col) if isinstance(col, str) else col
     expr = None
     for k, v in mapping.items():
-        expr = (F.when(F.col(col) == k, v) if expr is None else expr.when(F.col(col) == k, v))
+        expr = F.when(col == k, v) if expr is None else expr.when(col == k, v)
     return expr
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.scalar import run_timestamp
 from quayside.operators.effective import resolve_operator
-from quayside.operators.lookup import (filtered_lookup, lookup_join, require_at_most_one,
+from quayside.operators.lookup import (expand, filtered_lookup, lookup_join, rows_where,
                                        with_state_lookups)
 from quayside.operators.reshape import coalesce_precedence
 from quayside.operators.sequence import with_sequences
@@ -106,22 +106,18 @@ def with_cut_ava(df: DataFrame, cut_ava: DataFrame, combos: Sequence[tuple[str,
     if strategy != "pivot":
         raise ValueError(strategy)
     has_carrier = F.col(carrier).isNotNull()
-    aggs, counts = [], []
+    aggs, held = [], []
     for i, combo in enumerate(combos):
         cond = _combo_cond(*combo)
         if not (anchor == "dg_cutoff" and i == 0):
             cond = cond & has_carrier           # keyed on (stop, carrier): NULL never matches
-        for suffix, src in fields.items():
-            aggs.append(F.max(F.when(cond, F.col(src))).alias(f"{names[combo]}_{suffix}"))
-        counts.append(F.count(F.when(cond, F.lit(1))))
-    anchor_rows = F.count(F.when(_combo_cond(*combos[0]), F.lit(1))).alias("__anchor_rows")
-    wide = require_at_most_one(
-        cut_ava.groupBy(stop, carrier).agg(*aggs, (F.greatest(*counts) if len(counts) > 1 else counts[0]).alias("__dup"), anchor_rows),
-        "__dup", "cut/ava rows not unique on (stop, carrier, nature, type): use strategy='chain'")
+        row = F.struct(*[F.col(src).alias(f"{names[combo]}_{suffix}") for suffix, src in fields.items()])
+        held.append(f"__{names[combo]}")
+        aggs.append(rows_where(cond, row).alias(held[-1]))
+    wide = cut_ava.groupBy(stop, carrier).agg(*aggs)
     if anchor == "dg_cutoff":
-        wide = wide.where(F.col("__anchor_rows") > 0)
-    cols = [f"{names[c]}_{s}" for c in combos for s in fields]
-    return lookup_join(df, wide.select(stop, carrier, *cols), [stop])
+        wide = wide.where(F.size(held[0]) > 0)
+    return expand(lookup_join(df, wide, [stop]), held)
 
 
 def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep: DataFrame,
@@ -134,12 +130,8 @@ def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep:
                   sequence_strategy: str = "auto", run_ts: _dt.datetime | None = None,
                   stage: bool = True) -> DataFrame:
     """JOB2.  ``stage`` writes the joined spine and the enriched schedule once
-    to the shared folder, so the source tables are read once per role.  With ``strategy="pivot"`` the state lookups cannot fan out (their
-    uniqueness is enforced), so they are joined right after the stop lookup,
-    on the same ``STOP_ID`` partitioning (one exchange of the spine serves
-    both joins when neither lookup is broadcast), and the sequence over
-    ``(VOY_CDE, STOP_PORT_ID)`` follows the voyage join without an exchange of
-    its own.  ``chain`` keeps the reference order."""
+    to the shared folder, so the source tables are read once per role.  With ``strategy="pivot"`` each lookup table is read once; the sequences are
+    numbered before any lookup fans out (S3).  ``chain`` keeps the reference order."""
     states = {s: STATE_PREFIX[s] for s in reversed(STATE_PREFIX)}   # LongTerm, Coastal, Actual
     ltt = [f for f in ltt_fields if f in arr_dep_fields]
 
@@ -153,10 +145,10 @@ def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep:
         voy_first = dict(sorted(sequences.items(), key=lambda kv: "VOY_CDE" not in kv[1][0]))
         df = (spine
               .transform(lambda d: lookup_join(d, stop, ["STOP_ID"]))
-              .transform(states_join)
               .transform(lambda d: lookup_join(d, voyage, ["VOY_CDE"])))
-        # written once: group sizes, sequences and all that follows read this copy
+        # written once: group sizes and sequences read this copy
         df = with_sequences(staged(df, "schedule_spine") if stage else df, voy_first, sequence_strategy)
+        df = states_join(df)
     else:
         df = (spine
               .transform(lambda d: lookup_join(d, voyage, ["VOY_CDE"]))

@@ -23,6 +23,9 @@ SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Lookup chains join on one key again and again; without this a hot key's
+    # partition is left whole wherever a later join reuses the partitioning.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     # Static broadcast decisions use file-size estimates; keep them bounded.

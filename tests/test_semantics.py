@@ -76,13 +76,18 @@ def test_s9_null_nature_ignored_by_pivots(spark):
         assert rows(w, "dg_cut_date_day_off", "gc_cut_date_day_off") == [(5, None)]
 
 
-def test_s10_duplicates_chain_multiplies_pivot_refuses(spark):
-    spine = spark.createDataFrame([("A",)], "STOP_ID string")
+def test_s10_duplicates_multiply_under_both_strategies(spark):
+    spine = spark.createDataFrame([("A",), ("B",), (None,)], "STOP_ID string")
     cut = _cut(spark, [("A", "C1", "DG", "Cutoff", "d1", "l1"), ("A", "C1", "DG", "Cutoff", "d2", "l2"),
-                       ("A", "C1", "RF", "Cutoff", "r1", "l1"), ("A", "C1", "RF", "Cutoff", "r2", "l2")])
-    assert with_cut_ava(spine, cut, COMBOS, strategy="chain").count() == 4
-    with pytest.raises(Exception, match="not unique"):
-        with_cut_ava(spine, cut, COMBOS, strategy="pivot").collect()
+                       ("A", "C1", "RF", "Cutoff", "r1", "l1"), ("A", "C1", "RF", "Cutoff", "r2", "l2"),
+                       ("A", None, "DG", "Cutoff", "d3", None), ("A", None, "RF", "Cutoff", "r3", None),
+                       ("B", None, "RF", "Cutoff", "r4", None), (None, "C1", "DG", "Cutoff", "d5", None)])
+    for anchor in ("dg_cutoff", "all_carriers"):
+        chain = with_cut_ava(spine, cut, COMBOS, anchor=anchor, strategy="chain")
+        pivot = with_cut_ava(spine, cut, COMBOS, anchor=anchor, strategy="pivot")
+        assert rows(pivot, *chain.columns) == rows(chain) and pivot.count() == chain.count()
+    one = with_cut_ava(spine, cut, COMBOS[:1], strategy="pivot")        # a single combination
+    assert rows(one) == rows(with_cut_ava(spine, cut, COMBOS[:1], strategy="chain"), *one.columns)
 
 
 def test_s3_sequences_before_fan_out(spark):
@@ -197,14 +202,16 @@ def test_lookup_rejects_column_clash(spark):
         lookup_join(a, a, ["k"])
 
 
-def test_pivot_guard_is_not_pruned(spark):
-    """The uniqueness guard fires even when only one pivot column is used."""
-    spine = spark.createDataFrame([("S1",)], "STOP_ID string")
+def test_pruned_pivot_keeps_its_rows(spark):
+    """Rows multiply the same when none or one of the pivoted columns is used."""
+    spine = spark.createDataFrame([("S1",), ("S2",)], "STOP_ID string")
     arr = spark.createDataFrame([("S1", "Coastal", "a"), ("S1", "Coastal", "b")],
                                 "STOP_ID string, SCHEDULE_STATE string, BERTH_DEPARTURE_IODT string")
-    out = with_state_lookups(spine, arr, ["STOP_ID"], "SCHEDULE_STATE", STATES, FIELDS, strategy="pivot")
-    with pytest.raises(Exception, match="not unique"):
-        out.select("STOP_ID", "LGMT_BERTH_DEP_IODT").collect()
+    for how in ("left", "inner"):
+        pivot, chain = (with_state_lookups(spine, arr, ["STOP_ID"], "SCHEDULE_STATE", {"Coastal": "CSTL"}, FIELDS, how=how,
+                                           strategy=s) for s in ("pivot", "chain"))
+        assert pivot.count() == chain.count() and rows(pivot) == rows(chain)
+        assert rows(pivot.select("STOP_ID")) == rows(chain.select("STOP_ID"))
 
 
 def test_small_helpers(spark):
