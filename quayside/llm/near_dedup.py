@@ -17,12 +17,16 @@ is its one shingle.  Texts with 100 * intersection >= 75 * union are linked.
    enough rare keys.
 4. Links are confirmed on the full sets.  First each member of a list is
    compared with the list's most typical class (whose coordinates are posted
-   most often), and the confirmed links are joined to components.  Then, list
-   by list, members of different components are paired, but never two members
-   of the list's largest component; pairs that agree in fewer than
-   ``MATCHES`` coordinates are left out, the others confirmed, and components
-   made of all links.  Pairs inside a component could not change it, so no
-   list is ever expanded into all its pairs, and no list is capped.
+   most often), and the confirmed links are joined to components.
+5. Classes that share a list with another component are looked at again,
+   with their shingles as keys: of two sets with similarity 0.75 or more each
+   has a shingle of the other among its rarest quarter (and one), so a passage
+   must be most of a text to bring its quoters together.  Classes that are
+   connected by such lists form a group.  In each group the classes outside
+   its largest component are compared with all others, block by block, as
+   products of 0-1 matrices; only links come out, at most one for a class and
+   another component.  Pairs inside a component could not change it, so no
+   list is ever expanded into its pairs, and no list is capped.
 
 Edge cases: null, empty or wordless texts have an empty set and are linked
 with nothing; null ids take part, and a component's id is the smallest
@@ -52,6 +56,8 @@ PERCENT = 75
 SEED = 20240229
 MEMO_WORDS = 500_000
 FILTER_BITS = 1 << 26
+#: A block of sets that is compared with another: so many sets, or so many items if they are long.
+BLOCK_SETS, BLOCK_ITEMS = 512, 1_000_000
 
 
 def miss_chance(similarity: float = PERCENT / 100, coords: int = COORDS, matches: int = MATCHES) -> float:
@@ -172,65 +178,144 @@ def _fits(n: str, m: str) -> Column:
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that are links, on their full sets."""
-    one = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("items_a"))
-    two = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("items_b"))
+    one = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("items_a"))
+    two = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("items_b"))
     both = F.size(F.array_intersect("items_a", "items_b"))
     joined = pairs.select("a", "b").join(one, "a").join(two, "b").withColumn("both", both)
     return joined.filter(F.col("both") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("both")) * PERCENT).select("a", "b")
 
 
+def _rarest(posted: DataFrame, size: Column) -> DataFrame:
+    """Of each class's keys the ``size`` rarest, where that many aren't its
+    alone.  ``posted``: (id, n, whole, key), ``whole`` the number of keys."""
+    shared = posted.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    own = (posted.join(shared, "key").groupBy("id", "n", "whole")
+           .agg(F.sort_array(F.collect_list(F.struct("c", "key"))).alias("held"), F.sum("c").alias("typical")))
+    # keys that nobody else has are the rarest; they fill the prefix first
+    left = size - (F.col("whole") - F.size("held"))
+    return (own.filter(left > 0).select("id", "n", "typical", F.explode(F.slice("held", F.lit(1), left.cast("int"))).alias("e"))
+            .select("id", "n", "typical", F.col("e.key").alias("key")))
+
+
+def _open(lists: DataFrame, comp: DataFrame, name: str) -> DataFrame:
+    """The lists (key, id, n) that hold several components, with each member's
+    component and the list's largest one (``main``)."""
+    placed = lists.join(comp, lists["id"] == comp["node"], "left").withColumn("component", F.coalesce("component", "id"))
+    placed = staged(placed.select("key", "id", "n", "component"), name)
+    per = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
+    main = staged(per.groupBy("key").agg(F.max(F.struct("c", "component")).alias("m"), F.count("*").alias("parts"))
+                  .filter("parts > 1").select("key", F.col("m.component").alias("main")), "list_mains")
+    return placed.join(main, "key")
+
+
+def _between(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between components among the classes of ``open_``: at
+    least one for each class and other component that it has a link to."""
+    least = open_.groupBy("key").agg(F.min("id").alias("b"))
+    group = staged(components(staged(open_.join(least, "key").select(F.col("id").alias("a"), "b").distinct(), "list_edges")), "groups")
+    whole = sets.join(open_.select("id", "component").distinct(), "id").join(
+        group.select(F.col("node").alias("id"), F.col("component").alias("g")), "id")
+    whole = staged(whole, "group_sets")
+    per = whole.groupBy("g", "component").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    sizes = per.groupBy("g").agg(F.max(F.struct("c", "component")).alias("m"), F.sum("c").alias("c"), F.sum("s").alias("s"), F.count("*").alias("parts"))
+    sizes = staged(sizes.filter("parts > 1").select("g", F.col("m.component").alias("main"), F.ceil(
+        F.greatest(F.col("c") / BLOCK_SETS, F.col("s") / BLOCK_ITEMS)).cast("int").alias("blocks")), "group_sizes")
+    cut = whole.join(sizes, "g").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    left = cut.filter("component <> main").select("g", "id", "n", "component", "items", "mine", every).select(
+        "g", F.col("mine").alias("i"), F.col("other").alias("j"), "id", "n", "component", "items")
+    right = cut.select("g", "id", "n", "component", "items", "mine", every).select(
+        "g", F.col("other").alias("i"), F.col("mine").alias("j"), "id", "n", "component", "items")
+    right = right.toDF(*[f"{c}_" for c in right.columns])       # other names, as both sides come from one table
+    pairs = left.groupBy("g", "i", "j").cogroup(right.groupBy("g_", "i_", "j_")).applyInArrow(compare_blocks, "a long, b long")
+    return pairs.distinct()
+
+
+def _flat(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(member, item) of all items of a block."""
+    column = rows["items"].combine_chunks()
+    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    lens = np.diff(column.offsets.to_numpy())
+    return np.repeat(np.arange(len(lens)), lens), column.flatten().to_numpy()
+
+
+def compare_blocks(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The links of the sets of one block to those of another: intersections
+    as products of 0-1 matrices over the items that both blocks have."""
+    none = pa.table([pa.array([], pa.int64())] * 2, names=["a", "b"])
+    right = right.rename_columns([c.rstrip("_") for c in right.column_names])
+    if not left.num_rows or not right.num_rows:
+        return none
+    (who, items), (whom, others) = _flat(left), _flat(right)
+    common = np.intersect1d(items, others)
+    at, to = np.searchsorted(common, items), np.searchsorted(common, others)
+    keep = np.flatnonzero((at < len(common)) & (common[np.minimum(at, len(common) - 1)] == items)) if len(common) else []
+    keep_to = np.flatnonzero((to < len(common)) & (common[np.minimum(to, len(common) - 1)] == others)) if len(common) else []
+    both = np.zeros((left.num_rows, right.num_rows), np.float32)      # exact: sets have fewer than 2^24 items
+    if len(common):
+        who, at, whom, to = who[keep], at[keep], whom[keep_to], to[keep_to]
+        by, by_to = np.argsort(at, kind="stable"), np.argsort(to, kind="stable")
+        who, at, whom, to = who[by], at[by], whom[by_to], to[by_to]
+        for low in range(0, len(common), 4096):
+            x, y = (np.zeros((rows.num_rows, min(4096, len(common) - low)), np.float32) for rows in (left, right))
+            s, t = (slice(*np.searchsorted(v, [low, low + 4096])) for v in (at, to))
+            x[who[s], at[s] - low] = 1
+            y[whom[t], to[t] - low] = 1
+            both += x @ y.T
+    n, m = left["n"].to_numpy()[:, None], right["n"].to_numpy()[None, :]
+    both = both.astype(np.int64)
+    link = both * 100 >= (n + m - both) * PERCENT
+    mine, theirs = left["component"].to_numpy(), right["component"].to_numpy()
+    link &= mine[:, None] != theirs[None, :]
+    x, y = np.nonzero(link)
+    if not len(x):
+        return none
+    # one link for a class and another component is enough
+    _, one = np.unique(np.stack([x, theirs[y]]), axis=1, return_index=True)
+    a, b = left["id"].to_numpy()[x[one]], right["id"].to_numpy()[y[one]]
+    return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
 def links(docs: DataFrame, coords: int = COORDS, matches: int = MATCHES) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents with their class, components of classes, confirmed links)."""
+    """(documents with their class, classes with their component, confirmed links between classes)."""
     docs = docs.select("doc_id", "text")
     rows = staged(signed(docs, coords), "signed")
-    classes = staged(rows.filter("node IS NOT NULL").groupBy("node")
-                     .agg(F.min("text_key").alias("text_key"), F.max("n_shingles").alias("n"), F.first("sig").alias("sig")),
-                     "classes")
-    keys = classes.select("node", "n", F.posexplode("sig").alias("k", "v")).select("node", "n", F.xxhash64("k", "v").alias("key"))
-    posted = keys.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
-    own = (keys.join(posted, "key").groupBy("node", "n")
-           .agg(F.sort_array(F.collect_list(F.struct("c", "key"))).alias("held"), F.sum("c").alias("typical")))
-    # keys that nobody else has are the rarest; they fill the prefix first
-    left = F.lit(coords - matches + 1) - (F.lit(coords) - F.size("held"))
-    lists = staged(own.filter(left > 0).select("node", "n", "typical", F.explode(F.slice("held", 1, left)).alias("e"))
-                   .select("node", "n", "typical", F.col("e.key").alias("key")), "lists")
-
-    top = staged(lists.groupBy("key").agg(F.max(F.struct("typical", "node", "n")).alias("top"), F.count("*").alias("c"))
-                 .filter("c > 1").select("key", F.col("top.node").alias("b"), F.col("top.n").alias("n_b")), "list_tops")
-    lists = staged(lists.join(top.select("key"), "key"), "shared_lists")
-    wanted = classes.join(lists.select("node").distinct(), "node", "left_semi").select("text_key")
-    sets = staged(full_sets(docs, wanted).dropDuplicates(["node"]), "sets")
-
-    stars = (lists.join(top, "key").filter((F.col("node") != F.col("b")) & _fits("n", "n_b"))
-             .select(F.col("node").alias("a"), "b").distinct())
+    classes = (rows.filter("node IS NOT NULL").groupBy("node")
+               .agg(F.min("text_key").alias("text_key"), F.max("n_shingles").alias("n"), F.first("sig").alias("sig")))
+    classes = staged(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+
+    keys = classes.select("id", "n", F.posexplode("sig").alias("k", "v")).select(
+        "id", "n", F.lit(coords).alias("whole"), F.xxhash64("k", "v").alias("key"))
+    lists = staged(_rarest(keys, F.lit(coords - matches + 1)), "lists")
+    top = staged(lists.groupBy("key").agg(F.max(F.struct("typical", "id", "n")).alias("top"), F.count("*").alias("c"))
+                 .filter("c > 1").select("key", F.col("top.id").alias("b"), F.col("top.n").alias("n_b")), "list_tops")
+    lists = staged(lists.join(top.select("key"), "key").select("key", "id", "n"), "shared_lists")
+    wanted = staged(classes.join(lists.select("id").distinct(), "id", "left_semi").select("id", "node", "text_key"), "wanted")
+    sets = full_sets(docs, wanted.select("text_key")).dropDuplicates(["node"])
+    sets = staged(sets.join(wanted.select("node", "id"), "node").select("id", "n", "items"), "sets")
+
+    stars = (lists.join(top, "key").filter((F.col("id") != F.col("b")) & _fits("n", "n_b"))
+             .select(F.col("id").alias("a"), "b").distinct())
     first = staged(confirmed(staged(stars, "stars"), sets), "star_links")
     comp = staged(components(first), "star_components")
 
-    placed = lists.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = staged(placed.select("key", "node", "n", "component"), "placed_lists")
-    per = staged(placed.groupBy("key", "component").agg(F.count("*").alias("c")), "list_components")
-    main = (per.groupBy("key").agg(F.max(F.struct("c", "component")).alias("m"), F.count("*").alias("parts"))
-            .filter("parts > 1").select("key", F.col("m.component").alias("main")))
-    open_ = staged(placed.join(main, "key"), "open_lists")
-    rest = open_.filter("component <> main").select("key", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("c_x"))
-    cross = open_.select("key", F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("c_y"), "main")
-    pairs = (rest.join(cross, "key")
-             .filter((F.col("c_x") != F.col("c_y")) & _fits("n_x", "n_y") & ((F.col("c_y") == F.col("main")) | (F.col("x") < F.col("y"))))
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    pairs = staged(pairs, "cross_pairs")
-    one = classes.select(F.col("node").alias("a"), F.col("sig").alias("s"))
-    two = classes.select(F.col("node").alias("b"), F.col("sig").alias("t"))
-    agree = F.size(F.filter(F.arrays_zip("s", "t"), lambda z: z["s"] == z["t"]))
-    near = staged(pairs.join(one, "a").join(two, "b").filter(agree >= matches).select("a", "b"), "near_pairs")
-    found = staged(first.union(confirmed(near, sets)), "links")
-    return rows, components(found), found
+    # what is left: classes that share a list with another component, now by the rarest quarter of their sets
+    some = staged(_open(lists, comp, "placed_lists").select("id").distinct(), "open_classes")
+    items = sets.join(some, "id", "left_semi").select("id", "n", F.col("n").alias("whole"), F.explode("items").alias("key"))
+    rarest = staged(_rarest(items, F.col("whole") - F.ceil(F.col("whole") * PERCENT / 100) + 1).select("key", "id", "n"), "item_lists")
+    open_ = staged(_open(rarest, comp, "placed_items"), "open_items")
+    late = _between(open_, sets)
+    found = staged(first.union(late), "links")
+    return rows, classes.select("node", "id").join(
+        components(found).withColumnRenamed("node", "id"), "id", "left").select(
+        "node", F.coalesce("component", "id").alias("component")), found
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``."""
     rows, comp, _ = links(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
     least = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
-    least = staged(least.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")), "class_ids")
+    least = staged(least.join(comp, "node"), "class_ids")
     whole = least.groupBy("component").agg(F.min("least").alias("component_id"))
     ids = staged(least.join(whole, "component").select("node", "component_id"), "component_ids")
     out = rows.select("doc_id", "n_shingles", "node").join(ids, "node", "left")
