@@ -28,6 +28,9 @@ count as often as they are there.
 from __future__ import annotations
 
 import re
+import sys
+import types
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -47,6 +50,8 @@ LEAST = 1e-300
 SMOOTH = 0.1
 #: Distinct words that a task holds at once.
 HELD_WORDS = 200_000
+#: Words whose scores a worker keeps.
+MEMO_WORDS = 1_000_000
 _LONG = re.compile(r"\S{%d,}" % (WORD + 1))
 
 
@@ -75,7 +80,8 @@ class Vocabulary:
             if sp.is_byte(i):
                 self.bytes[int(piece[3:5], 16)] = i
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)) and len(piece) <= WORD + 1:
-                by_len.setdefault(len(piece), []).append((int(self._hash(_points([piece]), len(piece))[0, 0]), i))
+                *_, (_, h) = self._hashes(_points([piece]), len(piece))
+                by_len.setdefault(len(piece), []).append((int(h[0, 0]), i))
         self.table = {}
         for n, rows in by_len.items():
             rows.sort()
@@ -83,26 +89,25 @@ class Vocabulary:
         self.longest = max(self.table)
 
     @staticmethod
-    def _hash(points: np.ndarray, n: int) -> np.ndarray:
-        """64-bit hashes of all windows of ``n`` code points in each row."""
-        wide = points.shape[1] - n + 1
-        h = np.full((len(points), wide), n, np.uint64)
-        for k in range(n):
-            h = (h ^ points[:, k:k + wide]) * np.uint64(0x9E3779B97F4A7C15)
+    def _hashes(points: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(n, 64-bit hashes of all windows of n code points in each row), n ascending."""
+        h = np.full(points.shape, 0x51ED270B, np.uint64)
+        for n in range(1, min(longest, points.shape[1]) + 1):
+            wide = points.shape[1] - n + 1
+            h = (h[:, :wide] ^ points[:, n - 1:n - 1 + wide]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
-        return h
+            yield n, h
 
     def lattice(self, points: np.ndarray) -> tuple[dict[int, np.ndarray], list[str]]:
         """For rows of equally many code points: by length, the id of the piece
         that starts at each place (``size`` and above: the characters that
         are returned, -1: none)."""
         found = {}
-        for n, (hashes, ids) in self.table.items():
-            if n > points.shape[1]:
-                continue
-            h = self._hash(points, n)
-            at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-            found[n] = np.where(hashes[at] == h, ids[at], -1)
+        for n, h in self._hashes(points, self.longest):
+            if n in self.table:
+                hashes, ids = self.table[n]
+                at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+                found[n] = np.where(hashes[at] == h, ids[at], -1)
         single = found.get(1)
         if single is None:
             single = np.full(points.shape, -1, np.int64)
@@ -137,6 +142,15 @@ def _extended(vocabulary: Vocabulary, p: np.ndarray, odd: list[str]) -> np.ndarr
     return np.vstack([p, *extra, np.zeros((1, p.shape[1]))])
 
 
+def _add(total: np.ndarray, q: np.ndarray, ids: np.ndarray, rest: np.ndarray) -> None:
+    """``total += q[ids] * rest``, on the words that have a piece here if they are few."""
+    own = np.flatnonzero(ids >= 0)
+    if 2 * len(own) > len(ids):
+        total += q[ids] * rest
+    elif len(own):
+        total[own] += q[ids[own]] * rest[own]
+
+
 def _forward(found: dict[int, np.ndarray], q: np.ndarray, length: int) -> list[np.ndarray]:
     """alpha[j]: (words, languages), the likelihood of the first j characters."""
     n = len(found[1])
@@ -145,7 +159,7 @@ def _forward(found: dict[int, np.ndarray], q: np.ndarray, length: int) -> list[n
         total = np.zeros((n, q.shape[1]))
         for k, ids in found.items():
             if k <= j:
-                total += q[ids[:, j - k]] * alpha[j - k]
+                _add(total, q, ids[:, j - k], alpha[j - k])
         alpha.append(total)
     return alpha
 
@@ -173,15 +187,17 @@ def expected_counts(vocabulary: Vocabulary, p: np.ndarray, words: list[str], cou
             total = np.zeros((len(at), 1))
             for k, ids in found.items():
                 if i + k <= length:
-                    total += q[ids[:, i]] * beta[i + k]
+                    _add(total, q, ids[:, i], beta[i + k])
             beta[i] = total
         whole = alpha[-1]
         weight = np.where(whole > LEAST, counts[at, None] / np.maximum(whole, LEAST), 0.0)
         more = np.zeros(vocabulary.size + len(odd) + 1)
+        ahead, behind = np.stack(alpha)[:, :, 0], np.stack(beta)[:, :, 0]
         for k, ids in found.items():
-            for i in range(length - k + 1):
-                use = (alpha[i] * q[ids[:, i]] * beta[i + k] * weight)[:, 0]
-                np.add.at(more, ids[:, i], use)
+            row, i = np.nonzero(ids >= 0)
+            piece = ids[row, i]
+            use = ahead[i, row] * q[piece, 0] * behind[i + k, row] * weight[row, 0]
+            more[:-1] += np.bincount(piece, use, minlength=len(more) - 1)
         out += more[:vocabulary.size]
         for c, n in zip(odd, more[vocabulary.size:-1]):
             np.add.at(out, vocabulary.byte_ids(c), n)
@@ -267,13 +283,17 @@ def predict(docs: DataFrame, model: Model, carry: list[str], text_col: str = "te
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.schema.fields[:-1])
     at, langs, p, file = len(carry), model.langs, model.p, model.model_file
 
+    model_id = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(file)
-        memo: dict[str, int] = {}
-        scores = np.zeros((0, len(langs)))
+        # a worker keeps the words that it has scored under this model between its tasks
+        kept = sys.modules.setdefault("_quayside_worker", types.ModuleType("_quayside_worker"))
+        if getattr(kept, "model_id", None) != model_id:
+            kept.model_id, kept.words = model_id, {"vocabulary": Vocabulary(file), "memo": {}, "scores": np.zeros((0, len(langs)))}
+        vocabulary, memo, scores = kept.words["vocabulary"], kept.words["memo"], kept.words["scores"]
         for b in batches:
-            for i in range(0, b.num_rows, 256):
-                part = b.slice(i, 256)
+            for i in range(0, b.num_rows, 512):
+                part = b.slice(i, 512)
                 texts = part.column(at).to_pylist()
                 words, ends = [], []
                 for t in texts:
@@ -281,13 +301,13 @@ def predict(docs: DataFrame, model: Model, carry: list[str], text_col: str = "te
                         words += words_of(t)
                     ends.append(len(words))
                 new = [w for w in set(words) if w not in memo]
-                if len(memo) + len(new) > HELD_WORDS:
+                if new and len(memo) + len(new) > MEMO_WORDS:
                     memo.clear()
                     scores = scores[:0]
                     new = list(set(words))
                 if new:
                     memo.update(zip(new, range(len(scores), len(scores) + len(new))))
-                    scores = np.concatenate([scores, word_scores(vocabulary, p, new)])
+                    scores = kept.words["scores"] = np.concatenate([scores, word_scores(vocabulary, p, new)])
                 index = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
                 names, posts, begin = [], [], 0
                 for end in ends:
