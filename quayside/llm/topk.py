@@ -47,7 +47,7 @@ SCALE = 64
 BLOCK = 16_384
 PAGE = 128
 FANOUT = 16
-QUERIES = 512
+QUERIES = 128
 #: Up to here sums of products are exact in doubles.
 EXACT = float(1 << 52)
 
@@ -254,7 +254,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
             yield plant(pa.Table.from_batches(held), done)
 
     trees = rows.repartition(max(1, -(-n // block))).mapInArrow(grow, "file string, n long")
-    trees = staged(trees, "trees").select("file").distinct()
+    trees = staged(trees, "trees").select("file")
     queries = staged(rows.filter(is_query).withColumn("at", F.monotonically_increasing_id()), "queries")
     inside = F.floor(F.col("at").bitwiseAND((1 << 33) - 1) / QUERIES)
     queries = queries.select("uid", F.col("vec_id").alias("query_id"), "v", F.shiftright("at", 33).alias("part"), inside.alias("chunk"))
@@ -273,6 +273,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
         cols = list(zip(*out)) or [()] * 5
         return pa.table([pa.array(c, pa.int64()) for c in cols], names=["quid", "query_id", "vec_id", "uid", "score"])
 
+    # searching is long work on few bytes: as many tasks as there are full units, whatever the bytes
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-queries.count() * trees.count() // QUERIES))
+    units = units.repartition(tasks, "file", "part", "chunk")
     found = units.groupBy("file", "part", "chunk").applyInArrow(search, "quid long, query_id long, vec_id long, uid long, score long")
     order = W.partitionBy("quid").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last(), "uid")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
