@@ -77,6 +77,19 @@ JOBS = {"user_state": run_user_state, "schedule": run_schedule, "proforma": run_
         "capacity": run_capacity}
 
 
+def job_session(name: str) -> SparkSession:
+    """The submitted session, with the settings of ``SCALE_CONF`` that
+    spark-submit wasn't given and the metastore if the cluster has one."""
+    given = SparkContext.getOrCreate().getConf()
+    builder = SparkSession.builder.appName(name)
+    for k, v in SCALE_CONF.items():
+        if not given.contains(k):
+            builder = builder.config(k, v)
+    if given.get("spark.sql.catalogImplementation", "") == "hive":
+        builder = builder.enableHiveSupport()
+    return builder.getOrCreate()
+
+
 def main(argv: list[str] | None = None) -> None:
     """``spark-submit -m quayside.plans.jobs JOB --source-db DB --target-table T
     [--target-path P] [--format delta] [--table logical=physical ...]``; submit with
@@ -93,15 +106,7 @@ def main(argv: list[str] | None = None) -> None:
     a = ap.parse_args(argv)
     if not (a.target_table or a.target_path):
         ap.error("give --target-table and/or --target-path")
-    builder = SparkSession.builder.appName(f"quayside-{a.job}")
-    given = SparkContext.getOrCreate().getConf()       # what spark-submit was told wins
-    for k, v in SCALE_CONF.items():
-        if not given.contains(k):
-            builder = builder.config(k, v)
-    try:                                   # the metastore, when the cluster has one
-        spark = builder.enableHiveSupport().getOrCreate()
-    except Exception:  # noqa: BLE001
-        spark = builder.getOrCreate()
+    spark = job_session(f"quayside-{a.job}")
     names = dict(kv.split("=", 1) for kv in a.table)
     JOBS[a.job](catalog_tables(spark, a.source_db), target_path=a.target_path,
                 target_table=a.target_table, fmt=a.format, names=names)
