@@ -51,7 +51,9 @@ SMOOTH = 0.1
 #: Distinct words that a task holds at once.
 HELD_WORDS = 200_000
 #: Words whose scores a worker keeps.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 600_000
+#: Words of a language that a learning task looks at together.
+EM_WORDS = 50_000
 _LONG = re.compile(r"\S{%d,}" % (WORD + 1))
 
 
@@ -253,13 +255,24 @@ def learn(labelled: DataFrame, model_file: str, rounds: int = ROUNDS) -> Model:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             vocabulary = Vocabulary(model_file)
             got = np.zeros((len(langs), size))
-            for b in batches:
-                lang = np.array(b.column(0).to_pylist(), object)
-                words, n = b.column(1).to_pylist(), b.column(2).to_numpy().astype(float)
-                for k in set(lang.tolist()):
-                    m = np.flatnonzero(lang == k)
-                    g = langs.index(k)
-                    got[g] += expected_counts(vocabulary, held[:, g:g + 1], [words[i] for i in m], n[m])
+            words: list[list[str]] = [[] for _ in langs]
+            counts_: list[list[int]] = [[] for _ in langs]
+
+            def spend(g: int) -> None:
+                if words[g]:
+                    got[g] += expected_counts(vocabulary, held[:, g:g + 1], words[g], np.array(counts_[g], float))
+                    words[g], counts_[g] = [], []
+
+            place = {k: g for g, k in enumerate(langs)}
+            for b in batches:       # many words together, so that those of one length come in large groups
+                for k, w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                    words[place[k]].append(w)
+                    counts_[place[k]].append(n)
+                for g in range(len(langs)):
+                    if len(words[g]) >= EM_WORDS:
+                        spend(g)
+            for g in range(len(langs)):
+                spend(g)
             for g, k in enumerate(langs):
                 used = np.flatnonzero(got[g])
                 yield pa.RecordBatch.from_arrays(
