@@ -24,7 +24,7 @@ import types
 
 import numpy as np
 
-CHUNKS, TOKENS, IDS = 300_000, 1_100_000, 6_000_000
+CHUNKS, TOKENS, IDS = 600_000, 1_100_000, 6_000_000
 #: Characters of text handled at once.
 BATCH_CHARS = 1_500_000
 
