@@ -45,7 +45,7 @@ from quayside.llm.common import scratch_path, staged
 
 SCALE = 64
 BLOCK = 16_384
-PAGE = 128
+PAGE = 512
 FANOUT = 16
 QUERIES = 128
 #: Up to here sums of products are exact in doubles.
@@ -180,7 +180,12 @@ class Tree:
                     rows = rows[chance(np.abs(d - self.entry_d[rows])) >= floor]
                 if not len(rows):
                     continue
-                scores = self.points[rows] @ q
+                whole = slice(self.lo[node], self.hi[node])
+                if 4 * len(rows) > 3 * (whole.stop - whole.start):     # nearly the whole page: no copy of its rows
+                    rows = np.arange(whole.start, whole.stop)
+                    scores = self.points[whole] @ q
+                else:
+                    scores = self.points[rows] @ q
                 self.computed += len(rows)
                 for i in np.flatnonzero(scores >= floor).tolist():
                     r = int(rows[i])
