@@ -7,8 +7,12 @@ adverts, forms or reader comments, by tag, role, class or id, are left out
 with all they hold.  Every text block passes points, for its length and its
 commas, to the container it stands in, half of them to the next ancestor and
 a third to the one above.  A container's points are discounted by its link
-density; the best container and those of its siblings that score well are
-kept, and their text blocks are joined in page order.
+density.  The best container stands for its whole: the outermost ``article``
+or ``main`` around it, or without one the outermost ancestor up to which the
+text that comes along isn't mostly links.  All of the whole that isn't left
+out is kept, however short (sections, headings, quotes, tables), but for lists
+and boxes of bare links; text blocks and scored containers beside the whole
+are kept too.  The text blocks are joined in page order.
 
 Result: character references decoded, white space in a block turned into one
 space, blocks trimmed and joined by a line feed.
@@ -57,6 +61,8 @@ BAD_NAME = frozenset("""ad ads adv advert adverts advertisement advertising adbo
     pagination pager toolbar widget copyright skip hidden rail outbrain taboola""".split())
 GOOD_NAME = frozenset("article content post entry main story text body".split())
 KEEP_TAG = frozenset("html body article main".split())
+#: Blocks that are kept beside the article, if they aren't links.
+BESIDE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre ul ol dl table figure article main".split())
 
 
 def _attributes(raw: str) -> tuple[bool, bool]:
@@ -239,6 +245,24 @@ class Page:
         return found
 
 
+def _whole(page: Page, best: int, size: list[int], linked: list[int]) -> int:
+    """The element that holds the best container and all that belongs to it:
+    the outermost article or main around it, or else the outermost ancestor
+    up to which the text that comes along isn't mostly links."""
+    path = [best]
+    while page.parent[path[-1]] >= 0:
+        path.append(page.parent[path[-1]])
+    named = [k for k in path if page.tag[k] in ("article", "main")]
+    if named:
+        return named[-1]
+    top = best
+    for k in path[1:]:
+        if linked[k] - linked[top] > 0.5 * (size[k] - size[top]):
+            break
+        top = k
+    return top
+
+
 def main_text(source: str | None) -> str:
     """The main text of one page."""
     if not source:
@@ -272,23 +296,23 @@ def main_text(source: str | None) -> str:
     best = max(range(n), key=lambda k: (score[k], -k))
     if not score[best]:
         best = next((k for want in ("article", "main", "body") for k in range(n) if tag[k] == want and not page.out[k]), 0)
-    enough = max(10, 0.2 * score[best])
+    top = _whole(page, best, size, linked)
 
-    def sibling(k: int) -> bool:
-        density = linked[k] / max(1, size[k])
-        if score[k] >= enough:
-            return True
-        return tag[k] == "h1" and not density or tag[k] == "p" and (size[k] > 80 and density < 0.25 or size[k] > 0 and not density)
+    def dense(k: int, share: float) -> bool:
+        return linked[k] > share * size[k]
 
+    inside = [False] * n           # of the best container
     kept = [False] * n
     for k in range(n):
         up = parent[k]
-        if k == best or up >= 0 and kept[up]:
-            # a list or box of links inside the article is a menu
-            menu = k != best and tag[k] in ("ul", "ol", "div", "section", "table") and links[k] >= 3 and linked[k] > 0.6 * size[k]
-            kept[k] = not menu
-        elif up >= 0 and up == parent[best] and not page.out[k]:
-            kept[k] = sibling(k)
+        inside[k] = k == best or up >= 0 and inside[up]
+        if k == top or up >= 0 and kept[up]:
+            # a list or box of bare links is a menu; numbered lists and tables of links are references
+            box = tag[k] in ("ul", "div", "section") and (links[k] >= 3 or not inside[k])
+            kept[k] = k in (top, best) or not (box and dense(k, 0.8))
+        elif up >= 0 and up == parent[top] and not page.out[k]:
+            # beside the whole: text blocks and scored containers, however they compare with the best
+            kept[k] = not dense(k, 0.25) and (tag[k] in BESIDE or score[k] >= 10)
     return "\n".join(text for node, text, _ in blocks if kept[node])
 
 

@@ -219,6 +219,28 @@ def test_article_is_found(page):
     assert main_text(page) == TEXT
 
 
+LONG = "".join(f"<p>Paragraph {i}, of the long part, has commas, and many words in it, as articles do.</p>" for i in range(40))
+BODY = LONG.replace("<p>", "").replace("</p>", "\n")
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<body><article><h1>Title</h1><section>{LONG}</section><section><h2>Second</h2><p>Short.</p></section></article>",
+     f"Title\n{BODY}Second\nShort."),
+    (f"<main><article><header><h1>Title</h1><p>By A.</p></header><div class=entry-content>{LONG}</div><h2>Notes</h2>"
+     "<blockquote>Said so.</blockquote><pre>x = 1</pre><ul><li>one</li></ul><table><tr><td>cell</table>"
+     "<figure><figcaption>A figure</figcaption></figure></article></main>",
+     f"Title\nBy A.\n{BODY}Notes\nSaid so.\nx = 1\none\ncell\nA figure"),
+    (f"<body><div id=w><h1>Title</h1><div>{LONG}</div><h2>More</h2><div><p>Short.</p></div></div><div><a>Home</a> <a>About</a> <a>Us</a></div>",
+     f"Title\n{BODY}More\nShort."),
+    (f"<article><div>{LONG}</div><h2>References</h2><ol><li><a>Ref one</a></li><li><a>Ref two</a></li><li><a>Ref three</a></li></ol></article>",
+     f"{BODY}References\nRef one\nRef two\nRef three"),
+    (f"<article>{LONG}<table><tr><td><a>A</a><td><a>B</a><td><a>C</a></table></article>", f"{BODY}A\nB\nC"),
+    (f"<article><div>{LONG}</div><div><a>Read on</a></div></article>", BODY.rstrip()),
+])
+def test_the_whole_article_is_kept(page, text):
+    assert main_text(page) == text
+
+
 def test_inline_markup_stays_in_its_block():
     assert main_text("<article><p>One <b>bold</b>, <i>two</i><br>three &lt;4 &eacute;&#233;&#xe9; 5 < 6</p></article>") \
         == "One bold, two three <4 ééé 5 < 6"
