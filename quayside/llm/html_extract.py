@@ -4,7 +4,10 @@ A page is parsed into a tree (unclosed paragraphs, list items and inline tags
 are closed as browsers do; scripts, styles and other raw elements are left
 out).  Elements that are navigation, headers, footers, sidebars, notices,
 adverts, forms or reader comments, by tag, role, class or id, are left out
-with all they hold.  Every text block passes points, for its length and its
+with all they hold.  Of a class or id whole names count, or the first or last
+word of a compound one (``no-sidebar``, ``has-header`` or ``overflow-hidden``
+don't).  A name or a ``form`` never leaves out ``main``, the article or most of
+the page's paragraph text; if nothing is left, names and forms don't count.  Every text block passes points, for its length and its
 commas, to the container it stands in, half of them to the next ancestor and
 a third to the one above.  A container's points are discounted by its link
 density.  The best container stands for its whole: the outermost ``article``
@@ -28,6 +31,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -59,22 +63,59 @@ BAD_NAME = frozenset("""ad ads adv advert adverts advertisement advertising adbo
     consent gdpr notice notices notification alert popup modal overlay comment comments disqus reply replies respond
     discussion share sharing social related recommended newsletter subscribe subscription signup login signin form search
     pagination pager toolbar widget copyright skip hidden rail outbrain taboola""".split())
+#: Of these only the whole name counts, of the others also the last word of a compound name ...
+WHOLE_NAME = frozenset("widget hidden skip header".split())
+#: ... and of all but these the first word as well, or the last one of a name with a good word in it.
+LAST_NAME = WHOLE_NAME | frozenset("""form search overlay banner notice notices notification alert popup modal rail ad ads
+    toolbar login signin signup reply replies respond discussion sponsor sponsored promo promotion""".split())
+FIRST_NAME = BAD_NAME - LAST_NAME | frozenset("ad ads promo sponsor sponsored".split())
+COMPOUND = frozenset("sr-only visually-hidden is-hidden site-header main-header top-header global-header".split())
+#: Words of a compound name that tell how the page is laid out.
+LAYOUT = frozenset("no non not has have having with without hide overflow layout".split())
+#: Reader comments can have more text than the article.
+COMMENTS = frozenset("comment comments disqus reply replies respond discussion".split())
 GOOD_NAME = frozenset("article content post entry main story text body".split())
 KEEP_TAG = frozenset("html body article main".split())
+NO_NAMES, HEADER, FORM = frozenset(), frozenset({"header"}), frozenset({"form"})
 #: Blocks that are kept beside the article, if they aren't links.
 BESIDE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre ul ol dl table figure article main".split())
 
 
-def _attributes(raw: str) -> tuple[bool, bool]:
-    """(left out, looks like content)"""
+def _bad_word(token: str) -> str:
+    """The word for which a class or id is one that isn't main text, or ""."""
+    words = [w.lower() for w in _WORDS.findall(token)]
+    if not words:
+        return ""
+    first, last = words[0], words[-1]
+    if len(words) == 1:
+        return last if last in BAD_NAME else ""
+    if "-".join(words) in COMPOUND:
+        return last
+    if not LAYOUT.isdisjoint(words):
+        return ""
+    if last in BAD_NAME and last not in WHOLE_NAME and (last in FIRST_NAME or GOOD_NAME.isdisjoint(words)):
+        return last
+    return first if first in FIRST_NAME else ""
+
+
+@lru_cache(65_536)
+def _name(value: str) -> tuple[frozenset[str], bool]:
+    """(bad words, looks like content) of a class or id."""
+    return (frozenset(w for w in map(_bad_word, value.split()) if w),
+            not GOOD_NAME.isdisjoint(w.lower() for w in _WORDS.findall(value)))
+
+
+def _attributes(raw: str) -> tuple[bool, frozenset[str], bool]:
+    """(left out, bad words of the names, looks like content)"""
     bad = good = False
+    names = NO_NAMES
     for m in _ATTR.finditer(raw):
         name = m[1].lower()
         value = m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
-            words = {w.lower() for w in _WORDS.findall(value)}
-            bad |= not BAD_NAME.isdisjoint(words)
-            good |= not GOOD_NAME.isdisjoint(words)
+            words, content = _name(value)
+            names |= words
+            good |= content
         elif name == "role":
             bad |= value.strip().lower() in BAD_ROLE
             good |= value.strip().lower() in ("main", "article")
@@ -84,7 +125,7 @@ def _attributes(raw: str) -> tuple[bool, bool]:
             bad |= value.strip().lower() == "true"
         elif name == "style":
             bad |= re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) is not None
-    return bad, good
+    return bad, names, good
 
 
 class Page:
@@ -93,17 +134,76 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.out, self.good, self.link = ["html"], [-1], [False], [False], [False]
+        self.named: dict[int, bool] = {}    # left out by name or as a form; True for reader comments
         self.texts: list[tuple[int, str] | None] = []     # None: the edge of a block
         self._parse(source)
+        self.hard = self.out
+        if self.named:
+            self.out = self._left_out()
+
+    def _spread(self, named) -> list[bool]:
+        """``out`` when these nodes are left out too."""
+        out = self.hard[:]
+        for k in range(1, len(out)):
+            out[k] = out[k] or out[self.parent[k]] or k in named
+        return out
+
+    def _left_out(self) -> list[bool]:
+        """``out`` with the named elements, but for those that hold the main
+        text: ``main``, an article with more paragraph text than the names
+        leave, or most of the page's paragraph text."""
+        tag, parent, n = self.tag, self.parent, len(self.tag)
+        within = [False] * n        # a paragraph
+        for k in range(1, n):
+            within[k] = within[parent[k]] or tag[k] == "p"
+        prose, loose = [0] * n, [0] * n
+        for t in self.texts:
+            if t is not None and not self.hard[t[0]] and not self.link[t[0]]:
+                size = len(t[1].strip())
+                loose[t[0]] += size
+                if within[t[0]]:
+                    prose[t[0]] += size
+        if not any(prose):          # a page without paragraphs
+            prose = loose
+        out = self._spread(self.named)
+        left = sum(prose[k] for k in range(n) if not out[k])
+        for k in range(n - 1, 0, -1):
+            prose[parent[k]] += prose[k]
+        comments = [False] * n
+        for k in range(1, n):
+            comments[k] = comments[parent[k]] or self.named.get(k, False)
+        held = [k for k in range(n) if tag[k] == "main" and not self.hard[k]]
+        articles = [k for k in range(n) if tag[k] == "article" and out[k] and not self.hard[k] and not comments[k]]
+        if articles:
+            longest = max(articles, key=lambda k: (prose[k], -k))
+            if prose[longest] > left:
+                held.append(longest)
+        spared = {k for k, comment in self.named.items() if 2 * prose[k] > prose[0] and not (comment and left)}
+        for k in held:
+            while k > 0:
+                spared.add(k)
+                k = parent[k]
+        return self._spread(self.named.keys() - spared)
+
+    def without_names(self) -> bool:
+        """A second look, if names left anything out: is there more to see?"""
+        if not self.named:
+            return False
+        self.out = self.hard
+        return True
 
     def _open(self, tag: str, raw: str, stack: list[int]) -> None:
         top = stack[-1]
-        bad, good = _attributes(raw) if raw and not raw.isspace() else (False, False)
+        bad, names, good = _attributes(raw) if raw and not raw.isspace() else (False, NO_NAMES, False)
         inside = self.out[top]
+        if names == HEADER and any(self.tag[n] in ("article", "main") for n in stack):
+            names = NO_NAMES
         if tag in KEEP_TAG:
-            bad = False
+            bad, names = False, NO_NAMES
         elif tag == "header":   # the page's header; an article's own one holds its headline
             bad = bad or not any(self.tag[n] in ("article", "main") for n in stack)
+        elif tag == "form":
+            names |= FORM
         elif tag in BAD_TAG:
             bad = True
         self.tag.append(tag)
@@ -111,6 +211,8 @@ class Page:
         self.out.append(inside or bad)
         self.good.append(good or tag in ("article", "main"))
         self.link.append(self.link[top] or tag == "a")
+        if names:
+            self.named[len(self.tag) - 1] = not COMMENTS.isdisjoint(names)
         stack.append(len(self.tag) - 1)
 
     def _parse(self, source: str) -> None:
@@ -269,6 +371,8 @@ def main_text(source: str | None) -> str:
         return ""
     page = Page(source)
     blocks = page.blocks()
+    if not blocks and page.without_names():
+        blocks = page.blocks()
     if not blocks:
         return ""
     tag, parent = page.tag, page.parent

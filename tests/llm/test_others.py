@@ -241,6 +241,36 @@ def test_the_whole_article_is_kept(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("name", ["overflow-hidden", "content no-sidebar", "has-header", "elementor-widget", "post-with-comments",
+                                  "form-page", "widget", "sidebar", "layout-menu modal"])
+def test_a_wrapper_s_name_keeps_the_article(name):
+    for inner in (f"<article>{ARTICLE}</article>", f"<main>{ARTICLE}</main>", f"<div>{ARTICLE}</div>"):
+        for attribute in ("class", "id"):
+            page = f"<body><nav>Home</nav><div {attribute}='{name}'>{inner}</div><div class=footer>All, rights.</div></body>"
+            assert main_text(page) == TEXT
+
+
+@pytest.mark.parametrize("name", ["overflow-hidden", "no-sidebar", "has-header", "elementor-widget", "post-with-comments",
+                                  "entry-header", "article-header"])
+def test_a_part_s_name_keeps_the_part(name):
+    page = f"<article>{LONG}<div class='{name}'><p>A part, of the article.</p></div></article>"
+    assert main_text(page) == f"{BODY}A part, of the article."
+
+
+@pytest.mark.parametrize("name", ["sidebar", "site-footer", "main-nav", "nav-links", "cookie-notice", "comment-list", "post-comments",
+                                  "commentsArea", "related-posts", "ad-slot", "text-ad", "search-form", "widget", "visually-hidden"])
+def test_other_names_are_left_out(name):
+    assert main_text(f"<article>{ARTICLE}<div class='{name}'><p>Some, other, text.</p></div></article>") == TEXT
+    many = "<article><p>I, for one, liked it.</p></article>" * 9
+    assert main_text(f"<div class=post>{ARTICLE}</div><div class=comments>{many}</div>") == TEXT
+
+
+def test_a_form_around_the_page_and_a_second_look():
+    assert main_text(f"<form id=aspnetForm><div class=menu><a>Home</a></div><div>{ARTICLE}</div></form>") == TEXT
+    assert main_text("<div class=notice>Only this.</div>") == "Only this."
+    assert main_text("<div class=comments><a>Only a link</a></div>") == "Only a link"
+
+
 def test_inline_markup_stays_in_its_block():
     assert main_text("<article><p>One <b>bold</b>, <i>two</i><br>three &lt;4 &eacute;&#233;&#xe9; 5 < 6</p></article>") \
         == "One bold, two three <4 ééé 5 < 6"
