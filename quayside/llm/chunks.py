@@ -8,7 +8,9 @@ before; their ids come from a memo.  A new chunk of plain Latin letters,
 digits, signs and line breaks is cut further, into its pre-tokens, whose ids
 come from a second memo; pre-tokens and chunks that no memo has go to the
 library in batches.  (Outside that range a chunk goes to the library whole,
-so that nothing depends on the Unicode version of a pattern.)
+so that nothing depends on the Unicode version of a pattern.)  A text that
+holds the string of an added token (``<|endoftext|>``), which gets that
+token's id as in a plain library call, goes to the library whole.
 
 A memo is dropped when it is full (``CHUNKS``, ``TOKENS``, ``IDS``), so memory
 doesn't follow the corpus.  ``ChunkEncoder.shared`` keeps the encoder of a
@@ -92,7 +94,7 @@ class ChunkEncoder:
         import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True   # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.lower = self.tokenizer.normalizer is not None      # of a plain chunk it changes the case alone
         self.tokens_of = regex.compile(WORD_LEVEL if self.lower else BYTE_LEVEL).findall
         self.end_id = end_id
@@ -160,9 +162,13 @@ class ChunkEncoder:
         return np.concatenate(flat), np.concatenate(ends)
 
     def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        firsts, rests, counts = [], [], []
-        for t in texts:
-            parts = self.cut(t or "")
+        firsts, rests, counts, whole = [], [], [], []
+        for i, t in enumerate(texts):
+            t = t or ""
+            if any(a in t for a in self.added):
+                whole.append(i)
+                t = ""
+            parts = self.cut(t)
             firsts.append(parts[0])
             rests += parts[1:]
             counts.append(len(parts) - 1)
@@ -171,10 +177,13 @@ class ChunkEncoder:
         bounds = np.concatenate([[0], np.cumsum(counts)])
         spent = np.concatenate([[0], np.cumsum(self.rest.lens[tail])])
         head_len, tail_len = self.first.lens[head], spent[bounds[1:]] - spent[bounds[:-1]]
+        whole_ids, whole_lens = self._library([texts[i] for i in whole])
         size = head_len + tail_len + 1
+        size[whole] += whole_lens
         ends = np.cumsum(size)
         out = np.full(int(ends[-1]), self.end_id, np.uint32)
         begin = ends - size
         out[_ragged(begin, head_len)] = self.first.gather(head)
         out[_ragged(begin + head_len, tail_len)] = self.rest.gather(tail)
+        out[_ragged(begin[whole], whole_lens)] = whole_ids
         return out, ends

@@ -39,6 +39,17 @@ def test_chunks_give_what_the_whole_text_gives(both):
     check()
 
 
+@pytest.mark.parametrize("name, end, ids", [("byte_bpe_50k.json", 2, [64, 220, 50256, 275]), ("word_bpe_49k.json", 0, [320, 49407, 321])])
+def test_added_tokens_as_in_a_plain_library_call(name, end, ids):
+    from tokenizers import Tokenizer
+    plain_call = Tokenizer.from_file(tokenizer_path(name))
+    texts = ["a <|endoftext|> b", "the house", None, "<|startoftext|>the<|endoftext|>", "", "<|endoftext|>", "a <|ENDOFTEXT|> b", "the house"]
+    got, ends = ChunkEncoder(tokenizer_path(name), end).encode(texts)
+    got = [x.tolist() for x in np.split(got, ends)[:-1]]
+    assert got == [plain_call.encode(t or "", add_special_tokens=False).ids + [end] for t in texts]
+    assert got[0] == ids + [end]
+
+
 def test_memos_that_are_full_change_nothing(monkeypatch):
     from quayside.llm import chunks
     monkeypatch.setattr(chunks, "BATCH_CHARS", 60)
