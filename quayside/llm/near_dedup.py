@@ -30,7 +30,8 @@ is its one shingle.  Texts with 100 * intersection >= 75 * union are linked.
 
 Edge cases: null, empty or wordless texts have an empty set and are linked
 with nothing; null ids take part, and a component's id is the smallest
-non-null one; rows that repeat an id keep one row each in the result; an
+non-null one; rows that repeat an id keep one row each in the result of
+``decide``, whose ``kept`` goes by id, while ``drop_near`` goes by row; an
 empty table gives an empty result.
 """
 
@@ -115,29 +116,29 @@ def signatures(flat: np.ndarray, starts: np.ndarray, coords: int = COORDS) -> np
     return out
 
 
-_SIGNED = "doc_id long, n_shingles long, node binary, text_key long, sig array<long>"
+_SIGNED = "doc_id long, row long, n_shingles long, node binary, text_key long, sig array<long>"
 
 
 def signed(docs: DataFrame, coords: int = COORDS) -> DataFrame:
     """One row per document: the set's size, its digest and its signature.
-    ``docs``: (doc_id, text)."""
+    ``docs``: (doc_id, text, row)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for b in batches:
             for i in range(0, b.num_rows, 256):
                 part = b.slice(i, 256)
-                sets = [shingles(t, words) for t in part.column(1).to_pylist()]
+                sets = [shingles(t, words) for t in part.column(2).to_pylist()]
                 full = [s for s in sets if len(s)]
                 lens = np.array([len(s) for s in full], np.int64)
                 sig = signatures(np.concatenate(full), np.cumsum(lens) - lens, coords) if full else np.zeros((0, coords), np.uint64)
                 nodes = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 ends = np.cumsum([0] + [coords if len(s) else 0 for s in sets])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()), part.column(2),
+                    [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()), part.column(3),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sig.view(np.int64).ravel()))],
-                    names=["doc_id", "n_shingles", "node", "text_key", "sig"])
+                    names=["doc_id", "row", "n_shingles", "node", "text_key", "sig"])
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(run, _SIGNED)
+    return docs.select("doc_id", "row", "text", F.xxhash64("text").alias("text_key")).mapInArrow(run, _SIGNED)
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -277,8 +278,9 @@ def compare_blocks(left: pa.Table, right: pa.Table) -> pa.Table:
 
 
 def links(docs: DataFrame, coords: int = COORDS, matches: int = MATCHES) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents with their class, classes with their component, confirmed links between classes)."""
-    docs = docs.select("doc_id", "text")
+    """(documents with their class, classes with their component, confirmed links between classes).
+    ``docs``: (doc_id, text) and, if the caller needs it again, a number ``row`` of each row."""
+    docs = docs if "row" in docs.columns else docs.withColumn("row", F.monotonically_increasing_id())
     rows = staged(signed(docs, coords), "signed")
     classes = (rows.filter("node IS NOT NULL").groupBy("node")
                .agg(F.min("text_key").alias("text_key"), F.max("n_shingles").alias("n"), F.first("sig").alias("sig")))
@@ -324,6 +326,17 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that are kept, with their own columns."""
-    gone = staged(decide(docs, id_col, text_col).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "near_gone")
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    """The documents that are kept, with their own columns: of each component
+    one row, the one with the smallest id (a null id comes last), of several
+    such rows any one; and all rows that are linked with nothing.  It goes by
+    row, so rows that share an id or have none are decided each by its text."""
+    # written first, so that the rows' numbers are the same at each reading
+    numbered = staged(docs.withColumn("_near_row", F.monotonically_increasing_id()), "near_rows")
+    rows, comp, _ = links(numbered.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                                          F.col("_near_row").alias("row")))
+    linked = rows.filter("node IS NOT NULL")
+    first = linked.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    best = (staged(first.join(comp, "node"), "class_firsts").groupBy("component").agg(F.min("first").alias("first"))
+            .select(F.col("first.row").alias("_near_row")))
+    gone = staged(linked.select(F.col("row").alias("_near_row")).join(best, "_near_row", "left_anti"), "near_gone")
+    return numbered.join(gone, "_near_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

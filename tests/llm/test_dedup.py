@@ -129,6 +129,20 @@ def test_near_keeps_own_columns(spark):
     assert {r[0] for r in plain(got)} - {None} == kept - {None}
 
 
+def test_near_drops_rows_not_ids(spark):
+    a, b, c = ([f"{x}{i}" for i in range(80)] for x in "abc")
+
+    def edited(w):
+        return " ".join([*w[:-1], "changed"])
+
+    texts = [(1, " ".join(a)), (2, edited(a)), (2, " ".join(b)), (None, " ".join(c)), (None, edited(c)), (None, edited(a)),
+             (3, " ".join(b)), (1, " ".join(a)), (None, ""), (None, None)]
+    df = frame(spark, [(*r, "en", "a", n, "", "", "", "") for n, r in enumerate(texts)])
+    got = sorted(((r[0], (r[1] or " ")[:1], r[4]) for r in plain(near_dedup.drop_near(df))), key=str)
+    assert [g[:2] for g in got] == sorted([(1, "a"), (2, "b"), (None, "c"), (None, " "), (None, " ")], key=str)
+    assert len({g[2] for g in got}) == 5
+
+
 def test_chance_to_miss_a_link():
     assert near_dedup.miss_chance() < 1e-6
 
