@@ -22,10 +22,14 @@ Scale notes
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.session import staged
+
 
 def lookup_join(df: DataFrame, lookup: DataFrame, keys: Iterable[str] | None = None, *,
                 key_map: Mapping[str, str] | None = None, cols: Iterable[str] | None = None,
@@ -90,10 +94,10 @@ def with_state_lookups(df: DataFrame, table: DataFrame, keys: Sequence[str], sta
     ``{"LongTerm": "LGMT", "Coastal": "CSTL", "Actual": "ACTL"}``.
 
     ``chain``: one join per state; duplicate (key, state) rows multiply rows
-    exactly as chained lookup joins do (S10).  ``pivot``: the table is read
-    once and aggregated to one row per key that holds each state's rows, joined
-    once, and every state's rows are put out after the join (``expand``): the
-    same rows as ``chain`` for every input, duplicates included.
+    exactly as chained lookup joins do (S10).  ``pivot``: the table is
+    aggregated to one row per key, joined once, and only keys with several
+    rows for a state are joined as in ``chain`` (``pivot_join``): the same
+    rows as ``chain`` for every input, duplicates included.
     """
     items = columns.items() if isinstance(columns, Mapping) else [(c, c) for c in columns]
     if strategy == "chain":
@@ -104,22 +108,45 @@ def with_state_lookups(df: DataFrame, table: DataFrame, keys: Sequence[str], sta
         return out
     if strategy != "pivot":
         raise ValueError(strategy)
-    aggs, held = [], []
-    for value, prefix in states.items():
-        row = F.struct(*[F.col(src).alias(f"{prefix}_{suffix}") for suffix, src in items])
-        held.append(f"__{prefix}")
-        aggs.append(rows_where(F.col(state_col) == F.lit(value), row).alias(held[-1]))
-    return expand(lookup_join(df, table.groupBy(*keys).agg(*aggs), keys, how=how), held, how)
-
-
-def rows_where(cond: Column, row: Column) -> Column:
-    """Aggregate: the rows (structs) that meet the condition, as a list."""
-    return F.collect_list(F.when(cond, row))
-
-
-def expand(df: DataFrame, held: Sequence[str], how: str = "left") -> DataFrame:
-    """Put out the rows of each list column in turn, their fields as columns;
-    an empty list keeps the row (``left``) or drops it (``inner``)."""
-    for c in held:
-        df = df.select(*[x for x in df.columns if x != c], F.inline(c) if how == "inner" else F.inline_outer(c))
-    return df
+    held = {f"__{prefix}": (F.col(state_col) == F.lit(value),
+                            F.struct(*[F.col(src).alias(f"{prefix}_{suffix}") for suffix, src in items]))
+            for value, prefix in states.items()}
+    return pivot_join(df, table, keys, keys, held, how=how)
+
+
+def pivot_join(df: DataFrame, table: DataFrame, group: Sequence[str], keys: Sequence[str],
+               held: Mapping[str, tuple[Column, Column]], anchor: str | None = None, how: str = "left") -> DataFrame:
+    """``df`` with the fields of ``table``'s rows (structs) that meet each condition.
+
+    ``held`` maps a working name to (condition, row).  The table becomes one
+    row per ``group`` (``keys`` and what else tells its rows apart), with the
+    row of each condition that one row meets, and is joined on ``keys``; a
+    NULL key matches nothing and isn't grouped.  Where several rows of a group
+    meet a condition, a count found that first, and those rows are joined
+    one by one (a join whose hot side Spark can split; no aggregate holds more
+    than one row).  ``anchor``: groups without a row for it are left out.
+    """
+    known = table.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
+    n = {h: F.count(F.when(cond, 1)) for h, (cond, _) in held.items()}
+    several = known.groupBy(*group).agg(*[(n[h] > 1).alias(h) for h in held])
+    several = staged(several.where(reduce(or_, [F.col(h) for h in held])), "lookup_several")
+    found = several.agg(*[F.max(h).alias(h) for h in held]).first()
+    wide = known.groupBy(*group).agg(*[F.when(n[h] == 1, F.first(F.when(cond, row), ignorenulls=True)).alias(h)
+                                       for h, (cond, row) in held.items()],
+                                     *([n[anchor].alias("__anchor")] if anchor else []))
+    if anchor:
+        wide = wide.where(F.col("__anchor") > 0).drop("__anchor")
+    out = lookup_join(df, wide, keys, how=how)
+    for h, (cond, row) in held.items():
+        if not found[h]:
+            continue
+        places = range(len(group))
+        which = several.where(F.col(h)).select(*[F.col(g).alias(f"__k{i}") for i, g in enumerate(group)])
+        more = known.where(cond).select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], row.alias("__more"))
+        more = more.join(which, reduce(and_, [F.col(f"__g{i}").eqNullSafe(F.col(f"__k{i}")) for i in places]), "left_semi")
+        on = [F.col(g) == F.col(f"__g{i}") if g in keys else F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]
+        out = (out.join(more, reduce(and_, on), "left").withColumn(h, F.coalesce(F.col(h), F.col("__more")))
+               .drop("__more", *[f"__g{i}" for i in places]))
+    if how == "inner":
+        out = out.where(reduce(and_, [F.col(h).isNotNull() for h in held]))
+    return out.select(*[c for c in out.columns if c not in held], *[F.col(f"{h}.*") for h in held])

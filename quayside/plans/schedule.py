@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.scalar import run_timestamp
 from quayside.operators.effective import resolve_operator
-from quayside.operators.lookup import (expand, filtered_lookup, lookup_join, rows_where,
+from quayside.operators.lookup import (filtered_lookup, lookup_join, pivot_join,
                                        with_state_lookups)
 from quayside.operators.reshape import coalesce_precedence
 from quayside.operators.sequence import with_sequences
@@ -106,18 +106,15 @@ def with_cut_ava(df: DataFrame, cut_ava: DataFrame, combos: Sequence[tuple[str,
     if strategy != "pivot":
         raise ValueError(strategy)
     has_carrier = F.col(carrier).isNotNull()
-    aggs, held = [], []
+    held = {}
     for i, combo in enumerate(combos):
         cond = _combo_cond(*combo)
         if not (anchor == "dg_cutoff" and i == 0):
             cond = cond & has_carrier           # keyed on (stop, carrier): NULL never matches
         row = F.struct(*[F.col(src).alias(f"{names[combo]}_{suffix}") for suffix, src in fields.items()])
-        held.append(f"__{names[combo]}")
-        aggs.append(rows_where(cond, row).alias(held[-1]))
-    wide = cut_ava.groupBy(stop, carrier).agg(*aggs)
-    if anchor == "dg_cutoff":
-        wide = wide.where(F.size(held[0]) > 0)
-    return expand(lookup_join(df, wide, [stop]), held)
+        held[f"__{names[combo]}"] = (cond, row)
+    return pivot_join(df, cut_ava, [stop, carrier], [stop], held,
+                      anchor=next(iter(held)) if anchor == "dg_cutoff" else None)
 
 
 def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep: DataFrame,

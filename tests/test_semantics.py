@@ -234,3 +234,26 @@ def test_small_helpers(spark):
     st = spark.createDataFrame([("k1", 1, True), ("k2", 1, False), ("k3", 9, True)],
                                "pk string, change_ts int, is_deleted boolean")
     assert rows(purge_tombstones(st, Feed(pk="pk", payload=()), 5), "pk") == [("k2",), ("k3",)]
+
+
+def test_pivot_holds_one_row_of_a_key(spark):
+    """Equal to the chain when some keys have several rows for some states, and no aggregate collects them."""
+    spine = spark.createDataFrame([("A",), ("A",), ("B",), ("C",), ("D",), (None,)], "STOP_ID string")
+    arr = spark.createDataFrame(
+        [("A", "Coastal", f"a{i}") for i in range(30)] + [("A", "Actual", "x"), ("B", "Actual", "b"), ("B", "Coastal", None),
+         ("B", "Coastal", "c"), ("C", "Coastal", None), ("C", "Actual", "d"), ("E", "Actual", "e")] + [(None, "Coastal", "n")] * 30,
+        "STOP_ID string, SCHEDULE_STATE string, BERTH_DEPARTURE_IODT string")
+    states = {"Coastal": "CSTL", "Actual": "ACTL"}
+    for how in ("left", "inner"):
+        pivot, chain = (with_state_lookups(spine, arr, ["STOP_ID"], "SCHEDULE_STATE", states, FIELDS, how=how, strategy=s)
+                        for s in ("pivot", "chain"))
+        assert pivot.columns == chain.columns and rows(pivot) == rows(chain) and pivot.count() == chain.count()
+        assert "collect_list" not in pivot._jdf.queryExecution().toString()
+    cut = _cut(spark, [("A", "C1", "DG", "Cutoff", f"d{i}", None) for i in range(3)] + [("A", "C2", "DG", "Cutoff", "e", "l"),
+                       ("A", None, "DG", "Cutoff", "f", "l"), ("A", None, "DG", "Cutoff", "g", "l"), ("A", "C2", "RF", "Cutoff", "r", "l"),
+                       ("A", "C2", "RF", "Cutoff", "s", "l"), ("B", "C3", "RF", "Cutoff", "t", "l"), ("C", "C1", "DG", "Cutoff", "u", "l")]
+               + [(None, None, "DG", "Cutoff", "n", None)] * 5)
+    for anchor in ("dg_cutoff", "all_carriers"):
+        pivot, chain = (with_cut_ava(spine, cut, COMBOS, anchor=anchor, strategy=s) for s in ("pivot", "chain"))
+        assert rows(pivot, *chain.columns) == rows(chain) and pivot.count() == chain.count()
+        assert "collect_list" not in pivot._jdf.queryExecution().toString()
