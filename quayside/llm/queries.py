@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import (exact_dedup, html_extract, langid, mixing, near_dedup, packing, sharding,
-                          suffix_dedup, token_binary, topk)
+from quayside.llm import (divergence, exact_dedup, html_extract, langid, line_dedup, mixing, near_dedup, packing, sharding,
+                          suffix_dedup, token_align, token_binary, topk)
 from quayside.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,49 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@query("op11_token_align")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_divergence", r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+o AS (SELECT r, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT g.lang, g.source, k.term, k.total, count(o.r) AS n
+      FROM g JOIN k ON k.lang = g.lang LEFT JOIN o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term
+      GROUP BY g.lang, g.source, k.term, k.total),
+s AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS n_group, count(*) OVER (PARTITION BY lang, source) AS v,
+             sum(total) OVER (PARTITION BY lang, source) AS n_lang FROM c),
+p AS (SELECT lang, source, term, n, CAST(1 + (1000000000::HUGEINT * (n + 1)) // (n_group + v) AS BIGINT) AS p,
+             CAST(1 + (1000000000::HUGEINT * (total + 1)) // (n_lang + v) AS BIGINT) AS q FROM s),
+x AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+      UNION ALL
+      SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM p WHERE n > 0 AND p > q),
+f AS (SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+             CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM u)
+SELECT * FROM f WHERE part = 'pair' OR rank <= 200""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
+@query("op13_line_dedup", r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM d),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+g AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(g.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE g.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN g USING (key) GROUP BY r""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.remove_lines(table(spark, sf_dir, "documents"), min_chars=1, min_docs=10)
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
