@@ -12,6 +12,11 @@ Scale notes
 * Joins use column-name lists (``USING``), so consecutive lookups on the same
   key reuse the left side's hash partitioning: a chain of N lookups on
   ``STOP_ID`` shuffles the spine once, not N times.
+* A lookup that is an aggregate (a pivot, say) is written first
+  (``aggregated_lookup``): Spark splits a hot key's side of a join only where
+  both sides are plain exchanges, and an aggregate above the exchange is none.
+  Rows with a NULL key, which match nothing, are dealt out by their other
+  columns instead of meeting in one task.
 * No broadcast is forced by default.  AQE converts a join to a broadcast join
   once the measured shuffle output of the lookup is under
   ``spark.sql.adaptive.autoBroadcastJoinThreshold``: a size check made on real
@@ -25,12 +30,16 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quayside.session import staged
 
 
+#: Join key that deals out rows whose real key is NULL (0 on every row of a lookup).
+SPREAD = "__spread"
+
+
 def lookup_join(df: DataFrame, lookup: DataFrame, keys: Iterable[str] | None = None, *,
                 key_map: Mapping[str, str] | None = None, cols: Iterable[str] | None = None,
                 how: str = "left", broadcast: bool = False) -> DataFrame:
@@ -41,6 +50,10 @@ def lookup_join(df: DataFrame, lookup: DataFrame, keys: Iterable[str] | None = N
                 composite.  The lookup column is renamed to the df name.
     cols     -- subset of lookup columns to bring (default: all non-key).
     how      -- join type; ``left`` unless the caller wants an inner join.
+
+    Of an ``aggregated_lookup`` the rows with a NULL key go around the hot
+    task: its ``SPREAD`` column is one more join key, which they get from a
+    hash of the whole row.
     """
     if key_map is None:
         if keys is None:
@@ -51,16 +64,38 @@ def lookup_join(df: DataFrame, lookup: DataFrame, keys: Iterable[str] | None = N
     own = {c.lower(): c for c in df.columns}
     key_map = {own.get(k.lower(), k): v for k, v in key_map.items()}
     joined, lookup_keys = {k.lower() for k in key_map}, {v.lower() for v in key_map.values()}
+    spread = SPREAD in lookup.columns
     if cols is None:
         cols = [c for c in lookup.columns if c.lower() not in lookup_keys]
-    cols = [c for c in cols if c.lower() not in joined]
+    cols = [c for c in cols if c.lower() not in joined and c != SPREAD]
     clash = [c for c in cols if c.lower() in own]
     if clash:
         raise ValueError(f"lookup columns already on the input: {clash}")
-    right = lookup.select(*[F.col(src).alias(dst) for dst, src in key_map.items()], *[F.col(c) for c in cols])
+    right = lookup.select(*[F.col(src).alias(dst) for dst, src in key_map.items()], *[F.col(c) for c in cols],
+                          *([SPREAD] if spread else []))
     if broadcast:
         right = F.broadcast(right)
-    return df.join(right, on=list(key_map), how=how)
+    if not spread:
+        return df.join(right, on=list(key_map), how=how)
+    some_null = reduce(or_, [F.col(k).isNull() for k in key_map])
+    whole = [c for c, t in df.dtypes if "map<" not in t]           # a map has no hash
+    df = df.withColumn(SPREAD, F.when(some_null, F.xxhash64(*whole)).otherwise(F.lit(0).cast("long")))
+    return df.join(right, on=[*key_map, SPREAD], how=how).drop(SPREAD)
+
+
+def aggregated_lookup(lookup: DataFrame, name: str = "lookup") -> DataFrame:
+    """A lookup that was aggregated (or joined from others), written once, so
+    that the join with it has plain exchanges on both sides."""
+    return staged(lookup.withColumn(SPREAD, F.lit(0).cast("long")), name)
+
+
+def merged_lookup(lookups: Sequence[DataFrame], keys: Sequence[str], name: str = "lookup") -> DataFrame:
+    """Several lookups on the same keys as one (full outer joins, written
+    once): the rows and columns that joining them one after another gives,
+    for one join of the enriched table instead of several.  NULL keys match
+    nothing and are left out."""
+    known = [lk.where(reduce(and_, [F.col(k).isNotNull() for k in keys])) for lk in lookups]
+    return aggregated_lookup(reduce(lambda a, b: a.join(b, list(keys), "full_outer"), known), name)
 
 
 def prefixed(df: DataFrame, prefix: str, columns: Mapping[str, str] | Sequence[str],
@@ -120,33 +155,48 @@ def pivot_join(df: DataFrame, table: DataFrame, group: Sequence[str], keys: Sequ
 
     ``held`` maps a working name to (condition, row).  The table becomes one
     row per ``group`` (``keys`` and what else tells its rows apart), with the
-    row of each condition that one row meets, and is joined on ``keys``; a
-    NULL key matches nothing and isn't grouped.  Where several rows of a group
-    meet a condition, a count found that first, and those rows are joined
-    one by one (a join whose hot side Spark can split; no aggregate holds more
-    than one row).  ``anchor``: groups without a row for it are left out.
+    row of each condition that one row meets and a mark where several do; this
+    is written once, and the write says which conditions have marks.  The
+    written rows are joined on ``keys``; a NULL key matches nothing and isn't
+    grouped.  Only if there are marks, the table is read again for the rows of
+    the marked groups, which are joined one by one (a join whose hot side Spark
+    can split; no aggregate holds more than one row).  ``anchor``: groups
+    without a row for it are left out.
     """
     known = table.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
     n = {h: F.count(F.when(cond, 1)) for h, (cond, _) in held.items()}
-    several = known.groupBy(*group).agg(*[(n[h] > 1).alias(h) for h in held])
-    several = staged(several.where(reduce(or_, [F.col(h) for h in held])), "lookup_several")
-    found = several.agg(*[F.max(h).alias(h) for h in held]).first()
     wide = known.groupBy(*group).agg(*[F.when(n[h] == 1, F.first(F.when(cond, row), ignorenulls=True)).alias(h)
                                        for h, (cond, row) in held.items()],
+                                     *[(n[h] > 1).alias(f"__several{i}") for i, h in enumerate(held)],
                                      *([n[anchor].alias("__anchor")] if anchor else []))
     if anchor:
         wide = wide.where(F.col("__anchor") > 0).drop("__anchor")
-    out = lookup_join(df, wide, keys, how=how)
-    for h, (cond, row) in held.items():
-        if not found[h]:
-            continue
-        places = range(len(group))
-        which = several.where(F.col(h)).select(*[F.col(g).alias(f"__k{i}") for i, g in enumerate(group)])
-        more = known.where(cond).select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], row.alias("__more"))
-        more = more.join(which, reduce(and_, [F.col(f"__g{i}").eqNullSafe(F.col(f"__k{i}")) for i in places]), "left_semi")
-        on = [F.col(g) == F.col(f"__g{i}") if g in keys else F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]
-        out = (out.join(more, reduce(and_, on), "left").withColumn(h, F.coalesce(F.col(h), F.col("__more")))
-               .drop("__more", *[f"__g{i}" for i in places]))
+    marks = {h: f"__several{i}" for i, h in enumerate(held)}
+    seen = Observation()
+    wide = aggregated_lookup(wide.observe(seen, *[F.max(m).alias(m) for m in marks.values()]), "lookup_pivot")
+    found = seen.get
+    out = lookup_join(df, wide.drop(*marks.values()), keys, how=how)
+    if any(found.values()):
+        out = _join_several(out, known, wide, group, keys, {h: held[h] for h in held if found[marks[h]]}, marks)
     if how == "inner":
         out = out.where(reduce(and_, [F.col(h).isNotNull() for h in held]))
     return out.select(*[c for c in out.columns if c not in held], *[F.col(f"{h}.*") for h in held])
+
+
+def _join_several(out: DataFrame, known: DataFrame, wide: DataFrame, group: Sequence[str], keys: Sequence[str],
+                  held: Mapping[str, tuple[Column, Column]], marks: Mapping[str, str]) -> DataFrame:
+    """``pivot_join`` where several rows of a group meet a condition."""
+    places = range(len(group))
+    g, k = [f"__g{i}" for i in places], [f"__k{i}" for i in places]
+    which = (wide.where(reduce(or_, [F.col(marks[h]) for h in held]))
+             .select(*[F.col(c).alias(a) for c, a in zip(group, k)], *[marks[h] for h in held]))
+    rows = known.where(reduce(or_, [cond for cond, _ in held.values()])).select(
+        *[F.col(c).alias(a) for c, a in zip(group, g)], *[F.when(cond, row).alias(h) for h, (cond, row) in held.items()])
+    rows = rows.join(which, reduce(and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(g, k)])).drop(*k)
+    rows = staged(rows, "lookup_several")                   # the one further read of the table
+    for h in held:
+        more = rows.where(F.col(h).isNotNull() & F.col(marks[h])).select(*g, F.col(h).alias("__more"))
+        on = [F.col(c) == F.col(a) if c in keys else F.col(c).eqNullSafe(F.col(a)) for c, a in zip(group, g)]
+        out = (out.join(more, reduce(and_, on), "left").withColumn(h, F.coalesce(F.col(h), F.col("__more")))
+               .drop("__more", *g))
+    return out

@@ -19,7 +19,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.operators.lookup import lookup_join
+from quayside.operators.lookup import lookup_join, merged_lookup
 from quayside.operators.reshape import fixed_pivot
 
 # Laden-capacity categories and their output column names.
@@ -50,10 +50,11 @@ def capacity_mart(eff_voyage: DataFrame, default_assn: DataFrame, assn: DataFram
     if by not in ("port", "tradelane"):
         raise ValueError(by)
     voy = eff_voyage.withColumn("DIR", F.substring("DIRECTION", 1, 1)).drop("DIRECTION")   # X3
+    # header and details of a capacity id are one written lookup: one join of the voyages, whose hot or NULL ids Spark deals out
     cap = (capacity.withColumn("DIR", F.substring("DIRECTION", 1, 1)).drop("DIRECTION")
            .withColumnsRenamed({c: f"CAP_{c}" for c in HEADER_COLLISIONS}))
+    cap = merged_lookup([cap, capacity_detail(laden, categories)], ["VSL_CAP_ID"], "capacity")
     return (voy
             .transform(lambda d: lookup_join(d, default_assn, ["EFF_VOY_ID"]))     # L7
             .transform(lambda d: lookup_join(d, assn, ["EFF_VOY_ID"]))             # L8 / L9
-            .transform(lambda d: lookup_join(d, cap, ["VSL_CAP_ID"]))              # L10
-            .transform(lambda d: lookup_join(d, capacity_detail(laden, categories), ["VSL_CAP_ID"])))
+            .transform(lambda d: lookup_join(d, cap, ["VSL_CAP_ID"])))             # L10, L11

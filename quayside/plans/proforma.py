@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.scalar import run_timestamp
-from quayside.operators.lookup import lookup_join
+from quayside.operators.lookup import lookup_join, merged_lookup
 from quayside.operators.reshape import conditional_agg, nested_map_agg
 
 # Natures and types of the proforma cut-off table, with the
@@ -56,9 +56,10 @@ def proforma_mart(spine: DataFrame, profm_stop: DataFrame, cut_ava: DataFrame, p
     opts = dict(cut_ava_opts or {})
     wide = cut_ava_columns(cut_ava, formulation=formulation, **opts)
     wide_key = opts.get("key", "profm_stop_id")
+    # the stop and its cut-off columns are one written lookup: one join of the spine, whose hot or NULL stops Spark deals out
+    stops = merged_lookup([profm_stop, wide.withColumnRenamed(wide_key, stop_key)], [stop_key], "proforma_stop")
     df = (spine
-          .transform(lambda d: lookup_join(d, profm_stop, [stop_key]))
-          .transform(lambda d: lookup_join(d, wide, key_map={stop_key: wide_key}))
+          .transform(lambda d: lookup_join(d, stops, [stop_key]))
           .transform(lambda d: lookup_join(d, proforma, [proforma_key]))
           .withColumn("REC_CRE_TS", run_timestamp(run_ts)))
     return df.repartition(num_files) if num_files else df
