@@ -8,9 +8,12 @@ a parameter (JDBC and Kafka jars are not on this image, so tests use files).
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.sources.positions import kafka_offsets
+
 
 def key_range_partitions(lower: int, upper: int, rows_per_range: int) -> int:
     """Number of key ranges of ``rows_per_range`` keys between the bounds
@@ -35,17 +38,23 @@ def jdbc_table(spark: SparkSession, url: str, table: str, *, key: str | None = N
 
 
 def feed_stream(spark: SparkSession, *, fmt: str = "kafka", options: dict | None = None,
-                starting_timestamp_ms: int | None = None, schema=None,
-                path: str | None = None) -> DataFrame:
-    """ST1 / ST2: a change-feed stream.  For Kafka, ``starting_timestamp_ms``
-    (e.g. now minus the 4320-minute lookback) becomes ``startingTimestamp``,
-    so a restarted refresh replays a bounded window -- safe, because the
-    upsert is idempotent; the stream checkpoint then owns the positions."""
+                starting_timestamp_ms: int | None = None, topic: str | None = None,
+                positions: Mapping[str, int] | None = None, schema=None, path: str | None = None) -> DataFrame:
+    """ST1 / ST2: a change-feed stream.  For Kafka, the recorded ``positions``
+    of ``topic`` become ``startingOffsets``, or ``starting_timestamp_ms`` (e.g.
+    the snapshot's time less the 4320-minute lookback) ``startingTimestamp``:
+    where a stream without a checkpoint begins.  With a checkpoint, that owns
+    the positions.  Other formats get the same start from ``refresh_stream``."""
     r = spark.readStream.format(fmt)
     if schema is not None:
         r = r.schema(schema)
     for k, v in (options or {}).items():
         r = r.option(k, v)
-    if starting_timestamp_ms is not None and fmt == "kafka":
-        r = r.option("startingTimestamp", str(starting_timestamp_ms))
+    if fmt == "kafka":
+        if topic is not None:
+            r = r.option("subscribe", topic)
+        if positions:
+            r = r.option("startingOffsets", kafka_offsets(topic, positions))
+        elif starting_timestamp_ms is not None:
+            r = r.option("startingTimestamp", str(starting_timestamp_ms))
     return r.load(path) if path is not None else r.load()

@@ -15,11 +15,20 @@ so a key with a third of all changes costs no more than any other, and it is
 idempotent: replaying a batch (``foreachBatch`` after a restart) or splitting
 it into k batches gives the same state.
 
-On files the state is a ``sinks.state.StateTable``: a fixed number of hash
-buckets of the key, of which a batch reads and rewrites those it touches, in
-a new version published with the batch's id.  A batch that a crash cut off
-left nothing published and is applied again; one that was published is
-skipped when it comes again.  A payload column (a month, say) may be the
+On files the state is a ``sinks.state.StateTable``: hash buckets of the key,
+of which a batch reads and rewrites those it touches, in a new version
+published with the stream's identity and the batch's number.  A batch that a
+crash cut off left nothing published and is applied again; one that was
+published is skipped when it comes again.  Numbers start again with a new
+stream checkpoint, which is another stream: its batches are applied.
+
+Where a stream begins (SNK5, ST2).  A feed's parts (``Feed.part``) give their
+changes in the order of their positions (``Feed.offset``); the state knows how
+far each part was applied, from the snapshot's positions on.  A new stream
+starts there, or, by ``lookback_minutes``, at the changes of so long before the
+snapshot, whichever lets more in; without either it reads the whole feed.
+This is fixed when the stream first begins and published with the state, so a
+backlog is applied whole however old it is when the stream comes back.  A payload column (a month, say) may be the
 table's partitioning for readers: it is data here, so a row that moves to
 another month, or a delete that doesn't carry the month, meets its old row by
 key (ST3).
@@ -28,8 +37,12 @@ key (ST3).
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+import json
+import threading
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,7 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quayside.operators.latest import latest_per_key
-from quayside.sinks.state import BUCKETS, StateTable
+from quayside.sinks.state import Commit, StateTable, buckets_for
 
 
 @dataclass(frozen=True)
@@ -47,6 +60,8 @@ class Feed:
     ts: str = "change_ts"
     seq: str = "seq"
     op: str = "op"
+    part: str | None = None            # with ``offset``: a change's place in the feed
+    offset: str | None = None
 
     @property
     def state_cols(self) -> list[str]:
@@ -87,80 +102,144 @@ def state_schema(changes: DataFrame, feed: Feed) -> StructType:
     return as_state(changes, feed).schema
 
 
-def read_state(spark: SparkSession, state_path: str, schema: StructType, buckets: int = BUCKETS,
+def read_state(spark: SparkSession, state_path: str, schema: StructType, buckets: int | None = None,
                fmt: str = "parquet") -> DataFrame:
     """The state as last published."""
     return StateTable(spark, state_path, buckets, fmt).read(schema)
 
 
+def feed_positions(changes: DataFrame, feed: Feed) -> dict[str, int]:
+    """The first position behind ``changes`` in each part of the feed (a row
+    for a part, of which a feed has a fixed number)."""
+    if feed.part is None:
+        return {}
+    known = changes.where(F.col(feed.offset).isNotNull()).groupBy(F.col(feed.part).cast("string").alias("part"))
+    return {r["part"]: r["at"] + 1 for r in known.agg(F.max(feed.offset).alias("at")).collect() if r["part"] is not None}
+
+
+def stream_start(commit: Commit | None, lookback_minutes: int | None = None) -> dict | None:
+    """Where a new stream begins on a state: its positions, and the time so
+    long before its snapshot.  None: at the beginning of the feed."""
+    if commit is None:
+        return None
+    since = None
+    if lookback_minutes is not None and commit.snapshot_at:
+        since = (_dt.datetime.fromisoformat(commit.snapshot_at) - _dt.timedelta(minutes=abs(lookback_minutes))).isoformat()
+    return {"positions": commit.positions, "since": since} if commit.positions or since else None
+
+
+def from_start(feed: Feed, start: Mapping | None) -> Column:
+    """Whether a change lies at or behind a start.  Changes without a place or
+    a time, and those of parts that the start doesn't know, do."""
+    if not start:
+        return F.lit(True)
+    keep = []
+    if start["positions"] and feed.part is not None:
+        part, at = F.col(feed.part).cast("string"), F.col(feed.offset)
+        keep += [part.isNull(), at.isNull(), ~part.isin(list(start["positions"]))]
+        keep += [(part == F.lit(p)) & (at >= F.lit(n)) for p, n in start["positions"].items()]
+    if start["since"]:
+        keep += [F.col(feed.ts).isNull(), F.col(feed.ts) >= F.lit(_dt.datetime.fromisoformat(start["since"]))]
+    return reduce(or_, keep) if keep else F.lit(True)
+
+
 def refresh_state(spark: SparkSession, state_path: str, changes: DataFrame, feed: Feed, *, batch_id: int | None = None,
-                  buckets: int = BUCKETS, fmt: str = "parquet", purge_before: _dt.datetime | None = None) -> bool:
+                  stream: str = "", start: Mapping | None = None, buckets: int | None = None, fmt: str = "parquet",
+                  purge_before: _dt.datetime | None = None) -> bool:
     """SNK4 + ST3 on a path: rewrite the buckets that the batch touches (at
-    most ``buckets`` numbers meet the driver).  False if ``batch_id`` was
-    applied before.  ``purge_before``: tombstones of the touched buckets that
-    are older go."""
+    most as many numbers as there are buckets meet the driver).  False if
+    ``batch_id`` of ``stream`` was applied before.  ``purge_before``: tombstones
+    of the touched buckets that are older go.  ``buckets``: of a new state."""
     table = StateTable(spark, state_path, buckets, fmt)
     now = table.latest()
-    if batch_id is not None and now and now.batch_id is not None and batch_id <= now.batch_id:
+    last = now.batch(stream) if now else None
+    if batch_id is not None and last is not None and batch_id <= last:
         return False
     touched = [r[0] for r in changes.select(table.bucket(feed.pk).alias("b")).distinct().collect()]
     state = table.read(state_schema(changes, feed), now, touched) if now else None
     new = apply_changes(state, changes, feed)
     if purge_before is not None:
         new = purge_tombstones(new, feed, purge_before)
-    table.commit(new, feed.pk, touched, batch_id)
+    table.commit(new, feed.pk, touched, batch_id, stream=stream, start=start, positions=feed_positions(changes, feed))
     return True
 
 
-def bootstrap_state(spark: SparkSession, state_path: str, snapshot: DataFrame, feed: Feed, *, buckets: int = BUCKETS,
-                    fmt: str = "parquet", position: str | None = None) -> None:
+def bootstrap_state(spark: SparkSession, state_path: str, snapshot: DataFrame, feed: Feed, *, buckets: int | None = None,
+                    fmt: str = "parquet", position: str | None = None, positions: Mapping[str, int] | None = None,
+                    taken_at: _dt.datetime | None = None) -> None:
     """ST4: the state becomes that of a snapshot load, whatever it was before.
 
     ``snapshot`` has the key, the payload and the snapshot's change position
-    (``feed.ts`` / ``feed.seq``); every row is live.  ``position`` (SNK5), the
-    feed position that the snapshot was taken at or after, is kept with the
-    state; a stream may start there or earlier: replayed older changes lose
-    against the snapshot rows, newer ones win."""
+    (``feed.ts`` / ``feed.seq``); every row is live.  ``positions`` (SNK5) are
+    the feed's as they were before the snapshot was read, ``taken_at`` is when
+    that was (UTC, now by default): streams start there or earlier, replayed
+    older changes lose against the snapshot rows, newer ones win.  ``position``
+    is kept as free text.  ``buckets``: by default as many as the snapshot's
+    rows need."""
+    taken_at = taken_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     rows = snapshot.select(feed.pk, *feed.payload, feed.ts, feed.seq).withColumn("is_deleted", F.lit(False))
-    StateTable(spark, state_path, buckets, fmt).commit(rows, feed.pk, None, position=position)
+    StateTable(spark, state_path, buckets, fmt).commit(
+        rows, feed.pk, None, position=position, positions=positions, snapshot_at=taken_at, buckets=buckets or buckets_for(rows.count()))
 
 
-def start_position(spark: SparkSession, state_path: str, buckets: int = BUCKETS) -> str | None:
+def start_position(spark: SparkSession, state_path: str, buckets: int | None = None) -> str | None:
     """The feed position kept by the last snapshot load."""
     commit = StateTable(spark, state_path, buckets).latest()
     return commit.position if commit else None
 
 
+def checkpoint_stream(spark: SparkSession, checkpoint_location: str) -> str | None:
+    """The identity of the stream that a checkpoint belongs to; None if it is new."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_location.rstrip('/')}/metadata")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return json.loads(spark.read.text(str(path.toString())).first()[0])["id"]
+
+
 def refresh_stream(spark: SparkSession, feed_stream: DataFrame, state_path: str, checkpoint_location: str, feed: Feed, *,
-                   buckets: int = BUCKETS, fmt: str = "parquet", available_now: bool = True, interval: str = "1 minute",
+                   buckets: int | None = None, fmt: str = "parquet", available_now: bool = True, interval: str = "1 minute",
                    lookback_minutes: int | None = None, tombstone_minutes: int | None = None):
     """ST1 / ST5: Structured Streaming ``readStream`` -> ``foreachBatch``
-    upsert.  The stream checkpoint holds the feed positions (SNK5's offset
+    upsert.  The stream checkpoint holds what was read (SNK5's offset
     ledger); ``availableNow`` drains what is there and stops (tests, cron
     runs), otherwise it runs continuously, one micro-batch per ``interval``.
-    ``lookback_minutes`` (ST2) leaves out older changes; ``tombstone_minutes``
-    is how long a deleted key is remembered (longer than the feed can replay)."""
+
+    A new checkpoint is a new stream; it begins as the module says, and the
+    condition is part of the streaming plan, so a source that can leaves the
+    rows before it unread.  ``tombstone_minutes`` is how long a deleted key is
+    remembered (longer than the feed can replay)."""
+    commit = StateTable(spark, state_path, buckets, fmt).latest()
+    known = checkpoint_stream(spark, checkpoint_location)
+    if known and commit and known in commit.streams:
+        start = commit.streams[known]["start"]
+    else:
+        start = stream_start(commit, lookback_minutes)
+    identity, started = [], threading.Event()
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        # the batch is read twice (touched buckets, then the changes): keep
-        # one copy instead of fetching it from the feed again
+        started.wait()
+        # the batch is read more than once (touched buckets, positions, then the
+        # changes): keep one copy instead of fetching it from the feed again
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = within_lookback(batch, feed.ts, lookback_minutes, now) if lookback_minutes else batch
+            now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
             purge = now - _dt.timedelta(minutes=tombstone_minutes) if tombstone_minutes else None
-            refresh_state(batch.sparkSession, state_path, rows, feed, batch_id=batch_id, buckets=buckets, fmt=fmt, purge_before=purge)
+            refresh_state(batch.sparkSession, state_path, batch, feed, batch_id=batch_id, stream=identity[0], start=start,
+                          buckets=buckets, fmt=fmt, purge_before=purge)
         finally:
             batch.unpersist()
 
-    w = (feed_stream.writeStream.foreachBatch(upsert)
-         .option("checkpointLocation", checkpoint_location))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
-    return w.start()
+    changes = feed_stream.where(from_start(feed, start)) if start else feed_stream
+    w = changes.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint_location)
+    query = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)).start()
+    identity.append(str(query.id))
+    started.set()
+    return query
 
 
 def as_feed(df: DataFrame, pk: str, ts: str, seq: str, op: Column,
-            payload: Sequence[str]) -> DataFrame:
-    """Shape a change table into the feed contract."""
+            payload: Sequence[str], **place: Column) -> DataFrame:
+    """Shape a change table into the feed contract; ``place``: the columns of
+    the change's part and position, by name."""
     return df.select(F.col(pk), *[F.col(p) for p in payload], F.col(ts).alias("change_ts"),
-                     F.col(seq).alias("seq"), op.alias("op"))
+                     F.col(seq).alias("seq"), op.alias("op"), *[c.alias(name) for name, c in place.items()])

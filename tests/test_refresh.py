@@ -5,10 +5,10 @@ import os
 
 import pytest
 
-from quayside.sinks.state import StateTable
+from quayside.sinks.state import StateTable, buckets_for
 from quayside.sources.landing import scratch_table_path
-from quayside.streaming.refresh import (Feed, apply_changes, bootstrap_state, live_rows, read_state, refresh_state,
-                                        start_position, state_schema)
+from quayside.streaming.refresh import (Feed, apply_changes, bootstrap_state, feed_positions, from_start, live_rows, read_state,
+                                        refresh_state, refresh_stream, start_position, state_schema, stream_start)
 from pyspark.sql import functions as F
 from tests.conftest import rows
 
@@ -165,3 +165,104 @@ def test_text_buckets_land_and_reload(spark):
     assert rows(spark.read.schema(schema + ", bucket string").parquet(target), "pk", "bucket") == [(1, "1"), (2, "A/b")]
     incremental_load(spark, old, target, ledger, F.col("b"), "u", "pk")
     assert rows(spark.read.schema(schema + ", bucket string").parquet(target), "pk", "bucket") == [(1, "1")]
+
+
+def _drain(spark, folder, schema, state, ckpt, feed=FEED, **kw):
+    q = refresh_stream(spark, spark.readStream.schema(schema).parquet(folder), state, ckpt, feed, **kw)
+    q.awaitTermination()
+    return q
+
+
+def test_a_new_checkpoint_is_another_stream(spark):
+    """Its batch numbers start again at 0 and are applied all the same."""
+    ch = _changes(spark)
+    state, folder = scratch_table_path(spark, "t-state"), scratch_table_path(spark, "t-feed")
+    for part in ("seq <= 5", "seq > 5"):
+        ch.where(part).coalesce(1).write.mode("append").parquet(folder)
+        q = _drain(spark, folder, ch.schema, state, scratch_table_path(spark, "t-ckpt"), buckets=4)
+        assert StateTable(spark, state).latest().batch(str(q.id)) == 0
+    assert rows(_state(spark, state)) == rows(apply_changes(None, ch, FEED))
+    assert len(StateTable(spark, state).latest().streams) == 2
+    assert refresh_state(spark, state, ch, FEED, batch_id=0)            # batches without a stream have numbers of their own
+    assert not refresh_state(spark, state, ch, FEED, batch_id=0)
+
+
+PLACED = Feed(pk="pk", payload=("v",), part="part", offset="at")
+
+
+def _placed(spark, data):
+    return spark.createDataFrame(data, SCHEMA + ", part string, at long")
+
+
+def test_an_old_backlog_is_applied_whole(spark):
+    """The stream stands still longer than the lookback; what came in the
+    meantime is applied, though it is years old by the wall clock."""
+    schema = "pk string, v string, change_ts timestamp, seq long"
+    state, folder, ckpt = (scratch_table_path(spark, f"t-{x}") for x in ("state", "feed", "ckpt"))
+    bootstrap_state(spark, state, spark.createDataFrame([("k9", "s", _t(1), 0)], schema), FEED, taken_at=_t(6))
+    new = [("old", "x", dt.datetime(2023, 12, 1), 1, "U"), ("k1", "a", _t(5), 2, "U")]
+    later = [("k2", "b", _t(5), 3, "U"), ("late", "y", dt.datetime(2023, 12, 31), 4, "U")]
+    for data in (new, later):
+        spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        _drain(spark, folder, SCHEMA, state, ckpt, lookback_minutes=-4320)
+    # 'old' lies before the start, three days before the snapshot; 'late' doesn't
+    assert rows(_state(spark, state), "pk") == [("k1",), ("k2",), ("k9",), ("late",)]
+    without = scratch_table_path(spark, "t-state")                      # no snapshot covers anything: the whole feed
+    _drain(spark, folder, SCHEMA, without, scratch_table_path(spark, "t-ckpt"), lookback_minutes=-4320)
+    assert rows(_state(spark, without), "pk") == [("k1",), ("k2",), ("late",), ("old",)]
+
+
+def test_a_stream_starts_at_the_stored_positions(spark):
+    state, folder = scratch_table_path(spark, "t-state"), scratch_table_path(spark, "t-feed")
+    first = _placed(spark, [("a", "1", _t(1), 1, "U", "p", 10), ("b", "1", _t(1), 2, "U", "q", 7)])
+    assert feed_positions(first, PLACED) == {"p": 11, "q": 8}
+    refresh_state(spark, state, first, PLACED, batch_id=0)
+    more = _placed(spark, [("a", "dropped", _t(9), 3, "U", "p", 10),    # before the position: not read again
+                           ("a", "2", _t(2), 4, "U", "p", 11), ("c", "1", _t(1), 5, "U", "r", 0), ("d", "1", _t(1), 6, "U", None, None)])
+    more.coalesce(1).write.parquet(folder)
+    ckpt = scratch_table_path(spark, "t-ckpt")
+    q = _drain(spark, folder, more.schema, state, ckpt, PLACED)
+    assert rows(read_state(spark, state, state_schema(more, PLACED)), "pk", "v") == [("a", "2"), ("b", "1"), ("c", "1"), ("d", "1")]
+    commit = StateTable(spark, state).latest()
+    assert commit.positions == {"p": 12, "q": 8, "r": 1}
+    assert commit.streams[str(q.id)]["start"]["positions"] == {"p": 11, "q": 8}
+    # the same stream goes on from where it began, not from the later positions
+    _placed(spark, [("c", "2", _t(3), 7, "U", "r", 0)]).coalesce(1).write.mode("append").parquet(folder)
+    _drain(spark, folder, more.schema, state, ckpt, PLACED)
+    assert ("c", "2") in rows(read_state(spark, state, state_schema(more, PLACED)), "pk", "v")
+
+
+def test_starts(spark):
+    assert stream_start(None, 60) is None
+    df = _placed(spark, [("k", "v", _t(h), h, "U", p, h) for h in (1, 5) for p in ("p", "q", None)])
+    count = lambda start: df.where(from_start(PLACED, start)).count()
+    assert count(None) == 6
+    assert count({"positions": {"p": 5}, "since": None}) == 5
+    assert count({"positions": {"p": 5, "q": 5}, "since": None}) == 4
+    assert count({"positions": {"p": 9, "q": 9}, "since": _t(5).isoformat()}) == 4
+    assert count({"positions": {}, "since": _t(5).isoformat()}) == 3
+
+
+def test_ledger_of_positions(spark):
+    from quayside.sources.positions import kafka_offsets, read_positions, record_positions
+    path = scratch_table_path(spark, "t-positions")
+    changes = _placed(spark, [("a", "1", _t(1), 1, "U", "10", 41), ("b", "1", _t(1), 2, "U", "2", 7)])
+    assert record_positions(spark, path, changes, PLACED) == read_positions(spark, path) == {"10": 42, "2": 8}
+    assert kafka_offsets("t", read_positions(spark, path)) == '{"t": {"2": 8, "10": 42}}'
+    record_positions(spark, path, changes.where("part = '2'"), PLACED)
+    assert read_positions(spark, path) == {"2": 8}
+
+
+def test_redeal_between_two_batches(spark):
+    path, ch = scratch_table_path(spark, "t-redeal"), _changes(spark)
+    schema = state_schema(ch, FEED)
+    refresh_state(spark, path, ch.where("seq <= 8"), FEED, batch_id=0, stream="s", buckets=1)
+    before = rows(_state(spark, path))
+    now = StateTable(spark, path).redeal(schema, FEED.pk, 8)
+    assert now.buckets == 8 and len(now.where) > 1 and now.batch("s") == 0 and rows(_state(spark, path)) == before
+    assert not refresh_state(spark, path, ch.where("seq <= 8"), FEED, batch_id=0, stream="s", buckets=1)
+    assert refresh_state(spark, path, ch.where("seq > 8"), FEED, batch_id=1, stream="s", buckets=1)
+    assert StateTable(spark, path).latest().buckets == 8
+    assert rows(_state(spark, path)) == rows(apply_changes(None, ch, FEED))
+    assert StateTable(spark, path).redeal(schema, FEED.pk).buckets == 1               # as many as its size needs
+    assert [buckets_for(n) for n in (0, 1, 2_000_000, 2_000_001, 10**11)] == [1, 1, 1, 2, 50_000]
