@@ -23,10 +23,23 @@ DISTINCT result is exactly
       there is no tier-1 match }
 
 (an invalid or missing tier-1 match yields NULL, and NVL then falls back to
-the tier-2 value of every tier-2 match).  So tier 1 and tier 2 are joined
+the tier-2 value of every tier-2 match).  So the tiers are resolved
 separately and unioned; the output and the S7 behaviour (an expired tier-1
 row lets the tier-2 operator in too) are identical.
 
+Nor is a departure joined with all validity rows of its vessel.  Times are
+mapped to whole *bins* (days, or the leading digits of time text) without
+changing their order.  A validity interval becomes the bins that it covers
+whole, written with units of 1, ``BASE``, ``BASE``^2, ... bins so that long and
+open intervals take few rows, and its two end bins with their bounds; equal
+rows of one operator are one row after an aggregate, so overlapping and
+repeated validity rows don't multiply.  A departure has one row for each unit;
+the join is on (keys, unit, bin).  Every covering row met is a valid operator,
+and only rows that begin or end in the departure's own bin are looked at in
+vain.  A hot vessel's rows spread over the bins.  Whether some tier-1 match is
+invalid needs no join with intervals: all are valid just when the departure
+lies between the latest start and the earliest end of the (service, vessel).
+
 The singleton voyage list is a semi join and its complement an anti join
 (with SQL ``NOT IN`` NULL rules), so no list reaches the driver.
 """
@@ -40,6 +53,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.operators.filters import in_keys, keys_with_count, not_in_keys
+from quayside.operators.lookup import aggregated_lookup, lookup_join
 from quayside.session import checkpointed, staged
 
 
@@ -83,38 +97,104 @@ def tier2_valid(start: Column, end: Column, t: Column) -> Column:
             .otherwise((start <= t) & (t <= end)))
 
 
-def _valid_operator(valid: Column, op: Column) -> Column:
-    return F.when(valid, op)  # NULL when invalid or undecidable
+#: Bins are written in units of powers of this; ``BASE ** UNITS`` bins hold every date of four-digit years.
+BASE, UNITS = 16, 6
+_LAST = BASE**UNITS
+
+
+def time_bin(t: Column, dtype: str) -> Column:
+    """A bin that never decreases with the time: days of a date or timestamp,
+    the first six digits of text, the whole part of a number (0 to the last bin)."""
+    if dtype == "string":
+        digits = F.regexp_extract(t, "^([0-9]{0,6})", 1)
+        # text that breaks off or goes on with a lower character sorts before all digits there, with a higher one behind them
+        behind = F.substring(t, 7 - (6 - F.length(digits)), 1)
+        return F.when(behind > "9", F.rpad(digits, 6, "9")).otherwise(F.rpad(digits, 6, "0")).cast("int")
+    if dtype.startswith(("timestamp", "date")):
+        whole = F.unix_date(t.cast("date")) + 719_528               # from the year 0
+    else:
+        whole = F.floor(t)
+    return F.least(F.greatest(whole, F.lit(0)), F.lit(_LAST - 1)).cast("int")
+
+
+def _covered(low: Column, high: Column) -> Column:
+    """The bins from ``low`` to before ``high`` as few (unit, bin) structs: of
+    each unit those that no larger unit inside the interval holds."""
+    up = [F.floor((low + (BASE**k - 1)) / F.lit(float(BASE**k))).cast("int") for k in range(UNITS)]       # first whole one
+    down = [F.floor(high / F.lit(float(BASE**k))).cast("int") for k in range(UNITS)]                      # behind the last
+
+    def run(k: int, a: Column, b: Column) -> Column:
+        found = F.transform(F.sequence(a, b - 1), lambda x: F.struct(F.lit(k).alias("unit"), x.alias("bin")))
+        return F.when((up[k] < down[k]) & (a < b), found).otherwise(F.array().cast("array<struct<unit:int,bin:int>>"))
+
+    parts = [run(UNITS - 1, up[-1], down[-1])]
+    for k in range(UNITS - 1):
+        larger = up[k + 1] < down[k + 1]
+        parts.append(run(k, up[k], F.when(larger, up[k + 1] * BASE).otherwise(down[k])))
+        parts.append(run(k, F.when(larger, down[k + 1] * BASE).otherwise(down[k]), down[k]))
+    return F.concat(*parts)
+
+
+def validity_bins(rows: DataFrame, keys: list[str], operator: str, start: str, end: str) -> DataFrame:
+    """(keys, operator, unit, bin, from, to): where an operator is valid.  NULL
+    ``from`` / ``to``: from the start / to the end of the bin.  ``start`` and
+    ``end`` may be NULL (open); rows without an operator say nothing."""
+    dtype = dict(rows.dtypes)[start]
+    s, e = F.col(start), F.col(end)
+    known = rows.where(F.col(operator).isNotNull() & (s.isNull() | e.isNull() | (s <= e)))
+    known = known.withColumns({"__sb": time_bin(s, dtype), "__eb": time_bin(e, dtype)})
+    low = F.when(s.isNull(), F.lit(0)).otherwise(F.col("__sb") + 1)
+    high = F.when(e.isNull(), F.lit(_LAST)).otherwise(F.col("__eb"))
+    own = [*keys, operator]
+    whole = known.select(*own, F.explode(_covered(low, high)).alias("c")).select(
+        *own, "c.unit", "c.bin", F.lit(None).cast(dtype).alias("__from"), F.lit(None).cast(dtype).alias("__to"), F.lit(False).alias("__in"))
+    within = s.isNotNull() & e.isNotNull() & (F.col("__sb") == F.col("__eb"))
+    ends = known.select(*own, F.explode(F.when(within, F.array(F.struct(F.col("__sb").alias("bin"), s.alias("f"), e.alias("t"), F.lit(True).alias("i"))))
+                                        .otherwise(F.array(F.struct(F.col("__sb").alias("bin"), s.alias("f"), F.lit(None).cast(dtype).alias("t"), F.lit(False).alias("i")),
+                                                           F.struct(F.col("__eb").alias("bin"), F.lit(None).cast(dtype).alias("f"), e.alias("t"), F.lit(False).alias("i"))))).alias("c"))
+    ends = ends.where("c.bin IS NOT NULL").select(*own, F.lit(0).alias("unit"), "c.bin", F.col("c.f").alias("__from"), F.col("c.t").alias("__to"), F.col("c.i").alias("__in"))
+    every = whole.unionByName(ends)
+    # of rows of one kind in one bin the earliest start and the latest end say all; those that begin and end in it stay apart
+    kind = [F.when(F.col("__in"), F.col(c)).alias(f"{c}_own") for c in ("__from", "__to")] + [F.col("__from").isNotNull().alias("__begins"), F.col("__to").isNotNull().alias("__ends")]
+    return every.groupBy(*own, "unit", "bin", *kind).agg(F.min("__from").alias("__from"), F.max("__to").alias("__to")).select(*own, "unit", "bin", "__from", "__to")
+
+
+def valid_operators(departures: DataFrame, rows: DataFrame, keys: list[str], time: str, operator: str, start: str, end: str) -> DataFrame:
+    """``departures`` with each ``operator`` that has a row of the same ``keys``
+    whose interval holds ``time``; a departure may meet an operator more than
+    once.  A row that is open at both ends holds an unknown time, too."""
+    dtype = dict(departures.dtypes)[time]
+    open_ = F.col(start).isNull() & F.col(end).isNull()
+    always = rows.where(open_ & F.col(operator).isNotNull()).select(*keys, operator).distinct()
+    bins = staged(validity_bins(rows.where(~open_), keys, operator, start, end), "validity_bins")
+    unit = F.transform(F.sequence(F.lit(0), F.lit(UNITS - 1)),
+                       lambda u: F.struct(u.alias("unit"), F.floor(F.col("__bin") / F.pow(F.lit(float(BASE)), u)).cast("int").alias("bin")))
+    at = (departures.where(F.col(time).isNotNull()).withColumn("__bin", time_bin(F.col(time), dtype))
+          .select(*departures.columns, F.explode(unit).alias("__u")).select(*departures.columns, "__u.unit", "__u.bin"))
+    holds = (F.col("__from").isNull() | (F.col("__from") <= F.col(time))) & (F.col("__to").isNull() | (F.col(time) <= F.col("__to")))
+    met = at.join(bins, [*keys, "unit", "bin"]).where(holds).select(*departures.columns, operator)
+    return met.unionByName(departures.join(always, keys).select(*departures.columns, operator))
 
 
 def service_operators(first_dep: DataFrame, assignments: DataFrame,
                       c: ScheduleCols = ScheduleCols(),
                       a: AssignmentCols = AssignmentCols()) -> DataFrame:
     """Distinct (voyage, operator, carrier) candidates (JOB3 step 2)."""
-    v_keys = [c.voyage, c.service, c.vessel, c.carrier]
-    t = F.col(c.first_dep)
-    tier1 = (assignments.where(F.col(a.service).isNotNull())
-             .select(F.col(a.service).alias(c.service), F.col(a.vessel).alias(c.vessel),
-                     F.col(a.operator).alias("__op1"), F.col(a.start).alias("__s1"),
-                     F.col(a.end).alias("__e1")))
-    t1 = (first_dep.join(tier1, [c.service, c.vessel], "left")
-          .withColumn("__svc_op", _valid_operator(
-              tier1_valid(F.col("__s1"), F.col("__e1"), t), F.col("__op1"))))
-    from_tier1 = (t1.where(F.col("__svc_op").isNotNull())
-                  .select(c.voyage, F.col("__svc_op").alias(c.operator), c.carrier))
-    # rows where NVL falls through to tier 2: a missing or invalid tier-1 match
-    fall_through = (t1.groupBy(*v_keys, c.first_dep)
-                    .agg(F.max(F.col("__svc_op").isNull()).alias("__need"))
-                    .where(F.col("__need")))
-    tier2 = (assignments.where(F.col(a.service).isNull())
-             .select(F.col(a.vessel).alias(c.vessel), F.col(a.operator).alias("__op2"),
-                     F.col(a.start).alias("__s2"), F.col(a.end).alias("__e2")))
-    from_tier2 = (fall_through.join(tier2, [c.vessel], "inner")
-                  .select(c.voyage, _valid_operator(
-                      tier2_valid(F.col("__s2"), F.col("__e2"), t), F.col("__op2")).alias(c.operator),
-                          c.carrier)
-                  .where(F.col(c.operator).isNotNull()))
-    return from_tier1.unionByName(from_tier2).distinct()
+    out, t = [c.voyage, c.operator, c.carrier], F.col(c.first_dep)
+    rows = assignments.select(F.col(a.service).alias(c.service), F.col(a.vessel).alias(c.vessel), F.col(a.operator).alias(c.operator),
+                              F.col(a.start).alias("__s"), F.col(a.end).alias("__e"))
+    tier1 = rows.where(F.col(c.service).isNotNull())
+    from_tier1 = valid_operators(first_dep, tier1.where(F.col("__s").isNotNull()), [c.service, c.vessel], c.first_dep, c.operator, "__s", "__e")
+    # NVL falls through to tier 2 unless there are tier-1 matches, all valid at the departure, all with an operator
+    bounds = aggregated_lookup(tier1.groupBy(c.service, c.vessel).agg(
+        F.max("__s").alias("__latest"), F.min("__e").alias("__earliest"),
+        F.bool_or(F.col("__s").isNull() | F.col(c.operator).isNull()).alias("__lacking")), "validity_bounds")
+    all_valid = ~F.col("__lacking") & (F.col("__latest") <= t) & (F.col("__earliest").isNull() | (t <= F.col("__earliest")))
+    fall_through = (lookup_join(first_dep, bounds, [c.service, c.vessel]).where(~F.coalesce(all_valid, F.lit(False)))
+                    .select(*first_dep.columns))
+    tier2 = rows.where(F.col(c.service).isNull()).drop(c.service)
+    from_tier2 = valid_operators(fall_through, tier2, [c.vessel], c.first_dep, c.operator, "__s", "__e")
+    return from_tier1.select(*out).unionByName(from_tier2.select(*out)).distinct()
 
 
 def voyage_operators(first_dep: DataFrame, svc_ops: DataFrame, vessels: DataFrame,

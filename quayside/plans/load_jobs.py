@@ -16,8 +16,8 @@ Commands::
     snapshot     copy the source table to the target (partitioned by the bucket
                  with ``--partitioned``); with ``--feed`` the feed's positions are
                  recorded first, in a ledger beside the target
-    load         reload the buckets that changed since the ledger, which lies
-                 beside the target
+    load         reload the buckets that changed since the last load and publish
+                 them together (read with ``landed``)
     bootstrap    make the keyed state from the source table, with ``--position``
                  as free text; with ``--feed`` the feed's positions are recorded
                  first and kept with the state
@@ -33,12 +33,13 @@ import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.scalar import bucket_start, key_range, month_label
 from quayside.sinks.state import StateTable
-from quayside.sources.landing import incremental_load, snapshot_load
+from quayside.sources.buckets import Bucket, KeyRange, TimeBucket
+from quayside.sources.landed import LandedTable
+from quayside.sources.landing import snapshot_load
 from quayside.sources.positions import record_positions
 from quayside.sources.readers import feed_stream
 from quayside.sources.tables import TableSource
@@ -62,15 +63,15 @@ class TableSpec:
     def feed(self) -> Feed:
         return Feed(pk=self.key, payload=self.payload, part=self.part, offset=self.offset)
 
-    def bucket_column(self) -> Column:
+    def bucket_of(self) -> Bucket:
         b = dict(self.bucket)
         kind = b.get("kind")
         if kind == "time":
-            return bucket_start(b["column"], int(b.get("days", 31)), from_string=bool(b.get("text", False)))
+            return TimeBucket(b["column"], int(b.get("days", 31)), bool(b.get("text", False)))
         if kind == "month":
-            return month_label(b["column"])
+            return TimeBucket(b["column"])
         if kind == "range":
-            return key_range(self.key, int(b["size"]))
+            return KeyRange(self.key, int(b["size"]))
         raise ValueError(f"unknown bucket kind {kind!r} for {self.source}")
 
 
@@ -92,14 +93,19 @@ def record(spec: TableSpec, feed: DataFrame | None, target: str) -> dict[str, in
 def snapshot(spec: TableSpec, tables: TableSource, target: str, fmt: str = "parquet", partitioned: bool = False,
              feed: DataFrame | None = None) -> DataFrame:
     record(spec, feed, target)
-    derived = {"bucket": spec.bucket_column()} if partitioned else None
+    derived = {"bucket": spec.bucket_of().column()} if partitioned else None
     return snapshot_load(tables(spec.source), target, fmt=fmt, derived=derived, partition_by=["bucket"] if partitioned else None)
 
 
 def load(spec: TableSpec, tables: TableSource, target: str, fmt: str = "parquet") -> DataFrame:
+    """The target is a ``LandedTable``; ``landed`` reads it."""
     source = tables(spec.source)
-    return incremental_load(source.sparkSession, source, target, f"{target.rstrip('/')}_ledger", spec.bucket_column(),
-                            spec.update, spec.key, fmt=fmt)
+    return LandedTable(source.sparkSession, target, fmt).load(source, spec.bucket_of(), spec.update, spec.key)
+
+
+def landed(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
+    """What the last load that wasn't cut off left in ``target``."""
+    return LandedTable(spark, target, fmt).read()
 
 
 def bootstrap(spec: TableSpec, tables: TableSource, target: str, fmt: str = "parquet", position: str | None = None,

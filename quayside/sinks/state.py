@@ -12,16 +12,12 @@ files of a commit that didn't finish belong to no published version.  Reads
 name the folders of the wanted buckets and pass the schema, so nothing is
 inferred, and a file that can't be read fails the read.
 
-One writer at a time: on HDFS and local disks the rename lets only one of two
-writers publish a number; an object store without atomic renames doesn't.
-
 Layout: ``data/<version>/bucket=<b>/`` and ``commits/<version>``.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import json
 import math
 import uuid
 from collections.abc import Mapping
@@ -32,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quayside.sinks.tables import write_table
+from quayside.sinks.versions import Commits
 
 BUCKETS = 256
 #: Rows that a bucket of a new or re-dealt state gets, about.
@@ -66,9 +63,7 @@ class StateTable:
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, fmt: str = "parquet"):
         """``buckets`` is for a new state; one that exists has its own number."""
         self.spark, self.path, self.fmt = spark, path.rstrip("/"), fmt
-        jvm = spark._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.commits = Commits(spark, path)
         now = self.latest()
         self.buckets = now.buckets if now else buckets or BUCKETS
 
@@ -78,18 +73,8 @@ class StateTable:
 
     def latest(self) -> Commit | None:
         """The newest published commit; None if there is none."""
-        folder = self._path(f"{self.path}/commits")
-        if not self._fs.exists(folder):
-            return None
-        names = [s.getPath().getName() for s in self._fs.listStatus(folder)]
-        names = [n for n in names if n.isdigit()]
-        if not names:
-            return None
-        return self._commit(max(names))
-
-    def _commit(self, name: str) -> Commit:
-        c = json.loads(self._read(f"{self.path}/commits/{name}"))
-        return Commit(**{**c, "where": {int(k): v for k, v in c["where"].items()}})
+        c = self.commits.newest()
+        return Commit(**{**c, "where": {int(k): v for k, v in c["where"].items()}}) if c else None
 
     def read(self, schema: StructType, commit: Commit | None = None, only: list[int] | None = None) -> DataFrame:
         """The state's rows (of some buckets) as of a commit, the newest by default."""
@@ -115,8 +100,7 @@ class StateTable:
         version = f"{(before.number if before else 0) + 1:012d}-{uuid.uuid4().hex}"
         folder = f"{self.path}/data/{version}"
         write_table(rows.withColumn("bucket", self.bucket(key)), folder, fmt=self.fmt, partition_by=["bucket"], mode="errorifexists")
-        held = {int(s.getPath().getName().split("=")[1]) for s in self._fs.listStatus(self._path(folder))
-                if s.getPath().getName().startswith("bucket=")}
+        held = {int(n.split("=")[1]) for n in self.commits.names(f"data/{version}") if n.startswith("bucket=")}
         where = {} if replaced is None or before is None else {b: v for b, v in before.where.items() if b not in set(replaced)}
         where |= dict.fromkeys(held, version)
         anew = before is None or snapshot_at is not None
@@ -140,31 +124,8 @@ class StateTable:
         return self.commit(rows, key, None, buckets=buckets or buckets_for(rows.count()))
 
     def _publish(self, c: Commit) -> None:
-        text = json.dumps(asdict(c))
-        aside = self._path(f"{self.path}/commits/.{uuid.uuid4().hex}")
-        self._fs.mkdirs(self._path(f"{self.path}/commits"))
-        out = self._fs.create(aside, False)
-        out.write(bytearray(text.encode()))
-        out.close()
-        target = self._path(f"{self.path}/commits/{c.number:012d}")
-        if self._fs.exists(target) or not self._fs.rename(aside, target):
-            self._fs.delete(aside, False)
-            raise RuntimeError(f"another writer published commit {c.number} of {self.path}")
-
-    def _read(self, path: str) -> str:
-        stream = self._fs.open(self._path(path))
-        try:
-            return bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
-        finally:
-            stream.close()
+        self.commits.publish(c.number, asdict(c))
 
     def vacuum(self, keep: int = 2) -> None:
         """Delete data that none of the ``keep`` newest commits refers to."""
-        folder = self._path(f"{self.path}/commits")
-        names = sorted(s.getPath().getName() for s in self._fs.listStatus(folder) if s.getPath().getName().isdigit())
-        used = {v for n in names[-keep:] for v in self._commit(n).where.values()}
-        for n in names[:-keep]:
-            self._fs.delete(self._path(f"{self.path}/commits/{n}"), False)
-        for s in self._fs.listStatus(self._path(f"{self.path}/data")):
-            if s.getPath().getName() not in used:
-                self._fs.delete(s.getPath(), True)
+        self.commits.keep_newest(keep, lambda c: c["where"].values())

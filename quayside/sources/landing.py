@@ -12,8 +12,13 @@
 The ledger holds one row per bucket (months, or key ranges of millions of
 rows), so it is tiny; the fingerprint is a partial+final hash aggregate, so
 computing it over the whole source is one scan with a small shuffle.  The
-reload is a semi join of the source on the changed buckets; when the target
-is partitioned by bucket, only those partitions are rewritten.
+reload is a semi join of the source on the changed buckets; with a bucket of
+``sources.buckets`` its scan is pruned to their ranges of the raw column.  When
+the target is partitioned by bucket, only those partitions are rewritten.
+
+``incremental_load`` replaces partitions in place, for table formats that
+commit them together; on plain files a reader can meet a load half done.
+``sources.landed.LandedTable`` publishes a load as one commit.
 
 The key hash uses ``xxhash64`` summed as DECIMAL(38,0) (no overflow under
 ANSI mode); together with the count and the newest update it detects a
@@ -26,9 +31,11 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from quayside.session import checkpointed, scratch_path
 from quayside.sinks.tables import write_table
+from quayside.sources.buckets import Bucket, changed_rows
 
 LEDGER_COLS = ["bucket", "row_count", "max_update", "pk_hash"]
 
@@ -74,7 +81,7 @@ def snapshot_load(source: DataFrame, path: str, *, fmt: str = "parquet",
 
 
 def incremental_load(spark: SparkSession, source: DataFrame, target_path: str, ledger_path: str | None,
-                     bucket: Column, update_col: str, pk: str, *, fmt: str = "parquet",
+                     bucket: Column | Bucket, update_col: str, pk: str, *, fmt: str = "parquet",
                      ledger: DataFrame | None = None) -> DataFrame:
     """SRC8 / SRC10: reload the buckets whose fingerprint changed.
 
@@ -84,7 +91,8 @@ def incremental_load(spark: SparkSession, source: DataFrame, target_path: str, l
     cluster's checkpoint folder) so the ledger written afterwards is exactly
     the one the reload was decided on, without a second scan.
     """
-    stats = checkpointed(bucket_stats(source, bucket, update_col, pk))
+    by = bucket if isinstance(bucket, Column) else bucket.column()
+    stats = checkpointed(bucket_stats(source, by, update_col, pk))
     if ledger is None:
         if ledger_path is None:
             raise ValueError("need a ledger or a ledger path")
@@ -93,9 +101,12 @@ def incremental_load(spark: SparkSession, source: DataFrame, target_path: str, l
         else:                                      # first run: no ledger yet
             ledger = spark.createDataFrame([], stats.schema)
     diff = checkpointed(changed_buckets(stats, ledger))
-    todo = diff.where("changed AND src_row_count IS NOT NULL").select(F.col("bucket").alias("__b"))
-    staged = source.withColumn("bucket", bucket)
-    rows = staged.join(todo, staged["bucket"].eqNullSafe(todo["__b"]), "left_semi")
+    todo = diff.where("changed AND src_row_count IS NOT NULL")
+    if isinstance(bucket, Column):               # any expression: the whole source is read again
+        rows, todo = source.withColumn("bucket", bucket), todo.select(F.col("bucket").alias("__b"))
+        rows = rows.join(todo, rows["bucket"].eqNullSafe(todo["__b"]), "left_semi")
+    else:
+        rows = changed_rows(source, bucket, todo)
     write_table(rows, target_path, fmt=fmt, partition_by=["bucket"], mode="overwrite",
                 dynamic=True)
     _drop_emptied(spark, target_path, diff)
@@ -123,14 +134,18 @@ def _drop_emptied(spark: SparkSession, target_path: str, diff: DataFrame) -> Non
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def read_landed(spark: SparkSession, target_path: str, ledger_path: str, fmt: str = "parquet") -> DataFrame:
+def read_landed(spark: SparkSession, target_path: str, ledger_path: str, fmt: str = "parquet",
+                schema: StructType | None = None) -> DataFrame:
     """Read an incrementally loaded table through its ledger.
 
     ``incremental_load`` removes the partition of a bucket that the source
     emptied before it writes the new ledger; between the two a reader that
-    semi-joins the target with the ledger's buckets still sees one state."""
+    semi-joins the target with the ledger's buckets still sees one state.  The
+    bucket has the ledger's type (``007`` stays text); ``schema``: of the other
+    columns, inferred otherwise."""
     buckets = spark.read.parquet(ledger_path).select(F.col("bucket").alias("__b"))
-    landed = spark.read.format(fmt).load(target_path)
+    own = schema or spark.read.format(fmt).load(target_path).drop("bucket").schema
+    landed = spark.read.format(fmt).schema(StructType([*own.fields, StructField("bucket", buckets.schema[0].dataType)])).load(target_path)
     return landed.join(buckets, landed["bucket"].eqNullSafe(buckets["__b"]), "left_semi")
 
 

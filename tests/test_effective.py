@@ -1,0 +1,96 @@
+"""Interval resolution by bins: equal to comparing all pairs, without making them."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from quayside.operators import effective as E
+from tests.conftest import rows
+
+
+def _brute(departures, validity):
+    return sorted({(i, op) for i, k, t in departures for k2, op, s, e in validity if k == k2 and op is not None and (
+        (s is None and e is None) or (t is not None and (s is None or s <= t) and (e is None or t <= e)))})
+
+
+KINDS = {
+    "timestamp_ntz": lambda r: dt.datetime(2020, 1, 1) + dt.timedelta(hours=r.randrange(0, 24 * 900)) if r.random() < 0.9 else dt.datetime(r.choice([1, 1969, 9999]), 12, 31),
+    "date": lambda r: dt.date(2020, 1, 1) + dt.timedelta(days=r.randrange(0, 90)),
+    "string": lambda r: r.choice(["", "2", "2024", "20-4", "20A4", "202x", "~", "20240", "999999", "é"] + [f"{r.randrange(190001, 210012)}{r.randrange(1, 29):02d}0000" for _ in range(30)]),
+    "bigint": lambda r: r.choice([-5, 0, 1 << 40, r.randrange(0, 3000), r.randrange(0, 300)]),
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_valid_operators_equal_all_pairs(spark, kind):
+    rng, value = random.Random(kind), KINDS[kind]
+    maybe = lambda: None if rng.random() < 0.15 else value(rng)
+    departures = [(i, rng.choice(["a", "a", "a", "b", None]), maybe()) for i in range(250)]
+    validity = [(rng.choice(["a", "a", "b", "c", None]), rng.choice(["o1", "o2", "o3", None]), maybe(), maybe()) for _ in range(120)]
+    validity = [(k, o, *(sorted([s, e]) if None not in (s, e) and rng.random() < 0.9 else [s, e])) for k, o, s, e in validity]
+    d = spark.createDataFrame(departures, f"id long, k string, t {kind}")
+    v = spark.createDataFrame(validity, f"k string, op string, s {kind}, e {kind}")
+    got = E.valid_operators(d, v, ["k"], "t", "op", "s", "e").select("id", "op").distinct()
+    assert rows(got) == _brute([x for x in departures if x[1] is not None], validity)
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_bins_never_decrease(spark, kind):
+    rng = random.Random(5)
+    values = sorted({KINDS[kind](rng) for _ in range(300)})
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i long, t {kind}")
+    bins = [r[0] for r in df.select("i", E.time_bin(F.col("t"), kind).alias("b")).orderBy("i").select("b").collect()]
+    assert bins == sorted(bins) and 0 <= bins[0] and bins[-1] < E.BASE**E.UNITS
+
+
+def test_covered_bins_are_few_and_exact(spark):
+    rng = random.Random(2)
+    cases = [(0, 0), (5, 5), (0, 1), (3, 40), (0, E.BASE**E.UNITS), (17, E.BASE**E.UNITS), (0, 4097), (4095, 4097)]
+    cases += [tuple(sorted((rng.randrange(0, 70000), rng.randrange(0, 70000)))) for _ in range(30)]
+    df = spark.createDataFrame(cases, "a int, b int").select("a", "b", E._covered(F.col("a"), F.col("b")).alias("c"))
+    for a, b, found in df.collect():
+        spans = sorted((x.bin * E.BASE**x.unit, (x.bin + 1) * E.BASE**x.unit) for x in found)
+        assert len(spans) <= 2 * E.BASE * E.UNITS
+        at = a
+        for low, high in spans:
+            assert low == at
+            at = high
+        assert at == max(a, b)
+
+
+def test_a_hot_vessel_makes_no_pairs(spark):
+    """One vessel, 4,000 departures, 4,000 rows of 50 operators, each row valid
+    for a few days: the join's rows are bounded by the matches."""
+    day = "CAST('2020-01-01' AS TIMESTAMP_NTZ) + make_dt_interval(CAST({} AS INT))"
+    d = spark.range(4000).selectExpr("id", "'v' AS k", day.format("id") + " + make_dt_interval(0, 7) AS t")
+    v = spark.range(4000).selectExpr("'v' AS k", "concat('o', id % 50) AS op", day.format("id") + " AS s", day.format("id + 3") + " AS e")
+    bins = E.validity_bins(v, ["k"], "op", "s", "e")
+    at = d.withColumn("bin", E.time_bin(F.col("t"), "timestamp_ntz"))
+    joined = sum(at.join(bins.where(F.col("unit") == u), (F.floor(at["bin"] / E.BASE**u) == bins["bin"]) & (at["k"] == bins["k"])).count() for u in range(E.UNITS))
+    matches = E.valid_operators(d, v, ["k"], "t", "op", "s", "e").distinct().count()
+    assert 3 * 3990 <= matches <= 3 * 4000 and joined <= 1.5 * matches              # all pairs: 16,000,000
+
+
+def test_all_tier_1_rows_valid_or_not(spark):
+    """NVL falls through just where some match of the service is invalid or names no operator."""
+    c, a = E.ScheduleCols(), E.AssignmentCols()
+    rng = random.Random(9)
+    day = lambda: rng.choice([None, "20240101", "20240110", "20240110", "20240120", "20240131"])
+    first = [(f"V{i}", rng.choice(["S", "T", None]), rng.choice(["X", "Y", None]), rng.choice(["C", None]), day()) for i in range(80)]
+    valid = [(rng.choice(["S", "T", None, None]), rng.choice(["X", "Y", None]), rng.choice(["A", "B", "D", None]), day(), day()) for _ in range(14)]
+    want = set()
+    for v, s, x, car, t in first:
+        def holds(st, en, tier):
+            if st is None and (tier == 1 or en is not None and t is None):
+                return False
+            if st is None and en is None:
+                return tier == 2
+            return t is not None and (st is None or st <= t) and (en is None or t <= en)
+        t1 = [o if holds(st, en, 1) else None for s1, x1, o, st, en in valid if s1 is not None and s1 == s and x1 is not None and x1 == x] or [None]
+        t2 = [o if holds(st, en, 2) else None for s1, x1, o, st, en in valid if s1 is None and x1 is not None and x1 == x] or [None]
+        want |= {(v, p or q, car) for p in t1 for q in t2 if p or q}
+    got = E.service_operators(spark.createDataFrame(first, f"{c.voyage} string, {c.service} string, {c.vessel} string, {c.carrier} string, {c.first_dep} string"),
+                              spark.createDataFrame(valid, f"{a.service} string, {a.vessel} string, {a.operator} string, {a.start} string, {a.end} string"))
+    assert sorted(map(str, rows(got))) == sorted(map(str, want))

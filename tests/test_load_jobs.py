@@ -36,14 +36,14 @@ def test_jobs_over_a_catalogue(spark):
     J.snapshot(spec["orders"], tables, scratch_table_path(spark, "job-snap"), partitioned=True)
     J.load(spec["orders"], tables, target)
     J.load(spec["items"], tables, ranges)
-    assert rows(spark.read.parquet(target), "id") == [(-3,), (1,), (12,)]
+    assert rows(J.landed(spark, target), "id") == [(-3,), (1,), (12,)]
     J.bootstrap(spec["orders"], tables, state, position="p-1")
     assert start_position(spark, state, 4) == "p-1"
     tables = _fill(spark, [(1, "20240105", 9, "a2"), (12, "20240210", 6, "b")])      # March is gone
     J.load(spec["orders"], tables, target)
     diff = J.load(spec["items"], tables, ranges)
-    assert rows(spark.read.parquet(target), "id", "v") == [(1, "a2"), (12, "b")]
-    assert rows(spark.read.parquet(ranges), "id", "bucket") == [(1, 0), (12, 1)]
+    assert rows(J.landed(spark, target), "id", "v") == [(1, "a2"), (12, "b")]
+    assert rows(J.landed(spark, ranges), "id", "bucket") == [(1, 0), (12, 1)]
     assert rows(diff.where("changed"), "bucket") == [(-1,), (0,)]
 
     import datetime as dt
