@@ -5,122 +5,104 @@ stop keeps its sequence however many carriers join later (S3).  Order
 columns must make the order total (callers add an id as the last
 tie-break), otherwise the numbering is not deterministic between runs.
 
-Three strategies, same result:
-
-``window`` -- ``row_number().over(partitionBy(group).orderBy(order))``: one
-    hash exchange on the group, then every row of a group is numbered by one
-    task.  Fine when groups are small (stops of one voyage).
-
-``auto`` (default) -- one aggregate over the column-pruned input gives the
-    size of the largest group (a single number); ``window`` is used when it
-    fits the per-task budget ``max_group_rows``, ``range`` otherwise.  The
-    choice adapts to the data the way AQE does, at the cost of that one
-    partial-aggregate pass.
-
-``range`` -- safe when one group holds a large share of the rows
-    (e.g. every stop without an arrival voyage shares the NULL group):
-
-    1. ``repartitionByRange(n, group, order)`` + sort within partitions: a hot
-       group is cut into contiguous slices over several tasks;
-    2. ``monotonically_increasing_id`` gives each row its place in its
-       partition;
-    3. the first place and the number of rows of each (partition, group) are
-       one partial aggregate, and a group's earlier slices one running sum;
-    4. sequence = place - first place + rows of earlier slices + 1.
-
-    Everything stays in the JVM, so values of any type pass unchanged and
-    NULL, NaN and equal keys group as in the window.  No task ever holds a
-    whole group.  The placed rows are reliably checkpointed, because range
-    bounds are sampled from data whose order after a shuffle is not fixed.
-    Costlier than ``window`` (a checkpoint write and a second exchange).
+``range`` (the default, one path for every size) numbers narrow rows and
+brings the numbers back to the wide ones:
+
+1. the group and order columns of all sequences, with the row's id, are
+   written once;
+2. per sequence they are dealt out by ranges of (group, order) and sorted: a
+   hot group (e.g. every stop without an arrival voyage shares the NULL group)
+   is cut into contiguous slices over several tasks;
+3. ``monotonically_increasing_id`` gives each row its place in its partition;
+   the first place and the number of rows of each (partition, group) are one
+   partial aggregate, a group's earlier slices one running sum, and
+   sequence = place - first place + rows of earlier slices + 1;
+4. the numbers of all sequences meet in one row per id, which the wide rows
+   are joined with once.
+
+The placed rows of each sequence are written, too, so that places and counts
+are of one run.  Everything stays in the JVM, so values of any type
+pass unchanged and NULL, NaN and equal keys group as in the window.  No task
+ever holds a whole group, and the wide rows move once however many sequences
+there are.
+
+``window``: ``row_number().over(partitionBy(group).orderBy(order))``, one
+exchange of the wide rows for each sequence and one task for each group; for
+inputs whose groups are known to be small.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.session import checkpointed
+from quayside.session import staged
 
-_PID, _AT, _CNT, _OFF = "__seq_pid", "__seq_at", "__seq_cnt", "__seq_off"
-
-
-# A group larger than this is not numbered by a single task (auto strategy).
-MAX_GROUP_ROWS = 2_000_000
-
-
-def largest_group(df: DataFrame, partition_by: Sequence[str]) -> int:
-    """Row count of the largest group (0 for empty input)."""
-    return largest_groups(df, [partition_by])[0]
-
-
-def largest_groups(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> list[int]:
-    """Largest group size for each grouping, from ONE scan of ``df``
-    (GROUPING SETS + partial aggregation); returns one number per grouping."""
-    cols = list(dict.fromkeys(c for ks in key_sets for c in ks))
-    sizes = (df.groupingSets([[F.col(c) for c in ks] for ks in key_sets], *[F.col(c) for c in cols])
-             .agg(F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__gid"))
-             .groupBy("__gid").agg(F.max("__n").alias("__max")))
-    found = {int(r["__gid"]): int(r["__max"]) for r in sizes.collect()}   # <= len(key_sets) rows
-    width = len(cols)
-    out = []
-    for ks in key_sets:
-        gid = sum(1 << (width - 1 - i) for i, c in enumerate(cols) if c not in ks)
-        out.append(found.get(gid, 0))
-    return out
+_PID, _AT, _CNT = "__seq_pid", "__seq_at", "__seq_cnt"
 
 
 def with_sequence(df: DataFrame, out_col: str, partition_by: Sequence[str],
-                  order_by: Sequence[str], strategy: str = "auto",
-                  num_ranges: int | None = None, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    partition_by, order_by = list(partition_by), list(order_by)
-    if strategy == "auto":
-        strategy = "window" if largest_group(df, partition_by) <= max_group_rows else "range"
-    if strategy == "window":
-        w = Window.partitionBy(*partition_by).orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-        return df.withColumn(out_col, F.row_number().over(w))
-    if strategy != "range":
-        raise ValueError(strategy)
-    return _range_row_number(df, out_col, partition_by, order_by, num_ranges)
+                  order_by: Sequence[str], strategy: str = "range",
+                  num_ranges: int | None = None, row_id: Sequence[str] | None = None) -> DataFrame:
+    return with_sequences(df, {out_col: (partition_by, order_by)}, strategy, num_ranges, row_id)
 
 
 def with_sequences(df: DataFrame, specs: Mapping[str, tuple[Sequence[str], Sequence[str]]],
-                   strategy: str = "auto", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                   strategy: str = "range", num_ranges: int | None = None, row_id: Sequence[str] | None = None) -> DataFrame:
     """Apply several sequences: ``{out_col: (partition_by, order_by)}``.
 
-    With ``auto`` the group sizes of all sequences are measured in one pass
-    (their keys are all columns of the input)."""
-    specs = dict(specs)
-    choice = {k: strategy for k in specs}
-    if strategy == "auto":
-        tops = largest_groups(df, [list(p) for p, _ in specs.values()])
-        choice = {k: ("window" if top <= max_group_rows else "range") for k, top in zip(specs, tops)}
-    for out_col, (part, order) in specs.items():
-        df = with_sequence(df, out_col, part, order, choice[out_col])
-    return df
-
-
-def _range_row_number(df: DataFrame, out_col: str, group: list[str], order: list[str],
-                      num_ranges: int | None) -> DataFrame:
-    sort_cols = [F.col(c).asc_nulls_first() for c in group + order]
-    # Without an explicit count AQE may merge adjacent small ranges; merged
-    # ranges stay contiguous and in order, which is all the offsets need.
-    by_range = (df.repartitionByRange(num_ranges, *sort_cols) if num_ranges
-                else df.repartitionByRange(*sort_cols))
-    # The range bounds come from sampling the input, whose row order after a
-    # shuffle is not fixed; the places are therefore checkpointed once, and the
-    # counts below are derived from that same copy.
-    placed = by_range.sortWithinPartitions(*sort_cols).withColumn(_AT, F.monotonically_increasing_id())
-    placed = checkpointed(placed.withColumn(_PID, F.shiftright(_AT, 33)))
-
+    ``row_id`` names the columns that tell rows apart; by default the last
+    order column of the sequences, which then is the same unique id in all of
+    them.  An id that repeats fails the job (``range``)."""
+    specs = {k: (list(p), list(o)) for k, (p, o) in specs.items()}
+    if strategy == "window":
+        for out_col, (part, order) in specs.items():
+            df = df.withColumn(out_col, F.row_number().over(Window.partitionBy(*part).orderBy(*_ascending(order))))
+        return df
+    if strategy != "range":
+        raise ValueError(strategy)
+    if row_id is None:
+        row_id = list(dict.fromkeys(order[-1] for _, order in specs.values()))
+        if len(row_id) != 1:
+            raise ValueError(f"the sequences end in different ids {row_id}: name the row_id")
+    numbers = _numbers(df, specs, list(row_id), num_ranges)
+    on = reduce(lambda a, b: a & b, [df[c].eqNullSafe(numbers[f"__id{i}"]) for i, c in enumerate(row_id)])
+    return df.join(numbers, on, "left").drop(*[f"__id{i}" for i in range(len(row_id))])
+
+
+def _ascending(columns: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in columns]
+
+
+def _numbers(df: DataFrame, specs: Mapping[str, tuple[list[str], list[str]]], row_id: list[str], num_ranges: int | None) -> DataFrame:
+    """(__id0, ..., one column for each sequence), a row for each row of ``df``."""
+    ids = [f"__id{i}" for i in range(len(row_id))]
+    used = list(dict.fromkeys(c for part, order in specs.values() for c in [*part, *order]))
+    narrow = staged(df.select(*[F.col(c) for c in used], *[F.col(c).alias(i) for c, i in zip(row_id, ids)]), "sequence_keys")
+    n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = [_range_numbers(narrow, part, order, ids, n).withColumn("__which", F.lit(k)) for k, (part, order) in enumerate(specs.values())]
+    together = reduce(DataFrame.unionByName, found).groupBy(*ids).agg(
+        *[F.max(F.when(F.col("__which") == k, F.col("__number"))).alias(name) for k, name in enumerate(specs)],
+        F.count("*").alias(_CNT))
+    repeated = F.raise_error(F.lit(f"rows with the same {row_id}: they don't tell rows apart"))
+    return together.select(*ids, *[F.when(F.col(_CNT) == len(specs), F.col(name)).otherwise(repeated.cast("int")).alias(name) for name in specs])
+
+
+def _range_numbers(narrow: DataFrame, group: list[str], order: list[str], ids: list[str], num_ranges: int) -> DataFrame:
+    """(ids, __number) of one sequence."""
+    sort_cols = _ascending([*group, *order])
+    # range bounds come from a sample that differs between runs: the placed rows are written, and both readers below see one run's
+    placed = (narrow.select(*dict.fromkeys([*group, *order]), *ids).repartitionByRange(num_ranges, *sort_cols)
+              .sortWithinPartitions(*sort_cols).withColumn(_AT, F.monotonically_increasing_id()))
+    placed = staged(placed.select(*group, *ids, _AT, F.shiftright(_AT, 33).alias(_PID)), "sequence_places")
     # one row per (partition, group): a group has as many as partitions that it spans
     slices = placed.groupBy(_PID, *group).agg(F.min(_AT).alias("__first"), F.count(F.lit(1)).alias(_CNT))
     before = Window.partitionBy(*group).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     shift = F.coalesce(F.sum(_CNT).over(before), F.lit(0)) - F.col("__first") + 1
-    off = slices.select(F.col(_PID).alias("__o_pid"), *[F.col(g).alias(f"__o_{g}") for g in group], shift.alias(_OFF))
+    off = slices.select(F.col(_PID).alias("__o_pid"), *[F.col(g).alias(f"__o_{i}") for i, g in enumerate(group)], shift.alias("__shift"))
     # the partition is part of the key, so a hot group's rows stay spread
-    cond = [placed[_PID] == off["__o_pid"]] + [placed[g].eqNullSafe(off[f"__o_{g}"]) for g in group]
-    return (placed.join(off, cond).withColumn(out_col, (F.col(_AT) + F.col(_OFF)).cast("int"))
-            .drop(_PID, _AT, _OFF, "__o_pid", *[f"__o_{g}" for g in group]))
+    cond = [placed[_PID] == off["__o_pid"]] + [placed[g].eqNullSafe(off[f"__o_{i}"]) for i, g in enumerate(group)]
+    return placed.join(off, cond).select(*ids, (F.col(_AT) + F.col("__shift")).cast("int").alias("__number"))

@@ -59,6 +59,13 @@ SVC_OPERATOR_ASSN = ["SVC_LOOP_CODE", "VSL_CODE", "OPERATOR", "EFF_START_IODT",
 VESSEL = {"VSL_CDE": "CODE", "OPERATOR": "OPERATOR"}
 PROFM_STOP_ASSN = {"PROFM_STOP_ASSN_ID": "PROFM_STOP_ASSN_ID", "PROFM_STOP_ID": "PROFM_STOP_ID",
                    "PROFM_SEQ": "SEQ_IN_PROFM", "PROFORMA_ID": "PROFORMA_ID"}
+PROFM_STOP = ["PROFM_STOP_ID", "FACILITY_ID", "GMT", "PORT_ID", "ARR_PORT_CALL_SEQ", "DEP_PORT_CALL_SEQ", "ARR_VOYAGE_DIR",
+              "DEP_VOYAGE_DIR", "BERTH_ARR_DAY_OFF", "BERTH_ARR_L_HR", "BERTH_ARR_L_MIN", "BERTH_ARR_L_DOW",
+              "BERTH_DEP_DAY_OFF", "BERTH_DEP_L_HR", "BERTH_DEP_L_MIN", "BERTH_DEP_L_DOW", "PILOT_ARR_DAY_OFF",
+              "PILOT_ARR_L_HR", "PILOT_ARR_L_MIN", "PILOT_ARR_L_DOW", "PILOT_DEP_DAY_OFF", "PILOT_DEP_L_HR",
+              "PILOT_DEP_L_MIN", "PILOT_DEP_L_DOW", "ENTRY_HR", "BERTH_HR", "EXIT_HR", "SEA_HR", "PORT_HR",
+              "PORT_OCCURRENCE", "IS_LOAD_ALLOWED", "IS_DISCHARGE_ALLOWED", "IS_PASS_ALLOWED", "ENTRY_MIN", "BERTH_MIN",
+              "EXIT_MIN", "SEA_MIN", "PORT_MIN", "PRIVATE_CALL"]
 PROFORMA = {
     "PROFORMA_ID": "PROFORMA_ID", "SVC_CDE": "SERVICE_LOOP_CDE", "SVC_NME": "NAME", "SVC_TYPE": "TYPE",
     "IS_SSO_LABELED": "IS_SSO_LABELED", "EFF_START_IODT": "EFFECTIVE_START_IODT",
@@ -94,7 +101,7 @@ STOP_ARR_DEP = ["STOP_ID", "SCHEDULE_STATE", "BERTH_ARRIVAL_IODT", "BERTH_DEPART
 PROJECTIONS = {
     "voyage_stop_assn": VOYAGE_STOP_ASSN, "voyage": VOYAGE, "stop": STOP, "stop_arr_dep": STOP_ARR_DEP,
     "stop_cut_ava": STOP_CUT_AVA, "svc_operator_assn": SVC_OPERATOR_ASSN, "vessel": VESSEL,
-    "profm_stop_assn": PROFM_STOP_ASSN, "profm_stop_cut_ava": PROFM_CUT_AVA, "proforma": PROFORMA,
+    "profm_stop_assn": PROFM_STOP_ASSN, "profm_stop": PROFM_STOP, "profm_stop_cut_ava": PROFM_CUT_AVA, "proforma": PROFORMA,
     "mfest_info": MFEST_INFO, "mfest_ready_info": MFEST_READY_INFO,
     "effective_voyage": EFFECTIVE_VOYAGE, "vsl_cap_default_assn": VSL_CAP_DEFAULT_ASSN,
     "vsl_cap_port_assn": VSL_CAP_PORT_ASSN, "vsl_cap_tradelane_assn": VSL_CAP_TRADELANE_ASSN,
@@ -110,7 +117,4 @@ class DomainInputs:
         self._names = {**SOURCE_TABLES, **(names or {})}
 
     def get(self, logical: str) -> DataFrame:
-        df = self._t(self._names[logical])
-        if logical == "profm_stop":          # every proforma stop column keeps its name
-            return df
-        return scan_alias(df, PROJECTIONS[logical])
+        return scan_alias(self._t(self._names[logical]), PROJECTIONS[logical])

@@ -1,8 +1,9 @@
 """Job entry points over the operational source tables (JOB1, JOB2, JOB4, JOB5).
 
 Each job resolves its inputs through a table source (the metastore database
-on a cluster: ``catalog_tables(spark, "source_db")``), builds the mart lazily
-and, when a target is given, writes it (SNK1): overwrite, external path
+on a cluster: ``catalog_tables(spark, "source_db")``), builds the mart (jobs run
+while it is built: aggregated lookups, sequence keys and shared intermediates
+are written to the checkpoint folder) and, when a target is given, writes it (SNK1): overwrite, external path
 and/or catalog table, ``fmt`` = parquet, delta, ... .  The audit timestamp is
 the run time unless ``run_ts`` is injected.
 """
@@ -43,7 +44,7 @@ def run_user_state(tables: TableSource, *, target_path: str | None = None,
 def run_schedule(tables: TableSource, *, target_path: str | None = None,
                  target_table: str | None = None, fmt: str = "parquet",
                  names: Mapping[str, str] | None = None, anchor: str = "dg_cutoff",
-                 strategy: str = "pivot", sequence_strategy: str = "auto",
+                 strategy: str = "pivot", sequence_strategy: str = "range",
                  run_ts: _dt.datetime | None = None) -> DataFrame:
     d = DomainInputs(tables, names)
     df = schedule_mart(d.get("voyage_stop_assn"), d.get("voyage"), d.get("stop"),

@@ -97,7 +97,7 @@ def stop_arr_dep(t: TableSource) -> DataFrame:
     """Stop arrival/departure times: one row per (stop, schedule state)."""
     li = t("lineitem")
     return (li.groupBy(F.col("l_partkey").alias("STOP_ID"),
-                       _label("l_returnflag", SCHEDULE_STATES).alias("SCHEDULE_STATE"))
+                       label("l_returnflag", SCHEDULE_STATES).alias("SCHEDULE_STATE"))
             .agg(*[(getattr(F, fn)("l_shipdate") + F.make_dt_interval(F.lit(days))).alias(c)
                    for c, (fn, days) in ARR_DEP_COLUMNS.items()]))
 
@@ -106,8 +106,8 @@ def stop_cut_ava(t: TableSource) -> DataFrame:
     """Stop cut-off/availability rows: one row per (stop, carrier, nature, type)."""
     li = t("lineitem")
     return (li.groupBy(F.col("l_partkey").alias("STOP_ID"), F.col("l_suppkey").alias("CARRIER_ID"),
-                       _label(_nature_key(), CARGO_NATURES).alias("CARGO_NATURE"),
-                       _label("l_linestatus", DATE_TYPES).alias("TYPE"))
+                       label(_nature_key(), CARGO_NATURES).alias("CARGO_NATURE"),
+                       label("l_linestatus", DATE_TYPES).alias("TYPE"))
             .agg(F.min("l_shipdate").alias("DATE_IODT"), F.max("l_shipdate").alias("DATE_LOC")))
 
 
@@ -157,8 +157,8 @@ def proforma_cut_ava(t: TableSource) -> DataFrame:
     """Proforma stop cut-off/availability rows: one per lineitem, measures from the ship date."""
     return scan_alias(t("lineitem"), {
         "profm_stop_id": "l_partkey",
-        "cargo_nature": _label(_nature_key(), CARGO_NATURES),
-        "type": _label("l_linestatus", DATE_TYPES),
+        "cargo_nature": label(_nature_key(), CARGO_NATURES),
+        "type": label("l_linestatus", DATE_TYPES),
         "date_day_off": F.dayofmonth("l_shipdate"),
         "date_l_hr": F.month("l_shipdate"),
         "date_l_min": "l_linenumber",
@@ -177,7 +177,7 @@ def _nature_key() -> Column:
     return F.concat("l_returnflag", (F.col("l_linenumber") % 2).cast("string"))
 
 
-def _label(col: str | Column, mapping: dict) -> Column:
+def label(col: str | Column, mapping: dict) -> Column:
     col = F.col(col) if isinstance(col, str) else col
     expr = None
     for k, v in mapping.items():

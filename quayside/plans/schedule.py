@@ -124,7 +124,7 @@ def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep:
                   combos: Sequence[tuple[str, str]] = CUT_AVA_COMBOS,
                   cut_ava_fields: Mapping[str, str] = CUT_AVA_FIELDS,
                   sequences=SEQUENCES, anchor: str = "dg_cutoff", strategy: str = "pivot",
-                  sequence_strategy: str = "auto", run_ts: _dt.datetime | None = None,
+                  sequence_strategy: str = "range", run_ts: _dt.datetime | None = None,
                   stage: bool = True) -> DataFrame:
     """JOB2.  ``stage`` writes the joined spine and the enriched schedule once
     to the shared folder, so the source tables are read once per role.  With ``strategy="pivot"`` each lookup table is read once; the sequences are

@@ -1,9 +1,10 @@
 """Range-split row numbers equal window row numbers, including a hot group
 (a third of all rows, NULL key) cut across many partitions."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from quayside.operators.sequence import with_sequence
+from quayside.operators.sequence import with_sequence, with_sequences
 from tests.conftest import rows
 
 
@@ -29,19 +30,24 @@ def test_range_two_group_columns(spark):
     assert rows(r, "id", "rn") == rows(w, "id", "rn")
 
 
-def test_auto_switches_on_group_size(spark):
-    base = spark.range(400).select((F.col("id") % 2).alias("g"), F.col("id"))
-    w = with_sequence(base, "rn", ["g"], ["id"], strategy="window")
-    for budget in (10, 10_000):          # range path, window path
-        a = with_sequence(base, "rn", ["g"], ["id"], strategy="auto", max_group_rows=budget)
-        assert rows(a, "id", "rn") == rows(w, "id", "rn")
+def test_several_sequences_move_the_wide_rows_once(spark):
+    base = spark.range(900).select((F.col("id") % 2).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id") % 5).alias("b"),
+                                   F.sha2(F.col("id").cast("string"), 256).alias("wide"), (F.col("id") * 7919 % 1009).alias("o"), F.col("id"))
+    specs = {"x": (["a"], ["o", "id"]), "y": (["b", "a"], ["id"]), "z": (["b"], ["o", "id"])}
+    want = with_sequences(base, specs, "window")
+    got = with_sequences(base, specs, num_ranges=6)
+    assert got.columns == [*base.columns, "x", "y", "z"] and rows(got) == rows(want, *got.columns)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("wide") and "Window" in plan and plan.count("sha2") == 1
 
 
-def test_largest_groups_one_pass(spark):
-    from quayside.operators.sequence import largest_groups
-    base = spark.range(100).select((F.col("id") % 2).alias("a"), (F.col("id") % 5).alias("b"),
-                                   F.when(F.col("id") < 70, None).otherwise(F.col("id")).alias("c"))
-    assert largest_groups(base, [["a"], ["a", "b"], ["c"], ["b"]]) == [50, 10, 70, 20]
+def test_ids_that_repeat_fail(spark):
+    base = spark.createDataFrame([(1, 1), (1, 1), (2, 3)], "g long, i long")
+    with pytest.raises(Exception, match="tell rows apart"):
+        with_sequence(base, "rn", ["g"], ["i"]).collect()
+    with pytest.raises(ValueError):
+        with_sequences(base, {"a": (["g"], ["i"]), "b": (["i"], ["g"])})
+    assert rows(with_sequences(base.distinct(), {"a": (["g"], ["i"]), "b": (["i"], ["g"])}, row_id=["g", "i"])) == [(1, 1, 1, 1), (2, 3, 1, 1)]
 
 
 def test_range_keeps_values_and_groups_of_any_type(spark):
