@@ -245,12 +245,17 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col:
             names, texts = b.column(0).to_pylist(), b.column(1)
             for i in range(0, len(names), 512):
                 ids, ends = encoder.encode(texts.slice(i, 512).to_pylist())
-                docs_ += names[i:i + 512]
-                ends_.append(ends + held)
-                ids_.append(ids)
-                held += len(ids)
-                if held >= file_ids:
-                    yield flush()
+                docs, at = names[i:i + 512], 0
+                while at < len(docs):                   # up to the document that fills the file
+                    begin = int(ends[at - 1]) if at else 0
+                    upto = min(int(np.searchsorted(ends, begin + file_ids - held)) + 1, len(docs))
+                    docs_ += docs[at:upto]
+                    ends_.append(ends[at:upto] - begin + held)
+                    ids_.append(ids[begin:ends[upto - 1]])
+                    held += int(ends[upto - 1]) - begin
+                    at = upto
+                    if held >= file_ids:
+                        yield flush()
         if docs_:
             yield flush()
 

@@ -16,7 +16,6 @@ PARTS = [" ", "  ", "\n", "\t", " \n", "a", "the", " the", "'s", "don't", ",", "
 def whole(name, end_id):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokenizer_path(name))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids + [end_id]
 
 
