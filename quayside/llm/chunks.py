@@ -12,7 +12,7 @@ so that nothing depends on the Unicode version of a pattern.)  A text that
 holds the string of an added token (``<|endoftext|>``), which gets that
 token's id as in a plain library call, goes to the library whole.
 
-A memo is dropped when it is full (``CHUNKS``, ``TOKENS``, ``IDS``), so memory
+A full memo (``CHUNKS``, ``TOKENS``, ``IDS``) keeps what it met most, so memory
 doesn't follow the corpus.  ``ChunkEncoder.shared`` keeps the encoder of a
 Python worker between its tasks.
 """
@@ -23,6 +23,7 @@ import os
 import re
 import sys
 import types
+from itertools import chain
 
 import numpy as np
 
@@ -52,16 +53,31 @@ def _ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
 
 
 class _Memo(dict):
-    """String -> its place among the known ones, with the ids of each."""
+    """String -> its place among the known ones, with the ids of each.
+
+    When it is full, the strings met once since the last time are forgotten,
+    and if that isn't half of them, those met least as well."""
 
     def __init__(self, most: int):
         super().__init__()
         self.most, self.new = most, []
-        self.reset()
+        self.lens, self.starts, self.met = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool = np.zeros(0, np.uint32)
+
+    def trim(self) -> None:
+        keep = np.argsort(-self.met, kind="stable")[:self.most // 2]
+        keep = np.sort(keep[self.met[keep] > 1])
+        names, pool = list(self), self.gather(keep)
+        self.clear()
+        self.update(zip(map(names.__getitem__, keep.tolist()), range(len(keep))))
+        if len(pool) > IDS // 2:                        # few strings of very many ids
+            return self.empty()
+        self.lens, self.met, self.pool = self.lens[keep], self.met[keep] // 2, pool
+        self.starts = np.cumsum(self.lens) - self.lens
 
-    def reset(self) -> None:
+    def empty(self) -> None:
         self.clear()
-        self.lens, self.starts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.lens, self.starts, self.met = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.pool = np.zeros(0, np.uint32)
 
     def __missing__(self, key: str) -> int:
@@ -72,7 +88,7 @@ class _Memo(dict):
     def index(self, keys: list[str], learn) -> np.ndarray:
         """The places of ``keys``; ``learn(new)`` gives the ids and lengths of unknown ones."""
         if len(self) > self.most or len(self.pool) > IDS:
-            self.reset()
+            self.trim()
         out = np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
         if self.new:
             new, self.new = self.new, []
@@ -80,6 +96,8 @@ class _Memo(dict):
             self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lens) - lens])
             self.lens = np.concatenate([self.lens, lens])
             self.pool = np.concatenate([self.pool, pool])
+            self.met = np.concatenate([self.met, np.zeros(len(new), np.int32)])
+        self.met += np.bincount(out, minlength=len(self.met)).astype(np.int32)
         return out
 
     def gather(self, index: np.ndarray) -> np.ndarray:
@@ -119,7 +137,7 @@ class ChunkEncoder:
     def _library(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
         lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((i for x in ids for i in x), np.uint32, int(lens.sum())), lens
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(lens.sum())), lens
 
     def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         plain = np.fromiter((_PLAIN.fullmatch(c) is not None for c in chunks), bool, len(chunks))
