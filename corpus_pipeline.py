@@ -14,16 +14,14 @@ from quayside.llm import exact_dedup, langid, mixing, near_dedup, packing
 from quayside.llm.common import staged, table
 from quayside.llm.queries import quality_weights
 
-#: A text's language must be at least this sure.
-SURE = 0.5
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: null, empty and letterless texts go, and
-    those that no language explains better than all others together."""
+    """Documents with a language: null, empty and letterless texts go.  If no
+    document says its language, there is nothing to reject by, and all stay."""
+    if docs.filter("lang IS NOT NULL AND text IS NOT NULL").limit(1).count() == 0:
+        return docs
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "doc_id", "text", "lang")
     seen = langid.identify(whole, carry=["_doc"])
-    return seen.filter((F.col("lang_pred") != "und") & (F.col("score") >= SURE)).select("_doc.*")
+    return seen.filter(F.col("lang_pred") != "und").select("_doc.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
