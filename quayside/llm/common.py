@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import gc
+import sys
+import types
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -9,7 +14,7 @@ from pyspark.sql import Window as W
 from quayside.session import checkpoint_dir, scratch_path, staged
 
 __all__ = ["checkpoint_dir", "scratch_path", "staged", "ranked", "partition_offsets", "table", "hash_unit",
-           "WHITE"]
+           "worker_state", "release_worker_state", "WHITE"]
 
 #: The white space of every contract here: space and the five controls from tab to carriage return.
 WHITE = r"\x20\x09-\x0D"
@@ -48,3 +53,22 @@ def hash_unit(*cols: Column) -> Column:
     """A number in (0, 1) that the columns alone decide."""
     bits = F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double")
     return (bits + 0.5) / float(1 << 53)
+
+
+def worker_state(kind: str, key, make: Callable):
+    """What a Python worker keeps between its tasks (a memo, a model): made at
+    the first task that asks for it.  A worker keeps one at a time, so that of
+    an operator that has ended nothing is left when the next one's tasks come."""
+    kept = sys.modules.setdefault("_quayside_worker", types.ModuleType("_quayside_worker"))
+    if getattr(kept, "of", None) != (kind, key):
+        release_worker_state()
+        kept.state, kept.of = make(), (kind, key)
+    return kept.state
+
+
+def release_worker_state() -> None:
+    """For tasks that need the memory and keep nothing."""
+    kept = sys.modules.get("_quayside_worker")
+    if kept is not None and getattr(kept, "of", None) is not None:
+        kept.state = kept.of = None
+        gc.collect()

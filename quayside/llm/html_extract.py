@@ -14,7 +14,7 @@ density.  The best container stands for its whole: the outermost ``article``
 or ``main`` around it, or without one the outermost ancestor up to which the
 text that comes along isn't mostly links.  All of the whole that isn't left
 out is kept, however short (sections, headings, quotes, tables), but for lists
-and boxes of bare links; text blocks and scored containers beside the whole
+and boxes of bare links (a list of cited links in the article stays); text blocks and scored containers beside the whole
 are kept too.  The text blocks are joined in page order.
 
 Result: character references decoded, white space in a block turned into one
@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|=)*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: One attribute with its value; a tag's attributes are read one after another, so no value is taken for a name.
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'<>]+)))?""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -406,13 +407,16 @@ def main_text(source: str | None) -> str:
         return linked[k] > share * size[k]
 
     inside = [False] * n           # of the best container
+    article = [False] * n
     kept = [False] * n
     for k in range(n):
         up = parent[k]
         inside[k] = k == best or up >= 0 and inside[up]
+        article[k] = tag[k] == "article" or up >= 0 and article[up]
         if k == top or up >= 0 and kept[up]:
-            # a list or box of bare links is a menu; numbered lists and tables of links are references
-            box = tag[k] in ("ul", "div", "section") and (links[k] >= 3 or not inside[k])
+            # a list or box of bare links is a menu; numbered lists, tables and lists in the article's text are references
+            cited = tag[k] == "ul" and inside[k] and article[k]
+            box = tag[k] in ("ul", "div", "section") and not cited and (links[k] >= 3 or not inside[k])
             kept[k] = k in (top, best) or not (box and dense(k, 0.8))
         elif up >= 0 and up == parent[top] and not page.out[k]:
             # beside the whole: text blocks and scored containers, however they compare with the best

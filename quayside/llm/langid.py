@@ -15,9 +15,10 @@ count over pieces by the posterior of its segmentations (forward-backward).
 Counts grow with the corpus; the model itself has one number for each piece
 and language, so it fits the driver and every task.
 
-Words are the lower-cased runs without white space; a run of more than
-``WORD`` characters is cut into runs of ``WORD``.  A word less likely than
-1e-300 counts as that for each language.
+Words are the lower-cased runs without white space, whole however long they
+are.  Forward and backward sums are scaled at every position where they get
+small, so no likelihood leaves the range of a double, and the rarest word of
+the longest script teaches and scores like any other.
 
 Edge cases: a text that is null or has no letter is ``und`` with score 0, and
 so is every text if nothing could be learned; a null id belongs to the
@@ -27,9 +28,6 @@ count as often as they are there.
 
 from __future__ import annotations
 
-import re
-import sys
-import types
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -41,27 +39,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.chunks import tokenizer_path
-from quayside.llm.common import staged
+from quayside.llm.common import staged, worker_state
 
 ROUNDS = 2
-WORD = 32
 MARK = "▁"
-LEAST = 1e-300
 SMOOTH = 0.1
+#: Sums below this are scaled up.  A character's pieces, or its bytes' together, are likelier than 1e-60.
+SMALL = 1e-100
+#: Code points of words that are looked at together.
+BLOCK_POINTS = 140_000
 #: Distinct words that a task holds at once.
 HELD_WORDS = 200_000
 #: Words whose scores a worker keeps.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 300_000
 #: Words of a language that a learning task looks at together.
 EM_WORDS = 50_000
-_LONG = re.compile(r"\S{%d,}" % (WORD + 1))
 
 
 def words_of(text: str) -> list[str]:
-    words = text.lower().split()
-    if _LONG.search(text):
-        words = [w[i:i + WORD] for w in words for i in range(0, len(w), WORD)]
-    return words
+    return text.lower().split()
 
 
 def has_letter(text: str) -> bool:
@@ -81,7 +77,7 @@ class Vocabulary:
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
                 self.bytes[int(piece[3:5], 16)] = i
-            elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)) and len(piece) <= WORD + 1:
+            elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 *_, (_, h) = self._hashes(_points([piece]), len(piece))
                 by_len.setdefault(len(piece), []).append((int(h[0, 0]), i))
         self.table = {}
@@ -127,15 +123,20 @@ def _points(words: list[str]) -> np.ndarray:
     return np.frombuffer(raw, "<u4").reshape(len(words), -1).astype(np.uint64)
 
 
-def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(places in ``words``, code points with the word mark), by equal length."""
-    lens = np.fromiter(map(len, words), np.int64, len(words))
+def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places in ``words``, code points with the word mark, their numbers), by
+    like length: rows of up to 40 code points have the same, longer ones are
+    filled up by at most a quarter."""
+    lens = np.fromiter(map(len, words), np.int64, len(words)) + 1
     order = np.argsort(lens, kind="stable")
-    edges = np.flatnonzero(np.diff(lens[order])) + 1
-    for run in np.split(order, edges):
-        for i in range(0, len(run), 4096):
-            at = run[i:i + 4096]
-            yield at, _points([MARK + words[k] for k in at])
+    step = np.where(lens > 40, np.ceil(np.log(np.maximum(lens, 1) / 40) / np.log(1.25)) + 40, lens)[order]
+    edges = np.flatnonzero(np.diff(step)) + 1
+    for run in np.split(order, edges) if len(order) else []:
+        wide = int(lens[run].max())
+        rows = max(1, BLOCK_POINTS // wide)
+        for i in range(0, len(run), rows):
+            at = run[i:i + rows]
+            yield at, _points([(MARK + words[k]).ljust(wide) for k in at]), lens[at]
 
 
 def _extended(vocabulary: Vocabulary, p: np.ndarray, odd: list[str]) -> np.ndarray:
@@ -153,56 +154,90 @@ def _add(total: np.ndarray, q: np.ndarray, ids: np.ndarray, rest: np.ndarray) ->
         total[own] += q[ids[own]] * rest[own]
 
 
-def _forward(found: dict[int, np.ndarray], q: np.ndarray, length: int) -> list[np.ndarray]:
-    """alpha[j]: (words, languages), the likelihood of the first j characters."""
-    n = len(found[1])
-    alpha = [np.ones((n, q.shape[1]))]
-    for j in range(1, length + 1):
-        total = np.zeros((n, q.shape[1]))
-        for k, ids in found.items():
+def _sums(steps: dict[int, np.ndarray], q: np.ndarray, lens: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sums, logs): the likelihood of the first j characters of each row is
+    ``sums[j] * exp(logs[j])``, both (wide + 1, rows, languages).
+    ``steps[k][:, j]``: the piece of k characters that ends behind character j."""
+    n, g = len(lens), q.shape[1]
+    sums, logs = np.zeros((wide + 1, n, g)), np.zeros((wide + 1, n, g))
+    sums[0] = 1
+    longest = max(steps)
+    window = {0: sums[0]}                   # the last sums, on the scale of the newest
+    for j in range(1, wide + 1):
+        total = np.zeros((n, g))
+        for k, ids in steps.items():
             if k <= j:
-                _add(total, q, ids[:, j - k], alpha[j - k])
-        alpha.append(total)
-    return alpha
+                _add(total, q, ids[:, j - 1], window[j - k])
+        window.pop(j - longest, None)
+        window[j] = total
+        logs[j] = logs[j - 1]
+        small = total < SMALL
+        if small.any():
+            # what would leave the range lies before characters without pieces, which no piece crosses: never used again
+            factor = np.where(small, 1 / SMALL, 1.0)
+            window = {i: np.minimum(w * factor, 1e300) for i, w in window.items()}
+            logs[j] += np.where(small, np.log(SMALL), 0.0)
+        sums[j] = window[j]
+    return sums, logs
+
+
+def _ending(found: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """Pieces by the place where they end, from pieces by the place where they start."""
+    out = {}
+    for k, ids in found.items():
+        out[k] = np.full((len(ids), ids.shape[1] + k - 1), -1, np.int64)
+        out[k][:, k - 1:] = ids
+    return out
+
+
+def _log(sums: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.log(sums) + logs
 
 
 def word_scores(vocabulary: Vocabulary, p: np.ndarray, words: list[str]) -> np.ndarray:
     """Log likelihoods, (words, languages)."""
     out = np.zeros((len(words), p.shape[1]))
-    for at, points in _by_length(words):
+    for at, points, lens in _by_length(words):
         found, odd = vocabulary.lattice(points)
-        alpha = _forward(found, _extended(vocabulary, p, odd), points.shape[1])
-        out[at] = np.log(np.maximum(alpha[-1], LEAST))
+        sums, logs = _sums(_ending(found), _extended(vocabulary, p, odd), lens, points.shape[1])
+        rows = np.arange(len(at))
+        out[at] = _log(sums[lens, rows], logs[lens, rows])
     return out
 
 
 def expected_counts(vocabulary: Vocabulary, p: np.ndarray, words: list[str], counts: np.ndarray) -> np.ndarray:
     """Expected uses of each piece in the words of one language; ``p``: (pieces, 1)."""
     out = np.zeros(vocabulary.size)
-    for at, points in _by_length(words):
-        length = points.shape[1]
+    for at, points, lens in _by_length(words):
+        n, wide = points.shape
         found, odd = vocabulary.lattice(points)
         q = _extended(vocabulary, p, odd)
-        alpha = _forward(found, q, length)
-        beta = [None] * length + [np.ones((len(at), 1))]
-        for i in range(length - 1, -1, -1):
-            total = np.zeros((len(at), 1))
-            for k, ids in found.items():
-                if i + k <= length:
-                    _add(total, q, ids[:, i], beta[i + k])
-            beta[i] = total
-        whole = alpha[-1]
-        weight = np.where(whole > LEAST, counts[at, None] / np.maximum(whole, LEAST), 0.0)
+        steps = _ending(found)
+        ahead = _log(*_sums(steps, q, lens, wide))[:, :, 0]
+        # backward sums are forward sums of the rows read from their ends
+        rows, back = np.arange(n)[:, None], lens[:, None] - 1 - np.arange(wide)
+        turned = {}
+        for k, ids in found.items():
+            # a piece that starts at i ends, from behind, at character len - i
+            start = back
+            turned[k] = np.where((start >= 0) & (start < ids.shape[1]), ids[rows, np.clip(start, 0, ids.shape[1] - 1)], -1)
+            turned[k][start + k > lens[:, None]] = -1
+        behind = _log(*_sums(turned, q, lens, wide))[:, :, 0]
+        whole = ahead[lens, np.arange(n)]
         more = np.zeros(vocabulary.size + len(odd) + 1)
-        ahead, behind = np.stack(alpha)[:, :, 0], np.stack(beta)[:, :, 0]
+        with np.errstate(divide="ignore"):
+            log_q = np.log(q[:, 0])
         for k, ids in found.items():
             row, i = np.nonzero(ids >= 0)
+            own = i + k <= lens[row]
+            row, i = row[own], i[own]
             piece = ids[row, i]
-            use = ahead[i, row] * q[piece, 0] * behind[i + k, row] * weight[row, 0]
+            use = np.exp(ahead[i, row] + log_q[piece] + behind[lens[row] - i - k, row] - whole[row]) * counts[at[row]]
             more[:-1] += np.bincount(piece, use, minlength=len(more) - 1)
         out += more[:vocabulary.size]
-        for c, n in zip(odd, more[vocabulary.size:-1]):
-            np.add.at(out, vocabulary.byte_ids(c), n)
+        for c, n_uses in zip(odd, more[vocabulary.size:-1]):
+            np.add.at(out, vocabulary.byte_ids(c), n_uses)
     return out
 
 
@@ -300,10 +335,8 @@ def predict(docs: DataFrame, model: Model, carry: list[str], text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a worker keeps the words that it has scored under this model between its tasks
-        kept = sys.modules.setdefault("_quayside_worker", types.ModuleType("_quayside_worker"))
-        if getattr(kept, "model_id", None) != model_id:
-            kept.model_id, kept.words = model_id, {"vocabulary": Vocabulary(file), "memo": {}, "scores": np.zeros((0, len(langs)))}
-        vocabulary, memo, scores = kept.words["vocabulary"], kept.words["memo"], kept.words["scores"]
+        kept = worker_state("words", model_id, lambda: {"vocabulary": Vocabulary(file), "memo": {}, "scores": np.zeros((0, len(langs)))})
+        vocabulary, memo, scores = kept["vocabulary"], kept["memo"], kept["scores"]
         for b in batches:
             for i in range(0, b.num_rows, 512):
                 part = b.slice(i, 512)
@@ -320,7 +353,7 @@ def predict(docs: DataFrame, model: Model, carry: list[str], text_col: str = "te
                     new = list(set(words))
                 if new:
                     memo.update(zip(new, range(len(scores), len(scores) + len(new))))
-                    scores = kept.words["scores"] = np.concatenate([scores, word_scores(vocabulary, p, new)])
+                    scores = kept["scores"] = np.concatenate([scores, word_scores(vocabulary, p, new)])
                 index = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
                 names, posts, begin = [], [], 0
                 for end in ends:

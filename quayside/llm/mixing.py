@@ -66,6 +66,11 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float, c
     return src.select("source", "place", "source_size", "n", target.alias("target"))
 
 
+def text_digest(text: Column) -> Column:
+    """With the id, what tells a document from another one."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0,
         quality: DataFrame | None = None, seed: int = 17, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> DataFrame:
@@ -74,7 +79,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     ``taken`` (all words taken).  ``quality``: (doc_id, weight)."""
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                        n_words(F.col(text_col)).alias("size"),
-                       F.crc32(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")).alias("crc"))
+                       text_digest(F.col(text_col)).alias("digest"))
     base = staged(base, "mix_sizes")
     if quality is None:
         base = base.withColumn("w", F.lit(1.0))
@@ -82,7 +87,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
         q = quality.groupBy(F.col("doc_id").alias("_q")).agg(F.max("weight").alias("w"))
         base = base.join(q, F.col("doc_id") == F.col("_q"), "left").drop("_q")
         base = base.withColumn("w", F.when(F.col("w") > 0, F.col("w").cast("double")).otherwise(1.0))
-    u = hash_unit(F.coalesce(F.col("doc_id").cast("string"), F.col("crc").cast("string")), F.lit(seed))
+    u = hash_unit(F.coalesce(F.col("doc_id").cast("string"), F.hex("digest")), F.lit(seed))
     base = base.withColumn("key", -F.log(u) / F.col("w"))
     targets = staged(source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")),
                                     weights, share, cap), "targets")
@@ -95,7 +100,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     before = W.partitionBy("place").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
     sums = sums.select(F.col("place").alias("_p"), F.col("range").alias("_r"),
                        F.coalesce(F.sum("total").over(before), F.lit(0)).alias("ahead"))
-    inside = (W.partitionBy("place", "range").orderBy("key", "doc_id", "size", "crc")
+    inside = (W.partitionBy("place", "range").orderBy("key", "doc_id", "size", "digest")
               .rowsBetween(W.unboundedPreceding, -1))
     rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     rows = rows.join(sums, (F.col("place") == F.col("_p")) & (F.col("range") == F.col("_r")))
@@ -104,7 +109,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     rest = F.round(F.col("target")).cast("long") - F.col("epochs") * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("ahead") - F.col("inside")))
     rows = rows.withColumn("part", part.cast("long"))
-    return rows.select("doc_id", "source", "size", "source_size", "target", "epochs", "part", "crc",
+    return rows.select("doc_id", "source", "size", "source_size", "target", "epochs", "part", "digest",
                        (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"))
 
 
@@ -123,12 +128,11 @@ def materialise(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_
     own columns; the partly taken copy holds its first ``part`` words.  Rows
     with one id and one text count as one document taken for all of them."""
     own = docs.columns
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    key = lambda i, crc: F.concat_ws(":", F.coalesce(F.col(i).cast("string"), F.lit("null")), crc)
+    key = lambda i, digest: F.concat_ws(":", F.coalesce(F.col(i).cast("string"), F.lit("null")), F.hex(digest))
     d = (docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_doc"),
-                     key(id_col, F.crc32(F.encode(text, "UTF-8"))).alias("_key"))
+                     key(id_col, text_digest(F.col(text_col))).alias("_key"))
          .groupBy("_key").agg(F.first("_doc").alias("_doc")))
-    m = mixed.groupBy(key("doc_id", F.col("crc")).alias("_key")).agg(
+    m = mixed.groupBy(key("doc_id", F.col("digest")).alias("_key")).agg(
         F.sum("epochs").alias("epochs"), F.sum("part").alias("part"), F.max("size").alias("size"))
     whole = F.when(F.col("size") > 0, F.floor(F.col("part") / F.col("size"))).otherwise(0)
     left = F.when(F.col("size") > 0, F.col("part") % F.col("size")).otherwise(0)

@@ -35,8 +35,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-import sys
-import types
 import uuid
 from collections.abc import Iterator, Sequence
 from itertools import chain
@@ -48,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.chunks import _ragged, tokenizer_path
-from quayside.llm.common import scratch_path, staged
+from quayside.llm.common import scratch_path, staged, worker_state
 
 MEMO = 300_000
 #: The most pairs that a worker holds for looking counts up.
@@ -141,10 +139,7 @@ class Aligner:
     @staticmethod
     def shared(path_a: str, path_b: str) -> Aligner:
         """This worker's aligner, made at its first task."""
-        kept = sys.modules.setdefault("_quayside_worker", types.ModuleType("_quayside_worker"))
-        if getattr(kept, "aligner_for", None) != (path_a, path_b):
-            kept.aligner, kept.aligner_for = Aligner(path_a, path_b), (path_a, path_b)
-        return kept.aligner
+        return worker_state("aligner", (path_a, path_b), lambda: Aligner(path_a, path_b))
 
     @staticmethod
     def cut(text: str) -> list[str]:
@@ -334,10 +329,7 @@ class Lookup:
 
     @staticmethod
     def shared(folder: str) -> Lookup:
-        kept = sys.modules.setdefault("_quayside_worker", types.ModuleType("_quayside_worker"))
-        if getattr(kept, "lookup_for", None) != folder:
-            kept.lookup, kept.lookup_for = Lookup(folder), folder
-        return kept.lookup
+        return worker_state("lookup", folder, lambda: Lookup(folder))
 
 
 def with_counts(aligned: DataFrame, links: DataFrame, hot: int = HOT) -> DataFrame:

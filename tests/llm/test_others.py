@@ -1,5 +1,7 @@
 import re
+import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -73,6 +75,16 @@ def test_materialised_mixture(spark):
 
 # --------------------------------------------------------------- sharding
 
+def test_null_ids_with_one_checksum_are_two_documents(spark):
+    """Two texts of one CRC-32, both without an id."""
+    texts = ["plumless and more", "buckeroo and more"]
+    assert len({zlib.crc32(t.encode()) for t in ("plumless", "buckeroo")}) == 1
+    texts = ["plumless", "buckeroo"]
+    df = spark.createDataFrame([(None, t, "s") for t in texts], "doc_id long, text string, source string")
+    got = Counter(r.text for r in mixing.materialise(df, mixing.mix(df, weights=(1,), share=2.0)).collect())
+    assert got == {"plumless": 2, "buckeroo": 2}
+
+
 def test_shards(spark):
     for df in (frame(spark, awkward()), documents(spark)):
         got = sharding.shard(df, 8).collect()
@@ -118,34 +130,51 @@ def vocabulary():
     return langid.Vocabulary(langid.tokenizer_path("piece_bpe_32k.model"))
 
 
-def segmentations(vocabulary, p, word):
-    """The sum over all segmentations, one by one."""
+@lru_cache
+def all_pieces():
+    """(piece -> id, bytes of each id)"""
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=langid.tokenizer_path("piece_bpe_32k.model"))
-    pieces = {sp.id_to_piece(i): i for i in range(3, vocabulary.size) if not sp.is_byte(i)}
+    names = sp.id_to_piece(list(range(sp.get_piece_size())))
+    byte = {i for i in range(3, 259) if sp.is_byte(i)}
+    return ({n: i for i, n in enumerate(names) if i > 2 and i not in byte},
+            np.array([0 if i < 3 else 1 if i in byte else len(n.encode()) for i, n in enumerate(names)]))
+
+
+def segmentations(vocabulary, p, word):
+    """The sum over all segmentations, one by one."""
+    pieces, _ = all_pieces()
     text = langid.MARK + word
+    logs = [np.zeros(p.shape[1])]                          # of the sum over the segmentations of the last characters
+    for at in range(len(text) - 1, -1, -1):
+        ways = [np.log(p[pieces[text[at:end]]]) + logs[len(text) - end] for end in range(at + 1, len(text) + 1) if text[at:end] in pieces]
+        if text[at] not in pieces:
+            ways.append(np.log(p[vocabulary.byte_ids(text[at])]).sum(axis=0) + logs[len(text) - at - 1])
+        logs.append(np.logaddexp.reduce(ways))
+    return logs[-1]
 
-    def total(at):
-        if at == len(text):
-            return np.ones(p.shape[1])
-        out = np.zeros(p.shape[1])
-        for end in range(at + 1, len(text) + 1):
-            s = text[at:end]
-            if s in pieces:
-                out = out + p[pieces[s]] * total(end)
-            elif len(s) == 1:
-                out = out + np.prod(p[vocabulary.byte_ids(s)], axis=0) * total(end)
-        return out
 
-    return np.log(total(0))
+LONG = ["verylongwordwithoutanyspaceinit" * 2, "x" * 300, "ሰላምለዓለምሁሉይሁንእንዲህነውነገሩሁሉበሙሉ", "ab" + "ሰላም" * 30 + "the" * 20, "日本語テキスト" * 12, "a😀" * 40]
 
 
-def test_forward_sums_all_segmentations(vocabulary):
-    p = np.random.default_rng(0).random((vocabulary.size, 3))
+@pytest.mark.parametrize("skewed", [False, True])
+def test_forward_sums_all_segmentations(vocabulary, skewed):
+    p = np.random.default_rng(0).random((vocabulary.size, 3)) ** (12 if skewed else 1)
     p /= p.sum(axis=0)
-    some = ["the", "erlich", "café", "日本", "x", "a\U0001F600b", "ñja.", "##"]
+    some = ["the", "erlich", "café", "日本", "x", "a😀b", "ñja.", "##", *LONG]
     got = langid.word_scores(vocabulary, p, some)
-    assert np.allclose(got, [segmentations(vocabulary, p, w) for w in some])
+    assert np.allclose(got, [segmentations(vocabulary, p, w) for w in some], rtol=1e-9)
+
+
+def test_words_of_any_length_and_script_teach(vocabulary):
+    """The uses of all pieces account for every character, from the uniform start on."""
+    p = np.full((vocabulary.size, 1), 1 / vocabulary.size)
+    _, width = all_pieces()
+    for words in ([w] for w in LONG):
+        uses = langid.expected_counts(vocabulary, p, words, np.array([2.0]))
+        assert (uses * width).sum() == pytest.approx(2 * sum(len((langid.MARK + w).encode()) for w in words), rel=1e-6)
+    uses = langid.expected_counts(vocabulary, p, LONG, np.full(len(LONG), 2.0))
+    assert (uses * width).sum() == pytest.approx(2 * sum(len((langid.MARK + w).encode()) for w in LONG), rel=1e-6)
 
 
 def test_expected_counts_are_the_gradient(vocabulary):
@@ -160,8 +189,8 @@ def test_expected_counts_are_the_gradient(vocabulary):
         assert slope == pytest.approx(uses[piece], rel=1e-3)
 
 
-def test_long_runs_are_cut():
-    assert [len(w) for w in langid.words_of("ab " + "x" * 70)] == [2, 32, 32, 6]
+def test_words():
+    assert [len(w) for w in langid.words_of("ab " + "x" * 70)] == [2, 70]
     assert langid.words_of("") == [] and not langid.has_letter("12 !") and langid.has_letter("é")
 
 
@@ -210,7 +239,8 @@ TEXT = "A headline\nFirst paragraph, with commas, and words.\nSecond & last, of
     f"<article>{ARTICLE}<script>var a='<p>no, no</p>';</script><style>p{{}}</style><form><p>Your, mail</p><input></form></article>",
     f"<div class=cookie-notice><p>We, use, cookies, on, this, site.</p></div><article>{ARTICLE}</article>",
     f"<!-- <p>no</p> --><article>{ARTICLE.replace('</p>', '')}</article>",
-    f"<article>{ARTICLE}<ul><li><a href=1>Related one</a><li><a href=2>Related two</a><li><a href=3>Related three</a></ul></article>",
+    f"<article>{ARTICLE}<ul class=related><li><a href=1>Related one</a><li><a href=2>Related two</a><li><a href=3>Related three</a></ul></article>",
+    f"<main><div>{ARTICLE}</div><ul><li><a href=1>Related one</a><li><a href=2>Related two</a><li><a href=3>Related three</a></ul></main>",
     f"<article>{ARTICLE}</article><div class='ad'>Buy, this, now, please, it, is, cheap.",
     f"<ARTICLE>{ARTICLE.replace('<p>', '<P CLASS=x>')}<a href='unclosed",
     f"<body><div role=dialog><p>Sign, up, now.</p></div><section><article>{ARTICLE}</article></section></body>",
@@ -271,6 +301,25 @@ def test_a_form_around_the_page_and_a_second_look():
     assert main_text("<div class=comments><a>Only a link</a></div>") == "Only a link"
 
 
+@pytest.mark.parametrize("part, text", [
+    ('<p>See <a href="/blog/the-hidden-cost">the linked words</a>, they, say.</p>', "See the linked words, they, say."),
+    ('<section aria-label="Hidden costs"><p>A section, kept.</p></section>', "A section, kept."),
+    ('<p title="a hidden gem">A titled, paragraph.</p>', "A titled, paragraph."),
+    ('<div data-hidden="false"><p>Some, data.</p></div>', "Some, data."),
+    ('<div data-class="sidebar"><p>More, data.</p></div>', "More, data."),
+    ("<p data-x='class=comment' title=\"id='nav'\">Quoted, values.</p>", "Quoted, values."),
+    ('<ul><li><a href="/1">First cited work</a></li><li><a href="/2">Second one</a></li><li><a href="/3">Third one</a></li></ul>',
+     "First cited work\nSecond one\nThird one"),
+])
+def test_a_value_is_not_an_attribute(part, text):
+    assert main_text(f"<html><body><nav>Home</nav><article>{ARTICLE}{part}</article></body></html>") == f"{TEXT}\n{text}"
+
+
+@pytest.mark.parametrize("attribute", ["hidden", 'HIDDEN=""', 'style="display:none"', "aria-hidden=true", 'class="x comments"', "id = 'sidebar'"])
+def test_real_attributes_count(attribute):
+    assert main_text(f"<article>{ARTICLE}<div title='y' {attribute}><p>Not, this.</p></div></article>") == TEXT
+
+
 def test_inline_markup_stays_in_its_block():
     assert main_text("<article><p>One <b>bold</b>, <i>two</i><br>three &lt;4 &eacute;&#233;&#xe9; 5 < 6</p></article>") \
         == "One bold, two three <4 ééé 5 < 6"
