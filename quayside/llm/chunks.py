@@ -139,6 +139,21 @@ class ChunkEncoder:
         lens = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(lens.sum())), lens
 
+    def _learn_rest(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``_learn`` of chunks whose first space was left out.  Laid end to end
+        they have the same pre-tokens; those of the byte-level pattern leave no
+        character out, so their lengths tell which chunk they are of."""
+        chunks = [" " + c for c in chunks]
+        text = "".join(chunks)
+        if self.lower or _PLAIN.fullmatch(text) is None:
+            return self._learn(chunks)
+        tokens = self.tokens_of(text)
+        at = self.tokens.index(tokens, self._library)
+        behind = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)))
+        ends = np.searchsorted(behind, np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))) + 1
+        spent = np.concatenate([[0], np.cumsum(self.tokens.lens[at])])[np.concatenate([[0], ends])]
+        return self.tokens.gather(at), np.diff(spent)
+
     def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         plain = np.fromiter((_PLAIN.fullmatch(c) is not None for c in chunks), bool, len(chunks))
         tokens, counts, odd = [], [], []
@@ -191,7 +206,7 @@ class ChunkEncoder:
             rests += parts[1:]
             counts.append(len(parts) - 1)
         head = self.first.index(firsts, self._learn)
-        tail = self.rest.index(rests, lambda new: self._learn([" " + c for c in new]))
+        tail = self.rest.index(rests, self._learn_rest)
         bounds = np.concatenate([[0], np.cumsum(counts)])
         spent = np.concatenate([[0], np.cumsum(self.rest.lens[tail])])
         head_len, tail_len = self.first.lens[head], spent[bounds[1:]] - spent[bounds[:-1]]
