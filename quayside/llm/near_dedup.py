@@ -15,9 +15,11 @@ is its one shingle.  Texts with 100 * intersection >= 75 * union are linked.
    one class alone has are never posted, and the long lists (of a passage
    that a third of the corpus quotes) are skipped by every class that has
    enough rare keys.
-4. Links are confirmed on the full sets.  First each member of a list is
-   compared with the list's most typical class (whose coordinates are posted
-   most often), and the confirmed links are joined to components.
+4. Each member of a list is paired with the list's most typical class (whose
+   coordinates are posted most often).  The pair's collisions are counted over
+   all coordinates, those of the skipped lists included (``colliding``), and
+   pairs with ``MATCHES`` or more are retained and confirmed on the full sets.
+   The confirmed links are joined to components.
 5. Classes that share a list with another component are looked at again,
    with their shingles as keys: of two sets with similarity 0.75 or more each
    has a shingle of the other among its rarest quarter (and one), so a passage
@@ -46,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import staged
+from quayside.llm.common import release_worker_state, staged
 from quayside.llm.components import components
 from quayside.llm.exact_dedup import mark_suspects
 
@@ -123,6 +125,7 @@ def signed(docs: DataFrame, coords: int = COORDS) -> DataFrame:
     """One row per document: the set's size, its digest and its signature.
     ``docs``: (doc_id, text, row)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_state()
         words = _Words()
         for b in batches:
             for i in range(0, b.num_rows, 256):
@@ -153,6 +156,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     rows = rows.join(wanted, "text_key", "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_state()
         words = _Words()
         for b in batches:
             for i in range(0, b.num_rows, 256):
@@ -186,6 +190,17 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.filter(F.col("both") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("both")) * PERCENT).select("a", "b")
 
 
+def colliding(pairs: DataFrame, classes: DataFrame, matches: int) -> DataFrame:
+    """The pairs (a, b) whose signatures agree in ``matches`` coordinates at
+    least: the collisions in the lists of their prefixes and in the lists that
+    were skipped, counted together."""
+    one = classes.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"))
+    two = classes.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"))
+    same = F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int"))
+    joined = pairs.select("a", "b").join(one, "a").join(two, "b")
+    return joined.filter(F.aggregate(same, F.lit(0), lambda n, x: n + x) >= matches).select("a", "b")
+
+
 def _rarest(posted: DataFrame, size: Column) -> DataFrame:
     """Of each class's keys the ``size`` rarest, where that many aren't its
     alone.  ``posted``: (id, n, whole, key), ``whole`` the number of keys."""
@@ -213,7 +228,7 @@ def _between(open_: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between components among the classes of ``open_``: at
     least one for each class and other component that it has a link to."""
     least = open_.groupBy("key").agg(F.min("id").alias("b"))
-    group = staged(components(staged(open_.join(least, "key").select(F.col("id").alias("a"), "b").distinct(), "list_edges")), "groups")
+    group = staged(components(open_.join(least, "key").select(F.col("id").alias("a"), "b")), "groups")
     whole = sets.join(open_.select("id", "component").distinct(), "id").join(
         group.select(F.col("node").alias("id"), F.col("component").alias("g")), "id")
     whole = staged(whole, "group_sets")
@@ -252,7 +267,7 @@ def compare_blocks(left: pa.Table, right: pa.Table) -> pa.Table:
     at, to = np.searchsorted(common, items), np.searchsorted(common, others)
     keep = np.flatnonzero((at < len(common)) & (common[np.minimum(at, len(common) - 1)] == items)) if len(common) else []
     keep_to = np.flatnonzero((to < len(common)) & (common[np.minimum(to, len(common) - 1)] == others)) if len(common) else []
-    both = np.zeros((left.num_rows, right.num_rows), np.float32)      # exact: sets have fewer than 2^24 items
+    both = np.zeros((left.num_rows, right.num_rows), np.int64)
     if len(common):
         who, at, whom, to = who[keep], at[keep], whom[keep_to], to[keep_to]
         by, by_to = np.argsort(at, kind="stable"), np.argsort(to, kind="stable")
@@ -262,9 +277,8 @@ def compare_blocks(left: pa.Table, right: pa.Table) -> pa.Table:
             s, t = (slice(*np.searchsorted(v, [low, low + 4096])) for v in (at, to))
             x[who[s], at[s] - low] = 1
             y[whom[t], to[t] - low] = 1
-            both += x @ y.T
+            both += (x @ y.T).astype(np.int64)          # exact: a product of 4,096 zeros and ones
     n, m = left["n"].to_numpy()[:, None], right["n"].to_numpy()[None, :]
-    both = both.astype(np.int64)
     link = both * 100 >= (n + m - both) * PERCENT
     mine, theirs = left["component"].to_numpy(), right["component"].to_numpy()
     link &= mine[:, None] != theirs[None, :]
@@ -298,13 +312,13 @@ def links(docs: DataFrame, coords: int = COORDS, matches: int = MATCHES) -> tupl
 
     stars = (lists.join(top, "key").filter((F.col("id") != F.col("b")) & _fits("n", "n_b"))
              .select(F.col("id").alias("a"), "b").distinct())
-    first = staged(confirmed(staged(stars, "stars"), sets), "star_links")
+    first = staged(confirmed(staged(colliding(stars, classes, matches), "stars"), sets), "star_links")
     comp = staged(components(first), "star_components")
 
     # what is left: classes that share a list with another component, now by the rarest quarter of their sets
-    some = staged(_open(lists, comp, "placed_lists").select("id").distinct(), "open_classes")
+    some = _open(lists, comp, "placed_lists").select("id").distinct()
     items = sets.join(some, "id", "left_semi").select("id", "n", F.col("n").alias("whole"), F.explode("items").alias("key"))
-    rarest = staged(_rarest(items, F.col("whole") - F.ceil(F.col("whole") * PERCENT / 100) + 1).select("key", "id", "n"), "item_lists")
+    rarest = _rarest(items, F.col("whole") - F.ceil(F.col("whole") * PERCENT / 100) + 1).select("key", "id", "n")
     open_ = staged(_open(rarest, comp, "placed_items"), "open_items")
     late = _between(open_, sets)
     found = staged(first.union(late), "links")
