@@ -24,6 +24,8 @@ Commands::
     refresh      apply the change feed of ``--feed`` to the keyed state, from the
                  positions that the state has
     redeal       deal the keyed state into as many buckets as its size needs
+    vacuum       delete what only older commits than the last ``--keep`` of the
+                 target (a load's or a state's) refer to
 """
 
 from __future__ import annotations
@@ -123,6 +125,11 @@ def redeal(spec: TableSpec, spark: SparkSession, target: str, feed: DataFrame, f
     StateTable(spark, target, fmt=fmt).redeal(state_schema(feed, spec.feed), spec.key, spec.buckets)
 
 
+def vacuum(spark: SparkSession, target: str, keep: int = 2) -> None:
+    """Both kinds of target lay their commits out alike; a landed one has ledgers, too."""
+    LandedTable(spark, target).vacuum(keep)
+
+
 def refresh(spec: TableSpec, feed: DataFrame, target: str, checkpoint: str, fmt: str = "parquet", available_now: bool = True):
     """``feed``: a stream with the key, the payload, ``op``, ``change_ts`` and ``seq``."""
     return refresh_stream(feed.sparkSession, feed, target, checkpoint, spec.feed, buckets=spec.buckets, fmt=fmt,
@@ -136,7 +143,7 @@ def main(argv: list[str] | None = None) -> None:
     from quayside.plans.jobs import job_session
     from quayside.sources.tables import catalog_tables
     ap = argparse.ArgumentParser(prog="quayside.plans.load_jobs")
-    ap.add_argument("command", choices=["snapshot", "load", "bootstrap", "refresh", "redeal"])
+    ap.add_argument("command", choices=["snapshot", "load", "bootstrap", "refresh", "redeal", "vacuum"])
     ap.add_argument("table")
     ap.add_argument("--catalogue", required=True)
     ap.add_argument("--target", required=True)
@@ -146,9 +153,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--position")
     ap.add_argument("--feed", help="folder of change files (their schema is that of the files there)")
     ap.add_argument("--stream-checkpoint")
+    ap.add_argument("--keep", type=int, default=2)
     a = ap.parse_args(argv)
     spark = job_session(f"quayside-{a.command}-{a.table}")
     spec = read_catalogue(spark, a.catalogue)[a.table]
+    if a.command == "vacuum":
+        vacuum(spark, a.target, a.keep)
+        return
     feed = spark.read.format(a.format).load(a.feed) if a.feed else None
     if a.command == "refresh":
         if not (a.feed and a.stream_checkpoint):

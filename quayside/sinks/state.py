@@ -74,7 +74,12 @@ class StateTable:
     def latest(self) -> Commit | None:
         """The newest published commit; None if there is none."""
         c = self.commits.newest()
-        return Commit(**{**c, "where": {int(k): v for k, v in c["where"].items()}}) if c else None
+        if c is None:
+            return None
+        if "batch_id" in c:                  # written before streams had names
+            last = c.pop("batch_id")
+            c["streams"] = {} if last is None else {"": {"batch": last, "start": None}}
+        return Commit(**{**c, "where": {int(k): v for k, v in c["where"].items()}})
 
     def read(self, schema: StructType, commit: Commit | None = None, only: list[int] | None = None) -> DataFrame:
         """The state's rows (of some buckets) as of a commit, the newest by default."""

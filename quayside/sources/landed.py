@@ -76,7 +76,7 @@ class LandedTable:
 
     def vacuum(self, keep: int = 2) -> None:
         """Delete what none of the ``keep`` newest commits refers to."""
-        ledgers = {self.commits.read(n)["ledger"] for n in self.commits.numbers()[-keep:]}
+        ledgers = {self.commits.read(n).get("ledger") for n in self.commits.numbers()[-keep:]}
         self.commits.keep_newest(keep, lambda c: c["where"].values())
         for name in self.commits.names("ledger"):
             if name not in ledgers:
