@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 import types
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -14,7 +16,7 @@ from pyspark.sql import Window as W
 from quayside.session import checkpoint_dir, scratch_path, staged
 
 __all__ = ["checkpoint_dir", "scratch_path", "staged", "ranked", "partition_offsets", "table", "hash_unit",
-           "worker_state", "release_worker_state", "WHITE"]
+           "worker_state", "release_worker_state", "trim_worker", "WHITE"]
 
 #: The white space of every contract here: space and the five controls from tab to carriage return.
 WHITE = r"\x20\x09-\x0D"
@@ -71,4 +73,14 @@ def release_worker_state() -> None:
     kept = sys.modules.get("_quayside_worker")
     if kept is not None and getattr(kept, "of", None) is not None:
         kept.state = kept.of = None
-        gc.collect()
+    trim_worker()
+
+
+def trim_worker() -> None:
+    """Give freed memory back to the system at the end of a task: workers wait
+    for the next one while the JVM's own stages want it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc alone has it
+    if trim is not None:
+        trim(0)

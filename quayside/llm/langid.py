@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.chunks import tokenizer_path
-from quayside.llm.common import staged, worker_state
+from quayside.llm.common import staged, trim_worker, worker_state
 
 ROUNDS = 2
 MARK = "▁"
@@ -273,6 +273,7 @@ def count_words(labelled: DataFrame) -> DataFrame:
                 if sum(map(len, counts.values())) > HELD_WORDS:
                     yield from out()
         yield from out()
+        trim_worker()
 
     seen = labelled.mapInArrow(run, "lang string, word string, n long")
     return seen.groupBy("lang", "word").agg(F.sum("n").alias("n"))
@@ -313,6 +314,7 @@ def learn(labelled: DataFrame, model_file: str, rounds: int = ROUNDS) -> Model:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k] * len(used), pa.string()), pa.array(used.astype(np.int64)), pa.array(got[g][used])],
                     names=["lang", "piece", "uses"])
+            trim_worker()
 
         # sums of at most pieces x languages rows, whatever the corpus
         uses = (counts.mapInArrow(run, "lang string, piece long, uses double")
@@ -327,9 +329,11 @@ def learn(labelled: DataFrame, model_file: str, rounds: int = ROUNDS) -> Model:
 
 def predict(docs: DataFrame, model: Model, carry: list[str], text_col: str = "text") -> DataFrame:
     """The carried columns with ``lang_pred`` and ``score``."""
-    wanted = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(text_col).alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.schema.fields[:-1])
-    at, langs, p, file = len(carry), model.langs, model.p, model.model_file
+    # a text that is carried is sent to the workers once
+    wanted = docs.select(*[F.col(f"`{c}`") for c in carry], *([] if text_col in carry else [F.col(text_col).alias("_text")]))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.schema.fields[:len(carry)])
+    at = carry.index(text_col) if text_col in carry else len(carry)
+    langs, p, file = model.langs, model.p, model.model_file
 
     model_id = uuid.uuid4().hex
 
@@ -367,8 +371,9 @@ def predict(docs: DataFrame, model: Model, carry: list[str], text_col: str = "te
                     posts.append(float(1 / np.exp(s - s[g]).sum()))
                     begin = end
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:at], pa.array(names, pa.string()), pa.array(posts, pa.float64())],
+                    [*part.columns[:len(carry)], pa.array(names, pa.string()), pa.array(posts, pa.float64())],
                     names=[*carry, "lang_pred", "score"])
+        trim_worker()
 
     return wanted.mapInArrow(run, f"{schema}, lang_pred string, score double")
 

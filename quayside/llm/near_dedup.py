@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import release_worker_state, staged
+from quayside.llm.common import release_worker_state, staged, trim_worker
 from quayside.llm.components import components
 from quayside.llm.exact_dedup import mark_suspects
 
@@ -140,6 +140,8 @@ def signed(docs: DataFrame, coords: int = COORDS) -> DataFrame:
                     [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()), part.column(3),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sig.view(np.int64).ravel()))],
                     names=["doc_id", "row", "n_shingles", "node", "text_key", "sig"])
+        words.clear()
+        trim_worker()
 
     return docs.select("doc_id", "row", "text", F.xxhash64("text").alias("text_key")).mapInArrow(run, _SIGNED)
 
@@ -168,6 +170,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     [pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                      pa.array([len(s) for s in sets], pa.int64()),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["node", "n", "items"])
+        words.clear()
+        trim_worker()
 
     return rows.mapInArrow(run, "node binary, n long, items array<long>")
 
