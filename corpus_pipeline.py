@@ -19,9 +19,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     document says its language, there is nothing to reject by, and all stay."""
     if docs.filter("lang IS NOT NULL AND text IS NOT NULL").limit(1).count() == 0:
         return docs
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "doc_id", "text", "lang")
-    seen = langid.identify(whole, carry=["_doc"])
-    return seen.filter(F.col("lang_pred") != "und").select("_doc.*")
+    # carried under numbers, so that no column clashes with the operator's own
+    names = [f"_{i}" for i in range(len(docs.columns))]
+    at = {c.lower(): n for c, n in zip(docs.columns, names)}
+    seen = langid.identify(docs.toDF(*names), carry=names, id_col=at["doc_id"], text_col=at["text"], lang_col=at["lang"])
+    return seen.filter(F.col("lang_pred") != "und").select(*names).toDF(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
