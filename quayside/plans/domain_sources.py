@@ -66,6 +66,8 @@ PROFM_STOP = ["PROFM_STOP_ID", "FACILITY_ID", "GMT", "PORT_ID", "ARR_PORT_CALL_S
               "PILOT_DEP_L_MIN", "PILOT_DEP_L_DOW", "ENTRY_HR", "BERTH_HR", "EXIT_HR", "SEA_HR", "PORT_HR",
               "PORT_OCCURRENCE", "IS_LOAD_ALLOWED", "IS_DISCHARGE_ALLOWED", "IS_PASS_ALLOWED", "ENTRY_MIN", "BERTH_MIN",
               "EXIT_MIN", "SEA_MIN", "PORT_MIN", "PRIVATE_CALL"]
+# Listed tables without which the mart still holds: their other columns may be missing in a source.
+REQUIRED = {"profm_stop": ["PROFM_STOP_ID", "FACILITY_ID", "PORT_ID"]}
 PROFORMA = {
     "PROFORMA_ID": "PROFORMA_ID", "SVC_CDE": "SERVICE_LOOP_CDE", "SVC_NME": "NAME", "SVC_TYPE": "TYPE",
     "IS_SSO_LABELED": "IS_SSO_LABELED", "EFF_START_IODT": "EFFECTIVE_START_IODT",
@@ -117,4 +119,8 @@ class DomainInputs:
         self._names = {**SOURCE_TABLES, **(names or {})}
 
     def get(self, logical: str) -> DataFrame:
-        return scan_alias(self._t(self._names[logical]), PROJECTIONS[logical])
+        table, columns = self._t(self._names[logical]), PROJECTIONS[logical]
+        if logical in REQUIRED:
+            held = {c.lower() for c in table.columns}
+            columns = [c for c in columns if c in REQUIRED[logical] or c.lower() in held]
+        return scan_alias(table, columns)
