@@ -5,30 +5,27 @@ stop keeps its sequence however many carriers join later (S3).  Order
 columns must make the order total (callers add an id as the last
 tie-break), otherwise the numbering is not deterministic between runs.
 
-``range`` (the default, one path for every size) numbers narrow rows and
-brings the numbers back to the wide ones:
-
-1. the group and order columns of all sequences, with the row's id, are
-   written once;
-2. per sequence they are dealt out by ranges of (group, order) and sorted: a
-   hot group (e.g. every stop without an arrival voyage shares the NULL group)
-   is cut into contiguous slices over several tasks;
-3. ``monotonically_increasing_id`` gives each row its place in its partition;
-   the first place and the number of rows of each (partition, group) are one
-   partial aggregate, a group's earlier slices one running sum, and
-   sequence = place - first place + rows of earlier slices + 1;
-4. the numbers of all sequences meet in one row per id, which the wide rows
-   are joined with once.
-
-The placed rows of each sequence are written, too, so that places and counts
-are of one run.  Everything stays in the JVM, so values of any type
-pass unchanged and NULL, NaN and equal keys group as in the window.  No task
-ever holds a whole group, and the wide rows move once however many sequences
-there are.
-
-``window``: ``row_number().over(partitionBy(group).orderBy(order))``, one
-exchange of the wide rows for each sequence and one task for each group; for
-inputs whose groups are known to be small.
+``range`` (the default, one path for every size) is a window per sequence, in
+which no task holds more than a slice of a large group:
+
+1. the rows are counted; only if there are more than ``SLICE_ROWS``, a bounded
+   sample of the group and order columns tells which groups may have more rows
+   than that, and cuts each of them (e.g. the NULL group of all stops without
+   an arrival voyage) at quantiles of its order;
+2. a row of such a group gets the number of cuts at or before it, its slice;
+   the exact number of rows of each slice is one aggregate, and the rows of a
+   group's earlier slices one running sum of it;
+3. sequence = ``row_number`` within (group, slice) + rows of earlier slices.
+
+The sample decides where groups are cut, never a number: every row is counted
+and numbered.  Values of any type pass unchanged and NULL, NaN and equal keys
+group as in the window.  Each sequence moves the rows once, and nothing else of
+their size: no ids are sent, joined back or written.  The input is read for the
+count, the sample and, if there are large groups, the slices' counts: give a
+written one (``staged``) if it is costly.
+
+``window``: the same without cuts, one task for each group; for inputs whose
+groups are known to be small.
 """
 
 from __future__ import annotations
@@ -39,9 +36,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.session import staged
+from quayside.session import checkpointed
 
-_PID, _AT, _CNT = "__seq_pid", "__seq_at", "__seq_cnt"
+_CUTS, _SLICE, _CNT = "__seq_cuts", "__seq_slice", "__seq_cnt"
+#: A group of more rows is cut into slices of about as many.
+SLICE_ROWS = 500_000
+#: Rows of the sample that finds large groups and their quantiles.
+SAMPLE_ROWS = 200_000
 
 
 def with_sequence(df: DataFrame, out_col: str, partition_by: Sequence[str],
@@ -56,7 +57,8 @@ def with_sequences(df: DataFrame, specs: Mapping[str, tuple[Sequence[str], Seque
 
     ``row_id`` names the columns that tell rows apart; by default the last
     order column of the sequences, which then is the same unique id in all of
-    them.  An id that repeats fails the job (``range``)."""
+    them.  Rows of a group that follow each other with one id fail the job
+    (``range``).  ``num_ranges`` cuts groups of more than that part of the rows."""
     specs = {k: (list(p), list(o)) for k, (p, o) in specs.items()}
     if strategy == "window":
         for out_col, (part, order) in specs.items():
@@ -68,41 +70,61 @@ def with_sequences(df: DataFrame, specs: Mapping[str, tuple[Sequence[str], Seque
         row_id = list(dict.fromkeys(order[-1] for _, order in specs.values()))
         if len(row_id) != 1:
             raise ValueError(f"the sequences end in different ids {row_id}: name the row_id")
-    numbers = _numbers(df, specs, list(row_id), num_ranges)
-    on = reduce(lambda a, b: a & b, [df[c].eqNullSafe(numbers[f"__id{i}"]) for i, c in enumerate(row_id)])
-    return df.join(numbers, on, "left").drop(*[f"__id{i}" for i in range(len(row_id))])
+    n = df.count()
+    most = max(1, n // num_ranges) if num_ranges else SLICE_ROWS
+    sample, part_read = None, min(1.0, SAMPLE_ROWS / max(n, 1))
+    if n > most:
+        used = list(dict.fromkeys(c for part, order in specs.values() for c in [*part, *order]))
+        sample = df.select(*used)
+        sample = checkpointed(sample.sample(part_read, seed=7) if part_read < 1 else sample)
+    for out_col, (part, order) in specs.items():
+        cuts = _cuts(sample, part, order, max(1, int(most * part_read))) if sample is not None else None
+        df = _numbered(df, out_col, part, order, list(row_id), cuts)
+    return df
 
 
 def _ascending(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in columns]
 
 
-def _numbers(df: DataFrame, specs: Mapping[str, tuple[list[str], list[str]]], row_id: list[str], num_ranges: int | None) -> DataFrame:
-    """(__id0, ..., one column for each sequence), a row for each row of ``df``."""
-    ids = [f"__id{i}" for i in range(len(row_id))]
-    used = list(dict.fromkeys(c for part, order in specs.values() for c in [*part, *order]))
-    narrow = staged(df.select(*[F.col(c) for c in used], *[F.col(c).alias(i) for c, i in zip(row_id, ids)]), "sequence_keys")
-    n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = [_range_numbers(narrow, part, order, ids, n).withColumn("__which", F.lit(k)) for k, (part, order) in enumerate(specs.values())]
-    together = reduce(DataFrame.unionByName, found).groupBy(*ids).agg(
-        *[F.max(F.when(F.col("__which") == k, F.col("__number"))).alias(name) for k, name in enumerate(specs)],
-        F.count("*").alias(_CNT))
-    repeated = F.raise_error(F.lit(f"rows with the same {row_id}: they don't tell rows apart"))
-    return together.select(*ids, *[F.when(F.col(_CNT) == len(specs), F.col(name)).otherwise(repeated.cast("int")).alias(name) for name in specs])
-
-
-def _range_numbers(narrow: DataFrame, group: list[str], order: list[str], ids: list[str], num_ranges: int) -> DataFrame:
-    """(ids, __number) of one sequence."""
-    sort_cols = _ascending([*group, *order])
-    # range bounds come from a sample that differs between runs: the placed rows are written, and both readers below see one run's
-    placed = (narrow.select(*dict.fromkeys([*group, *order]), *ids).repartitionByRange(num_ranges, *sort_cols)
-              .sortWithinPartitions(*sort_cols).withColumn(_AT, F.monotonically_increasing_id()))
-    placed = staged(placed.select(*group, *ids, _AT, F.shiftright(_AT, 33).alias(_PID)), "sequence_places")
-    # one row per (partition, group): a group has as many as partitions that it spans
-    slices = placed.groupBy(_PID, *group).agg(F.min(_AT).alias("__first"), F.count(F.lit(1)).alias(_CNT))
-    before = Window.partitionBy(*group).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    shift = F.coalesce(F.sum(_CNT).over(before), F.lit(0)) - F.col("__first") + 1
-    off = slices.select(F.col(_PID).alias("__o_pid"), *[F.col(g).alias(f"__o_{i}") for i, g in enumerate(group)], shift.alias("__shift"))
-    # the partition is part of the key, so a hot group's rows stay spread
-    cond = [placed[_PID] == off["__o_pid"]] + [placed[g].eqNullSafe(off[f"__o_{i}"]) for i, g in enumerate(group)]
-    return placed.join(off, cond).select(*ids, (F.col(_AT) + F.col("__shift")).cast("int").alias("__number"))
+def _place(order: Sequence[str]) -> Column:
+    """Structs compare as the order columns sort: field by field, NULL lowest."""
+    return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+
+
+def _cuts(sample: DataFrame, group: list[str], order: list[str], most: int) -> DataFrame | None:
+    """(group as __g0, ..., the places where it is cut) of each group that has
+    more than ``most`` rows in the sample; None if there is none."""
+    large = sample.groupBy(*group).agg(F.count("*").alias(_CNT)).where(F.col(_CNT) > most).drop(_CNT)
+    names = [f"__g{i}" for i in range(len(group))]
+    large = large.select(*[F.col(g).alias(a) for g, a in zip(group, names)])
+    rows = sample.join(F.broadcast(large), _same(group, names)).select(*names, _place(order).alias("__at"))
+    at = F.row_number().over(Window.partitionBy(*names).orderBy("__at"))
+    cuts = checkpointed(rows.withColumn(_CNT, at).where((F.col(_CNT) > most) & (F.col(_CNT) % most == 1 % most))
+                        .groupBy(*names).agg(F.array_sort(F.collect_set("__at")).alias(_CUTS)))
+    return None if cuts.isEmpty() else cuts
+
+
+def _same(columns: Sequence[str], others: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(o)) for c, o in zip(columns, others)])
+
+
+def _numbered(df: DataFrame, out_col: str, group: list[str], order: list[str], row_id: list[str], cuts: DataFrame | None) -> DataFrame:
+    """``df`` with one sequence."""
+    columns, earlier = df.columns, F.lit(0)
+    if cuts is not None:
+        names = [f"__g{i}" for i in range(len(group))]
+        # there are at most as many cuts as slices of SLICE_ROWS rows in the input
+        df = df.join(F.broadcast(cuts), _same(group, names), "left").drop(*names)
+        df = df.withColumn(_SLICE, F.size(F.filter(_CUTS, lambda c: c <= _place(order))))
+        counts = df.where(F.col(_CUTS).isNotNull()).groupBy(*group, _SLICE).agg(F.count("*").alias(_CNT))
+        before = Window.partitionBy(*group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        counts = checkpointed(counts.select(*[F.col(g).alias(a) for g, a in zip(group, names)], F.col(_SLICE).alias("__s"),
+                                            F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias("__before")))
+        df = df.join(F.broadcast(counts), _same([*group, _SLICE], [*names, "__s"]), "left")
+        group, earlier = [*group, _SLICE], F.coalesce(F.col("__before"), F.lit(0))
+    window = Window.partitionBy(*group).orderBy(*_ascending(order))
+    at, ident = F.row_number().over(window), F.struct(*row_id)
+    repeated = F.raise_error(F.lit(f"rows with the same {row_id}: they don't tell rows apart")).cast("int")
+    number = F.when((F.col("__at") > 1) & F.col("__last").eqNullSafe(ident), repeated).otherwise((F.col("__at") + earlier).cast("int"))
+    return df.withColumns({"__at": at, "__last": F.lag(ident).over(window)}).select(*columns, number.alias(out_col))

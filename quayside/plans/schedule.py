@@ -150,7 +150,7 @@ def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep:
         df = (spine
               .transform(lambda d: lookup_join(d, voyage, ["VOY_CDE"]))
               .transform(lambda d: lookup_join(d, stop, ["STOP_ID"]))
-              .transform(lambda d: with_sequences(d, sequences, sequence_strategy))   # before fan-out (S3)
+              .transform(lambda d: with_sequences(staged(d, "schedule_spine") if stage else d, sequences, sequence_strategy))   # before fan-out (S3)
               .transform(states_join))
     df = (df.transform(lambda d: coalesce_precedence(d, list(STATE_PREFIX.values()), ltt, "LTT"))
           .transform(lambda d: with_cut_ava(d, cut_ava, combos, anchor, strategy, cut_ava_fields))

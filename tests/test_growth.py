@@ -1,9 +1,9 @@
 """What moves or is held must not grow faster than the input."""
 
-import random
-
 from pyspark.sql import functions as F
 
+from quayside.operators import sequence
+from quayside.operators.sequence import with_sequences
 from quayside.plans import proforma
 from tests.conftest import rows
 
@@ -34,3 +34,17 @@ def test_a_large_proforma_mart_is_not_dealt_into_a_fixed_number_of_tasks(spark,
     monkeypatch.setattr(proforma, "ROWS_PER_FILE", 10)
     large = proforma.proforma_mart(*tables, num_files=5)
     assert "Repartition" not in _plan(large) and large.count() == 60
+
+
+def test_sequences_send_no_ids_and_cut_large_groups(spark, monkeypatch):
+    """No row is joined back by its id, and a large group is counted in slices, also when a sample finds it."""
+    base = spark.range(4000).select(F.when(F.col("id") % 2 > 0, F.col("id") % 50).alias("g"), (F.col("id") * 7919 % 13).alias("o"), F.col("id"))
+    specs = {"x": (["g"], ["o", "id"]), "y": (["o", "g"], ["id"])}
+    want = rows(with_sequences(base, specs, "window"))
+    assert "Join" not in _plan(with_sequences(base, specs))
+    monkeypatch.setattr(sequence, "SLICE_ROWS", 300)
+    monkeypatch.setattr(sequence, "SAMPLE_ROWS", 1000)
+    cut = with_sequences(base, specs)
+    assert "Join" in _plan(cut) and rows(cut) == want
+    spec = sequence._cuts(base, ["g"], ["o", "id"], 300).collect()
+    assert [r["__g0"] for r in spec] == [None] and len(spec[0]["__seq_cuts"]) == 6
