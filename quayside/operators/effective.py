@@ -27,8 +27,10 @@ the tier-2 value of every tier-2 match).  So the tiers are resolved
 separately and unioned; the output and the S7 behaviour (an expired tier-1
 row lets the tier-2 operator in too) are identical.
 
-Nor is a departure joined with all validity rows of its vessel.  Times are
-mapped to whole *bins* (days, or the leading digits of time text) without
+Nor is a departure joined with all validity rows of its vessel.  Keys with at
+most ``MANY`` validity rows have them in one array, which a departure meets in
+one join that adds no rows; only its valid operators become rows.  For the keys
+with more, times are mapped to whole *bins* (days, or the leading digits of time text) without
 changing their order.  A validity interval becomes the bins that it covers
 whole, written with units of 1, ``BASE``, ``BASE``^2, ... bins so that long and
 open intervals take few rows, and its two end bins with their bounds; equal
@@ -47,14 +49,16 @@ The singleton voyage list is a semi join and its complement an anti join
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.operators.filters import in_keys, keys_with_count, not_in_keys
-from quayside.operators.lookup import aggregated_lookup, lookup_join
-from quayside.session import checkpointed, staged
+from quayside.operators.lookup import aggregated_lookup, lookup_join, merged_lookup
+from quayside.session import staged
 
 
 @dataclass(frozen=True)
@@ -159,15 +163,48 @@ def validity_bins(rows: DataFrame, keys: list[str], operator: str, start: str, e
     return every.groupBy(*own, "unit", "bin", *kind).agg(F.min("__from").alias("__from"), F.max("__to").alias("__to")).select(*own, "unit", "bin", "__from", "__to")
 
 
+#: A key's validity rows are held in one array up to this many of them, in bins beyond.
+MANY = 64
+
+
+def _gathered(rows: DataFrame, keys: list[str], operator: str, start: str, end: str) -> tuple[DataFrame, DataFrame | None]:
+    """(keys, the validity rows of a key as ``__rows``) for keys with few rows,
+    and the keys with many (None if there are none)."""
+    known = rows.where(reduce(and_, [F.col(c).isNotNull() for c in [*keys, operator]]))
+    many = staged(known.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > MANY).select(*keys), "validity_many")
+    many = None if many.isEmpty() else many
+    few = known.join(many, keys, "left_anti") if many is not None else known
+    row = F.struct(F.col(operator).alias("op"), F.col(start).alias("s"), F.col(end).alias("e"))
+    return few.groupBy(*keys).agg(F.collect_set(row).alias("__rows")), many
+
+
+def _valid(gathered: Column, t: Column) -> Column:
+    """The distinct operators of those rows that hold ``t``; a row that is open
+    at both ends holds an unknown time, too."""
+    holds = F.filter(gathered, lambda r: (r.s.isNull() | F.coalesce(r.s <= t, F.lit(False))) & (r.e.isNull() | F.coalesce(t <= r.e, F.lit(False))))
+    return F.array_distinct(F.transform(holds, lambda r: r.op))
+
+
 def valid_operators(departures: DataFrame, rows: DataFrame, keys: list[str], time: str, operator: str, start: str, end: str) -> DataFrame:
     """``departures`` with each ``operator`` that has a row of the same ``keys``
     whose interval holds ``time``; a departure may meet an operator more than
     once.  A row that is open at both ends holds an unknown time, too."""
+    few, many = _gathered(rows, keys, operator, start, end)
+    found = lookup_join(departures.where(reduce(and_, [F.col(k).isNotNull() for k in keys])),
+                        aggregated_lookup(few, "validity_rows"), keys, how="inner")
+    met = found.select(*departures.columns, F.explode(_valid(F.col("__rows"), F.col(time))).alias(operator))
+    return met if many is None else met.unionByName(_by_bins(departures, rows, many, keys, time, operator, start, end))
+
+
+def _by_bins(departures: DataFrame, rows: DataFrame, many: DataFrame, keys: list[str], time: str, operator: str, start: str, end: str) -> DataFrame:
+    """``valid_operators`` of the keys in ``many``."""
+    departures, rows = departures.join(many, keys, "left_semi").select(*departures.columns), rows.join(many, keys, "left_semi").select(*rows.columns)
     dtype = dict(departures.dtypes)[time]
     open_ = F.col(start).isNull() & F.col(end).isNull()
     always = rows.where(open_ & F.col(operator).isNotNull()).select(*keys, operator).distinct()
     bins = staged(validity_bins(rows.where(~open_), keys, operator, start, end), "validity_bins")
-    unit = F.transform(F.sequence(F.lit(0), F.lit(UNITS - 1)),
+    units = sorted(r[0] for r in bins.select("unit").distinct().collect())                      # at most UNITS
+    unit = F.transform(F.array(*[F.lit(u) for u in units or [0]]),
                        lambda u: F.struct(u.alias("unit"), F.floor(F.col("__bin") / F.pow(F.lit(float(BASE)), u)).cast("int").alias("bin")))
     at = (departures.where(F.col(time).isNotNull()).withColumn("__bin", time_bin(F.col(time), dtype))
           .select(*departures.columns, F.explode(unit).alias("__u")).select(*departures.columns, "__u.unit", "__u.bin"))
@@ -179,22 +216,36 @@ def valid_operators(departures: DataFrame, rows: DataFrame, keys: list[str], tim
 def service_operators(first_dep: DataFrame, assignments: DataFrame,
                       c: ScheduleCols = ScheduleCols(),
                       a: AssignmentCols = AssignmentCols()) -> DataFrame:
-    """Distinct (voyage, operator, carrier) candidates (JOB3 step 2)."""
+    """Distinct (voyage, operator, carrier) candidates (JOB3 step 2).
+
+    The departures meet the rows of their service and vessel, then the general
+    rows of their vessel: two joins that add no rows."""
     out, t = [c.voyage, c.operator, c.carrier], F.col(c.first_dep)
     rows = assignments.select(F.col(a.service).alias(c.service), F.col(a.vessel).alias(c.vessel), F.col(a.operator).alias(c.operator),
                               F.col(a.start).alias("__s"), F.col(a.end).alias("__e"))
-    tier1 = rows.where(F.col(c.service).isNotNull())
-    from_tier1 = valid_operators(first_dep, tier1.where(F.col("__s").isNotNull()), [c.service, c.vessel], c.first_dep, c.operator, "__s", "__e")
+    by_both, by_vessel = [c.service, c.vessel], [c.vessel]
+    tier1, tier2 = rows.where(F.col(c.service).isNotNull()), rows.where(F.col(c.service).isNull()).drop(c.service)
+    started = tier1.where(F.col("__s").isNotNull())
+    few1, many1 = _gathered(started, by_both, c.operator, "__s", "__e")
+    few2, many2 = _gathered(tier2, by_vessel, c.operator, "__s", "__e")
     # NVL falls through to tier 2 unless there are tier-1 matches, all valid at the departure, all with an operator
-    bounds = aggregated_lookup(tier1.groupBy(c.service, c.vessel).agg(
+    bounds = tier1.groupBy(c.service, c.vessel).agg(
         F.max("__s").alias("__latest"), F.min("__e").alias("__earliest"),
-        F.bool_or(F.col("__s").isNull() | F.col(c.operator).isNull()).alias("__lacking")), "validity_bounds")
+        F.bool_or(F.col("__s").isNull() | F.col(c.operator).isNull()).alias("__lacking"))
     all_valid = ~F.col("__lacking") & (F.col("__latest") <= t) & (F.col("__earliest").isNull() | (t <= F.col("__earliest")))
-    fall_through = (lookup_join(first_dep, bounds, [c.service, c.vessel]).where(~F.coalesce(all_valid, F.lit(False)))
-                    .select(*first_dep.columns))
-    tier2 = rows.where(F.col(c.service).isNull()).drop(c.service)
-    from_tier2 = valid_operators(fall_through, tier2, [c.vessel], c.first_dep, c.operator, "__s", "__e")
-    return from_tier1.select(*out).unionByName(from_tier2.select(*out)).distinct()
+    falls = ~F.coalesce(all_valid, F.lit(False))
+    named = lookup_join(first_dep, merged_lookup([bounds, few1], by_both, "validity_bounds"), by_both)
+    named = named.select(*first_dep.columns, _valid(F.col("__rows"), t).alias("__ops"), falls.alias("__falls"))
+    general = lookup_join(named, aggregated_lookup(few2, "validity_rows"), by_vessel)
+    none = F.array().cast(f"array<{dict(rows.dtypes)[c.operator]}>")
+    met = F.array_union(F.coalesce("__ops", none), F.coalesce(F.when(F.col("__falls"), _valid(F.col("__rows"), t)), none))
+    found = general.select(c.voyage, F.explode(met).alias(c.operator), c.carrier)
+    if many1 is not None:
+        found = found.unionByName(_by_bins(first_dep, started, many1, by_both, c.first_dep, c.operator, "__s", "__e").select(*out))
+    if many2 is not None:
+        fall_through = named.where("__falls").select(*first_dep.columns)
+        found = found.unionByName(_by_bins(fall_through, tier2, many2, by_vessel, c.first_dep, c.operator, "__s", "__e").select(*out))
+    return found.distinct().select(*out)
 
 
 def voyage_operators(first_dep: DataFrame, svc_ops: DataFrame, vessels: DataFrame,
@@ -221,7 +272,7 @@ def resolve_operator(schedule: DataFrame, assignments: DataFrame, vessels: DataF
 
     The first-departure table feeds four branches and the candidate table
     two; Catalyst does not share such subplans once their optimised forms
-    differ, so they are reliably checkpointed (``materialize="small"``).  The
+    differ, so they are written once (``materialize="small"``).  The
     enriched schedule itself is then read twice: once column-pruned to the
     five columns the first departure needs, once whole for the final join.
     ``materialize="persist"`` also keeps the schedule (memory, spilling to
@@ -239,8 +290,8 @@ def resolve_operator(schedule: DataFrame, assignments: DataFrame, vessels: DataF
     else:
         sched = schedule
     fd = first_departure(sched, c)
-    fd = checkpointed(fd) if materialize else fd
+    fd = staged(fd, "first_departures") if materialize else fd
     ops = service_operators(fd, assignments, c, a)
-    ops = checkpointed(ops) if materialize else ops
+    ops = staged(ops, "operators") if materialize else ops
     voy_ops = voyage_operators(fd, ops, vessels, c)
     return sched.join(voy_ops, [c.voyage, c.carrier], "left")

@@ -1,7 +1,10 @@
 """What moves or is held must not grow faster than the input."""
 
+import random
+
 from pyspark.sql import functions as F
 
+from quayside.operators import effective as E
 from quayside.operators import sequence
 from quayside.operators.sequence import with_sequences
 from quayside.plans import proforma
@@ -48,3 +51,17 @@ def test_sequences_send_no_ids_and_cut_large_groups(spark, monkeypatch):
     assert "Join" in _plan(cut) and rows(cut) == want
     spec = sequence._cuts(base, ["g"], ["o", "id"], 300).collect()
     assert [r["__g0"] for r in spec] == [None] and len(spec[0]["__seq_cuts"]) == 6
+
+
+def test_departures_are_not_multiplied(spark, monkeypatch):
+    """Keys with few validity rows: a departure is dealt out once, not once a unit; many rows give the same."""
+    rng = random.Random(3)
+    maybe = lambda: None if rng.random() < 0.2 else f"2024{rng.randrange(1, 13):02d}{rng.randrange(1, 29):02d}"
+    d = spark.createDataFrame([(i, rng.choice("abc"), maybe()) for i in range(200)], "id long, k string, t string")
+    v = spark.createDataFrame([(rng.choice("abd"), rng.choice("xyz"), maybe(), maybe()) for _ in range(40)], "k string, op string, s string, e string")
+    got = E.valid_operators(d, v, ["k"], "t", "op", "s", "e")
+    assert "__bin" not in _plan(got) and _plan(got).count("Generate") == 1
+    few = rows(got.distinct())
+    monkeypatch.setattr(E, "MANY", 12)
+    both = E.valid_operators(d, v, ["k"], "t", "op", "s", "e")
+    assert "__bin" in _plan(both) and rows(both.distinct()) == few
