@@ -48,12 +48,13 @@ The singleton voyage list is a semi join and its complement an anti join
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quayside.operators.filters import in_keys, keys_with_count, not_in_keys
@@ -163,7 +164,7 @@ def validity_bins(rows: DataFrame, keys: list[str], operator: str, start: str, e
     return every.groupBy(*own, "unit", "bin", *kind).agg(F.min("__from").alias("__from"), F.max("__to").alias("__to")).select(*own, "unit", "bin", "__from", "__to")
 
 
-#: A key's validity rows are held in one array up to this many of them, in bins beyond.
+#: A key's validity rows (or a call's operators) are held in one array up to this many of them, in bins (or joined) beyond.
 MANY = 64
 
 
@@ -289,9 +290,68 @@ def resolve_operator(schedule: DataFrame, assignments: DataFrame, vessels: DataF
         sched = schedule.persist(StorageLevel.MEMORY_AND_DISK)
     else:
         sched = schedule
-    fd = first_departure(sched, c)
+    voy_ops = _operators_of(sched, assignments, vessels, c, a, materialize)
+    return sched.join(voy_ops, [c.voyage, c.carrier], "left")
+
+
+def _operators_of(departures: DataFrame, assignments: DataFrame, vessels: DataFrame, c: ScheduleCols, a: AssignmentCols,
+                  materialize: str | None = "small") -> DataFrame:
+    """(voyage, carrier, operator) of the departures."""
+    fd = first_departure(departures, c)
     fd = staged(fd, "first_departures") if materialize else fd
     ops = service_operators(fd, assignments, c, a)
     ops = staged(ops, "operators") if materialize else ops
-    voy_ops = voyage_operators(fd, ops, vessels, c)
-    return sched.join(voy_ops, [c.voyage, c.carrier], "left")
+    return voyage_operators(fd, ops, vessels, c)
+
+
+def resolve_operator_by_stop(calls: DataFrame, carriers: DataFrame, departures: DataFrame, assignments: DataFrame, vessels: DataFrame,
+                             widen: Callable[[DataFrame], DataFrame], stop: str = "STOP_ID",
+                             c: ScheduleCols = ScheduleCols(), a: AssignmentCols = AssignmentCols()) -> DataFrame:
+    """``resolve_operator(widen(calls), ...)`` without a move of the wide rows.
+
+    calls      -- rows of (voyage, service, vessel, stop, ...), one a call.
+    carriers   -- (stop, carrier): the carriers that ``widen`` gives a stop's rows.
+    departures -- (stop, departure): the departures that it gives them; only a stop's earliest counts.
+    widen      -- joins the lookups, the carriers' among them, and keeps columns that it doesn't know.
+
+    The first departures come from the narrow columns of calls, carriers and
+    departures alone.  Then a call gets the operators of its voyage and its stop's
+    carriers in one array, before it becomes one wide row for each carrier; such a
+    row takes its carrier's operators from the array.  (voyage, stop) pairs with
+    more than ``MANY`` are left out of that and joined as in ``resolve_operator``.
+    """
+    deps = departures.groupBy(stop).agg(F.min(c.departure).alias(c.departure))
+    per_stop = merged_lookup([carriers.select(stop, c.carrier).distinct(), deps], [stop], "stop_carriers")
+    thin = lookup_join(calls.select(c.voyage, c.service, c.vessel, stop), per_stop, [stop])
+    voy_ops = _operators_of(thin, assignments, vessels, c, a)
+    pair_ops, some_many = _pair_operators(calls, per_stop, voy_ops, stop, c)
+    wide = widen(lookup_join(calls, pair_ops, [c.voyage, stop]).select(*calls.columns, "__ops", "__many"))
+    kept = [c.voyage, c.carrier, *[x for x in wide.columns if x not in (c.voyage, c.carrier, "__ops", "__many")]]
+    own = F.filter("__ops", lambda o: F.coalesce(o.carrier, F.col(c.carrier)) == F.col(c.carrier))
+    few = wide.where(~F.coalesce("__many", F.lit(False))) if some_many else wide
+    out = few.select(*kept, F.explode_outer(F.transform(own, lambda o: o.operator)).alias(c.operator))
+    if some_many:
+        out = out.unionByName(wide.where("__many").select(*kept).join(voy_ops, [c.voyage, c.carrier], "left"))
+    return out
+
+
+def _pair_operators(calls: DataFrame, per_stop: DataFrame, voy_ops: DataFrame, stop: str, c: ScheduleCols) -> tuple[DataFrame, bool]:
+    """(voyage, stop, ``__ops``: carriers with their operators, ``__many``: there
+    are more than ``MANY``, and ``__ops`` is NULL), and whether there is such a pair.
+    If all carriers have the same one operator, it stands once, with no carrier."""
+    pair = [c.voyage, stop]
+    carriers = per_stop.where(F.col(c.carrier).isNotNull()).select(stop, c.carrier)
+    met = calls.where(F.col(c.voyage).isNotNull()).select(*pair).join(carriers, stop).select(*pair, c.carrier).distinct()
+    met = met.join(voy_ops, [c.voyage, c.carrier])
+    at = F.row_number().over(Window.partitionBy(*pair).orderBy(c.carrier))
+    first = met.withColumn("__at", at).where(F.col("__at") <= MANY + 1)          # an array never holds more
+    entry = F.struct(F.col(c.carrier).alias("carrier"), F.col(c.operator).alias("operator"))
+    held = first.groupBy(*pair).agg(F.collect_list(entry).alias("__ops"))
+    many = F.size("__ops") > MANY
+    operators, known = F.array_distinct("__ops.operator"), F.array_distinct("__ops.carrier")
+    same = (F.size(operators) == 1) & (F.size(known) == F.size("__ops"))
+    ops = F.when(same, F.transform(operators, lambda o: F.struct(F.lit(None).cast(dict(met.dtypes)[c.carrier]).alias("carrier"), o.alias("operator")))).otherwise(F.col("__ops"))
+    held = held.select(*pair, F.when(~many, ops).alias("__ops"), many.alias("__many"))
+    seen = Observation()
+    held = aggregated_lookup(held.observe(seen, F.max("__many").alias("many")), "pair_operators")
+    return held, bool(seen.get["many"])

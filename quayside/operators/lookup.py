@@ -77,10 +77,17 @@ def lookup_join(df: DataFrame, lookup: DataFrame, keys: Iterable[str] | None = N
         right = F.broadcast(right)
     if not spread:
         return df.join(right, on=list(key_map), how=how)
-    some_null = reduce(or_, [F.col(k).isNull() for k in key_map])
+    if SPREAD in df.columns:                                       # of ``spread_over``: joins on these keys share one move
+        return df.join(right, on=[*key_map, SPREAD], how=how)
+    return spread_over(df, list(key_map)).join(right, on=[*key_map, SPREAD], how=how).drop(SPREAD)
+
+
+def spread_over(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the column ``SPREAD`` for joins on ``keys``.  Several joins of
+    aggregated lookups on the same keys move ``df`` once if it has the column."""
+    some_null = reduce(or_, [F.col(k).isNull() for k in keys])
     whole = [c for c, t in df.dtypes if "map<" not in t]           # a map has no hash
-    df = df.withColumn(SPREAD, F.when(some_null, F.xxhash64(*whole)).otherwise(F.lit(0).cast("long")))
-    return df.join(right, on=[*key_map, SPREAD], how=how).drop(SPREAD)
+    return df.withColumn(SPREAD, F.when(some_null, F.xxhash64(*whole)).otherwise(F.lit(0).cast("long")))
 
 
 def aggregated_lookup(lookup: DataFrame, name: str = "lookup") -> DataFrame:
