@@ -3,6 +3,7 @@ from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quayside.llm import exact_dedup, near_dedup, suffix_dedup
@@ -199,6 +200,50 @@ def test_repeated_passages(spark, hot, monkeypatch):
     assert sorted(got, key=str) == repeats_by_hand(rows)
 
 
+@pytest.mark.parametrize("hot", [2, suffix_dedup.HOT])
+def test_repeated_passages_in_parts(spark, hot, monkeypatch):
+    # as above, with many parts to a bucket
+    monkeypatch.setattr(suffix_dedup.anchor_filter, "__defaults__", (hot,))
+    monkeypatch.setattr(suffix_dedup.write_chunks, "__defaults__", (9000,))
+    monkeypatch.setattr(suffix_dedup, "PART_TEXT", 300)
+    rows = awkward()
+    got = [(r[0], r[1], list(r[2]), list(r[3]), bytes(r[4])) for r in plain(suffix_dedup.remove_repeats(frame(spark, rows)))]
+    assert sorted(got, key=str) == repeats_by_hand(rows)
+
+
+def test_a_bucket_is_sorted_in_parts(monkeypatch):
+    """What is sorted at a time stays near ``PART_TEXT``, however much a bucket holds."""
+    import random
+    rng = random.Random(3)
+    bases = [bytes(rng.randrange(97, 123) for _ in range(120)) for _ in range(200)]
+    subs = sorted(rng.randrange(1 << 16) for _ in bases)
+    chunks = []
+    for chunk in range(3):
+        held = [(sub, base[i:i + 60], rng.randrange(50)) for sub, base in zip(subs, bases)
+                for i in rng.sample(range(60), 2) if rng.random() < 0.8]
+        chunks.append((chunk, f"side-{chunk}", held))
+    rows = pa.table({
+        "chunk": [c for c, _, _ in chunks], "side": [s for _, s, _ in chunks],
+        "at": [np.arange(len(h), dtype=np.int32).tobytes() for _, _, h in chunks],
+        "subs": [np.array([x[0] for x in h], np.uint16).tobytes() for _, _, h in chunks],
+        "pieces": [suffix_dedup._zip(b"".join(x[1] for x in h)) for _, _, h in chunks],
+        "lens": [bytes(len(x[1]) for x in h) for _, _, h in chunks],
+        "ids": [np.array([x[2] for x in h], np.int64).tobytes() for _, _, h in chunks]})
+    first = {}
+    for _, _, held in chunks:
+        for _, p, i in held:
+            for k in range(len(p) - 49):
+                first[p[k:k + 50]] = min(first.get(p[k:k + 50], NONE), i)
+    sizes, whole = [], suffix_dedup.smallest_ids
+    monkeypatch.setattr(suffix_dedup, "smallest_ids", lambda pieces, ids: sizes.append(sum(map(len, pieces))) or whole(pieces, ids))
+    monkeypatch.setattr(suffix_dedup, "PART_TEXT", 2000)
+    out = suffix_dedup.resolve(rows)
+    assert len(sizes) > 10 and max(sizes) < 3 * 2000
+    for masks, (_, _, held) in zip(out["masks"].to_pylist(), chunks):
+        assert np.frombuffer(masks, np.uint64).tolist() == [
+            sum((first[p[k:k + 50]] < i) << k for k in range(len(p) - 49)) for _, p, i in held]
+
+
 def test_repeated_passages_of_documents(spark):
     docs = documents(spark)
     got = [(r[0], r[1], list(r[2]), list(r[3]), bytes(r[4])) for r in plain(suffix_dedup.remove_repeats(docs))]
