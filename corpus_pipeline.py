@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import exact_dedup, langid, mixing, near_dedup, packing
-from quayside.llm.common import staged, table
+from quayside.llm.common import set_small_batches, staged, table
 from quayside.llm.queries import quality_weights
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: null, empty and letterless texts go.  If no
-    document says its language, there is nothing to reject by, and all stay."""
+    document says its language, there is nothing to reject by, and all stay.
+    From here on the session sends texts to Python in small batches: stages
+    are returned before they run, so that no shorter time could be given."""
+    set_small_batches(spark)
     if docs.filter("lang IS NOT NULL AND text IS NOT NULL").limit(1).count() == 0:
         return docs
     # carried under numbers, so that no column clashes with the operator's own

@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import release_worker_state, staged, trim_worker
+from quayside.llm.common import release_worker_state, small_batches, staged, trim_worker
 from quayside.llm.components import components
 from quayside.llm.exact_dedup import mark_suspects
 
@@ -59,6 +59,8 @@ PERCENT = 75
 SEED = 20240229
 MEMO_WORDS = 500_000
 FILTER_BITS = 1 << 26
+#: Classes whose keys a task counts.
+TASK_CLASSES = 4096
 #: A block of sets that is compared with another: so many sets, or so many items if they are long.
 BLOCK_SETS, BLOCK_ITEMS = 512, 1_000_000
 
@@ -299,12 +301,15 @@ def links(docs: DataFrame, coords: int = COORDS, matches: int = MATCHES) -> tupl
     """(documents with their class, classes with their component, confirmed links between classes).
     ``docs``: (doc_id, text) and, if the caller needs it again, a number ``row`` of each row."""
     docs = docs if "row" in docs.columns else docs.withColumn("row", F.monotonically_increasing_id())
-    rows = staged(signed(docs, coords), "signed")
+    with small_batches(docs.sparkSession):
+        rows = staged(signed(docs, coords), "signed")
     classes = (rows.filter("node IS NOT NULL").groupBy("node")
                .agg(F.min("text_key").alias("text_key"), F.max("n_shingles").alias("n"), F.first("sig").alias("sig")))
     classes = staged(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
-    keys = classes.select("id", "n", F.posexplode("sig").alias("k", "v")).select(
+    # dealt before each row becomes ``coords`` keys, so that a task aggregates no more than fits a few pages
+    tasks = max(1, -(-classes.count() // TASK_CLASSES))
+    keys = classes.select("id", "n", "sig").repartition(tasks, "id").select("id", "n", F.posexplode("sig").alias("k", "v")).select(
         "id", "n", F.lit(coords).alias("whole"), F.xxhash64("k", "v").alias("key"))
     lists = staged(_rarest(keys, F.lit(coords - matches + 1)), "lists")
     top = staged(lists.groupBy("key").agg(F.max(F.struct("typical", "id", "n")).alias("top"), F.count("*").alias("c"))
@@ -312,7 +317,8 @@ def links(docs: DataFrame, coords: int = COORDS, matches: int = MATCHES) -> tupl
     lists = staged(lists.join(top.select("key"), "key").select("key", "id", "n"), "shared_lists")
     wanted = staged(classes.join(lists.select("id").distinct(), "id", "left_semi").select("id", "node", "text_key"), "wanted")
     sets = full_sets(docs, wanted.select("text_key")).dropDuplicates(["node"])
-    sets = staged(sets.join(wanted.select("node", "id"), "node").select("id", "n", "items"), "sets")
+    with small_batches(docs.sparkSession):
+        sets = staged(sets.join(wanted.select("node", "id"), "node").select("id", "n", "items"), "sets")
 
     stars = (lists.join(top, "key").filter((F.col("id") != F.col("b")) & _fits("n", "n_b"))
              .select(F.col("id").alias("a"), "b").distinct())

@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from quayside.llm import exact_dedup, near_dedup, suffix_dedup
+import corpus_pipeline
+from quayside.llm import common, exact_dedup, near_dedup, suffix_dedup
 from quayside.llm.components import components
 from tests.llm.cases import awkward, documents, empty, frame, normal, plain, words
 
@@ -144,6 +145,41 @@ def test_near_drops_rows_not_ids(spark):
     assert len({g[2] for g in got}) == 5
 
 
+def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own, seen, write = spark.conf.get(name), {}, near_dedup.staged
+
+    def spy(df, kind):
+        seen[kind] = int(spark.conf.get(name))
+        return write(df, kind)
+
+    monkeypatch.setattr(near_dedup, "staged", spy)
+    plain(near_dedup.drop_near(frame(spark, awkward())))
+    assert seen["signed"] == seen["sets"] == common.TEXT_ROWS
+    assert spark.conf.get(name) == own
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    with common.small_batches(spark, 100):
+        got = [r["n"] for r in spark.range(0, 1000, 1, 1).mapInArrow(sizes, "n long").collect()]
+        with common.small_batches(spark, 200):      # a smaller one stays
+            assert spark.conf.get(name) == "100"
+    assert sum(got) == 1000 and max(got) <= 100
+    assert spark.conf.get(name) == own
+
+
+def test_pipeline_sends_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = spark.conf.get(name)
+    try:
+        corpus_pipeline.language_id(spark, empty(spark), "")
+        assert int(spark.conf.get(name)) <= common.TEXT_ROWS
+    finally:
+        spark.conf.set(name, own)
+
+
 def test_chance_to_miss_a_link():
     assert near_dedup.miss_chance() < 1e-6
 
