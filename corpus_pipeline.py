@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import exact_dedup, langid, mixing, near_dedup, packing
+from quayside.llm.chunks import SMALL
 from quayside.llm.common import set_small_batches, staged, table
 from quayside.llm.queries import quality_weights
 
@@ -45,8 +46,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequences."""
-    return packing.pack_documents(docs)
+    """The pieces of all documents with their sequences.  The stages before
+    have grown the executors' heaps, so the tokenizer's memos are small ones."""
+    return packing.pack_documents(docs, sizes=SMALL)
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact), ("near_dedup", near), ("mixing", mix), ("packing", pack)]

@@ -14,22 +14,24 @@ token's id as in a plain library call, goes to the library whole.
 
 A full memo (``CHUNKS``, ``TOKENS``, ``IDS``) keeps what it met most, so memory
 doesn't follow the corpus.  ``ChunkEncoder.shared`` keeps the encoder of a
-Python worker between its tasks.
+Python worker between its tasks, as the one state that the worker keeps.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import sys
-import types
 from itertools import chain
 
 import numpy as np
 
+from quayside.llm.common import worker_state
+
 CHUNKS, TOKENS, IDS = 600_000, 1_100_000, 6_000_000
 #: Characters of text handled at once.
 BATCH_CHARS = 1_500_000
+#: (CHUNKS, TOKENS, BATCH_CHARS) where memory is short: more of the text goes to the library.
+SMALL = (150_000, 150_000, 400_000)
 
 _ODD = re.compile(r" (?=\s|$)")
 _CUT = re.compile(r"(?= \S)")
@@ -107,7 +109,7 @@ class _Memo(dict):
 class ChunkEncoder:
     """``encode(texts)`` gives the ids of each text, with ``end_id`` behind it."""
 
-    def __init__(self, path: str, end_id: int):
+    def __init__(self, path: str, end_id: int, sizes: tuple[int, int, int] | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
@@ -116,15 +118,13 @@ class ChunkEncoder:
         self.lower = self.tokenizer.normalizer is not None      # of a plain chunk it changes the case alone
         self.tokens_of = regex.compile(WORD_LEVEL if self.lower else BYTE_LEVEL).findall
         self.end_id = end_id
-        self.first, self.rest, self.tokens = _Memo(CHUNKS), _Memo(CHUNKS), _Memo(TOKENS)
+        most, most_tokens, self.batch_chars = sizes or (CHUNKS, TOKENS, BATCH_CHARS)
+        self.first, self.rest, self.tokens = _Memo(most), _Memo(most), _Memo(most_tokens)
 
     @staticmethod
-    def shared(path: str, end_id: int) -> ChunkEncoder:
+    def shared(path: str, end_id: int, sizes: tuple[int, int, int] | None = None) -> ChunkEncoder:
         """This worker's encoder, made at its first task; a worker keeps one."""
-        kept = sys.modules.setdefault("_quayside_worker", types.ModuleType("_quayside_worker"))
-        if getattr(kept, "encoder_for", None) != (path, end_id):
-            kept.encoder, kept.encoder_for = ChunkEncoder(path, end_id), (path, end_id)
-        return kept.encoder
+        return worker_state("encoder", (path, end_id, sizes), lambda: ChunkEncoder(path, end_id, sizes))
 
     @staticmethod
     def cut(text: str) -> list[str]:
@@ -182,7 +182,7 @@ class ChunkEncoder:
         flat, ends, total, at = [], [], 0, 0
         while at < len(texts):
             chars, upto = 0, at
-            while upto < len(texts) and (upto == at or chars < BATCH_CHARS):
+            while upto < len(texts) and (upto == at or chars < self.batch_chars):
                 chars += len(texts[upto] or "")
                 upto += 1
             ids, end = self._encode(texts[at:upto])

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.chunks import ChunkEncoder, tokenizer_path
-from quayside.llm.common import staged
+from quayside.llm.common import staged, trim_worker
 
 LENGTH = 2048
 OPEN = 1024
@@ -39,10 +39,10 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """One row per piece of each document."""
+           text_col: str = "text", sizes: tuple[int, int, int] | None = None) -> DataFrame:
+    """One row per piece of each document.  ``sizes``: the encoder's, if not its own."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder.shared(tokenizer, end_id)
+        encoder = ChunkEncoder.shared(tokenizer, end_id, sizes)
         for b in batches:
             names, texts = b.column(0).to_pylist(), b.column(1)
             for i in range(0, len(names), 512):
@@ -58,6 +58,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, i
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                                  names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        trim_worker()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(cut, PIECES)
 
@@ -122,7 +123,7 @@ def pack(rows: DataFrame, length: int = LENGTH, most_open: int = OPEN, task_toke
 
 
 def pack_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_id: int = 0, length: int = LENGTH,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", sizes: tuple[int, int, int] | None = None) -> DataFrame:
     """Tokenise, cut and pack all documents: one row per piece."""
-    rows = staged(pieces(docs, tokenizer_path(vocabulary), end_id, length, id_col, text_col), "pieces")
+    rows = staged(pieces(docs, tokenizer_path(vocabulary), end_id, length, id_col, text_col, sizes), "pieces")
     return pack(rows, length)

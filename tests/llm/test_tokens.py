@@ -60,6 +60,37 @@ def test_memos_that_are_full_change_nothing(monkeypatch):
     assert [x.tolist() for x in np.split(ids, ends)[:-1]] == [expected(t) for t in texts]
 
 
+def test_a_small_encoder_gives_the_same_ids_and_a_worker_keeps_one_state():
+    from quayside.llm import chunks, common
+    path = tokenizer_path("word_bpe_49k.json")
+    assert all(small < usual for small, usual in zip(chunks.SMALL, (chunks.CHUNKS, chunks.TOKENS, chunks.BATCH_CHARS)))
+    common.worker_state("other", 1, list)
+    encoder = ChunkEncoder.shared(path, 0, (50, 50, 200))
+    assert ChunkEncoder.shared(path, 0, (50, 50, 200)) is encoder and common.worker_state("other", 1, lambda: "made again") == "made again"
+    texts = [f"{r[1] or ''} word{i} next{i}" for i, r in enumerate(awkward())]
+    expected = whole("word_bpe_49k.json", 0)
+    held = []
+    for t in texts:
+        ids, _ = encoder.encode([t])
+        assert ids.tolist() == expected(t)
+        held.append(max(len(encoder.first), len(encoder.rest), len(encoder.tokens)))
+    assert max(held) <= 50 + max(len(t) for t in texts) < sum(map(len, texts))
+    common.release_worker_state()
+
+
+def test_the_pipeline_packs_with_small_memos(spark, monkeypatch):
+    import corpus_pipeline
+    from quayside.llm import chunks
+    seen = []
+    usual = packing.pieces
+    monkeypatch.setattr(packing, "pieces", lambda *a: seen.append(a[-1]) or usual(*a))
+    docs = frame(spark, awkward())
+    small = plain(dict(corpus_pipeline.STAGES)["packing"](spark, docs, ""))
+    assert seen == [chunks.SMALL]
+    assert sorted(p[:5] for p in small if p[0] is not None) == sorted(
+        p[:5] for p in plain(packing.pack_documents(docs)) if p[0] is not None)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sampled_from([0, 1, 2, 3, 200, 50256, 2**29, 2**60 - 2, 2**60 - 1, 2**60, 2**64 - 1]) | st.integers(0, 2**64 - 1),
                 max_size=400), st.integers(1, 50))
