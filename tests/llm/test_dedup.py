@@ -287,6 +287,74 @@ def test_repeated_passages_of_documents(spark):
     assert plain(suffix_dedup.remove_repeats(empty(spark))) == []
 
 
+def test_halves_of_equal_strings_are_of_one_context():
+    import random
+    rng = random.Random(2)
+    base = [bytes(rng.choice(b"ab") for _ in range(90)) for _ in range(6)]
+    texts = [b"".join(rng.sample(base, 3)) for _ in range(12)] + [b"a" * 120, b"short"]
+    data, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
+    start, number, h, anchor = suffix_dedup.runs(data, ends)
+    run, first, many, around = suffix_dedup.halves(data, start, number, anchor)
+    back = suffix_dedup.joined(run, first, many)
+    assert [x.tolist() for x in back] == [list(range(len(start))), start.tolist(), number.tolist()]
+    of = {}
+    for r, s, n, c in zip(run.tolist(), first.tolist(), many.tolist(), around.tolist()):
+        for k in range(s, s + n):
+            of.setdefault(data[k:k + 50].tobytes(), set()).add((int(h[r]), c))
+    assert all(len(x) == 1 for x in of.values())
+    held = {}
+    for string, ((_, c),) in of.items():
+        held.setdefault(c, []).append(string)
+    # strings of one context have its 33 bytes in common
+    assert all(any(all(x[i:i + 33] in y for y in strings) for i in range(18) for x in strings[:1]) for strings in held.values())
+
+
+def test_what_repeats_by_chance_is_not_sent(spark, tmp_path):
+    """Short phrases recur in many documents, one passage in two: only that is sent."""
+    import random
+    rng = random.Random(4)
+    filler = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    passage = filler(70)
+    rows = [(i, filler(60) + "a phrase that recurs" + filler(60) + (passage if i in (7, 30) else "")) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    folder = str(tmp_path)
+    chunks = suffix_dedup.write_chunks(docs, folder, "doc_id", "text", 3000)
+    bits = suffix_dedup.anchor_filter(chunks, 2, folder)
+    contexts = suffix_dedup.context_filter(chunks, 2, folder, bits)
+    sent = suffix_dedup.send_pieces(chunks, 2, folder, bits, contexts, 3).toPandas()
+    texts = [suffix_dedup._unzip(x).decode() for x in sent["pieces"]]
+    assert sent["chunk"].nunique() == 2 and not any("recurs" in t for t in texts)
+    number = {}
+    for first, raw, c in zip(sent["first"], sent["numbers"], sent["chunk"]):
+        subs, lens, ids = suffix_dedup._numbers(raw, np.uint16, np.uint8, np.int64)
+        assert (np.diff(subs.astype(int)) >= 0).all() and set(ids.tolist()) <= {7, 30}
+        number.setdefault(c, []).extend(range(first, first + len(lens)))
+    assert all(sorted(x) == list(range(len(x))) for x in number.values())
+    got = [(r[0], r[1], list(r[2]), list(r[3]), bytes(r[4])) for r in plain(suffix_dedup.remove_repeats(docs))]
+    assert sorted(got, key=str) == repeats_by_hand(rows)
+
+
+def test_copies_leave_their_text_behind(spark):
+    long, short = "all of this text is there three times, word by word, to the end" * 3, "short"
+    rows = [(5, long), (3, long), (None, long), (8, short), (9, short), (10, "other"), (11, None), (12, None), (12, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    look, copies = suffix_dedup.split_copies(docs)
+    assert sorted(plain(look), key=str) == sorted([(3, long), (8, short), (10, "other"), (11, None)], key=str)
+    size = len(long.encode())
+    assert sorted(((r[0], r[1], bytes(r[2])) for r in plain(copies)), key=str) == sorted(
+        [(5, size, b""), (None, size, b""), (9, 5, b"short"), (12, 0, b""), (12, 0, b"")], key=str)
+    assert copies.columns == ["doc_id", "n_bytes", "kept"]
+    got = [(r[0], r[1], list(r[2]), list(r[3]), bytes(r[4])) for r in plain(suffix_dedup.remove_repeats(docs))]
+    assert sorted(got, key=str) == repeats_by_hand(rows)
+
+
+def test_numbers_are_sent_by_planes():
+    a, b, c = np.arange(5, dtype=np.uint16) * 300, np.arange(5, dtype=np.uint8), np.array([-1, 0, 1 << 40, suffix_dedup.NO_ID, 7])
+    got = suffix_dedup._numbers(suffix_dedup._planes(a, b, c), np.uint16, np.uint8, np.int64)
+    assert [x.tolist() for x in got] == [a.tolist(), b.tolist(), c.tolist()]
+    assert [len(x) for x in suffix_dedup._numbers(suffix_dedup._planes(a[:0], c[:0]), np.uint16, np.int64)] == [0, 0]
+
+
 def test_expansion_groups_equal_strings():
     import random
     rng = random.Random(1)
