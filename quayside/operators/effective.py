@@ -54,7 +54,7 @@ from functools import reduce
 from operator import and_
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.operators.filters import in_keys, keys_with_count, not_in_keys
@@ -214,6 +214,24 @@ def _by_bins(departures: DataFrame, rows: DataFrame, many: DataFrame, keys: list
     return met.unionByName(departures.join(always, keys).select(*departures.columns, operator))
 
 
+def _tiers(assignments: DataFrame, c: ScheduleCols, a: AssignmentCols) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The validity rows under the schedule's names, those of tier 1 that have a
+    start, those of tier 2, and of tier 1 the bounds of each (service, vessel)."""
+    rows = assignments.select(F.col(a.service).alias(c.service), F.col(a.vessel).alias(c.vessel), F.col(a.operator).alias(c.operator),
+                              F.col(a.start).alias("__s"), F.col(a.end).alias("__e"))
+    tier1, tier2 = rows.where(F.col(c.service).isNotNull()), rows.where(F.col(c.service).isNull()).drop(c.service)
+    bounds = tier1.groupBy(c.service, c.vessel).agg(
+        F.max("__s").alias("__latest"), F.min("__e").alias("__earliest"),
+        F.bool_or(F.col("__s").isNull() | F.col(c.operator).isNull()).alias("__lacking"))
+    return rows, tier1.where(F.col("__s").isNotNull()), tier2, bounds
+
+
+def _falls(lacking: Column, latest: Column, earliest: Column, t: Column) -> Column:
+    """NVL falls through to tier 2 unless there are tier-1 matches, all valid at the departure, all with an operator."""
+    all_valid = ~lacking & (latest <= t) & (earliest.isNull() | (t <= earliest))
+    return ~F.coalesce(all_valid, F.lit(False))
+
+
 def service_operators(first_dep: DataFrame, assignments: DataFrame,
                       c: ScheduleCols = ScheduleCols(),
                       a: AssignmentCols = AssignmentCols()) -> DataFrame:
@@ -222,19 +240,11 @@ def service_operators(first_dep: DataFrame, assignments: DataFrame,
     The departures meet the rows of their service and vessel, then the general
     rows of their vessel: two joins that add no rows."""
     out, t = [c.voyage, c.operator, c.carrier], F.col(c.first_dep)
-    rows = assignments.select(F.col(a.service).alias(c.service), F.col(a.vessel).alias(c.vessel), F.col(a.operator).alias(c.operator),
-                              F.col(a.start).alias("__s"), F.col(a.end).alias("__e"))
     by_both, by_vessel = [c.service, c.vessel], [c.vessel]
-    tier1, tier2 = rows.where(F.col(c.service).isNotNull()), rows.where(F.col(c.service).isNull()).drop(c.service)
-    started = tier1.where(F.col("__s").isNotNull())
+    rows, started, tier2, bounds = _tiers(assignments, c, a)
     few1, many1 = _gathered(started, by_both, c.operator, "__s", "__e")
     few2, many2 = _gathered(tier2, by_vessel, c.operator, "__s", "__e")
-    # NVL falls through to tier 2 unless there are tier-1 matches, all valid at the departure, all with an operator
-    bounds = tier1.groupBy(c.service, c.vessel).agg(
-        F.max("__s").alias("__latest"), F.min("__e").alias("__earliest"),
-        F.bool_or(F.col("__s").isNull() | F.col(c.operator).isNull()).alias("__lacking"))
-    all_valid = ~F.col("__lacking") & (F.col("__latest") <= t) & (F.col("__earliest").isNull() | (t <= F.col("__earliest")))
-    falls = ~F.coalesce(all_valid, F.lit(False))
+    falls = _falls(F.col("__lacking"), F.col("__latest"), F.col("__earliest"), t)
     named = lookup_join(first_dep, merged_lookup([bounds, few1], by_both, "validity_bounds"), by_both)
     named = named.select(*first_dep.columns, _valid(F.col("__rows"), t).alias("__ops"), falls.alias("__falls"))
     general = lookup_join(named, aggregated_lookup(few2, "validity_rows"), by_vessel)
@@ -306,52 +316,131 @@ def _operators_of(departures: DataFrame, assignments: DataFrame, vessels: DataFr
 
 def resolve_operator_by_stop(calls: DataFrame, carriers: DataFrame, departures: DataFrame, assignments: DataFrame, vessels: DataFrame,
                              widen: Callable[[DataFrame], DataFrame], stop: str = "STOP_ID",
-                             c: ScheduleCols = ScheduleCols(), a: AssignmentCols = AssignmentCols()) -> DataFrame:
-    """``resolve_operator(widen(calls), ...)`` without a move of the wide rows.
+                             c: ScheduleCols = ScheduleCols(), a: AssignmentCols = AssignmentCols(),
+                             narrow: DataFrame | None = None) -> DataFrame:
+    """``resolve_operator(widen(calls), ...)`` without a move of the wide rows, nor
+    of a row for each voyage and carrier.
 
     calls      -- rows of (voyage, service, vessel, stop, ...), one a call.
     carriers   -- (stop, carrier): the carriers that ``widen`` gives a stop's rows.
     departures -- (stop, departure): the departures that it gives them; only a stop's earliest counts.
     widen      -- joins the lookups, the carriers' among them, and keeps columns that it doesn't know.
-
-    The first departures come from the narrow columns of calls, carriers and
-    departures alone.  Then a call gets the operators of its voyage and its stop's
-    carriers in one array, before it becomes one wide row for each carrier; such a
-    row takes its carrier's operators from the array.  (voyage, stop) pairs with
-    more than ``MANY`` are left out of that and joined as in ``resolve_operator``.
+    narrow     -- (voyage, service, vessel, stop) of the calls, if that is cheaper to read than ``calls``.
+
+    A call gets its stop's carriers as one array, a voyage its calls and the validity
+    rows of its services as arrays, and all of JOB3 is worked out on that one row
+    (``_voyage_operators``).  It is joined to the calls by voyage, which they may
+    already be dealt by, and a call keeps its own carriers' operators alone; a wide
+    row takes its carrier's from these.  Voyages with more calls and carriers than
+    ``MANY_A_VOYAGE`` or with a stop, service or vessel that has more than ``MANY``
+    rows are left out of that and resolved as in ``resolve_operator``.
     """
     deps = departures.groupBy(stop).agg(F.min(c.departure).alias(c.departure))
-    per_stop = merged_lookup([carriers.select(stop, c.carrier).distinct(), deps], [stop], "stop_carriers")
-    thin = lookup_join(calls.select(c.voyage, c.service, c.vessel, stop), per_stop, [stop])
-    voy_ops = _operators_of(thin, assignments, vessels, c, a)
-    pair_ops, some_many = _pair_operators(calls, per_stop, voy_ops, stop, c)
-    wide = widen(lookup_join(calls, pair_ops, [c.voyage, stop]).select(*calls.columns, "__ops", "__many"))
+    met = lookup_join((calls if narrow is None else narrow).where(F.col(c.voyage).isNotNull()).select(c.voyage, c.service, c.vessel, stop),
+                      merged_lookup([_stop_carriers(carriers, stop, c), deps], [stop], "stop_carriers"), [stop])
+    none = F.array(F.struct(F.lit(None).cast(dict(carriers.dtypes)[c.carrier]).alias("carrier")))
+    met = staged(met.withColumn("__carriers", F.coalesce("__carriers", none)), "met_carriers")
+    services, many = _services(met, assignments, vessels, c, a)
+    n = F.size("__carriers")
+    many = [met.groupBy(c.voyage).agg(F.sum(n).alias("__n"), F.max(n).alias("__most"))
+            .where((F.col("__n") > MANY_A_VOYAGE) | (F.col("__most") > MANY)).select(c.voyage), *many]
+    large = staged(reduce(DataFrame.unionByName, many).distinct(), "large_voyages")
+    some_large = not large.isEmpty()
+    if some_large:
+        thin = lookup_join(met.join(large, c.voyage, "left_semi").drop("__carriers"), carriers.select(stop, c.carrier).distinct(), [stop])
+        voy_ops = _operators_of(thin, assignments, vessels, c, a)
+        met, services = met.join(large, c.voyage, "left_anti"), services.join(large, c.voyage, "left_anti")
+    found = _voyage_operators(met, services, stop, c).withColumn("__many", F.lit(False))
+    if some_large:
+        found = found.unionByName(large.withColumn("__many", F.lit(True)), allowMissingColumns=True)
+    at_stop = F.filter("__stops", lambda x: x.stop.eqNullSafe(F.col(stop)))
+    ops = F.coalesce("__all", F.get(at_stop, F.lit(0)).ops)
+    wide = widen(lookup_join(calls, staged(found, "voyage_operators"), [c.voyage]).select(*calls.columns, ops.alias("__ops"), "__many"))
     kept = [c.voyage, c.carrier, *[x for x in wide.columns if x not in (c.voyage, c.carrier, "__ops", "__many")]]
     own = F.filter("__ops", lambda o: F.coalesce(o.carrier, F.col(c.carrier)) == F.col(c.carrier))
-    few = wide.where(~F.coalesce("__many", F.lit(False))) if some_many else wide
+    few = wide.where(~F.coalesce("__many", F.lit(False))) if some_large else wide
     out = few.select(*kept, F.explode_outer(F.transform(own, lambda o: o.operator)).alias(c.operator))
-    if some_many:
+    if some_large:
         out = out.unionByName(wide.where("__many").select(*kept).join(voy_ops, [c.voyage, c.carrier], "left"))
     return out
 
 
-def _pair_operators(calls: DataFrame, per_stop: DataFrame, voy_ops: DataFrame, stop: str, c: ScheduleCols) -> tuple[DataFrame, bool]:
-    """(voyage, stop, ``__ops``: carriers with their operators, ``__many``: there
-    are more than ``MANY``, and ``__ops`` is NULL), and whether there is such a pair.
-    If all carriers have the same one operator, it stands once, with no carrier."""
-    pair = [c.voyage, stop]
-    carriers = per_stop.where(F.col(c.carrier).isNotNull()).select(stop, c.carrier)
-    met = calls.where(F.col(c.voyage).isNotNull()).select(*pair).join(carriers, stop).select(*pair, c.carrier).distinct()
-    met = met.join(voy_ops, [c.voyage, c.carrier])
-    at = F.row_number().over(Window.partitionBy(*pair).orderBy(c.carrier))
-    first = met.withColumn("__at", at).where(F.col("__at") <= MANY + 1)          # an array never holds more
-    entry = F.struct(F.col(c.carrier).alias("carrier"), F.col(c.operator).alias("operator"))
-    held = first.groupBy(*pair).agg(F.collect_list(entry).alias("__ops"))
-    many = F.size("__ops") > MANY
-    operators, known = F.array_distinct("__ops.operator"), F.array_distinct("__ops.carrier")
-    same = (F.size(operators) == 1) & (F.size(known) == F.size("__ops"))
-    ops = F.when(same, F.transform(operators, lambda o: F.struct(F.lit(None).cast(dict(met.dtypes)[c.carrier]).alias("carrier"), o.alias("operator")))).otherwise(F.col("__ops"))
-    held = held.select(*pair, F.when(~many, ops).alias("__ops"), many.alias("__many"))
-    seen = Observation()
-    held = aggregated_lookup(held.observe(seen, F.max("__many").alias("many")), "pair_operators")
-    return held, bool(seen.get["many"])
+#: A voyage's calls are worked out on one row up to this many carriers of calls.
+MANY_A_VOYAGE = 256
+
+
+def _stop_carriers(carriers: DataFrame, stop: str, c: ScheduleCols) -> DataFrame:
+    """(stop, its carriers as ``__carriers``), of which there are ``MANY`` + 1 where a stop has more."""
+    own = carriers.where(F.col(stop).isNotNull()).select(stop, c.carrier).distinct()
+    at = F.row_number().over(Window.partitionBy(stop).orderBy(c.carrier))
+    first = own.withColumn("__at", at).where(F.col("__at") <= MANY + 1)          # an array never holds more
+    return first.groupBy(stop).agg(F.collect_list(F.struct(F.col(c.carrier).alias("carrier"))).alias("__carriers"))
+
+
+def _services(met: DataFrame, assignments: DataFrame, vessels: DataFrame, c: ScheduleCols, a: AssignmentCols) -> tuple[DataFrame, list[DataFrame]]:
+    """The services of each voyage with their validity rows and their vessels'
+    default operators, and voyages of which some of these are too many."""
+    by_both, by_vessel = [c.service, c.vessel], [c.vessel]
+    _, started, tier2, bounds = _tiers(assignments, c, a)
+    few1, many1 = _gathered(started, by_both, c.operator, "__s", "__e")
+    few2, many2 = _gathered(tier2, by_vessel, c.operator, "__s", "__e")
+    known = vessels.where(F.col(c.vessel).isNotNull()).select(c.vessel, c.operator)
+    many3 = staged(known.groupBy(c.vessel).agg(F.count("*").alias("__n")).where(F.col("__n") > MANY).select(c.vessel), "vessels_many")
+    many3 = None if many3.isEmpty() else many3
+    known = known.join(many3, c.vessel, "left_anti") if many3 is not None else known
+    defaults = known.groupBy(c.vessel).agg(F.collect_list(F.struct(F.col(c.operator).alias("op"))).alias("__defaults"))
+    named = met.select(c.voyage, c.service, c.vessel).distinct()
+    out = lookup_join(named, merged_lookup([bounds, few1.withColumnRenamed("__rows", "__tier1")], by_both, "validity_bounds"), by_both)
+    out = lookup_join(out, merged_lookup([few2.withColumnRenamed("__rows", "__tier2"), defaults], by_vessel, "vessel_rows"), by_vessel)
+    over = [named.join(m, k, "left_semi").select(c.voyage) for m, k in ((many1, by_both), (many2, by_vessel), (many3, by_vessel)) if m is not None]
+    return out, over
+
+
+def _voyage_operators(met: DataFrame, services: DataFrame, stop: str, c: ScheduleCols) -> DataFrame:
+    """(voyage, ``__all``, ``__stops``): the (carrier, operator) entries of each
+    stop, or once, without a carrier, if all carriers have the same operators."""
+    call = F.struct(F.col(c.service).alias("svc"), F.col(c.vessel).alias("vsl"), F.col(stop).alias("stop"),
+                    F.col(c.departure).alias("dep"), F.col("__carriers").alias("carriers"))
+    held = F.struct(F.col(c.service).alias("svc"), F.col(c.vessel).alias("vsl"), "__tier1", "__tier2", "__latest", "__earliest", "__lacking", "__defaults")
+    one = (met.repartition(c.voyage).groupBy(c.voyage).agg(F.collect_set(call).alias("__calls"))
+           .join(services.groupBy(c.voyage).agg(F.collect_list(held).alias("__services")), c.voyage))
+    kind, carrier_type = (dict(d.dtypes)[col].removeprefix("array<struct<").partition(":")[2][:-2] for d, col in ((services, "__defaults"), (met, "__carriers")))
+    nothing = F.array().cast(f"array<{kind}>")
+
+    def of(p: Column, x: Column) -> Column:                        # of the same service and vessel
+        return x.svc.eqNullSafe(p.svc) & x.vsl.eqNullSafe(p.vsl)
+
+    def first_dep(p: Column) -> Column:
+        met_by = F.filter("__calls", lambda x: of(p, x) & F.exists(x.carriers, lambda k: k.carrier.eqNullSafe(p.carrier)))
+        return F.array_min(F.transform(met_by, lambda x: x.dep))
+
+    def candidates(w: Column, t: Column) -> Column:
+        falls = _falls(w["__lacking"], w["__latest"], w["__earliest"], t)
+        return F.array_union(F.coalesce(_valid(w["__tier1"], t), nothing), F.coalesce(F.when(falls, _valid(w["__tier2"], t)), nothing))
+
+    def entries(carrier: Column, operators: Column) -> Column:     # of a left join: NULL if there is no operator
+        return F.transform(F.when(F.size(operators) > 0, operators).otherwise(F.array(F.lit(None).cast(kind))),
+                           lambda o: F.struct(carrier.alias("carrier"), o.alias("operator")))
+
+    def short(pairs: Column) -> Column:                            # NULL unless all carriers have the same operators
+        known = F.array_distinct(F.transform(pairs, lambda o: o.carrier))
+        lists = F.array_distinct(F.transform(known, lambda k: F.transform(F.filter(pairs, lambda o: o.carrier == k), lambda o: o.operator)))
+        return F.when(F.size(lists) == 1, F.transform(F.get(lists, F.lit(0)), lambda o: F.struct(F.lit(None).cast(carrier_type).alias("carrier"), o.alias("operator"))))
+
+    met_by = F.flatten(F.transform("__calls", lambda x: F.transform(x.carriers, lambda k: F.struct(x.svc.alias("svc"), x.vsl.alias("vsl"), k.carrier.alias("carrier")))))
+    one = one.select("*", F.array_distinct(met_by).alias("__met"))
+    one = one.select("*", F.transform("__met", lambda p: F.struct(p.carrier.alias("carrier"), first_dep(p).alias("t"),
+                                                                  F.get(F.filter("__services", lambda w: of(p, w)), F.lit(0)).alias("w"))).alias("__first"))
+    one = one.select(c.voyage, "__calls", F.transform("__first", lambda p: F.struct(
+        p.carrier.alias("carrier"), candidates(p.w, p.t).alias("ops"), F.coalesce(F.transform(p.w["__defaults"], lambda d: d.op), nothing).alias("defaults"))).alias("__found"))
+    # a carrier's candidates under any service of the voyage
+    every = F.transform("__found", lambda q: F.struct(q.carrier.alias("carrier"), q.defaults.alias("defaults"), F.array_distinct(F.flatten(F.transform(
+        F.filter("__found", lambda r: r.carrier.eqNullSafe(q.carrier)), lambda r: r.ops))).alias("ops")))
+    one = one.select(c.voyage, "__calls", every.alias("__found"))
+    pairs = F.when(F.exists("__found", lambda q: F.size(q.ops) == 1), F.flatten(F.transform("__found", lambda q: entries(q.carrier, q.ops)))) \
+        .otherwise(F.flatten(F.transform("__found", lambda q: entries(q.carrier, q.defaults))))
+    one = one.select(c.voyage, "__calls", F.filter(pairs, lambda o: o.carrier.isNotNull()).alias("__pairs"))
+    own = F.transform("__calls", lambda x: F.struct(x.stop.alias("stop"), F.filter("__pairs", lambda o: F.exists(x.carriers, lambda k: k.carrier == o.carrier)).alias("ops")))
+    one = one.select(c.voyage, short(F.col("__pairs")).alias("__all"), F.array_distinct(own).alias("__own"))
+    least = F.transform("__own", lambda x: F.struct(x.stop.alias("stop"), F.coalesce(short(x.ops), x.ops).alias("ops")))
+    return one.select(c.voyage, "__all", F.when(F.col("__all").isNull(), F.filter(least, lambda x: F.size(x.ops) > 0)).alias("__stops"))

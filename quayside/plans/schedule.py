@@ -127,11 +127,12 @@ def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep:
                   sequences=SEQUENCES, anchor: str = "dg_cutoff", strategy: str = "pivot",
                   sequence_strategy: str = "range", run_ts: _dt.datetime | None = None,
                   stage: bool = True) -> DataFrame:
-    """JOB2.  ``stage`` writes the joined spine once to the shared folder, so its
-    tables are read once.  The sequences are numbered before any lookup fans out
-    (S3), and the operators are found and attached on narrow rows before the
-    lookups make them wide, so the mart's rows are never moved or written for
-    them.  ``chain`` keeps the reference's order of lookups."""
+    """JOB2.  ``stage`` writes the spine with its stops once to the shared folder,
+    so its tables are read once.  The sequences are numbered before any lookup
+    fans out (S3), each with the columns that it needs and those found before: the
+    voyage's sequence shares the move of the voyage join, and so do the operators,
+    which are found on one narrow row a voyage.  ``chain`` joins one lookup after
+    another, ``pivot`` an aggregate of each table."""
     states = {s: STATE_PREFIX[s] for s in reversed(STATE_PREFIX)}   # LongTerm, Coastal, Actual
     ltt = [f for f in ltt_fields if f in arr_dep_fields]
 
@@ -139,20 +140,23 @@ def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep:
         return with_state_lookups(d, arr_dep, ["STOP_ID"], "SCHEDULE_STATE", states,
                                   arr_dep_fields, strategy=strategy)
 
+    stops = lookup_join(spine, stop, ["STOP_ID"])
+    stops = staged(stops, "schedule_spine") if stage else stops      # counts, samples and the operators read this copy
+    # sequences of voyages come behind the voyage join, whose move they share, the others before rows get its columns
+    by_voyage = {k: v for k, v in sequences.items() if "VOY_CDE" in v[0] or not {*v[0], *v[1]} <= {*stops.columns}}
+    if not any("VOY_CDE" in part for part, _ in by_voyage.values()):
+        by_voyage = dict(sequences)                                  # a voyage that comes twice fails in its sequence
+    others = {k: v for k, v in sequences.items() if k not in by_voyage}
+    df = with_sequences(stops, others, sequence_strategy) if others else stops
+    df = lookup_join(df, voyage, ["VOY_CDE"])
+    joined = [x for x in df.columns if x not in others]
+    df = with_sequences(df, by_voyage, sequence_strategy, dealt_by=["VOY_CDE"], **({"basis": stops} if {*[y for p, o in by_voyage.values() for y in [*p, *o]]} <= {*stops.columns} else {}))
     if strategy == "pivot":
-        # sequences partitioned by VOY_CDE first: right after a shuffled
-        # voyage join the data is already clustered on VOY_CDE
-        voy_first = dict(sorted(sequences.items(), key=lambda kv: "VOY_CDE" not in kv[1][0]))
-        df = (spine
-              .transform(lambda d: lookup_join(d, stop, ["STOP_ID"]))
-              .transform(lambda d: lookup_join(d, voyage, ["VOY_CDE"])))
-        # written once: group sizes and sequences read this copy
-        df = with_sequences(staged(df, "schedule_spine") if stage else df, voy_first, sequence_strategy)
+        df = df.select(*joined, *sorted(sequences, key=lambda k: "VOY_CDE" not in sequences[k][0]))
     else:
-        df = (spine
-              .transform(lambda d: lookup_join(d, voyage, ["VOY_CDE"]))
-              .transform(lambda d: lookup_join(d, stop, ["STOP_ID"]))
-              .transform(lambda d: with_sequences(staged(d, "schedule_spine") if stage else d, sequences, sequence_strategy)))  # before fan-out (S3)
+        attributes = [x for x in joined if x not in stops.columns]
+        df = df.select(*spine.columns, *attributes, *[x for x in stops.columns if x not in spine.columns], *sequences)
+    narrow = lookup_join(stops.select("VOY_CDE", "STOP_ID"), voyage.select("VOY_CDE", "SVC_CDE", "VSL_CDE"), ["VOY_CDE"])
 
     def widen(d):
         return ((spread_over(d, ["STOP_ID"]) if strategy == "pivot" else d)          # one move for both pivots
@@ -163,5 +167,5 @@ def schedule_mart(spine: DataFrame, voyage: DataFrame, stop: DataFrame, arr_dep:
     carriers = cut_ava.where(_combo_cond(*combos[0])) if anchor == "dg_cutoff" else cut_ava
     departures = filtered_lookup(arr_dep, F.col("SCHEDULE_STATE") == F.lit("Coastal"), STATE_PREFIX["Coastal"],
                                  {"BERTH_DEP_IODT": arr_dep_fields["BERTH_DEP_IODT"]}, ["STOP_ID"])
-    df = resolve_operator_by_stop(df, carriers, departures, assignments, vessels, widen)
+    df = resolve_operator_by_stop(df, carriers, departures, assignments, vessels, widen, narrow=narrow)
     return df.withColumn("REC_CRE_TS", run_timestamp(run_ts))

@@ -54,6 +54,21 @@ def test_sequences_send_no_ids_and_cut_large_groups(spark, monkeypatch):
     assert [r["__g0"] for r in spec] == [None] and len(spec[0]["__seq_cuts"]) == 6
 
 
+def test_sequences_of_rows_that_are_dealt_already(spark, monkeypatch):
+    """They share that move, but not if one value has more rows than a slice."""
+    base = spark.range(3000).select(F.when(F.col("id") % 2 > 0, F.col("id") % 50).alias("g"), (F.col("id") % 40).alias("p"), (F.col("id") * 7919 % 13).alias("o"), F.col("id"))
+    specs = {"x": (["g", "p"], ["o", "id"])}
+    want = rows(with_sequences(base, specs, "window"))
+    shared = with_sequences(base.repartition(4, "g"), specs, basis=base, dealt_by=["g"])
+    assert _plan(shared).count("Repartition") == 1
+    assert rows(shared) == want
+    for most in (300, 60):                                       # many groups of few rows under the value NULL; large groups
+        monkeypatch.setattr(sequence, "SLICE_ROWS", most)
+        apart = with_sequences(base.repartition(4, "g"), specs, basis=base, dealt_by=["g"])
+        assert "RepartitionByExpression [g#" in _plan(apart) and ", p#" in next(x for x in _plan(apart).splitlines() if "Repartition" in x)
+        assert rows(apart) == want
+
+
 def test_departures_are_not_multiplied(spark, monkeypatch):
     """Keys with few validity rows: a departure is dealt out once, not once a unit; many rows give the same."""
     rng = random.Random(3)
