@@ -11,7 +11,9 @@ Carrier block strategies
 ------------------------
 ``chain``  -- the reference shape: one filtered, prefixed lookup per
               (nature, type) combination; duplicate rows multiply (S10).
-              Eleven scans of the cut-off table.
+              Eleven scans of the cut-off table.  All but the first are joined
+              to the first one's rows, which gives the same as joining them to
+              the wide rows.
 ``pivot``  -- default: one conditional aggregate of the cut-off table per
               (stop, carrier) and one join.  Equal to ``chain`` when the table
               is unique on (stop, carrier, nature, type); the same aggregate
@@ -91,19 +93,14 @@ def with_cut_ava(df: DataFrame, cut_ava: DataFrame, combos: Sequence[tuple[str,
         raise ValueError(anchor)
     names = {c: combo_prefix(*c, prefixes=prefixes) for c in combos}
     if strategy == "chain":
-        out = df
-        start = 0
+        # the later lookups are joined to the first one's narrow rows, so the wide rows are moved by the stop alone
         if anchor == "dg_cutoff":
-            first = combos[0]
-            lk = filtered_lookup(cut_ava, _combo_cond(*first), names[first], fields, [stop, carrier])
-            out = lookup_join(out, lk, [stop])
-            start = 1
+            own, rest = filtered_lookup(cut_ava, _combo_cond(*combos[0]), names[combos[0]], fields, [stop, carrier]), combos[1:]
         else:
-            out = lookup_join(out, cut_ava.select(stop, carrier).distinct(), [stop])
-        for combo in combos[start:]:
-            lk = filtered_lookup(cut_ava, _combo_cond(*combo), names[combo], fields, [stop, carrier])
-            out = lookup_join(out, lk, [stop, carrier])
-        return out
+            own, rest = cut_ava.select(stop, carrier).distinct(), combos
+        for combo in rest:
+            own = lookup_join(own, filtered_lookup(cut_ava, _combo_cond(*combo), names[combo], fields, [stop, carrier]), [stop, carrier])
+        return lookup_join(df, own, [stop])
     if strategy != "pivot":
         raise ValueError(strategy)
     has_carrier = F.col(carrier).isNotNull()

@@ -69,6 +69,21 @@ def test_sequences_of_rows_that_are_dealt_already(spark, monkeypatch):
         assert rows(apart) == want
 
 
+def test_chained_cut_offs_leave_wide_rows_where_they_are(spark):
+    from quayside.plans.schedule import with_cut_ava
+    cut = spark.createDataFrame([(s, c, n, t, f"{s}{c}{n}{t}", "l") for s in ("P1", "P2", None) for c in ("A", "B", None) for n in ("DG", "CFS") for t in ("Cutoff", "Availability") if (s, c, n) != ("P2", "B", "CFS")],
+                                "STOP_ID string, CARRIER_ID string, CARGO_NATURE string, TYPE string, DATE_IODT string, DATE_LOC string")
+    cut = cut.unionByName(cut.where("STOP_ID = 'P1' AND CARRIER_ID = 'A'"))              # rows that come twice
+    df = spark.createDataFrame([("P1", 1), ("P2", 2), ("P3", 3), (None, 4)], "STOP_ID string, n int")
+    combos = [("DG", "Cutoff"), ("CFS", "Cutoff"), ("DG", "Availability")]
+    for anchor in ("dg_cutoff", "all_carriers"):
+        chain = with_cut_ava(df, cut, combos, anchor, "chain")
+        outer = next(x for x in _plan(chain).splitlines() if "Join LeftOuter" in x)
+        assert "STOP_ID" in outer and "CARRIER_ID" not in outer
+        pivot = with_cut_ava(df, cut, combos, anchor, "pivot")
+        assert rows(chain, *pivot.columns) == rows(pivot)
+
+
 def test_departures_are_not_multiplied(spark, monkeypatch):
     """Keys with few validity rows: a departure is dealt out once, not once a unit; many rows give the same."""
     rng = random.Random(3)

@@ -108,7 +108,7 @@ def test_wide_rows_stay(spark, tmp_path):
     assert not re.search(r"hashpartitioning\(VOY_CDE#\w+, CARRIER_ID#\w+", plan)
 
 
-@pytest.mark.parametrize("query", ["schedule_mart"])
+@pytest.mark.parametrize("query", ["schedule_mart", "schedule_mart_chain"])
 def test_moves_of_the_calls(spark, tmp_path, query):
     """Two for their sequences, one for the voyage with its sequence and operators, one for the stop's lookups."""
     from quayside.plans import named
