@@ -164,7 +164,7 @@ def validity_bins(rows: DataFrame, keys: list[str], operator: str, start: str, e
     return every.groupBy(*own, "unit", "bin", *kind).agg(F.min("__from").alias("__from"), F.max("__to").alias("__to")).select(*own, "unit", "bin", "__from", "__to")
 
 
-#: A key's validity rows (or a call's operators) are held in one array up to this many of them, in bins (or joined) beyond.
+#: A key's validity rows (or a stop's carriers, a vessel's operators) are held in one array up to this many of them, in bins (or row by row) beyond.
 MANY = 64
 
 
